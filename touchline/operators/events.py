@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.dates import micros_to_timestamp, shard_to_date
 from touchline.functions.params import int_param, string_or_int_param, string_param
-from touchline.operators.ordered import lag_in_groups, max_in_groups
+from touchline.operators.ordered import bucket_summary, lag_in_groups, max_in_groups
 from touchline.operators.traffic import session_key
 from touchline.schema import EVENT_COLUMNS, FLAT_EVENT_COLUMNS
 
@@ -61,29 +61,35 @@ def flatten_events(raw: DataFrame) -> DataFrame:
     )
 
 
-def seconds_since_previous(flat: DataFrame, method: str = "bucketed", bucket_micros: int = HOUR_MICROS) -> DataFrame:
+PREVIOUS_KEYS = ["user_pseudo_id", "ga_session_id"]
+EXIT_KEYS = ["user_pseudo_id", "ga_session_number"]
+
+
+def seconds_since_previous(flat: DataFrame, method: str = "bucketed", bucket_micros: int = HOUR_MICROS,
+                           summary: DataFrame | None = None) -> DataFrame:
     """(ts - previous ts of the same (user_pseudo_id, ga_session_id)) in
     seconds, 0 for the first event. ``method="window"`` is the direct LAG."""
-    keys = ["user_pseudo_id", "ga_session_id"]
+    keys = PREVIOUS_KEYS
     if method == "window":
         prev = F.lag(MICROS).over(Window.partitionBy(*keys).orderBy(MICROS))
         out = flat.withColumn("_prev", prev)
     elif method == "bucketed":
-        out = lag_in_groups(flat, keys, MICROS, "_prev", bucket_micros)
+        out = lag_in_groups(flat, keys, MICROS, "_prev", bucket_micros, summary)
     else:
         raise ValueError(f"unknown method {method!r}")
     seconds = F.coalesce(F.col(MICROS) - F.col("_prev"), F.lit(0)) / F.lit(1000000)
     return out.withColumn("previous_timestamp", seconds).drop("_prev")
 
 
-def exit_flag(flat: DataFrame, method: str = "bucketed", bucket_micros: int = HOUR_MICROS) -> DataFrame:
+def exit_flag(flat: DataFrame, method: str = "bucketed", bucket_micros: int = HOUR_MICROS,
+              summary: DataFrame | None = None) -> DataFrame:
     """P10: 1 on every event whose timestamp is the max of its
     (user_pseudo_id, ga_session_number) group, else NULL."""
-    keys = ["user_pseudo_id", "ga_session_number"]
+    keys = EXIT_KEYS
     if method == "window":
         out = flat.withColumn("_max", F.max(MICROS).over(Window.partitionBy(*keys)))
     elif method == "bucketed":
-        out = max_in_groups(flat, keys, MICROS, "_max", bucket_micros)
+        out = max_in_groups(flat, keys, MICROS, "_max", bucket_micros, summary)
     else:
         raise ValueError(f"unknown method {method!r}")
     flag = F.when(F.col(MICROS) == F.col("_max"), F.lit(1).cast("bigint"))
@@ -93,8 +99,12 @@ def exit_flag(flat: DataFrame, method: str = "bucketed", bucket_micros: int = HO
 def event_columns(raw: DataFrame, method: str = "bucketed") -> DataFrame:
     """P8 + P9 + P10 in the 36-column order."""
     flat = flatten_events(raw)
-    flat = seconds_since_previous(flat, method)
-    flat = exit_flag(flat, method)
+    summary = None
+    if method == "bucketed":
+        # One narrow scan + map-side-combined aggregate serves both windows.
+        summary = bucket_summary(flat, ["user_pseudo_id", "ga_session_id", "ga_session_number"], MICROS, HOUR_MICROS)
+    flat = seconds_since_previous(flat, method, summary=summary)
+    flat = exit_flag(flat, method, summary=summary)
     return flat.select(*FLAT_EVENT_COLUMNS)
 
 

@@ -40,13 +40,14 @@ def latest_touch_within(df: DataFrame, user: str, start: str, value: str, lookba
         .agg(F.max(cand).alias("cand"))
         .withColumn("bucket", F.floor(F.col(start) / F.lit(bucket_seconds)))
     )
-    per_bucket = per_start.where(F.col("bucket").isNotNull()).groupBy(user, "bucket").agg(
-        F.max("cand").alias("bucket_cand")
-    )
+    # No filter between per_start and its two consumers: the two subtrees stay
+    # identical and Spark reuses one exchange for both.
+    per_bucket = per_start.groupBy(user, "bucket").agg(F.max("cand").alias("bucket_cand"))
     earlier = Window.partitionBy(user).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    timed = F.when(F.col("bucket").isNotNull(), F.col("bucket_cand"))  # NULL starts never carry
     carry = (
-        per_bucket.select(user, "bucket", F.max("bucket_cand").over(earlier).alias("cand"))
-        .where(F.col("cand").isNotNull())
+        per_bucket.select(user, "bucket", F.max(timed).over(earlier).alias("cand"))
+        .where(F.col("bucket").isNotNull() & F.col("cand").isNotNull())
         # NULL start sorts ahead of every real start of the bucket.
         .withColumn(start, F.lit(None).cast("long"))
         .withColumn("is_carry", F.lit(True))

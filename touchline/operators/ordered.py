@@ -12,7 +12,9 @@ width)``) and carry what the other buckets contribute as a pseudo-row:
 The per-bucket summaries are plain aggregates (pre-combined map-side) over a
 narrow projection, and the window over a group's buckets holds one row per
 bucket. Each helper costs one shuffle of the event rows, as the direct window
-does, but the largest task is bounded by one bucket of one group.
+does, but the largest task is bounded by one bucket of one group. Callers
+that need several groupings of the same rows pass one finer ``summary`` (keys
++ ``_bucket`` + ``_bucket_max``) so the rows are scanned for it only once.
 """
 
 from __future__ import annotations
@@ -21,24 +23,35 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKET = "_bucket"
+BUCKET_MAX = "_bucket_max"
 PSEUDO = "_pseudo"
 
 
-def _bucketed(df: DataFrame, ts: str, width: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.floor(F.col(ts) / F.lit(width))).withColumn(PSEUDO, F.lit(False))
+def bucket_of(ts: str, width: int):
+    return F.floor(F.col(ts) / F.lit(width))
 
 
-def lag_in_groups(df: DataFrame, keys: list[str], ts: str, out: str, width: int) -> DataFrame:
+def bucket_summary(df: DataFrame, keys: list[str], ts: str, width: int, value: str | None = None) -> DataFrame:
+    """max(value) per (keys, bucket of ts) - pre-combined map-side."""
+    return df.groupBy(*keys, bucket_of(ts, width).alias(BUCKET)).agg(F.max(value or ts).alias(BUCKET_MAX))
+
+
+def _coarsen(summary: DataFrame, keys: list[str]) -> DataFrame:
+    return summary.groupBy(*keys, BUCKET).agg(F.max(BUCKET_MAX).alias(BUCKET_MAX))
+
+
+def lag_in_groups(df: DataFrame, keys: list[str], ts: str, out: str, width: int,
+                  summary: DataFrame | None = None) -> DataFrame:
     """``out`` = LAG(ts) OVER (PARTITION BY keys ORDER BY ts); NULL on the
     group's first row. NULL keys form groups; NULL ts rows sort first."""
-    rows = _bucketed(df, ts, width)
-    summary = rows.groupBy(*keys, BUCKET).agg(F.max(ts).alias("_bucket_max"))
+    summary = bucket_summary(df, keys, ts, width) if summary is None else _coarsen(summary, keys)
     by_bucket = Window.partitionBy(*keys).orderBy(F.col(BUCKET).asc_nulls_first())
     carry = (
-        summary.select(*keys, BUCKET, F.lag("_bucket_max").over(by_bucket).alias(ts))
+        summary.select(*keys, BUCKET, F.lag(BUCKET_MAX).over(by_bucket).alias(ts))
         .where(F.col(ts).isNotNull())
         .withColumn(PSEUDO, F.lit(True))
     )
+    rows = df.withColumn(BUCKET, bucket_of(ts, width)).withColumn(PSEUDO, F.lit(False))
     within = Window.partitionBy(*keys, BUCKET).orderBy(F.col(ts).asc_nulls_first(), F.col(PSEUDO).desc())
     return (
         rows.unionByName(carry, allowMissingColumns=True)
@@ -49,16 +62,16 @@ def lag_in_groups(df: DataFrame, keys: list[str], ts: str, out: str, width: int)
 
 
 def max_in_groups(df: DataFrame, keys: list[str], value: str, out: str, width: int,
-                  bucket_of: str | None = None) -> DataFrame:
+                  summary: DataFrame | None = None) -> DataFrame:
     """``out`` = MAX(value) OVER (PARTITION BY keys); rows are bucketed by
-    ``bucket_of`` (default: ``value`` itself)."""
-    rows = _bucketed(df, bucket_of or value, width)
-    summary = rows.groupBy(*keys, BUCKET).agg(F.max(value).alias("_bucket_max"))
+    ``value`` itself."""
+    summary = bucket_summary(df, keys, value, width) if summary is None else _coarsen(summary, keys)
     carry = (
-        summary.select(*keys, BUCKET, F.max("_bucket_max").over(Window.partitionBy(*keys)).alias(value))
+        summary.select(*keys, BUCKET, F.max(BUCKET_MAX).over(Window.partitionBy(*keys)).alias(value))
         .where(F.col(value).isNotNull())
         .withColumn(PSEUDO, F.lit(True))
     )
+    rows = df.withColumn(BUCKET, bucket_of(value, width)).withColumn(PSEUDO, F.lit(False))
     return (
         rows.unionByName(carry, allowMissingColumns=True)
         .withColumn(out, F.max(value).over(Window.partitionBy(*keys, BUCKET)))

@@ -25,6 +25,7 @@ from touchline.functions.dates import LOOKBACK_SECONDS, shard_to_date
 from touchline.functions.params import int_param, string_param
 from touchline.operators.lookback import latest_touch_within
 from touchline.schema import SRC_COLUMNS, STG_COLUMNS
+from touchline.session import materialize
 
 # Fixed values (must equal the reference).
 EXCLUDED_EVENTS = ("session_start", "first_visit")
@@ -128,6 +129,10 @@ def session_traffic(src: DataFrame, lookback_seconds: int = LOOKBACK_SECONDS, ke
     sessions dated that day (the daily update); it is applied after the
     lookback, which must still see the earlier days."""
     prep = session_rollup(src)
+    if method == "bucketed":
+        # The session roll-up feeds the lookback summaries and the final join;
+        # computing it once beats re-scanning src and re-shuffling per branch.
+        prep = materialize(prep)
     filled = lookback_fill(prep, lookback_seconds, method, bucket_seconds)
     t = F.col(FILLED)
     stg = filled.select(

@@ -54,3 +54,11 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage: a reliable checkpoint into the
+    shared folder (survives executor loss, unlike a local checkpoint). Used
+    where one intermediate feeds several branches of a plan."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
