@@ -42,18 +42,25 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(f"local[{cpus}]", app="touchline-bench", shuffle_partitions=2 * cpus,
                           extra={"spark.driver.memory": "16g"})
-    # warm-up (JVM, codegen caches) on the smallest tables, not timed
-    _run(catalog.QUERIES["sessions_by_channel"](spark, "/root/testdata/sf0.001"))
+    # Untimed warm-up: the same query shapes on the smallest tables, so JIT and
+    # whole-stage-codegen compilation are not billed to the timed runs.
+    warm = "/root/testdata/sf0.001"
+    for name in HEADLINE:
+        _run(catalog.QUERIES[name](spark, warm))
+    warm_root = scratch_path(spark, "bench-warm")
+    init(spark, catalog.raw_shards(spark, warm), warm_root, dt.date(2024, 2, 2))
+    update(spark, catalog.raw_shards(spark, warm), warm_root, dt.date(2024, 1, 17))
 
     timings: dict[str, float] = {}
+    t0 = time.perf_counter()
+    catalog.raw_shards(spark, sf_dir)
+    timings["raw_shards_write"] = round(time.perf_counter() - t0, 3)
     for name in HEADLINE:
         t0 = time.perf_counter()
         _run(catalog.QUERIES[name](spark, sf_dir))
         timings[name] = round(time.perf_counter() - t0, 3)
 
-    t0 = time.perf_counter()
     shards = catalog.raw_shards(spark, sf_dir)
-    timings["raw_shards_write"] = round(time.perf_counter() - t0, 3)
     root = scratch_path(spark, "bench-reporting")
     t0 = time.perf_counter()
     init(spark, shards, root, dt.date(2024, 2, 2))
@@ -64,7 +71,7 @@ def main() -> None:
 
     total = round(sum(timings.values()), 3)
     print(json.dumps({"metric": "total_headline_sec", "value": total, "unit": "sec", "queries": timings,
-                      "sf": os.path.basename(sf_dir).replace("sf", ""), "cpus": cpus}))
+                      "sf": os.path.basename(sf_dir).replace("sf", ""), "cpus": cpus, "warm": True}))
     spark.stop()
 
 

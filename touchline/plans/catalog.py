@@ -65,17 +65,18 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return driver_raw_events(spark, sf_dir)
 
 
-def init_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    start, end = init_window(INIT_RUN_DATE)
-    return raw_events(spark, sf_dir).where(F.col("event_date").between(start, end))
-
-
 def raw_shards(spark: SparkSession, sf_dir: str) -> str:
-    """The raw stand-in stored as day shards in the shared folder (once per app)."""
+    """The raw stand-in stored as day shards in the shared folder (once per
+    app), so queries read it the way they read a real export."""
     return _memo(spark, sf_dir, "shards",
                  lambda: write_shards(raw_events(spark, sf_dir), scratch_path(spark, "raw-shards")))
 
 
+def init_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of the initial-load window (a partition filter on the scan)."""
+    return scan_shard_range(spark, raw_shards(spark, sf_dir), *init_window(INIT_RUN_DATE))
+
+
 def init_tables(spark: SparkSession, sf_dir: str) -> TablePaths:
     root = _memo(spark, sf_dir, "init", lambda: init(
         spark, raw_shards(spark, sf_dir), scratch_path(spark, "reporting-init"), INIT_RUN_DATE).root)
