@@ -39,7 +39,7 @@ from touchline.operators.traffic import (
 )
 from touchline.plans.reporting import TablePaths, init, update
 from touchline.schema import FLAT_EVENT_COLUMNS
-from touchline.session import scratch_path
+from touchline.session import app_id, scratch_path
 from touchline.sources.fixture import driver_raw_events
 from touchline.sources.raw import scan_shard, scan_shard_range, write_shards
 
@@ -55,7 +55,7 @@ _MEMO: dict = {}
 
 
 def _memo(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], str]) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    key = (app_id(spark), sf_dir.rstrip("/"), name)
     if key not in _MEMO:
         _MEMO[key] = build()
     return _MEMO[key]

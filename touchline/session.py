@@ -38,19 +38,26 @@ def build_session(master: str = "local[*]", app: str = "touchline", shuffle_part
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-wide folder for materialised data (``spark.checkpoint.dir``)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
+    """The cluster-wide folder for materialised data (``spark.checkpoint.dir``).
+
+    Read from the session; only when it is unset (local runs, tests) a fresh
+    folder of our own is created and registered as the checkpoint dir."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    local = tempfile.mkdtemp(prefix="touchline-")
-    sc.setCheckpointDir(local)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir().rstrip("/")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="touchline-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
+def app_id(spark: SparkSession) -> str:
+    return spark.conf.get("spark.app.id", None) or spark.sparkContext.applicationId
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared folder."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
