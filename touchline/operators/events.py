@@ -81,15 +81,17 @@ def seconds_since_previous(flat: DataFrame, method: str = "bucketed", bucket_mic
     return out.withColumn("previous_timestamp", seconds).drop("_prev")
 
 
-def exit_flag(flat: DataFrame, method: str = "bucketed", bucket_micros: int = HOUR_MICROS,
-              summary: DataFrame | None = None) -> DataFrame:
+def exit_flag(flat: DataFrame, method: str = "aggregate", summary: DataFrame | None = None) -> DataFrame:
     """P10: 1 on every event whose timestamp is the max of its
-    (user_pseudo_id, ga_session_number) group, else NULL."""
+    (user_pseudo_id, ga_session_number) group, else NULL. ``method``:
+    "aggregate" (skew-safe; "bucketed" is accepted as its alias) or "window"
+    (the direct window, one task per group)."""
     keys = EXIT_KEYS
     if method == "window":
         out = flat.withColumn("_max", F.max(MICROS).over(Window.partitionBy(*keys)))
-    elif method == "bucketed":
-        out = max_in_groups(flat, keys, MICROS, "_max", bucket_micros, summary)
+    elif method in ("aggregate", "bucketed"):
+        # skew-safe form: grouped max joined back (no bucketing needed)
+        out = max_in_groups(flat, keys, MICROS, "_max", summary)
     else:
         raise ValueError(f"unknown method {method!r}")
     flag = F.when(F.col(MICROS) == F.col("_max"), F.lit(1).cast("bigint"))
@@ -104,7 +106,7 @@ def event_columns(raw: DataFrame, method: str = "bucketed") -> DataFrame:
         # One narrow scan + map-side-combined aggregate serves both windows.
         summary = bucket_summary(flat, ["user_pseudo_id", "ga_session_id", "ga_session_number"], MICROS, HOUR_MICROS)
     flat = seconds_since_previous(flat, method, summary=summary)
-    flat = exit_flag(flat, method, summary=summary)
+    flat = exit_flag(flat, "window" if method == "window" else "aggregate", summary=summary)
     return flat.select(*FLAT_EVENT_COLUMNS)
 
 

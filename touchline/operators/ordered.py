@@ -7,7 +7,7 @@ width)``) and carry what the other buckets contribute as a pseudo-row:
 
 * lag: the pseudo-row holds the max timestamp of the previous non-empty bucket
   of the group, so the first real row of a bucket lags onto it;
-* group max: the pseudo-row holds the max over all buckets of the group.
+* group max needs no order: see ``max_in_groups`` (aggregate + join).
 
 The per-bucket summaries are plain aggregates (pre-combined map-side) over a
 narrow projection, and the window over a group's buckets holds one row per
@@ -61,20 +61,21 @@ def lag_in_groups(df: DataFrame, keys: list[str], ts: str, out: str, width: int,
     )
 
 
-def max_in_groups(df: DataFrame, keys: list[str], value: str, out: str, width: int,
+def max_in_groups(df: DataFrame, keys: list[str], value: str, out: str,
                   summary: DataFrame | None = None) -> DataFrame:
-    """``out`` = MAX(value) OVER (PARTITION BY keys); rows are bucketed by
-    ``value`` itself."""
-    summary = bucket_summary(df, keys, value, width) if summary is None else _coarsen(summary, keys)
-    carry = (
-        summary.select(*keys, BUCKET, F.max(BUCKET_MAX).over(Window.partitionBy(*keys)).alias(value))
-        .where(F.col(value).isNotNull())
-        .withColumn(PSEUDO, F.lit(True))
-    )
-    rows = df.withColumn(BUCKET, bucket_of(value, width)).withColumn(PSEUDO, F.lit(False))
-    return (
-        rows.unionByName(carry, allowMissingColumns=True)
-        .withColumn(out, F.max(value).over(Window.partitionBy(*keys, BUCKET)))
-        .where(~F.col(PSEUDO))
-        .drop(BUCKET, PSEUDO)
-    )
+    """``out`` = MAX(value) OVER (PARTITION BY keys), as a grouped aggregate
+    (pre-combined map-side) joined back on the keys, NULL-safe. No ordering is
+    needed, so nothing is bucketed: a hot group costs one partial row per map
+    task in the aggregate, and in the join AQE's skew handling splits the
+    event side of a hot key while the aggregate side has one row per key."""
+    if summary is None:
+        agg = df.groupBy(*keys).agg(F.max(value).alias(out))
+    else:
+        agg = summary.groupBy(*keys).agg(F.max(BUCKET_MAX).alias(out))
+    renamed = [f"_key{i}" for i in range(len(keys))]
+    agg = agg.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)], out)
+    cond = None
+    for k, r in zip(keys, renamed):
+        c = df[k].eqNullSafe(agg[r])
+        cond = c if cond is None else cond & c
+    return df.join(agg, cond, "left").drop(*renamed)
