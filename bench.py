@@ -24,7 +24,9 @@ HEADLINE = [
     "session_traffic_30d_window",
     "events_flat",
     "seconds_since_previous",
+    "seconds_since_previous_window",
     "exit_flag",
+    "exit_flag_window",
     "events_sessionized",
     "purchase_items",
     "channel_grouping",

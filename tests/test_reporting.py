@@ -15,6 +15,8 @@ def test_run_date_windows():
     assert init_window(dt.date(2024, 2, 2)) == ("20231231", "20240130")
     assert update_window(dt.date(2024, 1, 17)) == ("20231216", "20240115")
     assert init_window("2024-01-16")[1] == "20240113"
+    start, end = init_window()
+    assert start < end and len(end) == 8  # defaults to the current date
 
 
 @pytest.fixture(scope="module")

@@ -17,7 +17,14 @@ UPDATE_DAY_OFFSET_DAYS = 2
 LOOKBACK_SECONDS = 2592000
 
 
+def today_utc() -> dt.date:
+    """CURRENT_DATE of the run (UTC), the default run date of both scripts."""
+    return dt.datetime.now(dt.timezone.utc).date()
+
+
 def _as_date(value) -> dt.date:
+    if value is None:
+        return today_utc()
     if isinstance(value, dt.datetime):
         return value.date()
     if isinstance(value, dt.date):
@@ -33,16 +40,17 @@ def parse_shard(suffix: str) -> dt.date:
     return dt.datetime.strptime(suffix, SHARD_FORMAT).date()
 
 
-def init_window(run_date) -> tuple[str, str]:
-    """Inclusive shard range of the initial load: [run-33, run-3]."""
+def init_window(run_date=None) -> tuple[str, str]:
+    """Inclusive shard range of the initial load: [run-33, run-3]; run date
+    defaults to today (UTC)."""
     d = _as_date(run_date)
     return (shard(d - dt.timedelta(days=INIT_START_OFFSET_DAYS)),
             shard(d - dt.timedelta(days=INIT_END_OFFSET_DAYS)))
 
 
-def update_window(run_date) -> tuple[str, str]:
+def update_window(run_date=None) -> tuple[str, str]:
     """(start of the re-aggregated range, the day loaded) of a daily update:
-    (run-32, run-2)."""
+    (run-32, run-2); run date defaults to today (UTC)."""
     d = _as_date(run_date)
     return (shard(d - dt.timedelta(days=UPDATE_START_OFFSET_DAYS)),
             shard(d - dt.timedelta(days=UPDATE_DAY_OFFSET_DAYS)))

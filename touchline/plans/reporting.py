@@ -63,9 +63,10 @@ class TablePaths:
         return read_table(spark, getattr(self, table), columns)
 
 
-def init(spark: SparkSession, raw_path: str, root: str, run_date, lookback_seconds: int = LOOKBACK_SECONDS,
+def init(spark: SparkSession, raw_path: str, root: str, run_date=None, lookback_seconds: int = LOOKBACK_SECONDS,
          method: str = "bucketed") -> TablePaths:
-    """Replace all four tables from the shards [run_date-33, run_date-3]."""
+    """Replace all four tables from the shards [run_date-33, run_date-3]
+    (run_date defaults to today, UTC)."""
     paths = TablePaths(root)
     start, end = init_window(run_date)
     raw = scan_shard_range(spark, raw_path, start, end)
@@ -97,7 +98,7 @@ def update_day(spark: SparkSession, raw_path: str, root: str, day: str, start: s
     return paths
 
 
-def update(spark: SparkSession, raw_path: str, root: str, run_date, lookback_seconds: int = LOOKBACK_SECONDS,
+def update(spark: SparkSession, raw_path: str, root: str, run_date=None, lookback_seconds: int = LOOKBACK_SECONDS,
            method: str = "bucketed") -> TablePaths:
     """Daily update for ``run_date``: loads shard run_date-2, re-aggregates
     src over [run_date-32, run_date-2]."""
