@@ -83,3 +83,32 @@ def test_sql_functions_match_column_helpers(spark, params_df):
 def test_lookup_stays_in_codegen_without_lambda(params_df):
     plan = params_df.select(string_param("a"), int_param("n"))._jdf.queryExecution().executedPlan().toString()
     assert "lambda" not in plan.lower()
+
+
+from hypothesis import HealthCheck, given, settings, strategies as st
+
+_keys = st.sampled_from(["a", "b", "c", None])
+_entry = st.tuples(_keys, st.one_of(st.none(), st.text(max_size=3)), st.one_of(st.none(), st.integers(-5, 5)),
+                   st.one_of(st.none(), st.floats(-1, 1)), st.one_of(st.none(), st.floats(-1, 1)))
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.lists(_entry, max_size=5)), min_size=1, max_size=8))
+def test_lookups_match_first_match_semantics(spark, arrays):
+    rows = [(i, None if arr is None else [param(k, s=s, i=n, f=f, d=d) for k, s, n, f, d in arr])
+            for i, arr in enumerate(arrays)]
+    df = spark.createDataFrame(rows, f"id int, event_params {EVENT_PARAMS.simpleString()}")
+    got = {r.id: (r.s, r.n, r.f) for r in
+           df.select("id", string_param("a").alias("s"), int_param("b").alias("n"), float_param("c").alias("f")).collect()}
+
+    def first(arr, key):
+        for e in arr or []:
+            if e[0] == key:
+                return e
+        return None
+
+    for i, arr in enumerate(arrays):
+        a, b, c = first(arr, "a"), first(arr, "b"), first(arr, "c")
+        want = (a[1] if a else None, b[2] if b else None,
+                (c[3] if c[3] is not None else c[4]) if c else None)
+        assert got[i] == want, (arr, got[i], want)

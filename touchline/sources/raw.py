@@ -31,7 +31,13 @@ def scan_shard(spark: SparkSession, path: str, day: str) -> DataFrame:
     return read_raw(spark, path).where(F.col(PARTITION_COLUMN) == F.lit(day))
 
 
-def write_shards(raw: DataFrame, path: str) -> str:
-    """Store a raw-shaped DataFrame as day shards (replaces ``path``)."""
-    raw.write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(path)
+def write_shards(raw: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> str:
+    """Store a raw-shaped DataFrame as day shards (replaces ``path``).
+
+    Rows are clustered by day first so each task writes whole days (a few
+    large files per shard instead of one small file per task and day); files
+    are capped at ``max_records_per_file`` rows."""
+    (raw.repartition(PARTITION_COLUMN)
+     .write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+     .partitionBy(PARTITION_COLUMN).parquet(path))
     return path
