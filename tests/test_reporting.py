@@ -47,6 +47,12 @@ def test_init_writes_four_tables_in_contract_order(spark, shards):
         assert df.count() > 0
     raw_n = scan_shard_range(spark, shards, "20231231", "20240130").count()
     assert paths.read(spark, "events").count() == raw_n  # stg session ids are unique on this input
+    # rebalanced writes: a few files per day, not one per task and day
+    import glob
+    import os
+    days = glob.glob(os.path.join(paths.events.replace("file:", ""), "event_date=*"))
+    files = glob.glob(os.path.join(paths.events.replace("file:", ""), "event_date=*", "*.parquet"))
+    assert days and len(files) <= 2 * len(days)
 
 
 def test_update_is_idempotent_and_differs_from_init_across_midnight(spark, shards):

@@ -72,9 +72,9 @@ def init(spark: SparkSession, raw_path: str, root: str, run_date=None, lookback_
     raw = scan_shard_range(spark, raw_path, start, end)
     replace_table(event_traffic(raw), paths.src, "date")
     src = paths.read(spark, "src")
-    replace_table(session_traffic(src, lookback_seconds, method=method), paths.stg, "date")
+    replace_table(session_traffic(src, lookback_seconds, method=method), paths.stg, "date", rebalance=True)
     stg = paths.read(spark, "stg")
-    replace_table(build_events(raw, stg, method), paths.events, "event_date")
+    replace_table(build_events(raw, stg, method), paths.events, "event_date", rebalance=True)
     replace_table(purchase_items(raw), paths.items, "date")
     return paths
 
@@ -91,9 +91,10 @@ def update_day(spark: SparkSession, raw_path: str, root: str, day: str, start: s
     raw_day = scan_shard(spark, raw_path, day)
     overwrite_partitions(event_traffic(raw_day), paths.src, "date")
     src = paths.read(spark, "src").where(F.col("date").between(F.lit(start_date), F.lit(day_date)))
-    overwrite_partitions(session_traffic(src, lookback_seconds, keep_date=day_date, method=method), paths.stg, "date")
+    overwrite_partitions(session_traffic(src, lookback_seconds, keep_date=day_date, method=method), paths.stg,
+                         "date", rebalance=True)
     stg_day = paths.read(spark, "stg").where(F.col("date") == F.lit(day_date))
-    overwrite_partitions(build_events(raw_day, stg_day, method), paths.events, "event_date")
+    overwrite_partitions(build_events(raw_day, stg_day, method), paths.events, "event_date", rebalance=True)
     overwrite_partitions(purchase_items(raw_day), paths.items, "date")
     return paths
 

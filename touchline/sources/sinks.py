@@ -7,6 +7,13 @@
 * ``read_table`` - read back in contract column order (``partitionBy`` moves
   the partition column last).
 
+``rebalance=True`` is for outputs of a shuffle (joins, aggregations), whose
+tasks each hold rows of every day: without it a date-partitioned write makes
+tasks x days small files. The REBALANCE hint lets AQE cluster rows by the
+partition column and split a large day into advisory-sized partitions, so
+each task writes a few reasonably sized files of one day. Outputs of a plain
+scan of day shards are already day-aligned and skip the extra exchange.
+
 Writes go through Spark's commit protocol, so a lost executor only re-runs its
 tasks; readers never see a half-written day.
 """
@@ -16,13 +23,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def replace_table(df: DataFrame, path: str, partition_col: str) -> str:
-    df.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+def _prepare(df: DataFrame, partition_col: str, rebalance: bool) -> DataFrame:
+    return df.hint("rebalance", partition_col) if rebalance else df
+
+
+def replace_table(df: DataFrame, path: str, partition_col: str, rebalance: bool = False) -> str:
+    _prepare(df, partition_col, rebalance).write.mode("overwrite").partitionBy(partition_col).parquet(path)
     return path
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_col: str) -> str:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def overwrite_partitions(df: DataFrame, path: str, partition_col: str, rebalance: bool = False) -> str:
+    (_prepare(df, partition_col, rebalance).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
     return path
 
