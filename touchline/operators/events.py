@@ -13,7 +13,9 @@ from touchline.operators.traffic import session_key
 from touchline.schema import EVENT_COLUMNS, FLAT_EVENT_COLUMNS
 
 MICROS = "_us"
-HOUR_MICROS = 3_600_000_000
+# LAG bucket width: the largest window task is one (user, session) group's
+# events within one bucket; summary rows are narrow, so a fine width is cheap.
+BUCKET_MICROS = 60_000_000
 
 
 def flatten_events(raw: DataFrame) -> DataFrame:
@@ -65,7 +67,7 @@ PREVIOUS_KEYS = ["user_pseudo_id", "ga_session_id"]
 EXIT_KEYS = ["user_pseudo_id", "ga_session_number"]
 
 
-def seconds_since_previous(flat: DataFrame, method: str = "bucketed", bucket_micros: int = HOUR_MICROS,
+def seconds_since_previous(flat: DataFrame, method: str = "bucketed", bucket_micros: int = BUCKET_MICROS,
                            summary: DataFrame | None = None) -> DataFrame:
     """(ts - previous ts of the same (user_pseudo_id, ga_session_id)) in
     seconds, 0 for the first event. ``method="window"`` is the direct LAG."""
@@ -98,14 +100,18 @@ def exit_flag(flat: DataFrame, method: str = "aggregate", summary: DataFrame | N
     return out.withColumn("exit_page", flag).drop("_max")
 
 
-def event_columns(raw: DataFrame, method: str = "bucketed") -> DataFrame:
-    """P8 + P9 + P10 in the 36-column order."""
+def event_columns(raw: DataFrame, method: str = "bucketed", bucket_micros: int = BUCKET_MICROS) -> DataFrame:
+    """P8 + P9 + P10 in the 36-column order. ``method``: "bucketed" (skew-safe
+    LAG, grouped-max exit flag) or "window" (both direct windows)."""
+    if method not in ("bucketed", "window"):
+        raise ValueError(f"unknown method {method!r}")
     flat = flatten_events(raw)
     summary = None
     if method == "bucketed":
         # One narrow scan + map-side-combined aggregate serves both windows.
-        summary = bucket_summary(flat, ["user_pseudo_id", "ga_session_id", "ga_session_number"], MICROS, HOUR_MICROS)
-    flat = seconds_since_previous(flat, method, summary=summary)
+        summary = bucket_summary(flat, ["user_pseudo_id", "ga_session_id", "ga_session_number"], MICROS,
+                                 bucket_micros)
+    flat = seconds_since_previous(flat, method, bucket_micros, summary=summary)
     flat = exit_flag(flat, "window" if method == "window" else "aggregate", summary=summary)
     return flat.select(*FLAT_EVENT_COLUMNS)
 
@@ -126,5 +132,6 @@ def sessionize(events: DataFrame, stg: DataFrame) -> DataFrame:
     return joined.select(*EVENT_COLUMNS)
 
 
-def build_events(raw: DataFrame, stg: DataFrame, method: str = "bucketed") -> DataFrame:
-    return sessionize(event_columns(raw, method), stg)
+def build_events(raw: DataFrame, stg: DataFrame, method: str = "bucketed", bucket_micros: int = BUCKET_MICROS) -> DataFrame:
+    """The 40-column events table: P8-P10, then the session source."""
+    return sessionize(event_columns(raw, method, bucket_micros), stg)
