@@ -109,3 +109,13 @@ def test_items_inner_explode(spark):
     out = purchase_items(raw_df(spark, rows))
     assert out.columns == ["date", "item_name", "item_variant", "item_quantity", "item_revenue"]
     assert out.count() == 2
+
+
+def test_timestamp_ties_are_ordered_by_event_name(spark):
+    rows = [raw_row(1_000_000, gsid=1, name="page_view"), raw_row(3_000_000, gsid=1, name="session_start"),
+            raw_row(3_000_000, gsid=1, name="first_visit"), raw_row(3_000_000, gsid=1, name="page_view")]
+    for method in ("bucketed", "window"):
+        out = seconds_since_previous(flatten_events(raw_df(spark, rows)), method, bucket_micros=1_000_000)
+        got = rows_of(out, "_us", "event_name", "previous_timestamp")
+        assert got == [(1_000_000, "page_view", 0.0), (3_000_000, "first_visit", 2.0),
+                       (3_000_000, "page_view", 0.0), (3_000_000, "session_start", 0.0)], method

@@ -64,19 +64,25 @@ def flatten_events(raw: DataFrame) -> DataFrame:
 
 
 PREVIOUS_KEYS = ["user_pseudo_id", "ga_session_id"]
+# Events sharing a timestamp (GA4 writes session_start / first_visit /
+# page_view with one timestamp) are ordered by name, so the pick of which one
+# gets the gap and which gets 0 is the same on every run and task retry.
+LAG_TIEBREAK = ("event_name",)
 EXIT_KEYS = ["user_pseudo_id", "ga_session_number"]
 
 
 def seconds_since_previous(flat: DataFrame, method: str = "bucketed", bucket_micros: int = BUCKET_MICROS,
                            summary: DataFrame | None = None) -> DataFrame:
     """(ts - previous ts of the same (user_pseudo_id, ga_session_id)) in
-    seconds, 0 for the first event. ``method="window"`` is the direct LAG."""
+    seconds, 0 for the first event; ties on ts ordered by ``LAG_TIEBREAK``.
+    ``method="window"`` is the direct LAG."""
     keys = PREVIOUS_KEYS
     if method == "window":
-        prev = F.lag(MICROS).over(Window.partitionBy(*keys).orderBy(MICROS))
+        order = [F.col(MICROS).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in LAG_TIEBREAK]
+        prev = F.lag(MICROS).over(Window.partitionBy(*keys).orderBy(*order))
         out = flat.withColumn("_prev", prev)
     elif method == "bucketed":
-        out = lag_in_groups(flat, keys, MICROS, "_prev", bucket_micros, summary)
+        out = lag_in_groups(flat, keys, MICROS, "_prev", bucket_micros, summary, LAG_TIEBREAK)
     else:
         raise ValueError(f"unknown method {method!r}")
     seconds = F.coalesce(F.col(MICROS) - F.col("_prev"), F.lit(0)) / F.lit(1000000)

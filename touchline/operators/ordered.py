@@ -41,9 +41,11 @@ def _coarsen(summary: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def lag_in_groups(df: DataFrame, keys: list[str], ts: str, out: str, width: int,
-                  summary: DataFrame | None = None) -> DataFrame:
-    """``out`` = LAG(ts) OVER (PARTITION BY keys ORDER BY ts); NULL on the
-    group's first row. NULL keys form groups; NULL ts rows sort first."""
+                  summary: DataFrame | None = None, tiebreak: tuple[str, ...] = ()) -> DataFrame:
+    """``out`` = LAG(ts) OVER (PARTITION BY keys ORDER BY ts, *tiebreak); NULL
+    on the group's first row. NULL keys form groups; NULL ts rows sort first.
+    Rows sharing ts stay in one bucket, so ties are ordered as in the direct
+    window."""
     summary = bucket_summary(df, keys, ts, width) if summary is None else _coarsen(summary, keys)
     by_bucket = Window.partitionBy(*keys).orderBy(F.col(BUCKET).asc_nulls_first())
     carry = (
@@ -52,7 +54,8 @@ def lag_in_groups(df: DataFrame, keys: list[str], ts: str, out: str, width: int,
         .withColumn(PSEUDO, F.lit(True))
     )
     rows = df.withColumn(BUCKET, bucket_of(ts, width)).withColumn(PSEUDO, F.lit(False))
-    within = Window.partitionBy(*keys, BUCKET).orderBy(F.col(ts).asc_nulls_first(), F.col(PSEUDO).desc())
+    within = Window.partitionBy(*keys, BUCKET).orderBy(
+        F.col(ts).asc_nulls_first(), F.col(PSEUDO).desc(), *[F.col(c).asc_nulls_first() for c in tiebreak])
     return (
         rows.unionByName(carry, allowMissingColumns=True)
         .withColumn(out, F.lag(ts).over(within))

@@ -90,27 +90,35 @@ src AS (
 )"""
 
 
-TOUCH = """
+def _touch_cte() -> str:
+    """Touch struct fields per event, from the click-id rule table."""
+    from touchline.functions.clickids import CLICK_ID_RULES
+
+    any_param = "coalesce(source, medium, campaign, gclid)"
+
+    def override(field: int, fallback: str) -> str:
+        arms = []
+        for i, rule in enumerate(CLICK_ID_RULES):
+            test = f"page_location LIKE '{rule[0]}'"
+            if i == 0:
+                test = f"(gclid IS NOT NULL OR {test})"
+            arms.append(f"WHEN {test} THEN '{rule[field]}'")
+        return f"CASE WHEN {any_param} IS NULL THEN NULL " + " ".join(arms) + f" ELSE {fallback} END"
+
+    return f"""
 touch AS (
   SELECT *,
-    coalesce(source, medium, campaign, gclid) IS NOT NULL AS has_touch,
-    CASE WHEN coalesce(source, medium, campaign, gclid) IS NULL THEN NULL
-         WHEN gclid IS NOT NULL OR page_location LIKE 'http%gclid=%' THEN 'google'
-         WHEN page_location LIKE 'http%fbclid=%' THEN 'facebook'
-         WHEN page_location LIKE 'http%ttclid=%' THEN 'tiktok'
-         WHEN page_location LIKE 'http%msclkid=%' THEN 'bing'
-         ELSE source END AS t_source,
-    CASE WHEN coalesce(source, medium, campaign, gclid) IS NULL THEN NULL
-         WHEN gclid IS NOT NULL OR page_location LIKE 'http%gclid=%' THEN 'cpc'
-         WHEN page_location LIKE 'http%fbclid=%' THEN 'paid social'
-         WHEN page_location LIKE 'http%ttclid=%' THEN 'paid social'
-         WHEN page_location LIKE 'http%msclkid=%' THEN 'cpc'
-         ELSE medium END AS t_medium,
-    CASE WHEN coalesce(source, medium, campaign, gclid) IS NOT NULL THEN campaign END AS t_campaign,
-    CASE WHEN coalesce(source, medium, campaign, gclid) IS NOT NULL THEN gclid END AS t_gclid
+    {any_param} IS NOT NULL AS has_touch,
+    {override(1, 'source')} AS t_source,
+    {override(2, 'medium')} AS t_medium,
+    CASE WHEN {any_param} IS NOT NULL THEN campaign END AS t_campaign,
+    CASE WHEN {any_param} IS NOT NULL THEN gclid END AS t_gclid
   FROM src
 )"""
 
+
+TOUCH = _touch_cte()
+
 PREP = """
 ranked AS (
   SELECT *,
@@ -270,34 +278,43 @@ EVENTS_FLAT_COLUMNS = """session_id, event_date, event_timestamp, event_name, ga
   ecommerce_shipping_value, ecommerce_tax_value, ecommerce_unique_items, ecommerce_transaction_id,
   engagement_time_msec"""
 
-CHANNEL_CASE = """CASE
-  WHEN s = '(direct)' AND m IN ('(not set)', '(none)') THEN 'Direct'
-  WHEN regexp_matches(c, 'cross-network') THEN 'Cross-network'
-  WHEN (regexp_matches(s, 'alibaba|amazon|google shopping|shopify|etsy|ebay|stripe|walmart')
-        OR regexp_matches(c, '^(.*(([^a-df-z]|^)shop|shopping).*)$'))
-       AND regexp_matches(m, '^(.*cp.*|ppc|paid.*)$') THEN 'Paid Shopping'
-  WHEN regexp_matches(s, 'baidu|bing|duckduckgo|ecosia|google|yahoo|yandex')
-       AND regexp_matches(m, '^(.*cp.*|ppc|paid.*)$') THEN 'Paid Search'
-  WHEN regexp_matches(s, 'badoo|facebook|fb|instagram|linkedin|pinterest|tiktok|twitter|whatsapp')
-       AND regexp_matches(m, '^(.*cp.*|ppc|paid.*)$') THEN 'Paid Social'
-  WHEN regexp_matches(s, 'dailymotion|disneyplus|netflix|youtube|vimeo|twitch|vimeo|youtube')
-       AND regexp_matches(m, '^(.*cp.*|ppc|paid.*)$') THEN 'Paid Video'
-  WHEN m IN ('display', 'banner', 'expandable', 'interstitial', 'cpm') THEN 'Display'
-  WHEN regexp_matches(s, 'alibaba|amazon|google shopping|shopify|etsy|ebay|stripe|walmart')
-       OR regexp_matches(c, '^(.*(([^a-df-z]|^)shop|shopping).*)$') THEN 'Organic Shopping'
-  WHEN regexp_matches(s, 'badoo|facebook|fb|instagram|linkedin|pinterest|tiktok|twitter|whatsapp')
-       OR m IN ('social', 'social-network', 'social-media', 'sm', 'social network', 'social media') THEN 'Organic Social'
-  WHEN regexp_matches(s, 'dailymotion|disneyplus|netflix|youtube|vimeo|twitch|vimeo|youtube')
-       OR regexp_matches(m, '^(.*video.*)$') THEN 'Organic Video'
-  WHEN regexp_matches(s, 'baidu|bing|duckduckgo|ecosia|google|yahoo|yandex') OR m = 'organic' THEN 'Organic Search'
-  WHEN regexp_matches(s, 'email|e-mail|e_mail|e mail') OR regexp_matches(m, 'email|e-mail|e_mail|e mail') THEN 'Email'
-  WHEN m = 'affiliate' THEN 'Affiliates'
-  WHEN m = 'referral' THEN 'Referral'
-  WHEN m = 'audio' THEN 'Audio'
-  WHEN m = 'sms' THEN 'SMS'
-  WHEN regexp_matches(m, 'push$') OR regexp_matches(m, 'mobile|notification') THEN 'Mobile Push Notifications'
-  ELSE 'Unassigned'
-END"""
+def _channel_case() -> str:
+    """The channel rule chain as a DuckDB CASE over columns s, m, c, built from
+    the rule constants; DuckDB's regexp_matches is RE2, the rules' own dialect."""
+    from touchline.functions import channels as ch
+
+    def has(col: str, pattern: str) -> str:
+        return f"regexp_matches({col}, '{pattern}')"
+
+    def among(col: str, values) -> str:
+        return f"{col} IN (" + ", ".join(f"'{v}'" for v in values) + ")"
+
+    paid = has("m", ch.PAID_MEDIUM)
+    shopping = f"({has('s', ch.SHOPPING_SOURCES)} OR {has('c', ch.SHOPPING_CAMPAIGN)})"
+    rules = [
+        (f"s = '{ch.DIRECT_SOURCE}' AND {among('m', ch.DIRECT_MEDIUMS)}", "Direct"),
+        (has("c", ch.CROSS_NETWORK_CAMPAIGN), "Cross-network"),
+        (f"{shopping} AND {paid}", "Paid Shopping"),
+        (f"{has('s', ch.SEARCH_SOURCES)} AND {paid}", "Paid Search"),
+        (f"{has('s', ch.SOCIAL_SOURCES)} AND {paid}", "Paid Social"),
+        (f"{has('s', ch.VIDEO_SOURCES)} AND {paid}", "Paid Video"),
+        (among("m", ch.DISPLAY_MEDIUMS), "Display"),
+        (shopping, "Organic Shopping"),
+        (f"{has('s', ch.SOCIAL_SOURCES)} OR {among('m', ch.SOCIAL_MEDIUMS)}", "Organic Social"),
+        (f"{has('s', ch.VIDEO_SOURCES)} OR {has('m', ch.VIDEO_MEDIUM)}", "Organic Video"),
+        (f"{has('s', ch.SEARCH_SOURCES)} OR m = 'organic'", "Organic Search"),
+        (f"{has('s', ch.EMAIL_PATTERN)} OR {has('m', ch.EMAIL_PATTERN)}", "Email"),
+        ("m = 'affiliate'", "Affiliates"),
+        ("m = 'referral'", "Referral"),
+        ("m = 'audio'", "Audio"),
+        ("m = 'sms'", "SMS"),
+        (f"{has('m', ch.PUSH_MEDIUM_SUFFIX)} OR {has('m', ch.PUSH_MEDIUM)}", "Mobile Push Notifications"),
+    ]
+    arms = "\n".join(f"  WHEN {cond} THEN '{label}'" for cond, label in rules)
+    return f"CASE\n{arms}\n  ELSE 'Unassigned'\nEND"
+
+
+CHANNEL_CASE = _channel_case()
 
 
 def _language_values() -> str:
