@@ -54,9 +54,10 @@ def main() -> None:
     update(spark, catalog.raw_shards(spark, warm), warm_root, dt.date(2024, 1, 17))
 
     timings: dict[str, float] = {}
+    # setup, reported apart: the stand-in export written as day shards
     t0 = time.perf_counter()
     catalog.raw_shards(spark, sf_dir)
-    timings["raw_shards_write"] = round(time.perf_counter() - t0, 3)
+    setup = {"raw_shards_write": round(time.perf_counter() - t0, 3)}
     for name in HEADLINE:
         t0 = time.perf_counter()
         _run(catalog.QUERIES[name](spark, sf_dir))
@@ -73,7 +74,8 @@ def main() -> None:
 
     total = round(sum(timings.values()), 3)
     print(json.dumps({"metric": "total_headline_sec", "value": total, "unit": "sec", "queries": timings,
-                      "sf": os.path.basename(sf_dir).replace("sf", ""), "cpus": cpus, "warm": True}))
+                      "setup": setup, "sf": os.path.basename(sf_dir).replace("sf", ""), "cpus": cpus,
+                      "warm": True}))
     spark.stop()
 
 
