@@ -1,4 +1,4 @@
-"""Properties of the pipeline outputs on the driver's test tables."""
+"""Properties of the reporting outputs on the driver's test tables."""
 
 import pytest
 from pyspark.sql import functions as F

@@ -1 +1 @@
-"""Relational operators of the reporting pipeline (shuffles live here)."""
+"""Relational operators of the reporting tables (shuffles live here)."""

@@ -79,14 +79,14 @@ def init_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def init_tables(spark: SparkSession, sf_dir: str) -> TablePaths:
     root = _memo(spark, sf_dir, "init", lambda: init(
-        spark, raw_shards(spark, sf_dir), scratch_path(spark, "reporting-init"), INIT_RUN_DATE).root)
+        spark, raw_shards(spark, sf_dir), scratch_path(spark, "tables-init"), INIT_RUN_DATE).root)
     return TablePaths(root)
 
 
 def updated_tables(spark: SparkSession, sf_dir: str) -> TablePaths:
     def build() -> str:
         raw = raw_shards(spark, sf_dir)
-        root = scratch_path(spark, "reporting-update")
+        root = scratch_path(spark, "tables-update")
         init(spark, raw, root, UPDATE_INIT_RUN_DATE)
         for run_date in UPDATE_RUN_DATES:
             update(spark, raw, root, run_date)
