@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from touchline.operators.events import exit_flag, flatten_events, seconds_since_previous
 from touchline.operators.items import purchase_items
-from touchline.operators.ordered import lag_in_groups, max_in_groups
+from touchline.operators.ordered import lag_in_groups, max_by_join, max_in_groups
 from touchline.schema import FLAT_EVENT_COLUMNS
 from touchline.operators.events import event_columns
 
@@ -17,8 +17,8 @@ def test_exit_flag_ties_and_null_session_number(spark):
         raw_row(10, gsid=1, gsn=0), raw_row(20, gsid=1, gsn=0), raw_row(20, gsid=2, gsn=0),
         raw_row(5, gsid=3, gsn=None), raw_row(7, gsid=3, gsn=None),
     ]
-    for method in ("aggregate", "window"):
-        out = exit_flag(flatten_events(raw_df(spark, rows)), method)
+    for method in ("bucketed", "aggregate", "window"):
+        out = exit_flag(flatten_events(raw_df(spark, rows)), method, bucket_micros=3)
         got = rows_of(out, "_us", "ga_session_id", "exit_page")
         assert got == sorted([(10, 1, None), (20, 1, 1), (20, 2, 1), (5, 3, None), (7, 3, 1)], key=repr), method
 
@@ -66,7 +66,8 @@ def test_bucketed_lag_and_max_match_brute_force_under_skew(spark, seed):
     for width in (37, 1000, 100_000):
         got = {r.rid: r.prev for r in lag_in_groups(df, ["k"], "ts", "prev", width).collect()}
         assert got == expected, width
-        mx = {r.rid: r.mx for r in max_in_groups(df, ["k"], "ts", "mx").collect()}
+        mx = {r.rid: r.mx for r in max_in_groups(df, ["k"], "ts", "mx", width).collect()}
+        assert {r.rid: r.mx for r in max_by_join(df, ["k"], "ts", "mx").collect()} == mx
         gmax = {}
         for _, k, ts in uniq:
             if ts is not None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.dates import micros_to_timestamp, shard_to_date
 from touchline.functions.params import int_param, string_or_int_param, string_param
-from touchline.operators.ordered import bucket_summary, lag_in_groups, max_in_groups
+from touchline.operators.ordered import bucket_summary, lag_in_groups, max_by_join, max_in_groups
 from touchline.operators.traffic import session_key
 from touchline.schema import EVENT_COLUMNS, FLAT_EVENT_COLUMNS
 
@@ -89,17 +89,20 @@ def seconds_since_previous(flat: DataFrame, method: str = "bucketed", bucket_mic
     return out.withColumn("previous_timestamp", seconds).drop("_prev")
 
 
-def exit_flag(flat: DataFrame, method: str = "aggregate", summary: DataFrame | None = None) -> DataFrame:
+def exit_flag(flat: DataFrame, method: str = "aggregate", bucket_micros: int = BUCKET_MICROS,
+              summary: DataFrame | None = None) -> DataFrame:
     """P10: 1 on every event whose timestamp is the max of its
     (user_pseudo_id, ga_session_number) group, else NULL. ``method``:
-    "aggregate" (skew-safe; "bucketed" is accepted as its alias) or "window"
-    (the direct window, one task per group)."""
+    "bucketed" (skew-safe: groups split by time bucket, the group max carried
+    in), "aggregate" (grouped max joined back; hot keys left to AQE's skew
+    join) or "window" (the direct window, one task per group)."""
     keys = EXIT_KEYS
     if method == "window":
         out = flat.withColumn("_max", F.max(MICROS).over(Window.partitionBy(*keys)))
-    elif method in ("aggregate", "bucketed"):
-        # skew-safe form: grouped max joined back (no bucketing needed)
-        out = max_in_groups(flat, keys, MICROS, "_max", summary)
+    elif method == "bucketed":
+        out = max_in_groups(flat, keys, MICROS, "_max", bucket_micros, summary)
+    elif method == "aggregate":
+        out = max_by_join(flat, keys, MICROS, "_max", summary)
     else:
         raise ValueError(f"unknown method {method!r}")
     flag = F.when(F.col(MICROS) == F.col("_max"), F.lit(1).cast("bigint"))
@@ -107,8 +110,9 @@ def exit_flag(flat: DataFrame, method: str = "aggregate", summary: DataFrame | N
 
 
 def event_columns(raw: DataFrame, method: str = "bucketed", bucket_micros: int = BUCKET_MICROS) -> DataFrame:
-    """P8 + P9 + P10 in the 36-column order. ``method``: "bucketed" (skew-safe
-    LAG, grouped-max exit flag) or "window" (both direct windows)."""
+    """P8 + P9 + P10 in the 36-column order. ``method``: "bucketed" (the
+    skew-safe forms: LAG over time buckets, exit flag as a grouped max joined
+    back) or "window" (both direct windows)."""
     if method not in ("bucketed", "window"):
         raise ValueError(f"unknown method {method!r}")
     flat = flatten_events(raw)

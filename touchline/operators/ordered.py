@@ -7,7 +7,9 @@ width)``) and carry what the other buckets contribute as a pseudo-row:
 
 * lag: the pseudo-row holds the max timestamp of the previous non-empty bucket
   of the group, so the first real row of a bucket lags onto it;
-* group max needs no order: see ``max_in_groups`` (aggregate + join).
+* group max: the pseudo-row holds the max over all buckets of the group
+  (``max_by_join`` is the alternative: grouped max joined back, relying on
+  AQE's skew join for hot keys).
 
 The per-bucket summaries are plain aggregates (pre-combined map-side) over a
 narrow projection, and the window over a group's buckets holds one row per
@@ -64,8 +66,28 @@ def lag_in_groups(df: DataFrame, keys: list[str], ts: str, out: str, width: int,
     )
 
 
-def max_in_groups(df: DataFrame, keys: list[str], value: str, out: str,
+def max_in_groups(df: DataFrame, keys: list[str], value: str, out: str, width: int,
                   summary: DataFrame | None = None) -> DataFrame:
+    """``out`` = MAX(value) OVER (PARTITION BY keys); rows are bucketed by
+    ``value`` itself, the pseudo-row of each (keys, bucket) carries the max of
+    the whole group (a window over the group's bucket summaries)."""
+    summary = bucket_summary(df, keys, value, width) if summary is None else _coarsen(summary, keys)
+    carry = (
+        summary.select(*keys, BUCKET, F.max(BUCKET_MAX).over(Window.partitionBy(*keys)).alias(value))
+        .where(F.col(value).isNotNull())
+        .withColumn(PSEUDO, F.lit(True))
+    )
+    rows = df.withColumn(BUCKET, bucket_of(value, width)).withColumn(PSEUDO, F.lit(False))
+    return (
+        rows.unionByName(carry, allowMissingColumns=True)
+        .withColumn(out, F.max(value).over(Window.partitionBy(*keys, BUCKET)))
+        .where(~F.col(PSEUDO))
+        .drop(BUCKET, PSEUDO)
+    )
+
+
+def max_by_join(df: DataFrame, keys: list[str], value: str, out: str,
+                summary: DataFrame | None = None) -> DataFrame:
     """``out`` = MAX(value) OVER (PARTITION BY keys), as a grouped aggregate
     (pre-combined map-side) joined back on the keys, NULL-safe. No ordering is
     needed, so nothing is bucketed: a hot group costs one partial row per map

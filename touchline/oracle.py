@@ -361,6 +361,8 @@ SELECT event_timestamp, user_pseudo_id, ga_session_id, previous_timestamp FROM f
         "exit_flag": f"""{_with(RAW, _flat(INIT_WHERE))}
 SELECT event_timestamp, user_pseudo_id, ga_session_number, exit_page FROM flat""",
         "exit_flag_window": f"""{_with(RAW, _flat(INIT_WHERE))}
+SELECT event_timestamp, user_pseudo_id, ga_session_number, exit_page FROM flat""",
+        "exit_flag_bucketed": f"""{_with(RAW, _flat(INIT_WHERE))}
 SELECT event_timestamp, user_pseudo_id, ga_session_number, exit_page FROM flat""",
         "events_sessionized": sessionized,
         "purchase_items": _items(INIT_WHERE),

@@ -297,6 +297,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "seconds_since_previous": _previous("bucketed"),
     "seconds_since_previous_window": _previous("window"),
     "exit_flag": _exit("aggregate"),
+    "exit_flag_bucketed": _exit("bucketed"),
     "exit_flag_window": _exit("window"),
     "events_sessionized": q_events_sessionized,
     "purchase_items": q_purchase_items,
