@@ -74,3 +74,20 @@ def test_language_lookup_is_join_free(spark):
     df = spark.createDataFrame([("en",)], "c string").select(language_name(F.col("c")))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_sql_functions_match_column_builders(spark):
+    from touchline.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    triples = list(itertools.product(SOURCES, MEDIUMS, CAMPAIGNS))
+    spark.createDataFrame(triples, "s string, m string, c string").createOrReplaceTempView("triples")
+    sql = [r.ch for r in spark.sql("SELECT channel_group(s, m, c) AS ch FROM triples").collect()]
+    assert sql == _classify(spark, triples)
+    codes = spark.createDataFrame([(c,) for c in ["en", "nb", "EN", None]], "c string")
+    codes.createOrReplaceTempView("codes")
+    got = [r.n for r in spark.sql("SELECT language_name(c) AS n FROM codes").collect()]
+    assert got == ["English", "Norwegian Bokmål", "EN", None]
+    plan = spark.sql("SELECT channel_group(s, m, c), language_name(s) FROM triples")._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "EvalPython" not in plan

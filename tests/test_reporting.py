@@ -83,3 +83,25 @@ def test_update_is_idempotent_and_differs_from_init_across_midnight(spark, shard
     assert full.count() == upd.count()
     lost = upd.where(F.col("session_source").isNull()).count()
     assert lost > full.where(F.col("session_source").isNull()).count()
+
+
+def test_views_and_sql_functions_over_written_tables(spark, shards):
+    from touchline.functions.sql import register_sql_functions
+
+    paths = init(spark, shards, scratch_path(spark, "test-views"), dt.date(2024, 2, 2))
+    assert paths.register_views(spark, prefix="t_") == ["t_src_event_traffic", "t_stg_session_traffic",
+                                                        "t_events", "t_items"]
+    register_sql_functions(spark)
+    rows = spark.sql("""
+        SELECT channel_group(session_source, session_medium, session_campaign) AS channel, count(*) AS n
+        FROM t_events GROUP BY 1""").collect()
+    assert sum(r.n for r in rows) == paths.read(spark, "events").count()
+    assert {"Unassigned", "Direct"} & {r.channel for r in rows}
+
+
+def test_cli_init(spark, shards):
+    from touchline.__main__ import main
+
+    root = scratch_path(spark, "test-cli")
+    assert main(["init", "--raw", shards, "--root", root, "--run-date", "2024-02-02"]) == 0
+    assert TablePaths(root).read(spark, "items").count() > 0

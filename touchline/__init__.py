@@ -18,6 +18,7 @@ from touchline.functions.params import (
 from touchline.functions.clickids import traffic_touch
 from touchline.functions.channels import channel_group
 from touchline.functions.languages import language_name
+from touchline.functions.sql import register_sql_functions
 from touchline.operators.traffic import (
     event_traffic,
     lookback_fill,
@@ -49,6 +50,7 @@ __all__ = [
     "param_value",
     "purchase_items",
     "register_param_functions",
+    "register_sql_functions",
     "seconds_since_previous",
     "session_rollup",
     "session_traffic",

@@ -62,6 +62,14 @@ class TablePaths:
         columns = {"src": SRC_COLUMNS, "stg": STG_COLUMNS, "events": EVENT_COLUMNS, "items": ITEM_COLUMNS}[table]
         return read_table(spark, getattr(self, table), columns)
 
+    def register_views(self, spark: SparkSession, prefix: str = "") -> list[str]:
+        """Expose the four tables to SQL as temp views src_event_traffic,
+        stg_session_traffic, events, items (optionally prefixed)."""
+        names = {"src": "src_event_traffic", "stg": "stg_session_traffic", "events": "events", "items": "items"}
+        for table, view in names.items():
+            self.read(spark, table).createOrReplaceTempView(prefix + view)
+        return [prefix + v for v in names.values()]
+
 
 def init(spark: SparkSession, raw_path: str, root: str, run_date=None, lookback_seconds: int = LOOKBACK_SECONDS,
          method: str = "bucketed") -> TablePaths:
