@@ -179,3 +179,22 @@ def test_rollup_date_is_first_day(spark):
     rows = [raw_row(1, gsid=7, day="20240115"), raw_row(2, gsid=7, day="20240116")]
     prep = session_rollup(event_traffic(raw_df(spark, rows))).first()
     assert str(prep.date) == "2024-01-15"
+
+
+def test_session_day_partials_merge_to_the_rollup(spark, sf_small):
+    from touchline.operators.traffic import merge_session_days, session_day_partials
+    from touchline.plans import catalog
+
+    src = event_traffic(catalog.init_raw(spark, sf_small))
+    direct = session_rollup(src)
+    merged = merge_session_days(session_day_partials(src))
+    assert direct.columns == merged.columns
+    assert direct.exceptAll(merged).count() == 0 and merged.exceptAll(direct).count() == 0
+    # a session spanning midnight, ties on the timestamp, NULL first touch
+    rows = [raw_row(5, gsid=7, day="20240115"), raw_row(9, gsid=7, day="20240116", params=[param("source", s="b")]),
+            raw_row(9, gsid=7, day="20240116", params=[param("source", s="a")]),
+            raw_row(3, gsid=7, day="20240116", params=[param("source", s="c")])]
+    src = event_traffic(raw_df(spark, rows))
+    a = session_rollup(src).collect()
+    b = merge_session_days(session_day_partials(src)).collect()
+    assert a == b and a[0][FIRST].source == "c" and a[0][LAST].source == "b" and str(a[0].date) == "2024-01-15"

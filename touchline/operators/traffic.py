@@ -95,6 +95,34 @@ def session_rollup(src: DataFrame) -> DataFrame:
     )
 
 
+def session_day_partials(src: DataFrame) -> DataFrame:
+    """Per (session, day) partial state of the roll-up: the day's earliest
+    (event_timestamp, touch) and latest non-NULL one. Both are min / max of a
+    struct, hence associative: merging the days of a window gives exactly
+    ``session_rollup`` of that window's src rows (same order and tie-break)."""
+    touched = with_touch(src)
+    order = F.struct(F.col("event_timestamp").alias("ts"), F.col("touch").alias("touch"))
+    return (
+        touched.where(F.col("session_id").isNotNull())
+        .groupBy(*SESSION_KEYS, "date")
+        .agg(F.min(order).alias("first_event"),
+             F.max(F.when(F.col("touch").isNotNull(), order)).alias("last_touch_event"))
+        .select("date", *SESSION_KEYS, "first_event", "last_touch_event")
+    )
+
+
+def merge_session_days(partials: DataFrame) -> DataFrame:
+    """Roll session-day partials up to sessions (same columns as
+    ``session_rollup``)."""
+    return (
+        partials.groupBy(*SESSION_KEYS)
+        .agg(F.min("date").alias("date"),
+             F.min("first_event").getField("touch").alias(FIRST),
+             F.max("last_touch_event").getField("touch").alias(LAST))
+        .select("date", *SESSION_KEYS, FIRST, LAST)
+    )
+
+
 def lookback_fill(prep: DataFrame, lookback_seconds: int = LOOKBACK_SECONDS, method: str = "bucketed",
                   bucket_seconds: int = 86400) -> DataFrame:
     """First touch, else the last non-NULL touch of the user's sessions
@@ -124,11 +152,14 @@ def _fill_with(prep: DataFrame, latest: DataFrame) -> DataFrame:
 
 
 def session_traffic(src: DataFrame, lookback_seconds: int = LOOKBACK_SECONDS, keep_date=None,
-                    method: str = "bucketed", bucket_seconds: int = 86400) -> DataFrame:
+                    method: str = "bucketed", bucket_seconds: int = 86400,
+                    prep: DataFrame | None = None) -> DataFrame:
     """stg_session_traffic from src_event_traffic. ``keep_date`` keeps only
     sessions dated that day (the daily update); it is applied after the
-    lookback, which must still see the earlier days."""
-    prep = session_rollup(src)
+    lookback, which must still see the earlier days. ``prep`` replaces the
+    roll-up of ``src`` (e.g. merged session-day partials); ``src`` is then
+    unused and may be None."""
+    prep = session_rollup(src) if prep is None else prep
     if method == "bucketed":
         # The session roll-up feeds the lookback summaries and the final join;
         # computing it once beats re-scanning src and re-shuffling per branch.
@@ -146,5 +177,5 @@ def session_traffic(src: DataFrame, lookback_seconds: int = LOOKBACK_SECONDS, ke
     return stg.select(*STG_COLUMNS)
 
 
-__all__ = ["EXCLUDED_EVENTS", "SRC_COLUMNS", "event_traffic", "lookback_fill", "session_key",
-           "session_rollup", "session_traffic", "with_touch"]
+__all__ = ["EXCLUDED_EVENTS", "SRC_COLUMNS", "event_traffic", "lookback_fill", "merge_session_days",
+           "session_day_partials", "session_key", "session_rollup", "session_traffic", "with_touch"]

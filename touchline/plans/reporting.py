@@ -9,7 +9,11 @@ partition in one plan.
 Update semantics kept from the source: the day's src rows are (re)written, stg
 is recomputed from the trailing window of src but only the day's sessions are
 kept, the day's events join only that day's stg rows, and the day's windows
-see that day only. Unlike an append, re-running a day replaces it.
+see that day only. Unlike an append, re-running a day replaces it. The
+window's roll-up is merged from a staging table of per-(session, day) partial
+aggregates (written by both entry points), which gives the same sessions as
+re-aggregating the window's src rows while reading one row per session and
+day instead of one per event.
 """
 
 from __future__ import annotations
@@ -32,12 +36,15 @@ from touchline.functions.dates import (
 )
 from touchline.operators.events import build_events
 from touchline.operators.items import purchase_items
-from touchline.operators.traffic import event_traffic, session_traffic
+from touchline.operators.traffic import event_traffic, merge_session_days, session_day_partials, session_traffic
 from touchline.schema import EVENT_COLUMNS, ITEM_COLUMNS, SRC_COLUMNS, STG_COLUMNS
 from touchline.sources.raw import scan_shard, scan_shard_range
 from touchline.sources.sinks import overwrite_partitions, read_table, replace_table
 
 
+SESSION_DAY_COLUMNS = ("date", "session_id", "user_pseudo_id", "session_start", "first_event", "last_touch_event")
+
+
 @dataclass(frozen=True)
 class TablePaths:
     root: str
@@ -58,8 +65,16 @@ class TablePaths:
     def items(self) -> str:
         return os.path.join(self.root, "items")
 
+    @property
+    def session_days(self) -> str:
+        """Staging: one partial roll-up row per (session, day), so the daily
+        update merges 31 days of session-day rows instead of re-aggregating 31
+        days of event rows."""
+        return os.path.join(self.root, "_session_days")
+
     def read(self, spark: SparkSession, table: str):
-        columns = {"src": SRC_COLUMNS, "stg": STG_COLUMNS, "events": EVENT_COLUMNS, "items": ITEM_COLUMNS}[table]
+        columns = {"src": SRC_COLUMNS, "stg": STG_COLUMNS, "events": EVENT_COLUMNS, "items": ITEM_COLUMNS,
+                   "session_days": SESSION_DAY_COLUMNS}[table]
         return read_table(spark, getattr(self, table), columns)
 
     def register_views(self, spark: SparkSession, prefix: str = "") -> list[str]:
@@ -80,6 +95,7 @@ def init(spark: SparkSession, raw_path: str, root: str, run_date=None, lookback_
     raw = scan_shard_range(spark, raw_path, start, end)
     replace_table(event_traffic(raw), paths.src, "date")
     src = paths.read(spark, "src")
+    replace_table(session_day_partials(src), paths.session_days, "date", rebalance=True)
     replace_table(session_traffic(src, lookback_seconds, method=method), paths.stg, "date", rebalance=True)
     stg = paths.read(spark, "stg")
     replace_table(build_events(raw, stg, method), paths.events, "event_date", rebalance=True)
@@ -98,9 +114,13 @@ def update_day(spark: SparkSession, raw_path: str, root: str, day: str, start: s
     start_date = parse_shard(start)
     raw_day = scan_shard(spark, raw_path, day)
     overwrite_partitions(event_traffic(raw_day), paths.src, "date")
-    src = paths.read(spark, "src").where(F.col("date").between(F.lit(start_date), F.lit(day_date)))
-    overwrite_partitions(session_traffic(src, lookback_seconds, keep_date=day_date, method=method), paths.stg,
-                         "date", rebalance=True)
+    src_day = paths.read(spark, "src").where(F.col("date") == F.lit(day_date))
+    overwrite_partitions(session_day_partials(src_day), paths.session_days, "date", rebalance=True)
+    # sessions of the window [start, day], from session-day partials
+    window = paths.read(spark, "session_days").where(F.col("date").between(F.lit(start_date), F.lit(day_date)))
+    stg_day = session_traffic(None, lookback_seconds, keep_date=day_date, method=method,
+                              prep=merge_session_days(window))
+    overwrite_partitions(stg_day, paths.stg, "date", rebalance=True)
     stg_day = paths.read(spark, "stg").where(F.col("date") == F.lit(day_date))
     overwrite_partitions(build_events(raw_day, stg_day, method), paths.events, "event_date", rebalance=True)
     overwrite_partitions(purchase_items(raw_day), paths.items, "date")
