@@ -19,8 +19,6 @@ def _plan(df):
 
 @pytest.mark.parametrize("name", sorted(entry_mod.queries()))
 def test_no_python_evaluation(spark, sf_small, name):
-    if name.startswith(("init_", "update_")):
-        pytest.skip("read-back of written tables; the writers are covered by test_reporting")
     plan = _plan(entry_mod.queries()[name](spark, sf_small))
     assert "EvalPython" not in plan and "PythonUDF" not in plan and "MapInPandas" not in plan
 

@@ -2,21 +2,24 @@
 
 ``PARTITION BY key ORDER BY ts`` sends a whole group to one task; a hot
 (user, session) group - e.g. every anonymous event - would stall the stage.
-Both helpers split each group by a time bucket of the row (``floor(ts /
-width)``) and carry what the other buckets contribute as a pseudo-row:
+``lag_in_groups`` and ``max_in_groups`` split each group by a time bucket of
+the row (``floor(ts / width)``) and carry what the other buckets contribute as
+a pseudo-row:
 
 * lag: the pseudo-row holds the max timestamp of the previous non-empty bucket
   of the group, so the first real row of a bucket lags onto it;
-* group max: the pseudo-row holds the max over all buckets of the group
-  (``max_by_join`` is the alternative: grouped max joined back, relying on
-  AQE's skew join for hot keys).
+* group max: the pseudo-row holds the max over all buckets of the group.
 
 The per-bucket summaries are plain aggregates (pre-combined map-side) over a
-narrow projection, and the window over a group's buckets holds one row per
-bucket. Each helper costs one shuffle of the event rows, as the direct window
-does, but the largest task is bounded by one bucket of one group. Callers
-that need several groupings of the same rows pass one finer ``summary`` (keys
-+ ``_bucket`` + ``_bucket_max``) so the rows are scanned for it only once.
+narrow projection. Each helper costs one shuffle of the event rows, as the
+direct window does; a task then holds at most one bucket of one group's rows,
+or - in the window over a group's summaries - one narrow row per bucket of the
+group (bounded by the time span / width, not by traffic). Callers that need
+several groupings of the same rows pass one finer ``summary`` (keys +
+``_bucket`` + ``_bucket_max``) so the rows are scanned for it only once.
+
+``max_by_join`` is the unbucketed alternative for the group max: a grouped
+max joined back NULL-safe, whose hot keys are left to AQE's skew-join split.
 """
 
 from __future__ import annotations

@@ -9,10 +9,16 @@ Stages and their shuffles:
    before it is shuffled.
 3. ``lookback_fill`` - first touch, else the latest non-NULL last touch of the
    same user within ``lookback`` seconds (RANGE frame, current row included).
-   ``method="bucketed"`` (default) never puts one user's sessions into a single
-   task - see ``operators.lookback``; ``method="window"`` is the direct RANGE
-   window (one task per user), kept as the readable specification.
+   ``method="bucketed"`` (default, ``operators.lookback``) works on distinct
+   (user, start) pairs: no task holds more than one (user, day) bucket of
+   distinct starts or one row per day of a user's summaries, however many
+   sessions the user has; ``method="window"`` is the direct RANGE window (one
+   task per user), kept as the readable specification.
 4. ``session_traffic`` - defaults ``(direct)`` / ``(none)`` / ``(not set)``.
+
+``session_day_partials`` / ``merge_session_days`` split step 2 into a per
+(session, day) partial and its merge, so a daily update can keep the partials
+and merge a window of days instead of re-aggregating its events.
 """
 
 from __future__ import annotations
