@@ -96,7 +96,10 @@ def init(spark: SparkSession, raw_path: str, root: str, run_date=None, lookback_
     replace_table(event_traffic(raw), paths.src, "date")
     src = paths.read(spark, "src")
     replace_table(session_day_partials(src), paths.session_days, "date", rebalance=True)
-    replace_table(session_traffic(src, lookback_seconds, method=method), paths.stg, "date", rebalance=True)
+    # sessions from the session-day partials (one pass over src, shared with the update path)
+    prep = merge_session_days(paths.read(spark, "session_days"))
+    replace_table(session_traffic(None, lookback_seconds, method=method, prep=prep), paths.stg, "date",
+                  rebalance=True)
     stg = paths.read(spark, "stg")
     replace_table(build_events(raw, stg, method), paths.events, "event_date", rebalance=True)
     replace_table(purchase_items(raw), paths.items, "date")
