@@ -337,6 +337,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "param_extract": PARAM_EXTRACT,
         "param_extract_sqlfn": PARAM_EXTRACT,
+        "param_extract_strict": PARAM_EXTRACT,
         "event_traffic": f"{_with(RAW, _src(INIT_WHERE))}{SRC_SELECT}",
         "click_id_touch": f"""{_with(RAW, _src(INIT_WHERE), TOUCH)}
 SELECT event_timestamp, session_id, has_touch, t_source AS touch_source, t_medium AS touch_medium,
@@ -347,6 +348,9 @@ SELECT {stg_keys}, {_struct_cols('first', 'has_first', 'source medium campaign g
         "session_last_touch": f"""{_with(RAW, _src(INIT_WHERE), TOUCH, PREP)}
 SELECT {stg_keys}, {_struct_cols('last', 'has_last', 'source medium campaign gclid')} FROM prep""",
         "session_rollup": f"""{_with(RAW, _src(INIT_WHERE), TOUCH, PREP)}
+SELECT date, {stg_keys}, {_struct_cols('first', 'has_first', 'source medium campaign gclid')},
+       {_struct_cols('last', 'has_last', 'source medium campaign gclid')} FROM prep""",
+        "session_rollup_from_day_partials": f"""{_with(RAW, _src(INIT_WHERE), TOUCH, PREP)}
 SELECT date, {stg_keys}, {_struct_cols('first', 'has_first', 'source medium campaign gclid')},
        {_struct_cols('last', 'has_last', 'source medium campaign gclid')} FROM prep""",
         "session_traffic_30d": _stg_query(2592000),

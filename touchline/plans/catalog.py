@@ -33,6 +33,8 @@ from touchline.operators.traffic import (
     FIRST,
     LAST,
     event_traffic,
+    merge_session_days,
+    session_day_partials,
     session_rollup,
     session_traffic,
     with_touch,
@@ -125,6 +127,23 @@ def q_param_extract(spark, sf_dir):
     )
 
 
+def q_param_extract_strict(spark, sf_dir):
+    """Same lookups with the duplicate-key check on (raises on a repeated key)."""
+    return init_raw(spark, sf_dir).select(
+        "event_timestamp",
+        int_param("ga_session_id", strict=True).alias("ga_session_id"),
+        int_param("ga_session_number", strict=True).alias("ga_session_number"),
+        string_param("page_location", strict=True).alias("page_location"),
+        string_param("page_title", strict=True).alias("page_title"),
+        string_param("campaign", strict=True).alias("campaign"),
+        int_param("entrances", strict=True).alias("entrances"),
+        string_param("session_engaged", strict=True).alias("engaged_string"),
+        int_param("session_engaged", strict=True).alias("engaged_int"),
+        float_param("score", strict=True).alias("score"),
+        int_param("engagement_time_msec", strict=True).alias("engagement_time_msec"),
+    )
+
+
 def q_param_extract_sqlfn(spark, sf_dir):
     register_param_functions(spark)
     view = f"raw_events_{abs(hash(sf_dir)) % 10**8}"
@@ -173,6 +192,14 @@ def q_session_rollup(spark, sf_dir):
                                          *_struct_fields(FIRST, "first"), *_struct_fields(LAST, "last"))
 
 
+def q_session_rollup_from_day_partials(spark, sf_dir):
+    """The roll-up as the update path builds it: per (session, day) partials,
+    merged."""
+    partials = session_day_partials(event_traffic(init_raw(spark, sf_dir)))
+    return merge_session_days(partials).select("date", "session_id", "user_pseudo_id", "session_start",
+                                               *_struct_fields(FIRST, "first"), *_struct_fields(LAST, "last"))
+
+
 def _stg(lookback: int, method: str):
     def run(spark, sf_dir):
         return session_traffic(event_traffic(init_raw(spark, sf_dir)), lookback, method=method)
@@ -284,11 +311,13 @@ def q_update_items_day(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "param_extract": q_param_extract,
     "param_extract_sqlfn": q_param_extract_sqlfn,
+    "param_extract_strict": q_param_extract_strict,
     "event_traffic": q_event_traffic,
     "click_id_touch": q_click_id_touch,
     "session_first_touch": q_session_first_touch,
     "session_last_touch": q_session_last_touch,
     "session_rollup": q_session_rollup,
+    "session_rollup_from_day_partials": q_session_rollup_from_day_partials,
     "session_traffic_30d": _stg(2592000, "bucketed"),
     "session_traffic_30d_window": _stg(2592000, "window"),
     "session_traffic_2d": _stg(SHORT_LOOKBACK, "bucketed"),
