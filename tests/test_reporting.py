@@ -99,9 +99,12 @@ def test_views_and_sql_functions_over_written_tables(spark, shards):
     assert {"Unassigned", "Direct"} & {r.channel for r in rows}
 
 
-def test_cli_init(spark, shards):
+def test_cli_init_and_update_day(spark, shards):
     from touchline.__main__ import main
 
     root = scratch_path(spark, "test-cli")
-    assert main(["init", "--raw", shards, "--root", root, "--run-date", "2024-02-02"]) == 0
-    assert TablePaths(root).read(spark, "items").count() > 0
+    assert main(["init", "--raw", shards, "--root", root, "--run-date", "2024-01-16"]) == 0
+    assert main(["update-day", "--raw", shards, "--root", root, "--day", "20240114"]) == 0
+    ev = TablePaths(root).read(spark, "events")
+    assert ev.where(F.col("event_date") == dt.date(2024, 1, 14)).count() > 0
+    assert ev.where(F.col("event_date") == dt.date(2024, 1, 15)).count() == 0
