@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from touchline.operators.events import exit_flag, flatten_events, seconds_since_previous
 from touchline.operators.items import purchase_items

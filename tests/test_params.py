@@ -1,5 +1,4 @@
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from touchline.functions.params import (
