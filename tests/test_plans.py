@@ -50,3 +50,26 @@ def test_bucketed_windows_keep_one_event_shuffle_each(spark, sf_small):
     assert _exchanges(window) == 2
     plan = _plan(bucketed)
     assert "_bucket" in plan
+
+
+def _final_plan(df):
+    df.collect()
+    return _plan(df).split("== Initial Plan ==")[0]
+
+
+def test_events_build_scans_raw_twice_and_reuses_the_summary(spark, sf_small):
+    from touchline.plans import catalog
+
+    raw = catalog.init_raw(spark, sf_small)
+    final = _final_plan(event_columns(raw, "bucketed"))
+    assert final.count("FileScan parquet") == 2  # wide rows + one narrow summary scan
+    assert "ReusedExchange" in final  # the summary's exchange serves LAG and the exit flag
+
+
+def test_rebalance_before_partitioned_write_of_shuffled_output(spark, sf_small):
+    from touchline.plans import catalog
+    from touchline.sources.sinks import _prepare
+
+    ev = catalog.QUERIES["events_sessionized"](spark, sf_small)
+    plan = _prepare(ev, "event_date", True)._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
