@@ -111,3 +111,11 @@ def test_lookups_match_first_match_semantics(spark, arrays):
         want = (a[1] if a else None, b[2] if b else None,
                 (c[3] if c[3] is not None else c[4]) if c else None)
         assert got[i] == want, (arr, got[i], want)
+
+
+def test_strict_lookup_is_lambda_free_and_flags_only_repeats(spark, params_df):
+    ok = params_df.where(F.col("id") != 4).select("id", string_param("a", strict=True).alias("v"),
+                                                   int_param("n", strict=True).alias("n"))
+    assert {r.id: r.v for r in ok.collect()}[10] == "after-null-key"
+    plan = ok._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan.lower()

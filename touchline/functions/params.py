@@ -30,12 +30,15 @@ def param_value(key: str, field: str, params="event_params", strict: bool = Fals
     if field not in VALUE_FIELDS:
         raise ValueError(f"unknown param value field {field!r}")
     arr = _as_col(params)
-    index = (param_position(key, arr) - 1).cast("int")
-    value = F.get(arr.getField("value").getField(field), index)
+    position = param_position(key, arr)
+    value = F.get(arr.getField("value").getField(field), (position - 1).cast("int"))
     if strict:
-        matches = F.size(F.filter(arr, lambda p: p.getField("key") == F.lit(key)))
+        # a second match exists iff the key occurs again after its first position
+        keys = arr.getField("key")
+        rest = F.slice(keys, (position + 1).cast("int"), F.greatest(F.size(keys), F.lit(1)))
+        repeated = F.array_position(rest, F.lit(key)) > 0
         value = F.when(
-            matches > 1, F.raise_error(F.lit(f"event param {key!r} occurs more than once"))
+            repeated, F.raise_error(F.lit(f"event param {key!r} occurs more than once"))
         ).otherwise(value)
     return value
 
