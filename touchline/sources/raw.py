@@ -34,10 +34,11 @@ def scan_shard(spark: SparkSession, path: str, day: str) -> DataFrame:
 def write_shards(raw: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> str:
     """Store a raw-shaped DataFrame as day shards (replaces ``path``).
 
-    Rows are clustered by day first so each task writes whole days (a few
-    large files per shard instead of one small file per task and day); files
-    are capped at ``max_records_per_file`` rows."""
-    (raw.repartition(PARTITION_COLUMN)
+    A REBALANCE hint on the day clusters rows by day and lets AQE split a large
+    day over several advisory-sized tasks, so each task writes a few files of
+    one day (not one small file per task and day, nor a whole day in one
+    task); files are capped at ``max_records_per_file`` rows."""
+    (raw.hint("rebalance", PARTITION_COLUMN)
      .write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(PARTITION_COLUMN).parquet(path))
     return path
