@@ -21,8 +21,10 @@ RECOMMENDED_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # remove checkpoint files of materialised intermediates once unreferenced
+    # remove checkpoint files of materialised intermediates once unreferenced,
+    # and compress them (Spark writes reliable checkpoints uncompressed by default)
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
 }
 
 
