@@ -65,7 +65,7 @@ def test_update_is_idempotent_and_differs_from_init_across_midnight(spark, shard
 
     def snapshot():
         return {t: _rows(paths.read(spark, t).where(F.col("event_date" if t == "events" else "date") == day))
-                for t in ("src", "stg", "events", "items")}
+                for t in ("src", "stg", "events", "items", "session_days")}
 
     once = snapshot()
     update(spark, shards, root, dt.date(2024, 1, 17))
