@@ -91,3 +91,22 @@ def test_sql_functions_match_column_builders(spark):
     plan = spark.sql("SELECT channel_group(s, m, c), language_name(s) FROM triples")._jdf.queryExecution() \
         .executedPlan().toString()
     assert "EvalPython" not in plan
+
+
+from hypothesis import HealthCheck, given, settings, strategies as st
+
+_TOKENS = ["google", "bing", "fb", "amazon", "shop", "e", "W", "-", "cp", "c", "paid", "ppc", "video", "push",
+           "mobile", "email", "e mail", "organic", "social", "(direct)", "(none)", "(not set)", "cross-network",
+           "\n", "\r", " ", "x", "sms", "display", "$"]
+_text = st.one_of(st.none(), st.lists(st.sampled_from(_TOKENS), max_size=4).map("".join))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(_text, _text, _text), min_size=1, max_size=60))
+def test_channel_rules_agree_with_re2_on_random_inputs(spark, triples):
+    got = _classify(spark, triples)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(s VARCHAR, m VARCHAR, c VARCHAR, i INTEGER)")
+    con.executemany("INSERT INTO t VALUES (?, ?, ?, ?)", [(*t, i) for i, t in enumerate(triples)])
+    want = [r[0] for r in con.execute(f"SELECT {CHANNEL_CASE} FROM t ORDER BY i").fetchall()]
+    assert got == want, [(t, g, w) for t, g, w in zip(triples, got, want) if g != w][:3]
