@@ -197,3 +197,35 @@ def test_session_day_partials_merge_to_the_rollup(spark, sf_small):
     a = session_rollup(src).collect()
     b = merge_session_days(session_day_partials(src)).collect()
     assert a == b and a[0][FIRST].source == "c" and a[0][LAST].source == "b" and str(a[0].date) == "2024-01-15"
+
+
+from hypothesis import HealthCheck, given, settings, strategies as st
+
+_URL_TOKENS = ["http", "https", "HTTP", "://x/p", "?", "&", "gclid=", "wbgclid=", "fbclid=", "ttclid=", "msclkid=",
+               "1", "x"]
+_url = st.one_of(st.none(), st.lists(st.sampled_from(_URL_TOKENS), max_size=6).map("".join))
+_param = st.one_of(st.none(), st.sampled_from(["s", "google", "cpc", ""]))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(_param, _param, _param, _param, _url), min_size=1, max_size=60))
+def test_click_id_touch_agrees_with_sql_form_on_random_inputs(spark, rows):
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from touchline.functions.clickids import traffic_touch
+    from touchline.oracle import TOUCH
+
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                               "i int, source string, medium string, campaign string, gclid string, page_location string")
+    t = traffic_touch(*(F.col(c) for c in ("source", "medium", "campaign", "gclid", "page_location")))
+    got = [(r.h, r.s, r.m, r.c, r.g) for r in df.select(
+        "i", t.isNotNull().alias("h"), t.source.alias("s"), t.medium.alias("m"), t.campaign.alias("c"),
+        t.gclid.alias("g")).orderBy("i").collect()]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE src(i INTEGER, source VARCHAR, medium VARCHAR, campaign VARCHAR, gclid VARCHAR, "
+                "page_location VARCHAR)")
+    con.executemany("INSERT INTO src VALUES (?, ?, ?, ?, ?, ?)", [(i, *r) for i, r in enumerate(rows)])
+    want = con.execute(f"WITH {TOUCH.strip()} SELECT has_touch, t_source, t_medium, t_campaign, t_gclid "
+                       "FROM touch ORDER BY i").fetchall()
+    assert got == [tuple(w) for w in want]
