@@ -45,7 +45,7 @@ ACCURACY = 0.01
 FENCE = 3.0
 MIN_ROWS = 100
 #: ratio: least spread (documented parameter of ``thresholds``)
-SPREADS = {"symbol_ratio": 0.08, "dup_line_ratio": 0.1, "repeat_ratio": 0.1, "word_length": 1.0}
+SPREADS = {"symbol_ratio": 0.08, "dup_line_ratio": 0.2, "repeat_ratio": 0.15, "word_length": 0.5}
 MEASURES = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
 #: Texts with more words are counted with arrays instead of Python objects.
 LONG_TEXT = 200_000

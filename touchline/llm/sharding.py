@@ -4,7 +4,7 @@ equal bytes.
 Method: all documents form one node. A node is split along its widest metadata
 dimension (log2 of the size, place of the language, place of the source, place
 of the id; each scaled to its spread over all documents) at the weighted median:
-the value at which the bytes of its lower side reach their share. Splitting
+the value at which the bytes of its lower side come nearest their share. Splitting
 stops when a node has reached the target, one shard's bytes.
 
 The median is exact and distributed: a row's position along the dimension is
@@ -92,10 +92,12 @@ def _split(rows: DataFrame, n_shards: int, dims: int) -> DataFrame:
             "_upto", F.sum("_in").over(over))
         # the bin in which the target is reached; what lies below it is settled
         hit = (ranked.where(F.col("_upto") >= F.col("_target")).groupBy("lo")
-               .agg(F.min_by(F.struct("_bin", "_in", "_upto", "_target"), "_bin").alias("h")))
+               .agg(F.min(F.struct("_bin", "_in", "_upto", "_target")).alias("h")))
         found = stored(hit.select("lo", (F.col("h._target") - F.col("h._upto") + F.col("h._in")).alias("_target"),
-                                  F.col("h._bin").alias("_prefix")), "median")
-    split = F.broadcast(found.select("lo", F.col("_prefix").alias("_median")))
+                                  F.col("h._in").alias("_in"), F.col("h._bin").alias("_prefix")), "median")
+    # the last bin goes to the side that it leaves nearer to its share; _target is what is still wanted of it
+    upper = F.col("_target") * 2 < F.col("_in")
+    split = F.broadcast(found.select("lo", (F.col("_prefix") - F.when(upper, 1).otherwise(0)).alias("_median")))
     right = F.coalesce(F.col("_key") > F.col("_median"), F.lit(False))
     half = F.floor(F.col("k") / 2).cast("int")
     moved = keyed.join(split, "lo", "left").withColumn("_right", right)
