@@ -1,10 +1,11 @@
 """Vectorised encoding with a tokenizer file of the ``tokenizers`` library.
 
 The pre-tokenizers of the supported files never join text across the start of a
-run of white space, so ``ids(text)`` is the concatenation of the ids of the
-chunks that begin at such runs. Each slice of texts is cut there, its distinct
-chunks are encoded once, and the ids are gathered back with numpy. The result
-equals ``encode(text, add_special_tokens=False)`` (tested against it).
+run of white space, nor a letter with a full stop or comma after it, so
+``ids(text)`` is the concatenation of the ids of the chunks that begin there.
+Each slice of texts is cut, its distinct chunks are encoded once (or taken from a
+bounded memo of the worker process), and the ids are gathered back with numpy.
+The result equals ``encode(text, add_special_tokens=False)`` (tested against it).
 
 Strings of special tokens inside a text are ordinary text."""
 
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +23,23 @@ import pyarrow.compute as pc
 SPACE = r"\t-\r \x{85}\pZ"
 #: Unlikely characters of which one that a slice lacks marks the cuts.
 MARKS = "\x1f\x1e\x1d\x1c\x01\x02\x03"
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 8 << 20
 JOINED = 2000
+#: Chunks whose ids a worker process remembers.
+MEMO = 500_000
+
+
+def _pieces(chunks: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct pieces of distinct chunks: a full stop or comma after a last
+    letter is a piece of its own. Per chunk the first and second piece (or -1)."""
+    ended = pc.match_substring_regex(chunks, r"\pL[.,]$")
+    tail = chunks.filter(ended)
+    parts = pa.concat_arrays([pc.if_else(ended, pc.utf8_slice_codeunits(chunks, 0, -1), chunks),
+                              pc.utf8_slice_codeunits(tail, -1)]).dictionary_encode()
+    at = parts.indices.to_numpy()
+    second = np.full(len(chunks), -1)
+    second[ended.to_numpy(zero_copy_only=False)] = at[len(chunks):]
+    return parts.dictionary, at[:len(chunks)], second
 
 
 class Encoder:
@@ -41,6 +58,9 @@ class Encoder:
                 break
         barred = SPACE + "".join(c for c in self.separator if not c.isspace())
         self.joinable = f"^ ?[^{barred}]+$"
+        self.known: dict[str, int] = {}
+        self.pool = np.zeros(0, np.uint32)
+        self.begins = self.lengths = np.zeros(0, np.int64)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -54,15 +74,40 @@ class Encoder:
             return np.concatenate([np.zeros(0, np.uint32), *lists]), np.cumsum([0, *map(len, lists)])
         cut = pc.split_pattern(pc.replace_substring_regex(texts, f"([{SPACE}]+)", mark + r"\1"), mark)
         words = cut.flatten().dictionary_encode()
-        ids, begins, lengths = self._chunks(words.dictionary)
+        pieces, first, second = _pieces(words.dictionary)
+        ids, begins, lengths = self._recall(pieces)
         at = words.indices.to_numpy()
-        length = lengths[at]
+        n_pieces = 1 + (second[at] >= 0)
+        upto = np.cumsum(n_pieces)
+        piece = np.repeat(first[at], n_pieces)
+        two = np.flatnonzero(n_pieces == 2)
+        piece[upto[two] - 1] = second[at[two]]
+        length = lengths[piece]
         ends = np.cumsum(length)
         total = int(ends[-1]) if len(ends) else 0
         position = np.arange(total, dtype=np.int32)
-        position += np.repeat((begins[at] - (ends - length)).astype(np.int32), length)
-        bounds = cut.offsets.to_numpy()
-        return ids[position], np.concatenate(([0], ends))[bounds - bounds[0]]
+        position += np.repeat((begins[piece] - (ends - length)).astype(np.int32), length)
+        bounds = np.concatenate(([0], upto))[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+        return ids[position], np.concatenate(([0], ends))[bounds]
+
+    def _recall(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``_chunks``, by way of the memo. A full memo stays as it is: what
+        came first is mostly what is frequent."""
+        texts = chunks.to_pylist()
+        at = np.fromiter(map(self.known.get, texts, repeat(-1)), np.int64, len(texts))
+        new = np.flatnonzero(at < 0)
+        ids, begins, lengths = self._chunks(chunks.take(pa.array(new)))
+        pool = np.concatenate([self.pool, ids])
+        own_begins, own_lengths = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        own_begins[new], own_lengths[new] = begins + len(self.pool), lengths
+        old = np.flatnonzero(at >= 0)
+        own_begins[old], own_lengths[old] = self.begins[at[old]], self.lengths[at[old]]
+        if len(self.known) + len(new) <= MEMO:
+            self.known.update(zip(map(texts.__getitem__, new.tolist()), count(len(self.begins))))
+            self.begins = np.concatenate([self.begins, own_begins[new]])
+            self.lengths = np.concatenate([self.lengths, lengths])
+            self.pool = pool
+        return pool, own_begins, own_lengths
 
     def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of distinct chunks; where each begins, and how many it has."""
