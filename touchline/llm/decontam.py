@@ -8,8 +8,9 @@ words, so each run of up to PART_WORDS words lies whole in one) is a query, and
 all parts scoring at least ``threshold`` are retrieved:
 
 * per block of consecutive parts an upper bound is summed over the passage's
-  words from the blocks' largest impacts (all passages of a slice at once);
-  passages that reach the threshold in no block are dropped;
+  words from the blocks' largest impacts, first for all passages of a slice at
+  once from the words of its stretches, then from the passage's own distinct
+  words; passages that reach the threshold in no block are dropped;
 * the rest run document-at-a-time block-max WAND: cursors in order of their
   current part, the pivot by global maxima, a second test by block maxima that
   skips whole blocks, exact scores only then.
@@ -46,12 +47,12 @@ K1, B = 1.2, 0.75
 PART_WORDS = 64
 STRIDE = 32
 WINDOW = PART_WORDS + STRIDE
-THRESHOLD = 0.5
+THRESHOLD = 0.6
 OVERLAP = 0.5
 SHINGLE = 5
-BLOCK = 8
+BLOCK = 4
 GROUP_ITEMS = 20_000
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 #: Cells (stretches of STRIDE words x blocks) of the bound table held at once.
 CELLS = 4 << 20
 
@@ -117,9 +118,20 @@ class ItemIndex:
                 rows.append(tuple(self.block_most[t].items()))
         padded = np.concatenate([share, np.zeros(self.blocks * BLOCK - n_parts)])
         self.constant = padded.reshape(self.blocks, BLOCK).max(axis=1)
-        self.ptr = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int64)
-        self.at_block = np.array([b for r in rows for b, _ in r], np.int64)
-        self.at_most = np.array([v for r in rows for _, v in r])
+        self.rare = self._lists(rows)
+        self.every = self._lists([tuple(self.block_most[t].items()) for t in range(len(self.terms))])
+        self.vocabulary = pa.array(list(self.terms), pa.string())
+
+    @staticmethod
+    def _lists(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Block lists of all terms, end to end: where each begins, blocks, maxima."""
+        begins = np.concatenate(([0], np.cumsum([len(r) for r in rows]))).astype(np.int64)
+        return begins, np.array([b for r in rows for b, _ in r], np.int64), np.array([v for r in rows for _, v in r])
+
+    @staticmethod
+    def _entries(begins: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        count = begins[terms + 1] - begins[terms]
+        return np.repeat(begins[terms] - (np.cumsum(count) - count), count) + np.arange(int(count.sum())), count
 
     def passages(self, term: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
         """(text, first word) of the windows whose bound reaches the threshold
@@ -133,14 +145,15 @@ class ItemIndex:
         total = int((stretches + 2).sum())
         step = max(3, CELLS // self.blocks)
         known = np.flatnonzero(term >= 0)
-        term, stretch = term[known], stretch[known]
+        # each word once per stretch
+        pair = np.unique(stretch[known] * max(1, len(self.terms)) + term[known])
+        stretch, term = np.divmod(pair, max(1, len(self.terms)))
         for low in range(0, total, step):
             a, b = np.searchsorted(stretch, (low, low + step + 2))
-            t = term[a:b]
-            count = self.ptr[t + 1] - self.ptr[t]
-            entry = np.repeat(self.ptr[t] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-            cell = np.repeat(stretch[a:b] - low, count) * self.blocks + self.at_block[entry]
-            bound = np.bincount(cell, self.at_most[entry], (step + 2) * self.blocks).reshape(-1, self.blocks)
+            begins, at_block, at_most = self.rare
+            entry, count = self._entries(begins, term[a:b])
+            cell = np.repeat(stretch[a:b] - low, count) * self.blocks + at_block[entry]
+            bound = np.bincount(cell, at_most[entry], (step + 2) * self.blocks).reshape(-1, self.blocks)
             window = bound[:-2] + bound[1:-1] + bound[2:]
             for s in np.flatnonzero((window + self.constant >= self.threshold).any(axis=1)):
                 owner = int(np.searchsorted(base, low + s, "right")) - 1
@@ -148,10 +161,15 @@ class ItemIndex:
                 if first < stretches[owner]:
                     yield owner, first * STRIDE
 
-    def search(self, query: set[int]) -> list[tuple[int, float]]:
+    def search(self, words: np.ndarray) -> list[tuple[int, float]]:
         """All (part, score) of at least the threshold: block-max WAND."""
         found, theta = [], self.threshold - 1e-9
-        cursors = [[self.postings[t][0][0], 0, t] for t in query]  # (part, place in its list, term)
+        query = np.unique(words[words >= 0])
+        begins, at_block, at_most = self.every
+        entry, _ = self._entries(begins, query)
+        if not len(entry) or np.bincount(at_block[entry], at_most[entry]).max() < theta:
+            return found
+        cursors = [[self.postings[t][0][0], 0, t] for t in query.tolist()]  # (part, place in its list, term)
         while cursors:
             cursors.sort()
             bound, pivot = 0.0, None
@@ -194,14 +212,14 @@ class ItemIndex:
         the best passage), once per text and item."""
         lists = words_of(texts)
         coded = lists.flatten().dictionary_encode()
-        number = np.array([self.terms.get(w, -1) for w in coded.dictionary.to_pylist()], np.int64)
+        number = pc.fill_null(pc.index_in(coded.dictionary, self.vocabulary), -1).to_numpy().astype(np.int64)
         term = number[coded.indices.to_numpy()] if len(coded) else np.zeros(0, np.int64)
         ends = lists.offsets.to_numpy().astype(np.int64)
         ends = ends - ends[0]
         best: dict[tuple[int, int], tuple] = {}
         for text, first in self.passages(term, ends):
             own = term[ends[text]:ends[text + 1]]
-            for part, score in self.search({int(t) for t in own[first:first + WINDOW] if t >= 0}):
+            for part, score in self.search(own[first:first + WINDOW]):
                 item = self.part_item[part]
                 if score <= best.get((text, item), (0.0,))[0]:
                     continue
