@@ -83,6 +83,14 @@ def slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
         yield begin, len(texts)
 
 
+def by_file(index: DataFrame, most_tasks: int = 20_000) -> DataFrame:
+    """Deal index rows (file, byte_offset, ...) to tasks by file, each file's in
+    order. One task per file, as index rows are far smaller than what they point
+    to: their own size must not decide how many tasks read the files."""
+    n = min(most_tasks, max(1, index.select("file").distinct().count()))
+    return index.repartition(n, "file").sortWithinPartitions("file", "byte_offset")
+
+
 def filesystem(uri: str) -> tuple[pa.fs.FileSystem, str]:
     """The store behind a path of the shared folder (file:, hdfs:, s3: ...)."""
     if "://" in uri or uri.startswith("file:"):

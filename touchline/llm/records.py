@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import col, filesystem, prefix_sums, slices, stored
+from touchline.llm.common import by_file, col, filesystem, prefix_sums, slices, stored
 from touchline.llm.tokens import SLICE_BYTES, encoder
 from touchline.session import scratch_path
 
@@ -164,8 +164,7 @@ def read_records(index: DataFrame) -> DataFrame:
         if stream is not None:
             stream.close()
 
-    rows = (index.select("file", "byte_offset", "byte_length", "start").repartition("file")
-            .sortWithinPartitions("file", "byte_offset"))
+    rows = by_file(index.select("file", "byte_offset", "byte_length", "start"))
     return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 

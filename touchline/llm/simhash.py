@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import col, fresh_name, stored
+from touchline.llm.common import col, fresh_name, maybe_broadcast, stored
 
 BITS = 64
 SHINGLE = 3
@@ -304,7 +304,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     order = F.struct(col(held, id_col).isNull().alias("n"), col(held, id_col).alias("i"), F.col(row).alias("r"))
     least = held.groupBy(F.col(mark).alias("fingerprint")).agg(F.min(order).alias("least"))
     linked = groups(held.select(F.col(mark).alias("fingerprint")), max_bits)
-    named = least.join(linked, "fingerprint", "left")
-    first = (named.groupBy(F.coalesce("root", "fingerprint")).agg(F.min("least").alias("least"))
-             .select(F.col("least.r").alias(row)))
-    return held.join(first, row, "left_semi").select(*(col(held, c) for c in docs.columns))
+    named = least.join(linked, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    first = named.groupBy("root").agg(F.min("least").alias("first"))
+    stays = named.join(first, "root").select(F.col("fingerprint").alias(mark), F.col("first.r").alias("_stays"))
+    # rows that go, from narrow columns; the texts are shuffled only if these rows are too many to broadcast
+    gone = stored(held.select(mark, row).join(stays, mark).where(F.col(row) != F.col("_stays")).select(row), "gone")
+    return held.join(maybe_broadcast(gone, 32), row, "left_anti").select(*(col(held, c) for c in docs.columns))

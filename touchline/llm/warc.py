@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import col, filesystem, maybe_broadcast, stored
+from touchline.llm.common import by_file, col, filesystem, maybe_broadcast, stored
 from touchline.session import scratch_path
 
 FILE_BYTES = 256 << 20
@@ -268,8 +268,7 @@ def read_archives(index: DataFrame) -> DataFrame:
         if stream is not None:
             stream.close()
 
-    rows = (index.select("file", "byte_offset", "byte_length").repartition("file")
-            .sortWithinPartitions("file", "byte_offset"))
+    rows = by_file(index.select("file", "byte_offset", "byte_length"))
     return rows.mapInArrow(run, READ)
 
 
