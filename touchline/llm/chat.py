@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.llm.common import col, slices, stored
-from touchline.llm.tokens import SLICE_BYTES, encoder
+from touchline.llm.tokens import encoder
 
 START, SEP, END = range(3)  # offsets of the reserved ids from the vocabulary's size
 LOSS_ROLE = "assistant"
@@ -75,7 +75,7 @@ def format_chat(turns: DataFrame, tokenizer_path: str, conv_col: str = "conv_id"
         start, sep, end = (np.array([enc.vocabulary + k], "<u4") for k in (START, SEP, END))
         conv, at, position = object(), 0, 0
         for batch in batches:
-            for a, b in slices(batch.column("text"), SLICE_BYTES):
+            for a, b in slices(batch.column("text")):
                 cut = batch.slice(a, b - a)
                 ids, ends = enc.encode(cut.column("text"))
                 role_ids, role_ends = enc.encode(cut.column("role"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,6 +17,8 @@ from touchline.session import scratch_path
 BROADCAST_BYTES = 32 << 20
 #: Keys of one prefix-sum block (see ``prefix_sums``).
 PREFIX_BLOCK = 1024
+#: Texts are handled in slices of this size, so a task's memory does not follow its batches.
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,7 +74,17 @@ def prefix_sums(sums: DataFrame, key: str, value: str, out: str) -> DataFrame:
             .withColumn(out, F.col("_base") + F.col("_inside")).drop("_block", "_inside", "_base"))
 
 
-def slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+def release() -> None:
+    """Hand freed memory back to the machine: workers live on and share an
+    executor's memory with the JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``most`` bytes of text each (one row at least)."""
     begin, held = 0, 0
     sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
@@ -81,6 +95,7 @@ def slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
         held += int(size)
     if len(texts) > begin:
         yield begin, len(texts)
+    release()
 
 
 def by_file(index: DataFrame, most_tasks: int = 20_000) -> DataFrame:

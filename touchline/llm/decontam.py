@@ -52,9 +52,8 @@ OVERLAP = 0.5
 SHINGLE = 5
 BLOCK = 4
 GROUP_ITEMS = 20_000
-SLICE_BYTES = 8 << 20
 #: Cells (stretches of STRIDE words x blocks) of the bound table held at once.
-CELLS = 4 << 20
+CELLS = 1 << 20
 
 
 def words_of(texts: pa.Array) -> pa.ListArray:
@@ -272,7 +271,7 @@ def find_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = ItemIndex(*shared.value)
             for batch in batches:
-                for a, b in slices(batch.column(1), SLICE_BYTES):
+                for a, b in slices(batch.column(1)):
                     docs_, rows = batch.column(0).slice(a, b - a).to_pylist(), []
                     for text, item, *hit in index.matches(batch.column(1).slice(a, b - a)):
                         rows.append((docs_[text], index.ids[item], *hit))
@@ -297,7 +296,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
             index = ItemIndex(*shared.value)
             for batch in batches:
                 clean = np.ones(batch.num_rows, bool)
-                for a, b in slices(batch.column(text), SLICE_BYTES):
+                for a, b in slices(batch.column(text)):
                     for hit in index.matches(batch.column(text).slice(a, b - a)):
                         clean[a + hit[0]] = False
                 yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(

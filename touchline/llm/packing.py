@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from touchline.llm.common import col, slices, stored
-from touchline.llm.tokens import SLICE_BYTES, encoder
+from touchline.llm.tokens import encoder
 
 WINDOW = 4096
 OPEN_WINDOWS = 64
@@ -110,7 +110,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         enc = encoder(tokenizer_path)
         open_ = Windows(window, open_windows, _window_id(TaskContext.get().partitionId(), 0))
         for batch in batches:
-            for a, b in slices(batch.column(1), SLICE_BYTES):
+            for a, b in slices(batch.column(1)):
                 ids, ends = enc.encode(batch.column(1).slice(a, b - a))
                 for i, doc in enumerate(batch.column(0).slice(a, b - a).to_pylist()):
                     own = np.append(ids[ends[i]:ends[i + 1]], np.uint32(end_id)).astype("<u4")

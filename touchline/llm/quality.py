@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import col, fresh_name, maybe_broadcast, stored
+from touchline.llm.common import col, fresh_name, maybe_broadcast, slices, stored
 
 MIN_WORDS = 50
 MOST_REPEATED = 50  # percent of the words
@@ -90,7 +90,9 @@ def measures(docs: DataFrame, text_col: str = "text", keep: list[str] | None = N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*map(measure, batch.column(text).to_pylist())) if batch.num_rows else [()] * len(fields)
+            rows = [measure(x) for a, b in slices(batch.column(text)) for x in batch.column(text).slice(a, b - a)
+                    .to_pylist()]
+            rows = zip(*rows) if rows else [()] * len(fields)
             m = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in rows], names=fields)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], m], names=[*batch.schema.names[:-1], name])
 

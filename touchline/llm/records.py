@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.common import by_file, col, filesystem, prefix_sums, slices, stored
-from touchline.llm.tokens import SLICE_BYTES, encoder
+from touchline.llm.tokens import encoder
 from touchline.session import scratch_path
 
 FILE_BYTES = 256 << 20
@@ -94,7 +94,7 @@ def write_records(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         stream, file_no, name, at, before, held = None, -1, "", 0, 0, bytearray()
         try:
             for batch in batches:
-                for a, b in slices(batch.column(1), SLICE_BYTES):
+                for a, b in slices(batch.column(1)):
                     ids, ends = enc.encode(batch.column(1).slice(a, b - a))
                     rows = []
                     for i, doc in enumerate(batch.column(0).slice(a, b - a).to_pylist()):

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import col, fresh_name, maybe_broadcast, stored
+from touchline.llm.common import col, fresh_name, maybe_broadcast, slices, stored
 
 BITS = 64
 SHINGLE = 3
@@ -83,7 +83,8 @@ def with_fingerprints(docs: DataFrame, text_col: str = "text", keep: list[str] |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [fingerprint(x, shingle) for x in batch.column(text).cast(pa.binary()).to_pylist()]
+            texts = batch.column(text).cast(pa.binary())
+            prints = [fingerprint(x, shingle) for a, b in slices(texts) for x in texts.slice(a, b - a).to_pylist()]
             prints = pa.array(np.array(prints, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], prints], names=[*batch.schema.names[:-1], out])
 

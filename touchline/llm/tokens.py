@@ -12,6 +12,7 @@ Strings of special tokens inside a text are ordinary text."""
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import count, repeat
 
@@ -23,10 +24,11 @@ import pyarrow.compute as pc
 SPACE = r"\t-\r \x{85}\pZ"
 #: Unlikely characters of which one that a slice lacks marks the cuts.
 MARKS = "\x1f\x1e\x1d\x1c\x01\x02\x03"
-SLICE_BYTES = 8 << 20
 JOINED = 2000
+#: Joined texts encoded at once.
+AT_ONCE = 10
 #: Chunks whose ids a worker process remembers.
-MEMO = 500_000
+MEMO = 300_000
 
 
 def _pieces(chunks: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -37,7 +39,7 @@ def _pieces(chunks: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     parts = pa.concat_arrays([pc.if_else(ended, pc.utf8_slice_codeunits(chunks, 0, -1), chunks),
                               pc.utf8_slice_codeunits(tail, -1)]).dictionary_encode()
     at = parts.indices.to_numpy()
-    second = np.full(len(chunks), -1)
+    second = np.full(len(chunks), -1, np.int32)
     second[ended.to_numpy(zero_copy_only=False)] = at[len(chunks):]
     return parts.dictionary, at[:len(chunks)], second
 
@@ -60,11 +62,16 @@ class Encoder:
         self.joinable = f"^ ?[^{barred}]+$"
         self.known: dict[str, int] = {}
         self.pool = np.zeros(0, np.uint32)
-        self.begins = self.lengths = np.zeros(0, np.int64)
+        self.begins = self.lengths = np.zeros(0, np.int32)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _batches(self, texts: list[str], most: int = AT_ONCE) -> Iterator[np.ndarray]:
+        for i in range(0, len(texts), most):
+            for e in self.tokenizer.encode_batch_fast(texts[i:i + most], add_special_tokens=False):
+                yield np.asarray(e.ids, np.uint32)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` (null: empty) and the offsets of each text in them."""
         texts = pc.fill_null(texts.cast(pa.string()), "")
@@ -77,42 +84,42 @@ class Encoder:
         pieces, first, second = _pieces(words.dictionary)
         ids, begins, lengths = self._recall(pieces)
         at = words.indices.to_numpy()
-        n_pieces = 1 + (second[at] >= 0)
-        upto = np.cumsum(n_pieces)
+        n_pieces = 1 + (second >= 0).astype(np.int32)[at]
+        upto = np.cumsum(n_pieces, dtype=np.int32)
         piece = np.repeat(first[at], n_pieces)
         two = np.flatnonzero(n_pieces == 2)
         piece[upto[two] - 1] = second[at[two]]
         length = lengths[piece]
-        ends = np.cumsum(length)
-        total = int(ends[-1]) if len(ends) else 0
-        position = np.arange(total, dtype=np.int32)
-        position += np.repeat((begins[piece] - (ends - length)).astype(np.int32), length)
+        ends = np.cumsum(length, dtype=np.int32)
+        position = np.repeat(begins[piece] - (ends - length), length)
+        position += np.arange(len(position), dtype=np.int32)
         bounds = np.concatenate(([0], upto))[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
-        return ids[position], np.concatenate(([0], ends))[bounds]
+        return ids[position], np.concatenate(([0], ends)).astype(np.int64)[bounds]
 
     def _recall(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """As ``_chunks``, by way of the memo. A full memo stays as it is: what
         came first is mostly what is frequent."""
         texts = chunks.to_pylist()
-        at = np.fromiter(map(self.known.get, texts, repeat(-1)), np.int64, len(texts))
+        at = np.fromiter(map(self.known.get, texts, repeat(-1)), np.int32, len(texts))
         new = np.flatnonzero(at < 0)
         ids, begins, lengths = self._chunks(chunks.take(pa.array(new)))
         pool = np.concatenate([self.pool, ids])
-        own_begins, own_lengths = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+        own_begins, own_lengths = np.zeros(len(texts), np.int32), np.zeros(len(texts), np.int32)
         own_begins[new], own_lengths[new] = begins + len(self.pool), lengths
         old = np.flatnonzero(at >= 0)
         own_begins[old], own_lengths[old] = self.begins[at[old]], self.lengths[at[old]]
-        if len(self.known) + len(new) <= MEMO:
-            self.known.update(zip(map(texts.__getitem__, new.tolist()), count(len(self.begins))))
-            self.begins = np.concatenate([self.begins, own_begins[new]])
-            self.lengths = np.concatenate([self.lengths, lengths])
+        room = new[:MEMO - len(self.known)]
+        if len(room):
+            self.known.update(zip(map(texts.__getitem__, room.tolist()), count(len(self.begins))))
+            self.begins = np.concatenate([self.begins, own_begins[room]])
+            self.lengths = np.concatenate([self.lengths, own_lengths[room]])
             self.pool = pool
         return pool, own_begins, own_lengths
 
     def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of distinct chunks; where each begins, and how many it has."""
-        lengths = np.zeros(len(chunks), np.int64)
-        begins = np.zeros(len(chunks), np.int64)
+        lengths = np.zeros(len(chunks), np.int32)
+        begins = np.zeros(len(chunks), np.int32)
         parts: list[np.ndarray] = []
         used = 0
         plain = pc.match_substring_regex(chunks, self.joinable).to_numpy(zero_copy_only=False)
@@ -120,8 +127,7 @@ class Encoder:
         where, alone = np.flatnonzero(plain), np.flatnonzero(~plain)
         blocks = [where[i:i + JOINED] for i in range(0, len(where), JOINED)]
         joined = [self.separator.join(chunks.take(pa.array(b)).to_pylist()) for b in blocks]
-        for block, e in zip(blocks, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
-            ids = np.asarray(e.ids, np.uint32)
+        for block, ids in zip(blocks, self._batches(joined)):
             cuts = np.flatnonzero(ids == self.separator_id)
             if len(cuts) != len(block) - 1:  # the separator's id came from a chunk, too
                 alone = np.concatenate([alone, block])
@@ -130,9 +136,8 @@ class Encoder:
             lengths[block], begins[block] = length, used + np.cumsum(length) - length
             parts.append(np.delete(ids, cuts))
             used += len(parts[-1])
-        for i, e in zip(alone, self.tokenizer.encode_batch_fast(chunks.take(pa.array(alone, pa.int64())).to_pylist(),
-                                                                add_special_tokens=False)):
-            parts.append(np.asarray(e.ids, np.uint32))
+        for i, ids in zip(alone, self._batches(chunks.take(pa.array(alone, pa.int64())).to_pylist(), JOINED)):
+            parts.append(ids)
             lengths[i], begins[i] = len(parts[-1]), used
             used += len(parts[-1])
         return np.concatenate([np.zeros(0, np.uint32), *parts]), begins, lengths
