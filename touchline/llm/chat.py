@@ -18,7 +18,8 @@ by a table with at most one row per partition; a conversation with a third of
 all turns is split over many tasks.
 
 Nulls and ties: null text and null role count as empty; null conv_id or turn
-sort first; turns of equal number are ordered by role, then text; repeated rows
+sort first; turns of equal number are ordered by role, then a hash of the text;
+repeated rows
 are turns of their own; an empty table gives no rows. Other columns are not
 read."""
 
@@ -97,8 +98,8 @@ def format_chat(turns: DataFrame, tokenizer_path: str, conv_col: str = "conv_id"
                     [pa.array(x, k) for x, k in zip(zip(*rows), kinds)],
                     names=[f.split()[0] for f in SEGMENT.split(", ")])
 
-    keys = ["conv_id", "turn", "role", "text"]
-    ordered = source.repartitionByRange("conv_id", "turn", F.xxhash64("role", "text")).sortWithinPartitions(*keys)
+    keys = ["conv_id", "turn", "role", F.xxhash64("text")]
+    ordered = source.repartitionByRange(*keys).sortWithinPartitions(*keys, "text")
     segments = stored(ordered.mapInArrow(run, SEGMENT), "chat")
     # a conversation that began in earlier partitions: at most one such per partition
     sums = segments.groupBy("part", "conv_id").agg(F.sum("n_ids").alias("_n"))

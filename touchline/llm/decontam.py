@@ -57,7 +57,8 @@ CELLS = 1 << 20
 
 
 def words_of(texts: pa.Array) -> pa.ListArray:
-    """Lower-case runs of letters and digits."""
+    """Lower-case runs of letters and digits; an empty text has one empty word,
+    which no item has."""
     clean = pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts, "")), r"[^\pL\pN]+", " ")
     return pc.ascii_split_whitespace(pc.utf8_trim(clean, " "))
 
@@ -244,7 +245,7 @@ def item_groups(items: DataFrame, id_col: str, text_col: str, answer_col: str |
         part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k
         group = []
         for item, text, answer in rows.where(part).orderBy("item_id", "text").collect():  # bounded by group_items
-            words = words_of(pa.array([text, answer], pa.string())).to_pylist()
+            words = [[w for w in x if w] for x in words_of(pa.array([text, answer], pa.string())).to_pylist()]
             half = math.ceil(len(words[0]) / 2)
             question, reply = (words[0], words[1]) if answer is not None else (words[0][:half], words[0][half:])
             if question or reply:

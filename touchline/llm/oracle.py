@@ -1,5 +1,130 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express. Tokenizers, XXH64 and the
+trained classifier have no SQL form; their queries are tested against
+brute-force versions instead."""
 
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op2_chat"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'),
+                   (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role)) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role), '')) AS loss_sha256,
+       sum(24 + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g'))
+           + length(regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\\\1|', 'g'))
+          )::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+ORACLE["op5_secrets"] = r"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+rules(ord, kind, pattern, least, grp) AS (VALUES
+  (0, 'assign', '(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 12, 2),
+  (1, 'access', 'AKIA[A-Z0-9]+', 18, 0),
+  (2, 'hex', '[0-9a-f]+', 16, 0),
+  (3, 'github', 'gh[pousr]_[A-Za-z0-9]{36,}', 0, 0),
+  (4, 'slack', 'xox[abprs]-[A-Za-z0-9-]{10,}', 0, 0),
+  (5, 'jwt', 'eyJ[A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]{8,}[.][A-Za-z0-9_-]{8,}', 0, 0),
+  (6, 'key_block', '-----BEGIN [A-Z ]*PRIVATE KEY-----', 0, 0),
+  (7, 'google', 'AIza[0-9A-Za-z_-]{35}', 0, 0)),
+lists AS (
+  SELECT rid, 0 AS ord, 'assign' AS kind, 12 AS least, regexp_extract_all(text, (SELECT pattern FROM rules WHERE ord = 0), 0) AS hits,
+         regexp_extract_all(text, (SELECT pattern FROM rules WHERE ord = 0), 2) AS vals,
+         regexp_split_to_array(text, (SELECT pattern FROM rules WHERE ord = 0)) AS gaps FROM docs
+  UNION ALL
+  SELECT rid, ord, kind, least, regexp_extract_all(text, pattern) AS hits, regexp_extract_all(text, pattern) AS vals,
+         regexp_split_to_array(text, pattern) AS gaps FROM docs, rules WHERE ord > 0),
+parts AS (
+  SELECT rid, ord, kind, least, generate_subscripts(hits, 1) AS i, unnest(hits) AS hit, unnest(vals) AS val,
+         unnest(gaps[1:len(hits)]) AS gap FROM lists WHERE len(hits) > 0),
+placed AS (
+  SELECT rid, ord, kind, least, val, length(hit) AS n,
+         sum(length(gap) + length(hit)) OVER (PARTITION BY rid, ord ORDER BY i) AS e FROM parts),
+spans AS (SELECT rid, ord, kind || ':' || (e - n) || ':' || e AS span, e - n AS s FROM placed WHERE length(val) >= least),
+joined AS (
+  SELECT rid, count(*) FILTER (WHERE ord = 0) AS a, count(*) FILTER (WHERE ord = 1) AS b,
+         count(*) FILTER (WHERE ord = 2) AS c, string_agg(span, ',' ORDER BY s, ord) FILTER (WHERE ord < 3) AS base,
+         string_agg(span, ',' ORDER BY s, ord) AS spans FROM spans GROUP BY rid)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(b, 0)::BIGINT AS n_access, coalesce(c, 0)::BIGINT AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN joined USING (rid)
+"""
+
+ORACLE["op6_quality"] = r"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+lists AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM docs),
+words AS (SELECT rid, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM lists),
+grams AS (
+  SELECT rid, i, w || ' ' || lead(w, 1) OVER o || ' ' || lead(w, 2) OVER o AS gram FROM words
+  WINDOW o AS (PARTITION BY rid ORDER BY i)),
+again AS (
+  SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, gram) AS n FROM grams WHERE gram IS NOT NULL)
+  WHERE n > 1),
+repeated AS (SELECT rid, count(DISTINCT i + k) AS n FROM again, (VALUES (0), (1), (2)) t(k) GROUP BY rid),
+m AS (
+  SELECT rid, doc_id, lang, source, len(words)::BIGINT AS n_words,
+         length(array_to_string(words, ''))::BIGINT AS word_chars,
+         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(repeated.n, 0)::BIGINT AS n_repeat_words
+  FROM lists LEFT JOIN repeated USING (rid)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+cells AS (
+  SELECT rid, lang, source, base_failed, r.ratio AS ratio, r.v AS v, r.spread AS spread
+  FROM (SELECT *, unnest([
+      {'ratio': 'symbol_ratio', 'v': n_symbols::DOUBLE / greatest(n_words, 1), 'spread': 0.08::DOUBLE},
+      {'ratio': 'dup_line_ratio', 'v': n_dup_lines::DOUBLE / greatest(n_lines, 1), 'spread': 0.2::DOUBLE},
+      {'ratio': 'repeat_ratio', 'v': n_repeat_words::DOUBLE / greatest(n_words, 1), 'spread': 0.15::DOUBLE},
+      {'ratio': 'word_length', 'v': word_chars::DOUBLE / greatest(n_words, 1), 'spread': 0.5::DOUBLE}]) AS r FROM judged)),
+sketch AS (
+  SELECT lang, source, ratio, spread, CASE WHEN v > 0 THEN ceil(ln(v) / ln(1.01::DOUBLE / 0.99::DOUBLE)) END AS bucket, count(*) AS n
+  FROM cells WHERE NOT base_failed GROUP BY ALL),
+levels AS (
+  SELECT 0 AS level, lang, source, * EXCLUDE (lang, source) FROM sketch
+  UNION ALL SELECT 1, lang, NULL, ratio, spread, bucket, sum(n) FROM sketch GROUP BY lang, ratio, spread, bucket
+  UNION ALL SELECT 2, NULL, NULL, ratio, spread, bucket, sum(n) FROM sketch GROUP BY ratio, spread, bucket),
+ranked AS (
+  SELECT *, sum(n) OVER (PARTITION BY level, lang, source, ratio ORDER BY bucket NULLS FIRST) AS upto,
+         sum(n) OVER (PARTITION BY level, lang, source, ratio) AS total,
+         CASE WHEN bucket IS NULL THEN 0 ELSE 2 * pow(1.01::DOUBLE / 0.99::DOUBLE, bucket) / (1.01::DOUBLE / 0.99::DOUBLE + 1) END AS mid FROM levels),
+limits AS (
+  SELECT level, lang, source, ratio, max(total) AS total,
+         min(mid) FILTER (WHERE upto >= ceil(total * 0.75)) + 3 * greatest(
+           min(mid) FILTER (WHERE upto >= ceil(total * 0.75)) - min(mid) FILTER (WHERE upto >= ceil(total * 0.25)),
+           any_value(spread)) AS most FROM ranked GROUP BY level, lang, source, ratio),
+failed AS (
+  SELECT DISTINCT c.rid FROM cells c
+  LEFT JOIN limits a ON a.level = 0 AND a.ratio = c.ratio AND a.lang IS NOT DISTINCT FROM c.lang AND a.source IS NOT DISTINCT FROM c.source
+  LEFT JOIN limits b ON b.level = 1 AND b.ratio = c.ratio AND b.lang IS NOT DISTINCT FROM c.lang
+  LEFT JOIN limits d ON d.level = 2 AND d.ratio = c.ratio
+  WHERE a.most IS NOT NULL AND c.v > CASE WHEN a.total >= 100 THEN a.most WHEN b.total >= 100 THEN b.most ELSE d.most END)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND failed.rid IS NULL AS kept
+FROM judged LEFT JOIN failed ON failed.rid = judged.rid
+"""
+
+_BITS = " + ".join(f"{1 << (4 - k)} * (substr(bits, 5 * i + {k + 1}, 1) = '1')::INT" for k in range(5))
+ORACLE["op7_warc"] = f"""
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+firsts AS (SELECT h, min(page_id) AS first FROM hashed GROUP BY h),
+bits AS (
+  SELECT h, first, array_to_string(list_transform(string_split(h, ''), lambda x: substr(
+    '0000000100100011010001010110011110001001101010111100110111101111', 4 * (strpos('0123456789abcdef', x) - 1) + 1, 4)
+  ), '') AS bits FROM firsts),
+digests AS (
+  SELECT h, first, array_to_string(list_transform(range(32), lambda i: substr(
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + {_BITS}, 1)), '') AS digest FROM bits)
+SELECT page_id, payload_bytes, digest AS payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM hashed JOIN digests USING (h)
+"""

@@ -179,14 +179,18 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
         keep = F.when(F.char_length(x["value"]) >= rule.least, span).otherwise(F.array().cast(kind))
         return F.struct(end.alias("at"), F.concat(state["out"], keep).alias("out"))
 
-    def stretch(state: Column, i: Column) -> Column:
-        zero = F.struct(state["at"].alias("at"), F.array().cast(kind).alias("out"))
-        inner = F.aggregate(F.slice(parts, i, F.lit(STRETCH)), zero, one)
-        return F.struct(inner["at"].alias("at"), F.concat(state["out"], F.array(inner["out"])).alias("out"))
-
-    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
-    firsts = F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1)), F.lit(STRETCH))
-    return F.flatten(F.aggregate(firsts, zero, stretch, lambda s: s["out"]))
+    def of(bound: Column) -> Column:
+        def stretch(state: Column, i: Column) -> Column:
+            zero = F.struct(state["at"].alias("at"), F.array().cast(kind).alias("out"))
+            inner = F.transform(F.array(F.aggregate(F.slice(bound, i, F.lit(STRETCH)), zero, one)), lambda s: F.struct(
+                s["at"].alias("at"), F.concat(state["out"], F.array(s["out"])).alias("out")))
+            return F.get(inner, F.lit(0))
+
+        zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(bound), F.lit(1)), F.lit(STRETCH))
+        return F.flatten(F.aggregate(firsts, zero, stretch, lambda s: s["out"]))
+
+    return F.flatten(F.transform(F.array(parts), of))  # the matches are bound once, as an array's only element
 
 
 def with_spans(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES,

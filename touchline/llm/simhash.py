@@ -125,8 +125,9 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, bucket_rows: int = BUCKET
                   .withColumn("pattern", F.col("fingerprint").bitwiseAND(F.col("mask"))))
         crowded = routed.groupBy("mask", "pattern").count().where(F.col("count") > bucket_rows)
         crowded = stored(crowded.select("mask", "pattern"), "crowded")
-        fixed = sorted({t for to in groups.values() for t in to})
-        deeper = any(bin(t).count("1") < BITS for t in fixed) and not crowded.isEmpty()
+        # masks of crowded buckets: at most (max_bits + 1) ** depth numbers, whatever the input
+        fixed = sorted(r.mask & (1 << BITS) - 1 for r in crowded.select("mask").distinct().collect())
+        deeper = any(mask != (1 << BITS) - 1 for mask in fixed)
         small = routed.join(crowded, ["mask", "pattern"], "left_anti") if deeper else routed
         stars = _bucket_stars(small, max_bits)
         found = stars if found is None else found.unionByName(stars)

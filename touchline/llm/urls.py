@@ -69,13 +69,18 @@ def best_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def grams(text: Column, prefix: str, sizes: tuple[int, ...] = GRAMS) -> Column:
-    """Character n-grams of the marked text, linear in its length."""
-    chars = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
-    lists = []
-    for n in sizes:
-        gram = lambda i: F.concat(F.lit(prefix), *(F.get(chars, i + k) for k in range(n)))  # noqa: B023, E731
-        lists.append(F.transform(F.sequence(F.lit(0), F.greatest(F.size(chars) - n, F.lit(0))), gram))
-    return F.array_compact(F.concat(*lists))
+    """Character n-grams of the marked text. The characters are bound once (as
+    the only element of an array), so the work is linear in the text's length."""
+
+    def of(chars: Column) -> Column:
+        lists = []
+        for n in sizes:
+            gram = lambda i: F.concat(F.lit(prefix), *(F.get(chars, i + k) for k in range(n)))  # noqa: B023, E731
+            lists.append(F.transform(F.sequence(F.lit(0), F.greatest(F.size(chars) - n, F.lit(0))), gram))
+        return F.array_compact(F.concat(*lists))
+
+    marked = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
+    return F.flatten(F.transform(F.array(marked), of))
 
 
 def features(parts: DataFrame) -> DataFrame:
