@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchline.functions.dates import init_window, update_window
-from touchline.plans.reporting import TablePaths, init, update
+from touchline.plans.reporting import TablePaths, init, update, update_day
 from touchline.schema import EVENT_COLUMNS, ITEM_COLUMNS, SRC_COLUMNS, STG_COLUMNS
 from touchline.session import scratch_path
 from touchline.sources.fixture import driver_raw_events
@@ -116,3 +116,65 @@ def test_init_window_and_skew_safe_forms_write_the_same_tables(spark, shards):
     for table in ("stg", "events", "items", "src"):
         x, y = a.read(spark, table), b.read(spark, table)
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, table
+
+
+def _raw(spark, *rows):
+    from touchline.schema import RAW_EVENT_SCHEMA
+
+    return spark.createDataFrame(list(rows), RAW_EVENT_SCHEMA)
+
+
+def test_replayed_day_leaves_exactly_the_new_rows(spark, sf_small):
+    raw = driver_raw_events(spark, sf_small)
+    for keep in ("event_name <> 'purchase'", "event_name = 'session_start'"):
+        first = write_shards(raw, scratch_path(spark, "replay-a"))
+        second = write_shards(raw.where(f"event_date <> '20240114' or {keep}"), scratch_path(spark, "replay-b"))
+        root, fresh = scratch_path(spark, "replay"), scratch_path(spark, "replay-fresh")
+        init(spark, first, root, dt.date(2024, 1, 16))
+        init(spark, first, fresh, dt.date(2024, 1, 16))
+        update_day(spark, first, root, "20240114")
+        update_day(spark, second, root, "20240114")
+        update_day(spark, second, fresh, "20240114")
+        for table in ("src", "session_days", "stg", "events", "items"):
+            got, want = (_rows(TablePaths(r).read(spark, table)) for r in (root, fresh))
+            assert got == want, table
+        day = TablePaths(root).read(spark, "items").where(F.col("date") == dt.date(2024, 1, 14))
+        assert day.count() == 0
+
+
+def test_tables_without_rows_are_readable(spark, sf_small):
+    raw = driver_raw_events(spark, sf_small)
+    quiet = write_shards(raw.where("event_name <> 'purchase'"), scratch_path(spark, "quiet"))
+    paths = init(spark, quiet, scratch_path(spark, "quiet-tables"), dt.date(2024, 1, 16))
+    assert paths.read(spark, "items").count() == 0 and paths.read(spark, "events").count() > 0
+    starts = write_shards(raw.where("event_name = 'session_start'"), scratch_path(spark, "starts"))
+    paths = update_day(spark, starts, scratch_path(spark, "starts-tables"), "20240114")
+    assert paths.read(spark, "src").count() == 0 and paths.read(spark, "events").count() > 0
+
+
+def test_extra_params_own_rules_and_strict(spark, shards):
+    from touchline.operators.traffic import event_traffic, session_rollup
+    from tests.helpers import param, raw_row
+
+    extra = {"score": "float"}
+    paths = init(spark, shards, scratch_path(spark, "extra"), dt.date(2024, 1, 16), extra_params=extra)
+    paths = update_day(spark, shards, paths.root, "20240114", extra_params=extra)
+    assert paths.read(spark, "events").where("score is not null").count() > 0
+    row = raw_row(1, gsid=5, params=[param("source", s="s"), param("page_location", s="http://x?own=1")])
+    src = event_traffic(_raw(spark, row))
+    got = session_rollup(src, rules=(("http%own=%", "mine", "paid"),)).first()
+    assert (got.session_first_traffic_source.source, got.session_first_traffic_source.medium) == ("mine", "paid")
+    twice = raw_row(1, gsid=5, params=[param("source", s="s"), param("source", s="t")])
+    with pytest.raises(Exception):
+        event_traffic(_raw(spark, twice), strict=True).collect()
+
+
+def test_first_touch_tie_prefers_an_event_with_a_touch(spark):
+    from touchline.operators.traffic import event_traffic, merge_session_days, session_day_partials, session_rollup
+    from tests.helpers import param, raw_row
+
+    rows = [raw_row(100, gsid=5), raw_row(100, gsid=5, params=[param("source", s="news")]),
+            raw_row(200, gsid=5, params=[param("source", s="late")])]
+    src = event_traffic(_raw(spark, *rows))
+    for got in (session_rollup(src).first(), merge_session_days(session_day_partials(src)).first()):
+        assert got.session_first_traffic_source.source == "news"

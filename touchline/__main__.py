@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 
 from touchline.functions.dates import LOOKBACK_SECONDS
 from touchline.plans.reporting import init, update, update_day
+from touchline.session import RECOMMENDED_CONF
 
 
 def main(argv=None) -> int:
@@ -26,18 +27,24 @@ def main(argv=None) -> int:
     parser.add_argument("--run-date", default=None)
     parser.add_argument("--day", default=None, help="shard to load (update-day)")
     parser.add_argument("--lookback-seconds", type=int, default=LOOKBACK_SECONDS)
-    parser.add_argument("--method", choices=["bucketed", "window"], default="bucketed")
+    parser.add_argument("--strict", action="store_true", help="fail on a param key that an event has twice")
+    parser.add_argument("--extra-param", action="append", default=[], metavar="NAME:KIND",
+                        help="further event param for the events table; KIND is string, int or float")
     args = parser.parse_args(argv)
 
-    spark = SparkSession.builder.appName(f"touchline-{args.command}").getOrCreate()
+    builder = SparkSession.builder.appName(f"touchline-{args.command}")
+    for key, value in RECOMMENDED_CONF.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    options = {"strict": args.strict, "extra_params": dict(p.rsplit(":", 1) for p in args.extra_param)}
     if args.command == "init":
-        init(spark, args.raw, args.root, args.run_date, args.lookback_seconds, args.method)
+        init(spark, args.raw, args.root, args.run_date, args.lookback_seconds, **options)
     elif args.command == "update":
-        update(spark, args.raw, args.root, args.run_date, args.lookback_seconds, args.method)
+        update(spark, args.raw, args.root, args.run_date, args.lookback_seconds, **options)
     else:
         if not args.day:
             parser.error("update-day needs --day")
-        update_day(spark, args.raw, args.root, args.day, lookback_seconds=args.lookback_seconds, method=args.method)
+        update_day(spark, args.raw, args.root, args.day, lookback_seconds=args.lookback_seconds, **options)
     return 0
 
 

@@ -23,24 +23,26 @@ CLICK_ID_RULES = (
 )
 
 
-def _override(fallback: Column, conditions: list[Column], field: int) -> Column:
+def _override(fallback: Column, conditions: list[Column], field: int, rules) -> Column:
     out = None
-    for cond, rule in zip(conditions, CLICK_ID_RULES):
+    for cond, rule in zip(conditions, rules):
         out = F.when(cond, F.lit(rule[field])) if out is None else out.when(cond, F.lit(rule[field]))
-    return out.otherwise(fallback)
+    return fallback if out is None else out.otherwise(fallback)
 
 
 def traffic_touch(source: Column, medium: Column, campaign: Column, gclid: Column,
-                  page_location: Column) -> Column:
-    conditions = [page_location.like(pattern) for pattern, _, _ in CLICK_ID_RULES]
-    conditions[0] = gclid.isNotNull() | conditions[0]
+                  page_location: Column, rules=CLICK_ID_RULES) -> Column:
+    """``rules``: own (page_location pattern, source, medium) rules, in order."""
+    conditions = [page_location.like(pattern) for pattern, _, _ in rules]
+    if conditions:
+        conditions[0] = gclid.isNotNull() | conditions[0]
     touched = F.coalesce(source, medium, campaign, gclid).isNotNull()
     # No otherwise(): a missing touch must be a NULL struct, not a struct of NULLs.
     return F.when(
         touched,
         F.struct(
-            _override(source, conditions, 1).alias("source"),
-            _override(medium, conditions, 2).alias("medium"),
+            _override(source, conditions, 1, rules).alias("source"),
+            _override(medium, conditions, 2, rules).alias("medium"),
             campaign.alias("campaign"),
             gclid.alias("gclid"),
         ),

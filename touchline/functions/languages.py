@@ -2,7 +2,7 @@
 itself (NULL stays NULL).
 
 The 177-entry table is a constant map literal: Catalyst folds it once and the
-lookup is a per-row hash probe inside whole-stage codegen - no join, no
+lookup is a short search of that map inside whole-stage codegen - no join, no
 broadcast, no shuffle.
 """
 

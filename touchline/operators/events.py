@@ -3,37 +3,46 @@ the session (P9), exit flag (P10) and the session's traffic source (P11)."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline.functions.dates import micros_to_timestamp, shard_to_date
-from touchline.functions.params import int_param, string_or_int_param, string_param
+from touchline.functions.params import float_param, int_param, string_or_int_param, string_param
 from touchline.operators.ordered import bucket_summary, lag_in_groups, max_by_join, max_in_groups
 from touchline.operators.traffic import session_key
 from touchline.schema import EVENT_COLUMNS, FLAT_EVENT_COLUMNS
 
 MICROS = "_us"
+# Kinds of extra event params: the lookup and the column type.
+PARAM_KINDS = {"string": string_param, "int": int_param, "float": float_param}
+PARAM_TYPES = {"string": T.StringType(), "int": T.LongType(), "float": T.DoubleType()}
 # LAG bucket width: the largest window task is one (user, session) group's
 # events within one bucket; summary rows are narrow, so a fine width is cheap.
 BUCKET_MICROS = 60_000_000
 
 
-def flatten_events(raw: DataFrame) -> DataFrame:
+def flatten_events(raw: DataFrame, strict: bool = False, extra_params: dict[str, str] | None = None) -> DataFrame:
     """The per-event projection (no event-name exclusion here). Keeps the
     raw epoch micros in ``_us`` for the two windows; ``event_timestamp`` is a
-    UTC wall-clock TIMESTAMP_NTZ."""
-    gsid = int_param("ga_session_id")
+    UTC wall-clock TIMESTAMP_NTZ. ``extra_params`` adds further event params as
+    columns of their name (kind "string", "int" or "float"); ``strict`` fails on
+    a param key that an event has twice."""
+    extra = [PARAM_KINDS[kind](key, strict=strict).alias(key) for key, kind in (extra_params or {}).items()]
+    gsid = int_param("ga_session_id", strict=strict)
     dev, web, geo, uts, ec = (F.col(c) for c in ("device", "device.web_info", "geo", "traffic_source", "ecommerce"))
     return raw.select(
         session_key(F.col("user_pseudo_id"), gsid).alias("session_id"),
         shard_to_date(F.col("event_date")).alias("event_date"),
         micros_to_timestamp(F.col("event_timestamp")).alias("event_timestamp"),
         F.col("event_name"),
-        int_param("ga_session_number").alias("ga_session_number"),
+        int_param("ga_session_number", strict=strict).alias("ga_session_number"),
         gsid.alias("ga_session_id"),
-        string_param("page_location").alias("page_location"),
-        string_param("page_title").alias("page_title"),
-        int_param("entrances").alias("entrances"),
+        string_param("page_location", strict=strict).alias("page_location"),
+        string_param("page_title", strict=strict).alias("page_title"),
+        int_param("entrances", strict=strict).alias("entrances"),
         string_or_int_param("session_engaged").alias("session_engaged"),
         F.col("user_id"),
         F.col("user_pseudo_id"),
@@ -58,7 +67,8 @@ def flatten_events(raw: DataFrame) -> DataFrame:
         ec.getField("tax_value").alias("ecommerce_tax_value"),
         ec.getField("unique_items").alias("ecommerce_unique_items"),
         ec.getField("transaction_id").alias("ecommerce_transaction_id"),
-        int_param("engagement_time_msec").alias("engagement_time_msec"),
+        int_param("engagement_time_msec", strict=strict).alias("engagement_time_msec"),
+        *extra,
         F.col("event_timestamp").alias(MICROS),
     )
 
@@ -109,13 +119,14 @@ def exit_flag(flat: DataFrame, method: str = "aggregate", bucket_micros: int = B
     return out.withColumn("exit_page", flag).drop("_max")
 
 
-def event_columns(raw: DataFrame, method: str = "bucketed", bucket_micros: int = BUCKET_MICROS) -> DataFrame:
+def event_columns(raw: DataFrame, method: str = "bucketed", bucket_micros: int = BUCKET_MICROS, strict: bool = False,
+                  extra_params: dict[str, str] | None = None) -> DataFrame:
     """P8 + P9 + P10 in the 36-column order. ``method``: "bucketed" (the
     skew-safe forms: LAG over time buckets, exit flag as a grouped max joined
     back) or "window" (both direct windows)."""
     if method not in ("bucketed", "window"):
         raise ValueError(f"unknown method {method!r}")
-    flat = flatten_events(raw)
+    flat = flatten_events(raw, strict, extra_params)
     summary = None
     if method == "bucketed":
         # One narrow scan + map-side-combined aggregate serves both windows.
@@ -123,10 +134,10 @@ def event_columns(raw: DataFrame, method: str = "bucketed", bucket_micros: int =
                                  bucket_micros)
     flat = seconds_since_previous(flat, method, bucket_micros, summary=summary)
     flat = exit_flag(flat, "window" if method == "window" else "aggregate", summary=summary)
-    return flat.select(*FLAT_EVENT_COLUMNS)
+    return flat.select(*FLAT_EVENT_COLUMNS, *(extra_params or {}))
 
 
-def sessionize(events: DataFrame, stg: DataFrame) -> DataFrame:
+def sessionize(events: DataFrame, stg: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
     """Left join on session_id alone (several stg rows can share one id;
     the join then fans out, as in the source). The planner picks a broadcast
     when the stg side is measured small (file size or AQE runtime stats), a
@@ -139,9 +150,11 @@ def sessionize(events: DataFrame, stg: DataFrame) -> DataFrame:
         F.col("session_start"),
     )
     joined = events.join(side, events["session_id"] == side["_stg_session_id"], "left")
-    return joined.select(*EVENT_COLUMNS)
+    return joined.select(*EVENT_COLUMNS, *extra)
 
 
-def build_events(raw: DataFrame, stg: DataFrame, method: str = "bucketed", bucket_micros: int = BUCKET_MICROS) -> DataFrame:
-    """The 40-column events table: P8-P10, then the session source."""
-    return sessionize(event_columns(raw, method, bucket_micros), stg)
+def build_events(raw: DataFrame, stg: DataFrame, method: str = "bucketed", bucket_micros: int = BUCKET_MICROS,
+                 strict: bool = False, extra_params: dict[str, str] | None = None) -> DataFrame:
+    """The 40-column events table: P8-P10, then the session source (P11), then
+    any extra params."""
+    return sessionize(event_columns(raw, method, bucket_micros, strict, extra_params), stg, extra_params or ())

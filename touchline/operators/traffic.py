@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.functions.clickids import traffic_touch
+from touchline.functions.clickids import CLICK_ID_RULES, traffic_touch
 from touchline.functions.dates import LOOKBACK_SECONDS, shard_to_date
 from touchline.functions.params import int_param, string_param
 from touchline.operators.lookback import latest_touch_within
@@ -50,68 +50,72 @@ def session_key(user_pseudo_id: Column, ga_session_id: Column) -> Column:
     return F.concat(F.coalesce(user_pseudo_id, F.lit("")), F.coalesce(ga_session_id.cast("string"), F.lit("")))
 
 
-def event_traffic(raw: DataFrame) -> DataFrame:
+def event_traffic(raw: DataFrame, strict: bool = False) -> DataFrame:
     """One row per event (minus session_start / first_visit) with the session
     key and the four traffic params packed in a struct. The caller restricts
-    ``raw`` to the shard window (a partition filter on the scan)."""
-    session_id_param = int_param("ga_session_id")
+    ``raw`` to the shard window (a partition filter on the scan). ``strict``
+    fails on a param key that an event has twice."""
+    session_id_param = int_param("ga_session_id", strict=strict)
     return raw.where(~F.col("event_name").isin(*EXCLUDED_EVENTS)).select(
         shard_to_date(F.col("event_date")).alias("date"),
         session_key(F.col("user_pseudo_id"), session_id_param).alias("session_id"),
         F.col("user_pseudo_id"),
         session_id_param.alias("session_start"),
         F.struct(
-            string_param("source").alias("source"),
-            string_param("medium").alias("medium"),
-            string_param("campaign").alias("campaign"),
-            string_param("gclid").alias("gclid"),
+            string_param("source", strict=strict).alias("source"),
+            string_param("medium", strict=strict).alias("medium"),
+            string_param("campaign", strict=strict).alias("campaign"),
+            string_param("gclid", strict=strict).alias("gclid"),
         ).alias("traffic_source"),
         F.col("event_timestamp"),
-        string_param("page_location").alias("page_location"),
+        string_param("page_location", strict=strict).alias("page_location"),
     )
 
 
-def with_touch(src: DataFrame) -> DataFrame:
+def with_touch(src: DataFrame, rules=CLICK_ID_RULES) -> DataFrame:
     """P2 applied once per event, before any grouping."""
     ts = F.col("traffic_source")
     return src.withColumn(
         "touch",
         traffic_touch(ts.getField("source"), ts.getField("medium"), ts.getField("campaign"),
-                      ts.getField("gclid"), F.col("page_location")),
+                      ts.getField("gclid"), F.col("page_location"), rules),
     )
 
 
-def session_rollup(src: DataFrame) -> DataFrame:
+def session_rollup(src: DataFrame, rules=CLICK_ID_RULES) -> DataFrame:
     """Group by (session_id, user_pseudo_id, session_start).
 
     Ordering key = (event_timestamp, touch): timestamp ascending as in the
-    source (a NULL timestamp sorts first, as there), the touch itself breaks
-    ties so the pick is deterministic under task retries."""
-    touched = with_touch(src)
+    source (a NULL timestamp sorts first, as there). Among equal timestamps an
+    event with a touch goes before one without, then the touch itself breaks
+    ties, so the pick is deterministic under task retries."""
+    touched = with_touch(src, rules)
     order = F.struct(F.col("event_timestamp"), F.col("touch"))
+    first = F.struct(F.col("event_timestamp"), F.col("touch").isNull(), F.col("touch"))
     return (
         touched.where(F.col("session_id").isNotNull())
         .groupBy(*SESSION_KEYS)
         .agg(
             F.min("date").alias("date"),
-            F.min_by(F.col("touch"), order).alias(FIRST),
+            F.min_by(F.col("touch"), first).alias(FIRST),
             F.max_by(F.col("touch"), F.when(F.col("touch").isNotNull(), order)).alias(LAST),
         )
         .select("date", *SESSION_KEYS, FIRST, LAST)
     )
 
 
-def session_day_partials(src: DataFrame) -> DataFrame:
+def session_day_partials(src: DataFrame, rules=CLICK_ID_RULES) -> DataFrame:
     """Per (session, day) partial state of the roll-up: the day's earliest
     (event_timestamp, touch) and latest non-NULL one. Both are min / max of a
     struct, hence associative: merging the days of a window gives exactly
     ``session_rollup`` of that window's src rows (same order and tie-break)."""
-    touched = with_touch(src)
-    order = F.struct(F.col("event_timestamp").alias("ts"), F.col("touch").alias("touch"))
+    touched = with_touch(src, rules)
+    ts, touch = F.col("event_timestamp").alias("ts"), F.col("touch").alias("touch")
+    order, first = F.struct(ts, touch), F.struct(ts, F.col("touch").isNull().alias("untouched"), touch)
     return (
         touched.where(F.col("session_id").isNotNull())
         .groupBy(*SESSION_KEYS, "date")
-        .agg(F.min(order).alias("first_event"),
+        .agg(F.min(first).alias("first_event"),
              F.max(F.when(F.col("touch").isNotNull(), order)).alias("last_touch_event"))
         .select("date", *SESSION_KEYS, "first_event", "last_touch_event")
     )

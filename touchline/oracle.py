@@ -123,7 +123,8 @@ PREP = """
 ranked AS (
   SELECT *,
     row_number() OVER (PARTITION BY session_id, user_pseudo_id, session_start
-                       ORDER BY event_timestamp ASC) AS rn_first,
+                       ORDER BY event_timestamp ASC NULLS FIRST, has_touch DESC, t_source NULLS FIRST,
+                         t_medium NULLS FIRST, t_campaign NULLS FIRST, t_gclid NULLS FIRST) AS rn_first,
     row_number() OVER (PARTITION BY session_id, user_pseudo_id, session_start
                        ORDER BY has_touch DESC, event_timestamp DESC) AS rn_last
   FROM touch
@@ -357,6 +358,7 @@ SELECT date, {stg_keys}, {_struct_cols('first', 'has_first', 'source medium camp
         "session_traffic_30d_window": _stg_query(2592000),
         "session_traffic_2d": _stg_query(172800),
         "session_traffic_2d_window": _stg_query(172800),
+        "events_flat_extra": f"{_with(RAW, _flat(INIT_WHERE))}\nSELECT {EVENTS_FLAT_COLUMNS}, score, campaign FROM (SELECT flat.*, raw.score, raw.campaign FROM flat JOIN raw ON make_timestamp(raw.event_timestamp) = flat.event_timestamp AND raw.event_name IS NOT DISTINCT FROM flat.event_name AND raw.user_pseudo_id IS NOT DISTINCT FROM flat.user_pseudo_id AND raw.ga_session_id IS NOT DISTINCT FROM flat.ga_session_id)",
         "events_flat": f"{_with(RAW, _flat(INIT_WHERE))}\nSELECT {EVENTS_FLAT_COLUMNS} FROM flat",
         "seconds_since_previous": f"""{_with(RAW, _flat(INIT_WHERE))}
 SELECT event_timestamp, user_pseudo_id, ga_session_id, previous_timestamp FROM flat""",

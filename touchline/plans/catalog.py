@@ -212,6 +212,13 @@ def q_events_flat(spark, sf_dir):
     return flatten_events(init_raw(spark, sf_dir)).select(*cols)
 
 
+def q_events_flat_extra(spark, sf_dir):
+    """The flat events with two further params: a float and a string."""
+    cols = [c for c in FLAT_EVENT_COLUMNS if c not in ("previous_timestamp", "exit_page")]
+    flat = flatten_events(init_raw(spark, sf_dir), extra_params={"score": "float", "campaign": "string"})
+    return flat.select(*cols, "score", "campaign")
+
+
 def _previous(method: str):
     def run(spark, sf_dir):
         out = seconds_since_previous(flatten_events(init_raw(spark, sf_dir)), method)
@@ -251,10 +258,18 @@ def q_shard_point_scan(spark, sf_dir):
 
 # ---------------------------------------------------------------- P14, P15
 def q_channel_grouping(spark, sf_dir):
-    ev = q_events_sessionized(spark, sf_dir)
-    return ev.select("event_timestamp", "session_source", "session_medium", "session_campaign",
-                     channel_group(F.col("session_source"), F.col("session_medium"),
-                                   F.col("session_campaign")).alias("channel"))
+    """Sessions are classified, then their label joins the flat events: the
+    rules run per session, and neither window of the events table is built."""
+    raw = init_raw(spark, sf_dir)
+    label = channel_group(F.col("source"), F.col("medium"), F.col("campaign"))
+    side = session_traffic(event_traffic(raw)).select(
+        F.col("session_id").alias("_session"), F.col("source").alias("session_source"),
+        F.col("medium").alias("session_medium"), F.col("campaign").alias("session_campaign"), label.alias("_channel"))
+    flat = flatten_events(raw).select("session_id", "event_timestamp")
+    none = F.lit(None).cast("string")
+    return flat.join(side, F.col("session_id") == F.col("_session"), "left").select(
+        "event_timestamp", "session_source", "session_medium", "session_campaign",
+        F.coalesce("_channel", channel_group(none, none, none)).alias("channel"))
 
 
 def q_language_name(spark, sf_dir):
@@ -323,6 +338,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_traffic_2d": _stg(SHORT_LOOKBACK, "bucketed"),
     "session_traffic_2d_window": _stg(SHORT_LOOKBACK, "window"),
     "events_flat": q_events_flat,
+    "events_flat_extra": q_events_flat_extra,
     "seconds_since_previous": _previous("bucketed"),
     "seconds_since_previous_window": _previous("window"),
     "exit_flag": _exit("aggregate"),

@@ -20,10 +20,11 @@ from __future__ import annotations
 
 import datetime as dt
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline.functions.dates import (
     LOOKBACK_SECONDS,
@@ -34,20 +35,22 @@ from touchline.functions.dates import (
     shard,
     update_window,
 )
-from touchline.operators.events import build_events
+from touchline.functions.clickids import CLICK_ID_RULES
+from touchline.operators.events import PARAM_TYPES, build_events
 from touchline.operators.items import purchase_items
 from touchline.operators.traffic import event_traffic, merge_session_days, session_day_partials, session_traffic
-from touchline.schema import EVENT_COLUMNS, ITEM_COLUMNS, SRC_COLUMNS, STG_COLUMNS
+from touchline.schema import EVENT_SCHEMA, ITEM_SCHEMA, SESSION_DAY_SCHEMA, SRC_SCHEMA, STG_SCHEMA
 from touchline.sources.raw import scan_shard, scan_shard_range
-from touchline.sources.sinks import overwrite_partitions, read_table, replace_table
-
-
-SESSION_DAY_COLUMNS = ("date", "session_id", "user_pseudo_id", "session_start", "first_event", "last_touch_event")
+from touchline.sources.sinks import read_table, replace_day, replace_table
 
 
 @dataclass(frozen=True)
 class TablePaths:
+    """``extra_params``: event params that the events table has beside the
+    contract columns, by kind ("string", "int" or "float")."""
+
     root: str
+    extra_params: dict[str, str] = field(default_factory=dict)
 
     @property
     def src(self) -> str:
@@ -73,9 +76,11 @@ class TablePaths:
         return os.path.join(self.root, "_session_days")
 
     def read(self, spark: SparkSession, table: str):
-        columns = {"src": SRC_COLUMNS, "stg": STG_COLUMNS, "events": EVENT_COLUMNS, "items": ITEM_COLUMNS,
-                   "session_days": SESSION_DAY_COLUMNS}[table]
-        return read_table(spark, getattr(self, table), columns)
+        schema = {"src": SRC_SCHEMA, "stg": STG_SCHEMA, "events": EVENT_SCHEMA, "items": ITEM_SCHEMA,
+                  "session_days": SESSION_DAY_SCHEMA}[table]
+        if table == "events":
+            schema = T.StructType([*schema, *(T.StructField(k, PARAM_TYPES[v]) for k, v in self.extra_params.items())])
+        return read_table(spark, getattr(self, table), schema)
 
     def register_views(self, spark: SparkSession, prefix: str = "") -> list[str]:
         """Expose the four tables to SQL as temp views src_event_traffic,
@@ -87,52 +92,60 @@ class TablePaths:
 
 
 def init(spark: SparkSession, raw_path: str, root: str, run_date=None, lookback_seconds: int = LOOKBACK_SECONDS,
-         method: str = "bucketed") -> TablePaths:
+         method: str = "bucketed", strict: bool = False, rules=CLICK_ID_RULES,
+         extra_params: dict[str, str] | None = None) -> TablePaths:
     """Replace all four tables from the shards [run_date-33, run_date-3]
-    (run_date defaults to today, UTC)."""
-    paths = TablePaths(root)
+    (run_date defaults to today, UTC). ``strict`` fails on a param key that an
+    event has twice, ``rules`` are the click-id rules, ``extra_params`` further
+    event params for the events table (name: "string", "int" or "float")."""
+    paths = TablePaths(root, extra_params or {})
     start, end = init_window(run_date)
     raw = scan_shard_range(spark, raw_path, start, end)
-    replace_table(event_traffic(raw), paths.src, "date")
+    replace_table(event_traffic(raw, strict), paths.src, "date")
     src = paths.read(spark, "src")
-    replace_table(session_day_partials(src), paths.session_days, "date", rebalance=True)
+    replace_table(session_day_partials(src, rules), paths.session_days, "date", rebalance=True)
     # sessions from the session-day partials (one pass over src, shared with the update path)
     prep = merge_session_days(paths.read(spark, "session_days"))
     replace_table(session_traffic(None, lookback_seconds, method=method, prep=prep), paths.stg, "date",
                   rebalance=True)
     stg = paths.read(spark, "stg")
-    replace_table(build_events(raw, stg, method), paths.events, "event_date", rebalance=True)
-    replace_table(purchase_items(raw), paths.items, "date")
+    events = build_events(raw, stg, method, strict=strict, extra_params=paths.extra_params)
+    replace_table(events, paths.events, "event_date", rebalance=True)
+    # a few percent of the rows: without the exchange each scan task would leave its own small file
+    replace_table(purchase_items(raw), paths.items, "date", rebalance=True)
     return paths
 
 
 def update_day(spark: SparkSession, raw_path: str, root: str, day: str, start: str | None = None,
-               lookback_seconds: int = LOOKBACK_SECONDS, method: str = "bucketed") -> TablePaths:
+               lookback_seconds: int = LOOKBACK_SECONDS, method: str = "bucketed", strict: bool = False,
+               rules=CLICK_ID_RULES, extra_params: dict[str, str] | None = None) -> TablePaths:
     """Load shard ``day`` (yyyyMMdd); stg is recomputed from src over
-    [start, day] (default: the 31 days ending at ``day``)."""
-    paths = TablePaths(root)
+    [start, day] (default: the 31 days ending at ``day``). The day's folder of
+    each table is replaced as a whole. Options as for ``init``."""
+    paths = TablePaths(root, extra_params or {})
     day_date = parse_shard(day)
     if start is None:
         start = shard(day_date - dt.timedelta(days=UPDATE_START_OFFSET_DAYS - UPDATE_DAY_OFFSET_DAYS))
     start_date = parse_shard(start)
     raw_day = scan_shard(spark, raw_path, day)
-    overwrite_partitions(event_traffic(raw_day), paths.src, "date")
+    replace_day(event_traffic(raw_day, strict), paths.src, "date", day_date)
     src_day = paths.read(spark, "src").where(F.col("date") == F.lit(day_date))
-    overwrite_partitions(session_day_partials(src_day), paths.session_days, "date", rebalance=True)
+    replace_day(session_day_partials(src_day, rules), paths.session_days, "date", day_date, rebalance=True)
     # sessions of the window [start, day], from session-day partials
     window = paths.read(spark, "session_days").where(F.col("date").between(F.lit(start_date), F.lit(day_date)))
     stg_day = session_traffic(None, lookback_seconds, keep_date=day_date, method=method,
                               prep=merge_session_days(window))
-    overwrite_partitions(stg_day, paths.stg, "date", rebalance=True)
+    replace_day(stg_day, paths.stg, "date", day_date, rebalance=True)
     stg_day = paths.read(spark, "stg").where(F.col("date") == F.lit(day_date))
-    overwrite_partitions(build_events(raw_day, stg_day, method), paths.events, "event_date", rebalance=True)
-    overwrite_partitions(purchase_items(raw_day), paths.items, "date")
+    events = build_events(raw_day, stg_day, method, strict=strict, extra_params=paths.extra_params)
+    replace_day(events, paths.events, "event_date", day_date, rebalance=True)
+    replace_day(purchase_items(raw_day), paths.items, "date", day_date, rebalance=True)
     return paths
 
 
 def update(spark: SparkSession, raw_path: str, root: str, run_date=None, lookback_seconds: int = LOOKBACK_SECONDS,
-           method: str = "bucketed") -> TablePaths:
+           method: str = "bucketed", **options) -> TablePaths:
     """Daily update for ``run_date``: loads shard run_date-2, re-aggregates
-    src over [run_date-32, run_date-2]."""
+    src over [run_date-32, run_date-2]. Options as for ``init``."""
     start, day = update_window(run_date)
-    return update_day(spark, raw_path, root, day, start, lookback_seconds, method)
+    return update_day(spark, raw_path, root, day, start, lookback_seconds, method, **options)

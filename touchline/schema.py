@@ -142,3 +142,35 @@ SESSION_SOURCE_COLUMNS = ("session_source", "session_medium", "session_campaign"
 EVENT_COLUMNS = FLAT_EVENT_COLUMNS + SESSION_SOURCE_COLUMNS
 
 ITEM_COLUMNS = ("date", "item_name", "item_variant", "item_quantity", "item_revenue")
+
+SESSION_DAY_COLUMNS = ("date", "session_id", "user_pseudo_id", "session_start", "first_event", "last_touch_event")
+
+# Types of the derived tables. Readers pass them on, so a table or day without
+# rows (and so without files) is empty instead of unreadable.
+_BIGINTS = {"session_start", "ga_session_number", "ga_session_id", "entrances", "ecommerce_total_item_quantity",
+            "ecommerce_unique_items", "exit_page", "engagement_time_msec", "item_quantity"}
+_DOUBLES = {"ecommerce_purchase_revenue", "ecommerce_refund_value", "ecommerce_shipping_value", "ecommerce_tax_value",
+            "previous_timestamp", "item_revenue"}
+
+
+def _touch_event(*extra: T.StructField) -> T.StructType:
+    return T.StructType([T.StructField("ts", T.LongType()), *extra, T.StructField("touch", TRAFFIC_STRUCT)])
+
+
+def _table(columns, **types: T.DataType) -> T.StructType:
+    def kind(name: str) -> T.DataType:
+        if name in types:
+            return types[name]
+        if name in ("date", "event_date"):
+            return T.DateType()
+        return T.LongType() if name in _BIGINTS else T.DoubleType() if name in _DOUBLES else T.StringType()
+
+    return T.StructType([T.StructField(c, kind(c)) for c in columns])
+
+
+SRC_SCHEMA = _table(SRC_COLUMNS, traffic_source=TRAFFIC_STRUCT, event_timestamp=T.LongType())
+STG_SCHEMA = _table(STG_COLUMNS)
+EVENT_SCHEMA = _table(EVENT_COLUMNS, event_timestamp=T.TimestampNTZType())
+ITEM_SCHEMA = _table(ITEM_COLUMNS)
+SESSION_DAY_SCHEMA = _table(SESSION_DAY_COLUMNS, last_touch_event=_touch_event(),
+                            first_event=_touch_event(T.StructField("untouched", T.BooleanType())))

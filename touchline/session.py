@@ -2,8 +2,8 @@
 
 Materialised intermediates (raw shard copies, derived tables written by the
 query catalog) go under the folder the cluster names in ``spark.checkpoint.dir``.
-A folder of our own is created only when that setting is unset (local runs and
-tests)."""
+A folder of our own is created only when that setting is unset in local mode
+(tests); on a cluster an unset folder is an error."""
 
 from __future__ import annotations
 
@@ -54,6 +54,8 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir().rstrip("/")
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="touchline-"))
     return sc.getCheckpointDir().rstrip("/")
 

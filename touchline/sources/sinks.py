@@ -1,11 +1,12 @@
 """Derived-table sinks.
 
 * ``replace_table`` - create-or-replace a date-partitioned table.
-* ``overwrite_partitions`` - the daily insert, written as a dynamic partition
-  overwrite: only the days present in the output are replaced, so re-running a
-  day is idempotent instead of duplicating it.
+* ``replace_day`` - the daily insert: the day's folder is replaced as a whole,
+  so re-running a day leaves exactly its new rows, also when there are none
+  (a dynamic partition overwrite would keep the old rows then).
 * ``read_table`` - read back in contract column order (``partitionBy`` moves
-  the partition column last).
+  the partition column last) with the declared schema, which keeps a table or
+  day without rows readable.
 
 ``rebalance=True`` is for outputs of a shuffle (joins, aggregations), whose
 tasks each hold rows of every day: without it a date-partitioned write makes
@@ -15,12 +16,17 @@ each task writes a few reasonably sized files of one day. Outputs of a plain
 scan of day shards are already day-aligned and skip the extra exchange.
 
 Writes go through Spark's commit protocol, so a lost executor only re-runs its
-tasks; readers never see a half-written day.
+tasks and leaves no partial files. An overwrite removes the old files before the
+new ones are committed: readers should not run while a table is replaced.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def _prepare(df: DataFrame, partition_col: str, rebalance: bool) -> DataFrame:
@@ -32,11 +38,13 @@ def replace_table(df: DataFrame, path: str, partition_col: str, rebalance: bool
     return path
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_col: str, rebalance: bool = False) -> str:
-    (_prepare(df, partition_col, rebalance).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+def replace_day(df: DataFrame, path: str, partition_col: str, day: dt.date, rebalance: bool = False) -> str:
+    """Replace the folder of one day; ``df`` holds rows of that day only."""
+    day_rows = df.drop(partition_col)
+    day_rows = day_rows.hint("rebalance") if rebalance else day_rows
+    day_rows.write.mode("overwrite").parquet(os.path.join(path, f"{partition_col}={day.isoformat()}"))
     return path
 
 
-def read_table(spark: SparkSession, path: str, columns) -> DataFrame:
-    return spark.read.parquet(path).select(*columns)
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
