@@ -27,7 +27,7 @@ MARKS = "\x1f\x1e\x1d\x1c\x01\x02\x03"
 JOINED = 2000
 #: Joined texts encoded at once.
 AT_ONCE = 10
-#: Chunks whose ids a worker process remembers.
+#: Chunks whose ids a worker process remembers (about 200 bytes each).
 MEMO = 300_000
 
 
@@ -45,7 +45,8 @@ def _pieces(chunks: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: int = MEMO):
+        self.memo = memo
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -108,7 +109,7 @@ class Encoder:
         own_begins[new], own_lengths[new] = begins + len(self.pool), lengths
         old = np.flatnonzero(at >= 0)
         own_begins[old], own_lengths[old] = self.begins[at[old]], self.lengths[at[old]]
-        room = new[:MEMO - len(self.known)]
+        room = new[:self.memo - len(self.known)]
         if len(room):
             self.known.update(zip(map(texts.__getitem__, room.tolist()), count(len(self.begins))))
             self.begins = np.concatenate([self.begins, own_begins[room]])
@@ -144,6 +145,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    """One per worker process and file."""
-    return Encoder(path)
+def encoder(path: str, memo: int = MEMO) -> Encoder:
+    """One per worker process, file and size of the memo."""
+    return Encoder(path, memo)
