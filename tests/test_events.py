@@ -26,7 +26,8 @@ def test_previous_timestamp_seconds(spark):
     rows = [raw_row(1_000_000, gsid=1), raw_row(3_500_000, gsid=1), raw_row(4_000_000, gsid=2),
             raw_row(9_000_000, gsid=1)]
     for method in ("bucketed", "window"):
-        out = seconds_since_previous(flatten_events(raw_df(spark, rows)), method, bucket_micros=2_000_000)
+        out = seconds_since_previous(flatten_events(raw_df(spark, rows)), method, bucket_micros=2_000_000,
+                                     large_group=2)
         got = rows_of(out, "_us", "previous_timestamp")
         assert got == [(1_000_000, 0.0), (3_500_000, 2.5), (4_000_000, 0.0), (9_000_000, 5.5)], method
 
@@ -65,6 +66,10 @@ def test_bucketed_lag_and_max_match_brute_force_under_skew(spark, seed):
     for width in (37, 1000, 100_000):
         got = {r.rid: r.prev for r in lag_in_groups(df, ["k"], "ts", "prev", width).collect()}
         assert got == expected, width
+        for some in ([None], [1, 3], []):  # whichever groups are split
+            large = spark.createDataFrame([(k,) for k in some], "k int")
+            got = {r.rid: r.prev for r in lag_in_groups(df, ["k"], "ts", "prev", width, large).collect()}
+            assert got == expected, (width, some)
         mx = {r.rid: r.mx for r in max_in_groups(df, ["k"], "ts", "mx", width).collect()}
         assert {r.rid: r.mx for r in max_by_join(df, ["k"], "ts", "mx").collect()} == mx
         gmax = {}
@@ -115,7 +120,7 @@ def test_timestamp_ties_are_ordered_by_event_name(spark):
     rows = [raw_row(1_000_000, gsid=1, name="page_view"), raw_row(3_000_000, gsid=1, name="session_start"),
             raw_row(3_000_000, gsid=1, name="first_visit"), raw_row(3_000_000, gsid=1, name="page_view")]
     for method in ("bucketed", "window"):
-        out = seconds_since_previous(flatten_events(raw_df(spark, rows)), method, bucket_micros=1_000_000)
+        out = seconds_since_previous(flatten_events(raw_df(spark, rows)), method, bucket_micros=1_000_000, large_group=2)
         got = rows_of(out, "_us", "event_name", "previous_timestamp")
         assert got == [(1_000_000, "page_view", 0.0), (3_000_000, "first_visit", 2.0),
                        (3_000_000, "page_view", 0.0), (3_000_000, "session_start", 0.0)], method

@@ -1,14 +1,14 @@
-"""Plan-shape checks: no Python in any registered query, pushdown reaches the
-scan, and the skew-safe windows add no event-level shuffle over the direct
-form."""
+"""Plan-shape checks: no Python in any query of the reference's operators, pushdown
+reaches the scan, and the skew-safe forms move wide rows no more often than they
+say."""
 
 import pytest
 
-import __spark_entry__ as entry_mod
-from touchline.operators.events import event_columns
+from touchline.operators.events import build_events
 from touchline.sources.fixture import driver_raw_events
 from touchline.sources.raw import scan_shard_range
-from touchline.operators.traffic import event_traffic
+from touchline.operators.traffic import event_traffic, session_traffic
+from touchline.plans import catalog
 from touchline.session import scratch_path
 from touchline.sources.raw import write_shards
 
@@ -17,9 +17,9 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry_mod.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_python_evaluation(spark, sf_small, name):
-    plan = _plan(entry_mod.queries()[name](spark, sf_small))
+    plan = _plan(catalog.QUERIES[name](spark, sf_small))
     assert "EvalPython" not in plan and "PythonUDF" not in plan and "MapInPandas" not in plan
 
 
@@ -42,32 +42,43 @@ def _exchanges(df):
     return _plan(df).count("Exchange hashpartitioning")
 
 
-def test_bucketed_windows_keep_one_event_shuffle_each(spark, sf_small):
+def _wide_exchanges(df, wide):
+    """Hash exchanges, in the initial plan, of rows that hold column ``wide``."""
+    exchanges, plan = 0, df._jdf.queryExecution().executedPlan()
+    stack = [plan]
+    while stack:
+        node = stack.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.initialPlan()
+        children = node.children()
+        stack += [children.apply(i) for i in range(children.size())]
+        if node.nodeName() == "Exchange" and "hashpartitioning" in node.toString().split("\n")[0]:
+            exchanges += wide in node.output().mkString(",")
+    return exchanges
+
+
+@pytest.mark.parametrize("large_group", [0, 10**9])
+def test_events_move_twice(spark, sf_small, large_group):
+    """Once for LAG, once for the join with their sessions (less if broadcast)."""
     raw = driver_raw_events(spark, sf_small)
-    window = event_columns(raw, "window")
-    bucketed = event_columns(raw, "bucketed")
-    # direct form: one exchange per window; bucketed adds only small summary exchanges
-    assert _exchanges(window) == 2
-    plan = _plan(bucketed)
-    assert "_bucket" in plan
-
-
-def _final_plan(df):
-    df.collect()
-    return _plan(df).split("== Initial Plan ==")[0]
-
+    stg = session_traffic(event_traffic(raw))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert _wide_exchanges(build_events(raw, stg, large_group=large_group), "page_title") == 2
+        assert _wide_exchanges(build_events(raw, stg, "window"), "page_title") == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
-def test_events_build_scans_raw_twice_and_reuses_the_summary(spark, sf_small):
-    from touchline.plans import catalog
 
-    raw = catalog.init_raw(spark, sf_small)
-    final = _final_plan(event_columns(raw, "bucketed"))
-    assert final.count("FileScan parquet") == 2  # wide rows + one narrow summary scan
-    assert "ReusedExchange" in final  # the summary's exchange serves LAG and the exit flag
+def test_lookback_moves_sessions_once(spark, sf_small):
+    raw = driver_raw_events(spark, sf_small)
+    stg = session_traffic(event_traffic(raw))
+    assert _exchanges(stg) <= 3 and _wide_exchanges(stg, "session_id") == 1
+    assert "Join" not in _plan(stg)
 
 
 def test_rebalance_before_partitioned_write_of_shuffled_output(spark, sf_small):
-    from touchline.plans import catalog
     from touchline.sources.sinks import _prepare
 
     ev = catalog.QUERIES["events_sessionized"](spark, sf_small)

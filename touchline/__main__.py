@@ -15,6 +15,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from touchline.functions.dates import LOOKBACK_SECONDS
+from touchline.operators.events import BUCKET_MICROS, LARGE_GROUP
 from touchline.plans.reporting import init, update, update_day
 from touchline.session import RECOMMENDED_CONF
 
@@ -30,13 +31,18 @@ def main(argv=None) -> int:
     parser.add_argument("--strict", action="store_true", help="fail on a param key that an event has twice")
     parser.add_argument("--extra-param", action="append", default=[], metavar="NAME:KIND",
                         help="further event param for the events table; KIND is string, int or float")
+    parser.add_argument("--large-group", type=int, default=LARGE_GROUP,
+                        help="LAG splits (user, session) groups of more events than this by time")
+    parser.add_argument("--bucket-seconds", type=int, default=BUCKET_MICROS // 1_000_000,
+                        help="width of the time buckets of such groups")
     args = parser.parse_args(argv)
 
     builder = SparkSession.builder.appName(f"touchline-{args.command}")
     for key, value in RECOMMENDED_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    options = {"strict": args.strict, "extra_params": dict(p.rsplit(":", 1) for p in args.extra_param)}
+    options = {"strict": args.strict, "extra_params": dict(p.rsplit(":", 1) for p in args.extra_param),
+               "large_group": args.large_group, "bucket_micros": args.bucket_seconds * 1_000_000}
     if args.command == "init":
         init(spark, args.raw, args.root, args.run_date, args.lookback_seconds, **options)
     elif args.command == "update":

@@ -5,23 +5,27 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.functions.dates import micros_to_timestamp, shard_to_date
 from touchline.functions.params import float_param, int_param, string_or_int_param, string_param
-from touchline.operators.ordered import bucket_summary, lag_in_groups, max_by_join, max_in_groups
+from touchline.operators.ordered import join_keys, lag_in_groups, max_by_join, max_in_groups
 from touchline.operators.traffic import session_key
 from touchline.schema import EVENT_COLUMNS, FLAT_EVENT_COLUMNS
+from touchline.session import materialize
 
 MICROS = "_us"
 # Kinds of extra event params: the lookup and the column type.
 PARAM_KINDS = {"string": string_param, "int": int_param, "float": float_param}
 PARAM_TYPES = {"string": T.StringType(), "int": T.LongType(), "float": T.DoubleType()}
-# LAG bucket width: the largest window task is one (user, session) group's
-# events within one bucket; summary rows are narrow, so a fine width is cheap.
+# (user, session) groups of more events than this are split by time for LAG,
+# into buckets of BUCKET_MICROS. Neither number changes the result.
+LARGE_GROUP = 100_000
 BUCKET_MICROS = 60_000_000
+# A list of large groups is broadcast up to this many rows (some 100 bytes each).
+BROADCAST_GROUPS = 100_000
 
 
 def flatten_events(raw: DataFrame, strict: bool = False, extra_params: dict[str, str] | None = None) -> DataFrame:
@@ -81,26 +85,48 @@ LAG_TIEBREAK = ("event_name",)
 EXIT_KEYS = ["user_pseudo_id", "ga_session_number"]
 
 
+def event_sessions(flat: DataFrame) -> DataFrame:
+    """One row per (user, session id, session number), materialised: its latest
+    timestamp ``_last`` and number of events ``_n``. A narrow scan, combined
+    map-side; it serves the large groups of LAG, the exit flag and the session
+    join."""
+    keys = ["user_pseudo_id", "ga_session_id", "ga_session_number"]
+    return materialize(flat.groupBy(*keys).agg(F.max(MICROS).alias("_last"), F.count(F.lit(1)).alias("_n")))
+
+
 def seconds_since_previous(flat: DataFrame, method: str = "bucketed", bucket_micros: int = BUCKET_MICROS,
-                           summary: DataFrame | None = None) -> DataFrame:
+                           large_group: int = LARGE_GROUP, sessions: DataFrame | None = None) -> DataFrame:
     """(ts - previous ts of the same (user_pseudo_id, ga_session_id)) in
     seconds, 0 for the first event; ties on ts ordered by ``LAG_TIEBREAK``.
+    ``method="bucketed"`` splits groups of more than ``large_group`` events by
+    time; ``sessions`` is their ``event_sessions``, if it is there already.
     ``method="window"`` is the direct LAG."""
     keys = PREVIOUS_KEYS
+    order = [F.col(MICROS).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in LAG_TIEBREAK]
+    direct = F.lag(MICROS).over(Window.partitionBy(*keys).orderBy(*order))
     if method == "window":
-        order = [F.col(MICROS).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in LAG_TIEBREAK]
-        prev = F.lag(MICROS).over(Window.partitionBy(*keys).orderBy(*order))
-        out = flat.withColumn("_prev", prev)
+        out = flat.withColumn("_prev", direct)
     elif method == "bucketed":
-        out = lag_in_groups(flat, keys, MICROS, "_prev", bucket_micros, summary, LAG_TIEBREAK)
+        sessions = event_sessions(flat) if sessions is None else sessions
+        large = sessions.groupBy(*keys).agg(F.sum("_n").alias("_n")).where(F.col("_n") > large_group).select(*keys)
+        large = materialize(large)
+        n = large.count()
+        if n == 0:  # no group needs splitting
+            out = flat.withColumn("_prev", direct)
+        else:
+            large = F.broadcast(large) if n <= BROADCAST_GROUPS else large
+            out = lag_in_groups(flat, keys, MICROS, "_prev", bucket_micros, large, LAG_TIEBREAK)
     else:
         raise ValueError(f"unknown method {method!r}")
     seconds = F.coalesce(F.col(MICROS) - F.col("_prev"), F.lit(0)) / F.lit(1000000)
     return out.withColumn("previous_timestamp", seconds).drop("_prev")
 
 
-def exit_flag(flat: DataFrame, method: str = "aggregate", bucket_micros: int = BUCKET_MICROS,
-              summary: DataFrame | None = None) -> DataFrame:
+def _is_last() -> Column:
+    return F.when(F.col(MICROS) == F.col("_max"), F.lit(1).cast("bigint"))
+
+
+def exit_flag(flat: DataFrame, method: str = "aggregate", bucket_micros: int = BUCKET_MICROS) -> DataFrame:
     """P10: 1 on every event whose timestamp is the max of its
     (user_pseudo_id, ga_session_number) group, else NULL. ``method``:
     "bucketed" (skew-safe: groups split by time bucket, the group max carried
@@ -110,51 +136,64 @@ def exit_flag(flat: DataFrame, method: str = "aggregate", bucket_micros: int = B
     if method == "window":
         out = flat.withColumn("_max", F.max(MICROS).over(Window.partitionBy(*keys)))
     elif method == "bucketed":
-        out = max_in_groups(flat, keys, MICROS, "_max", bucket_micros, summary)
+        out = max_in_groups(flat, keys, MICROS, "_max", bucket_micros)
     elif method == "aggregate":
-        out = max_by_join(flat, keys, MICROS, "_max", summary)
+        out = max_by_join(flat, keys, MICROS, "_max")
     else:
         raise ValueError(f"unknown method {method!r}")
-    flag = F.when(F.col(MICROS) == F.col("_max"), F.lit(1).cast("bigint"))
-    return out.withColumn("exit_page", flag).drop("_max")
+    return out.withColumn("exit_page", _is_last()).drop("_max")
 
 
 def event_columns(raw: DataFrame, method: str = "bucketed", bucket_micros: int = BUCKET_MICROS, strict: bool = False,
-                  extra_params: dict[str, str] | None = None) -> DataFrame:
+                  extra_params: dict[str, str] | None = None, large_group: int = LARGE_GROUP) -> DataFrame:
     """P8 + P9 + P10 in the 36-column order. ``method``: "bucketed" (the
-    skew-safe forms: LAG over time buckets, exit flag as a grouped max joined
-    back) or "window" (both direct windows)."""
+    skew-safe forms: LAG with large groups split, exit flag as a grouped max
+    joined back) or "window" (both direct windows)."""
     if method not in ("bucketed", "window"):
         raise ValueError(f"unknown method {method!r}")
     flat = flatten_events(raw, strict, extra_params)
-    summary = None
-    if method == "bucketed":
-        # One narrow scan + map-side-combined aggregate serves both windows.
-        summary = bucket_summary(flat, ["user_pseudo_id", "ga_session_id", "ga_session_number"], MICROS,
-                                 bucket_micros)
-    flat = seconds_since_previous(flat, method, bucket_micros, summary=summary)
-    flat = exit_flag(flat, "window" if method == "window" else "aggregate", summary=summary)
+    flat = seconds_since_previous(flat, method, bucket_micros, large_group)
+    flat = exit_flag(flat, "window" if method == "window" else "aggregate")
     return flat.select(*FLAT_EVENT_COLUMNS, *(extra_params or {}))
 
 
-def sessionize(events: DataFrame, stg: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
-    """Left join on session_id alone (several stg rows can share one id;
-    the join then fans out, as in the source). The planner picks a broadcast
-    when the stg side is measured small (file size or AQE runtime stats), a
-    sort-merge join otherwise, with AQE splitting skewed session ids."""
-    side = stg.select(
+def _session_side(stg: DataFrame) -> DataFrame:
+    return stg.select(
         F.col("session_id").alias("_stg_session_id"),
         F.col("source").alias("session_source"),
         F.col("medium").alias("session_medium"),
         F.col("campaign").alias("session_campaign"),
         F.col("session_start"),
     )
+
+
+def sessionize(events: DataFrame, stg: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
+    """Left join on session_id alone (several stg rows can share one id;
+    the join then fans out, as in the source). The planner picks a broadcast
+    when the stg side is measured small (file size or AQE runtime stats), a
+    sort-merge join otherwise, with AQE splitting skewed session ids."""
+    side = _session_side(stg)
     joined = events.join(side, events["session_id"] == side["_stg_session_id"], "left")
     return joined.select(*EVENT_COLUMNS, *extra)
 
 
 def build_events(raw: DataFrame, stg: DataFrame, method: str = "bucketed", bucket_micros: int = BUCKET_MICROS,
-                 strict: bool = False, extra_params: dict[str, str] | None = None) -> DataFrame:
+                 strict: bool = False, extra_params: dict[str, str] | None = None,
+                 large_group: int = LARGE_GROUP) -> DataFrame:
     """The 40-column events table: P8-P10, then the session source (P11), then
-    any extra params."""
-    return sessionize(event_columns(raw, method, bucket_micros, strict, extra_params), stg, extra_params or ())
+    any extra params.
+
+    The exit maximum and the session source both hang on the event's session,
+    so they are put together on ``event_sessions`` (with several rows where
+    several stg rows share an id) and the events are joined to that side once."""
+    extra = list(extra_params or ())
+    if method == "window":
+        return sessionize(event_columns(raw, method, bucket_micros, strict, extra_params), stg, extra)
+    flat = flatten_events(raw, strict, extra_params)
+    sessions = event_sessions(flat)
+    timed = seconds_since_previous(flat, method, bucket_micros, large_group, sessions)
+    side = join_keys(sessions, sessions.groupBy(*EXIT_KEYS).agg(F.max("_last").alias("_max")), EXIT_KEYS)
+    of_session = session_key(F.col("user_pseudo_id"), F.col("ga_session_id")) == F.col("_stg_session_id")
+    side = side.join(_session_side(stg), of_session, "left").drop("_last", "_n", "_stg_session_id")
+    joined = join_keys(timed, side, ["user_pseudo_id", "ga_session_id", "ga_session_number"])
+    return joined.withColumn("exit_page", _is_last()).select(*EVENT_COLUMNS, *extra)

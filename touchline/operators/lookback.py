@@ -3,22 +3,23 @@
 The direct form is ``last(v, ignorenulls) OVER (PARTITION BY user ORDER BY
 start RANGE BETWEEN L PRECEDING AND CURRENT ROW)``: one task receives every
 session of a user, and an anonymous (NULL) user can own a third of all
-sessions. Here no group larger than one (user, start) pair - or than one
-(user, day bucket) of distinct starts - ever reaches a single task:
+sessions. Here the rows are split by (user, bucket of the start):
 
-1. ``per_start``: one row per distinct (user, start) with the latest candidate
-   struct(start, value) among its sessions - a plain aggregate, pre-combined
-   map-side, so a hot key costs one partial row per map task.
-2. ``per_bucket``: the same per (user, start bucket).
-3. ``carry``: for each (user, bucket), the latest candidate of the user's
+1. ``per_bucket``: the latest candidate struct(start, value) per (user, bucket)
+   - a plain aggregate over narrow rows, pre-combined map-side.
+2. ``carry``: for each (user, bucket), the latest candidate of the user's
    earlier buckets - a window over (user) on the bucket table, whose size per
    user is bounded by the time span / bucket width, not by traffic.
-4. The carry enters each (user, bucket) partition as a pseudo-row ahead of the
-   real starts; a running max over at most ``bucket_seconds`` distinct starts
-   gives the latest candidate at or before each start.
-5. The candidate counts only when it started within the lookback (RANGE frame
+3. The carry enters each (user, bucket) partition as a pseudo-row ahead of the
+   real starts; a running max up to each start and its peers gives the latest
+   candidate at or before it.
+4. The candidate counts only when it started within the lookback (RANGE frame
    semantics, inclusive); a NULL start sees only its NULL peers.
 
+The rows themselves move once, with all their columns, and nothing is joined
+back. A window task holds one bucket of one user's rows: the session roll-up has
+one row per (user, start), so at most ``bucket_seconds`` of them.
+
 Ties among sessions sharing the latest start are broken by the larger value,
 which is one of the orders the source leaves open.
 """
@@ -28,37 +29,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+BUCKET = "_bucket"
+CANDIDATE = "_candidate"
+PSEUDO = "_pseudo"
+
 
-def latest_touch_within(df: DataFrame, user: str, start: str, value: str, lookback: int,
+def latest_touch_within(df: DataFrame, user: str, start: str, value: str, lookback: int, out: str,
                         bucket_seconds: int = 86400) -> DataFrame:
-    """One row per distinct (user, start) of ``df`` with column ``found``: the
-    latest non-NULL ``value`` among rows of the same user whose start lies in
-    [start - lookback, start]."""
+    """``df`` with column ``out``: the latest non-NULL ``value`` among rows of
+    the same user whose start lies in [start - lookback, start]. ``df`` is read
+    twice, so it should be materialised."""
     cand = F.when(F.col(value).isNotNull(), F.struct(F.col(start).alias("start"), F.col(value).alias("v")))
-    per_start = (
-        df.groupBy(user, start)
-        .agg(F.max(cand).alias("cand"))
-        .withColumn("bucket", F.floor(F.col(start) / F.lit(bucket_seconds)))
-    )
-    # No filter between per_start and its two consumers: the two subtrees stay
-    # identical and Spark reuses one exchange for both.
-    per_bucket = per_start.groupBy(user, "bucket").agg(F.max("cand").alias("bucket_cand"))
-    earlier = Window.partitionBy(user).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    timed = F.when(F.col("bucket").isNotNull(), F.col("bucket_cand"))  # NULL starts never carry
+    rows = df.withColumn(BUCKET, F.floor(F.col(start) / F.lit(bucket_seconds))).withColumn(CANDIDATE, cand)
+    per_bucket = rows.groupBy(user, BUCKET).agg(F.max(CANDIDATE).alias(CANDIDATE))
+    earlier = Window.partitionBy(user).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    timed = F.when(F.col(BUCKET).isNotNull(), F.col(CANDIDATE))  # NULL starts never carry
     carry = (
-        per_bucket.select(user, "bucket", F.max(timed).over(earlier).alias("cand"))
-        .where(F.col("bucket").isNotNull() & F.col("cand").isNotNull())
-        # NULL start sorts ahead of every real start of the bucket.
-        .withColumn(start, F.lit(None).cast("long"))
-        .withColumn("is_carry", F.lit(True))
+        per_bucket.select(user, BUCKET, F.max(timed).over(earlier).alias(CANDIDATE))
+        .where(F.col(BUCKET).isNotNull() & F.col(CANDIDATE).isNotNull())
+        .withColumn(PSEUDO, F.lit(True))
     )
-    rows = per_start.withColumn("is_carry", F.lit(False)).unionByName(carry)
-    running = Window.partitionBy(user, "bucket").orderBy(F.col(start).asc_nulls_first(), F.col("is_carry").desc()) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    best = F.col("best")
+    # The pseudo-row's NULL start sorts ahead of every real start of its bucket;
+    # the RANGE frame takes in all rows that share the current start.
+    running = (Window.partitionBy(user, BUCKET).orderBy(F.col(start).asc_nulls_first())
+               .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    best = F.col("_best")
     within = F.col(start).isNull() | (best.getField("start") >= F.col(start) - F.lit(lookback))
     return (
-        rows.withColumn("best", F.max("cand").over(running))
-        .where(~F.col("is_carry"))
-        .select(user, start, F.when(within, best.getField("v")).alias("found"))
+        rows.withColumn(PSEUDO, F.lit(False)).unionByName(carry, allowMissingColumns=True)
+        .withColumn("_best", F.max(CANDIDATE).over(running))
+        .where(~F.col(PSEUDO))
+        .withColumn(out, F.when(within, best.getField("v")))
+        .drop(BUCKET, CANDIDATE, PSEUDO, "_best")
     )

@@ -7,16 +7,16 @@ the row (``floor(ts / width)``) and carry what the other buckets contribute as
 a pseudo-row:
 
 * lag: the pseudo-row holds the max timestamp of the previous non-empty bucket
-  of the group, so the first real row of a bucket lags onto it;
+  of the group, so the first real row of a bucket lags onto it. Only groups
+  that the caller lists as ``large`` are split; all others stay whole, in one
+  bucket, and need no summary;
 * group max: the pseudo-row holds the max over all buckets of the group.
 
 The per-bucket summaries are plain aggregates (pre-combined map-side) over a
 narrow projection. Each helper costs one shuffle of the event rows, as the
 direct window does; a task then holds at most one bucket of one group's rows,
 or - in the window over a group's summaries - one narrow row per bucket of the
-group (bounded by the time span / width, not by traffic). Callers that need
-several groupings of the same rows pass one finer ``summary`` (keys +
-``_bucket`` + ``_bucket_max``) so the rows are scanned for it only once.
+group (bounded by the time span / width, not by traffic).
 
 ``max_by_join`` is the unbucketed alternative for the group max: a grouped
 max joined back NULL-safe, whose hot keys are left to AQE's skew-join split.
@@ -30,51 +30,63 @@ from pyspark.sql import functions as F
 BUCKET = "_bucket"
 BUCKET_MAX = "_bucket_max"
 PSEUDO = "_pseudo"
+_LARGE = "_large"
 
 
 def bucket_of(ts: str, width: int):
     return F.floor(F.col(ts) / F.lit(width))
 
 
-def bucket_summary(df: DataFrame, keys: list[str], ts: str, width: int, value: str | None = None) -> DataFrame:
-    """max(value) per (keys, bucket of ts) - pre-combined map-side."""
-    return df.groupBy(*keys, bucket_of(ts, width).alias(BUCKET)).agg(F.max(value or ts).alias(BUCKET_MAX))
-
-
-def _coarsen(summary: DataFrame, keys: list[str]) -> DataFrame:
-    return summary.groupBy(*keys, BUCKET).agg(F.max(BUCKET_MAX).alias(BUCKET_MAX))
+def bucket_summary(df: DataFrame, keys: list[str], ts: str, width: int) -> DataFrame:
+    """max(ts) per (keys, bucket of ts) - pre-combined map-side."""
+    return df.groupBy(*keys, bucket_of(ts, width).alias(BUCKET)).agg(F.max(ts).alias(BUCKET_MAX))
 
 
 def lag_in_groups(df: DataFrame, keys: list[str], ts: str, out: str, width: int,
-                  summary: DataFrame | None = None, tiebreak: tuple[str, ...] = ()) -> DataFrame:
+                  large: DataFrame | None = None, tiebreak: tuple[str, ...] = ()) -> DataFrame:
     """``out`` = LAG(ts) OVER (PARTITION BY keys ORDER BY ts, *tiebreak); NULL
     on the group's first row. NULL keys form groups; NULL ts rows sort first.
     Rows sharing ts stay in one bucket, so ties are ordered as in the direct
-    window."""
-    summary = bucket_summary(df, keys, ts, width) if summary is None else _coarsen(summary, keys)
+    window. ``large``: the groups to split by time bucket, one row of the keys
+    each (None: all). Which groups are split doesn't change the result."""
+    bucket = bucket_of(ts, width)
+    if large is None:
+        rows = df.withColumn(BUCKET, bucket)
+        split = df
+    else:
+        rows = (join_keys(df, large.withColumn(_LARGE, F.lit(True)), keys)
+                .withColumn(BUCKET, F.when(F.col(_LARGE), bucket)).drop(_LARGE))
+        split = join_keys(df.select(*keys, ts), large, keys, "left_semi")
+    summary = bucket_summary(split, keys, ts, width)
     by_bucket = Window.partitionBy(*keys).orderBy(F.col(BUCKET).asc_nulls_first())
     carry = (
         summary.select(*keys, BUCKET, F.lag(BUCKET_MAX).over(by_bucket).alias(ts))
         .where(F.col(ts).isNotNull())
         .withColumn(PSEUDO, F.lit(True))
     )
-    rows = df.withColumn(BUCKET, bucket_of(ts, width)).withColumn(PSEUDO, F.lit(False))
     within = Window.partitionBy(*keys, BUCKET).orderBy(
         F.col(ts).asc_nulls_first(), F.col(PSEUDO).desc(), *[F.col(c).asc_nulls_first() for c in tiebreak])
     return (
-        rows.unionByName(carry, allowMissingColumns=True)
+        rows.withColumn(PSEUDO, F.lit(False)).unionByName(carry, allowMissingColumns=True)
         .withColumn(out, F.lag(ts).over(within))
         .where(~F.col(PSEUDO))
         .drop(BUCKET, PSEUDO)
     )
 
 
-def max_in_groups(df: DataFrame, keys: list[str], value: str, out: str, width: int,
-                  summary: DataFrame | None = None) -> DataFrame:
+def join_keys(df: DataFrame, side: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join on ``keys``, NULL-safe, keeping the keys of ``df``."""
+    renamed = [f"_key{i}" for i in range(len(keys))]
+    side = side.withColumnsRenamed(dict(zip(keys, renamed)))
+    same = [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)]
+    return df.join(side, same, how).drop(*renamed)
+
+
+def max_in_groups(df: DataFrame, keys: list[str], value: str, out: str, width: int) -> DataFrame:
     """``out`` = MAX(value) OVER (PARTITION BY keys); rows are bucketed by
     ``value`` itself, the pseudo-row of each (keys, bucket) carries the max of
     the whole group (a window over the group's bucket summaries)."""
-    summary = bucket_summary(df, keys, value, width) if summary is None else _coarsen(summary, keys)
+    summary = bucket_summary(df, keys, value, width)
     carry = (
         summary.select(*keys, BUCKET, F.max(BUCKET_MAX).over(Window.partitionBy(*keys)).alias(value))
         .where(F.col(value).isNotNull())
@@ -89,21 +101,10 @@ def max_in_groups(df: DataFrame, keys: list[str], value: str, out: str, width: i
     )
 
 
-def max_by_join(df: DataFrame, keys: list[str], value: str, out: str,
-                summary: DataFrame | None = None) -> DataFrame:
+def max_by_join(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
     """``out`` = MAX(value) OVER (PARTITION BY keys), as a grouped aggregate
     (pre-combined map-side) joined back on the keys, NULL-safe. No ordering is
     needed, so nothing is bucketed: a hot group costs one partial row per map
     task in the aggregate, and in the join AQE's skew handling splits the
     event side of a hot key while the aggregate side has one row per key."""
-    if summary is None:
-        agg = df.groupBy(*keys).agg(F.max(value).alias(out))
-    else:
-        agg = summary.groupBy(*keys).agg(F.max(BUCKET_MAX).alias(out))
-    renamed = [f"_key{i}" for i in range(len(keys))]
-    agg = agg.select(*[F.col(k).alias(r) for k, r in zip(keys, renamed)], out)
-    cond = None
-    for k, r in zip(keys, renamed):
-        c = df[k].eqNullSafe(agg[r])
-        cond = c if cond is None else cond & c
-    return df.join(agg, cond, "left").drop(*renamed)
+    return join_keys(df, df.groupBy(*keys).agg(F.max(value).alias(out)), keys)

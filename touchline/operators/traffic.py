@@ -9,11 +9,11 @@ Stages and their shuffles:
    before it is shuffled.
 3. ``lookback_fill`` - first touch, else the latest non-NULL last touch of the
    same user within ``lookback`` seconds (RANGE frame, current row included).
-   ``method="bucketed"`` (default, ``operators.lookback``) works on distinct
-   (user, start) pairs: no task holds more than one (user, day) bucket of
-   distinct starts or one row per day of a user's summaries, however many
-   sessions the user has; ``method="window"`` is the direct RANGE window (one
-   task per user), kept as the readable specification.
+   ``method="bucketed"`` (default, ``operators.lookback``) splits a user's
+   sessions by day: no task holds more than one (user, day) bucket of sessions
+   or one row per day of a user's summaries, however many sessions the user
+   has; ``method="window"`` is the direct RANGE window (one task per user), kept
+   as the readable specification.
 4. ``session_traffic`` - defaults ``(direct)`` / ``(none)`` / ``(not set)``.
 
 ``session_day_partials`` / ``merge_session_days`` split step 2 into a per
@@ -145,20 +145,9 @@ def lookback_fill(prep: DataFrame, lookback_seconds: int = LOOKBACK_SECONDS, met
         return prep.select("date", *SESSION_KEYS, F.coalesce(F.col(FIRST), found).alias(FILLED))
     if method != "bucketed":
         raise ValueError(f"unknown lookback method {method!r}")
-    latest = latest_touch_within(prep, "user_pseudo_id", "session_start", LAST, lookback_seconds, bucket_seconds)
-    return _fill_with(prep, latest)
-
-
-def _fill_with(prep: DataFrame, latest: DataFrame) -> DataFrame:
-    """Left-join the per-(user, start) lookback answer back onto the sessions.
-    Null-safe keys: NULL users / NULL starts are groups of their own."""
-    p, l = prep.alias("p"), latest.alias("l")
-    cond = (F.col("p.user_pseudo_id").eqNullSafe(F.col("l.user_pseudo_id"))
-            & F.col("p.session_start").eqNullSafe(F.col("l.session_start")))
-    return p.join(l, cond, "left").select(
-        "p.date", "p.session_id", "p.user_pseudo_id", "p.session_start",
-        F.coalesce(F.col(f"p.{FIRST}"), F.col("l.found")).alias(FILLED),
-    )
+    found = latest_touch_within(prep, "user_pseudo_id", "session_start", LAST, lookback_seconds, "_found",
+                                bucket_seconds)
+    return found.select("date", *SESSION_KEYS, F.coalesce(F.col(FIRST), F.col("_found")).alias(FILLED))
 
 
 def session_traffic(src: DataFrame, lookback_seconds: int = LOOKBACK_SECONDS, keep_date=None,
@@ -171,7 +160,7 @@ def session_traffic(src: DataFrame, lookback_seconds: int = LOOKBACK_SECONDS, ke
     unused and may be None."""
     prep = session_rollup(src) if prep is None else prep
     if method == "bucketed":
-        # The session roll-up feeds the lookback summaries and the final join;
+        # The session roll-up feeds the lookback summaries and the rows they meet;
         # computing it once beats re-scanning src and re-shuffling per branch.
         prep = materialize(prep)
     filled = lookback_fill(prep, lookback_seconds, method, bucket_seconds)

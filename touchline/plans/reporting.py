@@ -36,7 +36,7 @@ from touchline.functions.dates import (
     update_window,
 )
 from touchline.functions.clickids import CLICK_ID_RULES
-from touchline.operators.events import PARAM_TYPES, build_events
+from touchline.operators.events import BUCKET_MICROS, LARGE_GROUP, PARAM_TYPES, build_events
 from touchline.operators.items import purchase_items
 from touchline.operators.traffic import event_traffic, merge_session_days, session_day_partials, session_traffic
 from touchline.schema import EVENT_SCHEMA, ITEM_SCHEMA, SESSION_DAY_SCHEMA, SRC_SCHEMA, STG_SCHEMA
@@ -93,11 +93,13 @@ class TablePaths:
 
 def init(spark: SparkSession, raw_path: str, root: str, run_date=None, lookback_seconds: int = LOOKBACK_SECONDS,
          method: str = "bucketed", strict: bool = False, rules=CLICK_ID_RULES,
-         extra_params: dict[str, str] | None = None) -> TablePaths:
+         extra_params: dict[str, str] | None = None, bucket_micros: int = BUCKET_MICROS,
+         large_group: int = LARGE_GROUP) -> TablePaths:
     """Replace all four tables from the shards [run_date-33, run_date-3]
     (run_date defaults to today, UTC). ``strict`` fails on a param key that an
     event has twice, ``rules`` are the click-id rules, ``extra_params`` further
-    event params for the events table (name: "string", "int" or "float")."""
+    event params for the events table (name: "string", "int" or "float");
+    ``bucket_micros`` and ``large_group`` tune LAG (see ``operators.events``)."""
     paths = TablePaths(root, extra_params or {})
     start, end = init_window(run_date)
     raw = scan_shard_range(spark, raw_path, start, end)
@@ -109,7 +111,7 @@ def init(spark: SparkSession, raw_path: str, root: str, run_date=None, lookback_
     replace_table(session_traffic(None, lookback_seconds, method=method, prep=prep), paths.stg, "date",
                   rebalance=True)
     stg = paths.read(spark, "stg")
-    events = build_events(raw, stg, method, strict=strict, extra_params=paths.extra_params)
+    events = build_events(raw, stg, method, bucket_micros, strict, paths.extra_params, large_group)
     replace_table(events, paths.events, "event_date", rebalance=True)
     # a few percent of the rows: without the exchange each scan task would leave its own small file
     replace_table(purchase_items(raw), paths.items, "date", rebalance=True)
@@ -118,7 +120,8 @@ def init(spark: SparkSession, raw_path: str, root: str, run_date=None, lookback_
 
 def update_day(spark: SparkSession, raw_path: str, root: str, day: str, start: str | None = None,
                lookback_seconds: int = LOOKBACK_SECONDS, method: str = "bucketed", strict: bool = False,
-               rules=CLICK_ID_RULES, extra_params: dict[str, str] | None = None) -> TablePaths:
+               rules=CLICK_ID_RULES, extra_params: dict[str, str] | None = None,
+               bucket_micros: int = BUCKET_MICROS, large_group: int = LARGE_GROUP) -> TablePaths:
     """Load shard ``day`` (yyyyMMdd); stg is recomputed from src over
     [start, day] (default: the 31 days ending at ``day``). The day's folder of
     each table is replaced as a whole. Options as for ``init``."""
@@ -137,7 +140,7 @@ def update_day(spark: SparkSession, raw_path: str, root: str, day: str, start: s
                               prep=merge_session_days(window))
     replace_day(stg_day, paths.stg, "date", day_date, rebalance=True)
     stg_day = paths.read(spark, "stg").where(F.col("date") == F.lit(day_date))
-    events = build_events(raw_day, stg_day, method, strict=strict, extra_params=paths.extra_params)
+    events = build_events(raw_day, stg_day, method, bucket_micros, strict, paths.extra_params, large_group)
     replace_day(events, paths.events, "event_date", day_date, rebalance=True)
     replace_day(purchase_items(raw_day), paths.items, "date", day_date, rebalance=True)
     return paths
