@@ -116,6 +116,18 @@ def test_decontamination(spark, rows, none):
     assert decontam.decontaminate(rows, table).count() == len(ROWS)
 
 
+def test_item_groups_are_bounded_though_one_item_repeats(spark):
+    rows = [(1, "same words in every copy")] * 40 + [(i, f"item number {i} " * (i % 5)) for i in range(2, 30)]
+    rows += [(99, "long " * 300), (100, None), (None, "no id")]
+    table = spark.createDataFrame(rows, "item_id long, text string").repartition(4)
+    groups = list(decontam.item_groups(table, "item_id", "text", None, group_bytes=1000))
+    cost = lambda g: sum(decontam.ITEM_BYTES + len(" ".join(q + a)) for _, q, a in g)
+    assert len(groups) > 4 and all(cost(g[1:]) <= 1000 or cost(g) <= 2600 for g in groups)
+    got = [(i, " ".join(q + a)) for g in groups for i, q, a in g]
+    assert sorted(got, key=str) == sorted(((i, " ".join(t.split())) for i, t in rows if t and t.split()), key=str)
+    assert list(decontam.item_groups(table.where("false"), "item_id", "text", None)) == [[]]
+
+
 def test_wand_returns_all_above_threshold():
     rng = random.Random(3)
     words = [f"w{i}" for i in range(60)]
@@ -239,6 +251,14 @@ def test_warc(spark):
     assert warc.merge_runs(warc.write_archives(df.where("false"))).count() == 0
 
 
+def test_warc_ranges_split_captures_that_share_their_key(spark):
+    df = spark.range(200).select((F.col("id") % 2).alias("page_id"), F.lit("http://b.com/").alias("url"),
+                                 F.lit("same").alias("html"), F.timestamp_seconds(F.lit(1)).alias("ts")).repartition(20)
+    index = warc.merge_runs(warc.write_archives(df), range_entries=10)
+    assert index.groupBy("part").count().agg(F.max("count")).first()[0] < 100
+    assert [r.id for r in index.orderBy("part", "pos").collect()] == [0] * 100 + [1] * 100
+
+
 def test_loser_tree():
     rng = random.Random(1)
     for k in (0, 1, 2, 3, 7, 16, 33):

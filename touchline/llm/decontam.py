@@ -19,9 +19,9 @@ A hit counts if, near the passage, at least ``overlap`` of the five-word shingle
 of the item's question and of its answer occur. Without an answer column the
 first half of the item's words is its question and the rest its answer.
 
-The items are the stated query set. They are indexed in groups of GROUP_ITEMS
-(chosen by a hash, each bounded in size) and every group meets all documents;
-the documents are never shuffled or gathered.
+The items are the stated query set. They are indexed in groups of at most
+GROUP_BYTES (or one larger item), cut from the running sum of their sizes, and
+every group meets all documents; the documents are never shuffled or gathered.
 
 Nulls and ties: null or wordless texts and items match nothing; null ids stay
 null; repeated documents are reported repeatedly, repeated items each; empty
@@ -36,12 +36,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from touchline.llm.common import col, fresh_name, slices
+from touchline.llm.common import col, fresh_name, prefix_sums, slices, stored
 
 K1, B = 1.2, 0.75
 PART_WORDS = 64
@@ -51,7 +51,9 @@ THRESHOLD = 0.6
 OVERLAP = 0.5
 SHINGLE = 5
 BLOCK = 4
-GROUP_ITEMS = 20_000
+GROUP_BYTES = 8 << 20
+#: What an item counts beside its text.
+ITEM_BYTES = 64
 #: Cells (stretches of STRIDE words x blocks) of the bound table held at once.
 CELLS = 1 << 20
 
@@ -235,22 +237,33 @@ class ItemIndex:
 
 
 def item_groups(items: DataFrame, id_col: str, text_col: str, answer_col: str | None,
-                group_items: int = GROUP_ITEMS) -> Iterator[list[tuple]]:
-    """The items in groups of about ``group_items``, one at a time on the driver."""
+                group_bytes: int = GROUP_BYTES) -> Iterator[list[tuple]]:
+    """The items in groups of at most ``group_bytes``, one at a time on the
+    driver. Repeated items count each, so many copies of one make no large group."""
     answer = col(items, answer_col).cast("string") if answer_col else F.lit(None).cast("string")
     rows = items.select(col(items, id_col).alias("item_id"), col(items, text_col).cast("string").alias("text"),
                         answer.alias("answer"))
-    n = max(1, math.ceil(rows.count() / group_items))
-    for k in range(n):
-        part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k
+    size = ITEM_BYTES + sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in ("text", "answer"))
+    rows = stored(rows.withColumns({"_row": F.monotonically_increasing_id(), "_size": size.cast("long")}), "items")
+    rows = rows.withColumn("_pid", F.shiftright("_row", 33))
+    before = prefix_sums(rows.groupBy("_pid").agg(F.sum("_size").alias("_sum")), "_pid", "_sum", "_before")
+    upto = F.sum("_size").over(Window.partitionBy("_pid").orderBy("_row"))
+    # by where an item ends: the sizes of a group's items sum to at most group_bytes, apart from its first
+    place = F.floor((F.col("_before") + upto - 1) / group_bytes).alias("_group")
+    rows = stored(rows.join(before.select("_pid", "_before"), "_pid").select("item_id", "text", "answer", place),
+                  "item-groups", "_group")
+    last = rows.agg(F.max("_group")).first()[0]
+    for k in range(1 if last is None else last + 1):
+        part = F.col("_group") == k
         group = []
-        for item, text, answer in rows.where(part).orderBy("item_id", "text").collect():  # bounded by group_items
+        for item, text, answer, _ in rows.where(part).orderBy("item_id", "text").collect():  # bounded by group_bytes
             words = [[w for w in x if w] for x in words_of(pa.array([text, answer], pa.string())).to_pylist()]
             half = math.ceil(len(words[0]) / 2)
             question, reply = (words[0], words[1]) if answer is not None else (words[0][:half], words[0][half:])
             if question or reply:
                 group.append((item, question, reply))
-        yield group
+        if group or not k:
+            yield group
 
 
 def find_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -150,11 +150,11 @@ def thresholds(sketch: DataFrame, fence: float = FENCE, min_rows: int = MIN_ROWS
         return both.groupBy(*keys).agg(F.max("n").alias("n" + suffix), *(
             F.max(F.when(F.col("ratio") == r, F.col("_limit"))).alias(r + suffix) for r in spreads))
 
-    own, of_lang, of_all = limits(["lang", "source"], "0"), limits(["lang"], "1"), limits([], "2")
-    of_lang = of_lang.withColumnRenamed("lang", "_lang")
-    joined = own.join(of_lang, own["lang"].eqNullSafe(of_lang["_lang"])).crossJoin(F.broadcast(of_all))  # one row
+    own, of_lang = limits(["lang", "source"], "0"), limits(["lang"], "1").withColumnRenamed("lang", "_lang")
+    of_all = limits([], "2").first()  # one row: a limit per ratio
+    joined = own.join(of_lang, own["lang"].eqNullSafe(of_lang["_lang"]))
     pick = lambda r: (F.when(F.col("n0") >= min_rows, F.col(r + "0"))
-                      .when(F.col("n1") >= min_rows, F.col(r + "1")).otherwise(F.col(r + "2")))
+                      .when(F.col("n1") >= min_rows, F.col(r + "1")).otherwise(F.lit(of_all[r + "2"]).cast("double")))
     return joined.select("lang", "source", *(pick(r).alias("most_" + r) for r in spreads))
 
 

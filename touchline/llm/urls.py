@@ -42,8 +42,10 @@ BLOCK_WORDS = ("casino", "casino-win", "free-bets", "sports-bets", "poker", "jac
 ALLOW_WORDS = ("library", "university", "weather", "recipes", "history", "museum", "garden", "travel-notes",
                "science", "physics", "news", "daily-news", "journal", "health", "music", "theatre", "school",
                "mathematics", "photography", "cycling", "railway", "architecture", "astronomy", "novels", "poetry",
-               "software", "open-data", "parliament", "harbour", "mountain", "thering", "enheit", "eauton", "cioness",
-               "another", "tion", "nation", "others", "there", "within")
+               "software", "open-data", "parliament", "harbour", "mountain", "gathering", "education", "together",
+               "within", "zeitung", "gesundheit", "wissenschaft", "bibliothek", "kirchen", "rechte", "bateaux",
+               "cuisine", "communication", "voyages", "sciences", "estacion", "ciudad", "noticias", "historia",
+               "canciones")
 HOSTS = ("{w}.example.com", "www.{w}.example.com", "{w}.example.org", "m.{w}.example.net", "blog.{w}.example.com")
 PATHS = ("/en/12", "/de/804", "/fr/77/", "/es/350.html", "")
 

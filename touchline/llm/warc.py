@@ -6,11 +6,13 @@ id. Each file's index entries, ordered by (URL key, timestamp, id), are one
 sorted run.
 
 Method: external index merge. The runs are range-partitioned by (URL key,
-timestamp, id); in each range the pieces of the runs, still sorted, meet in a
-k-way loser-tree merge. Ranges follow one another, so the stored index is
-globally ordered and lists each URL's captures in time order; a URL with a third
-of all captures is split over ranges by time. Memory per task is bounded by one
-range of index entries, payloads are not in them.
+timestamp, id, run and place in it); in each range the pieces of the runs, still
+sorted, meet in a k-way loser-tree merge. Ranges follow one another, so the
+stored index is globally ordered and lists each URL's captures in time order; a
+URL with a third of all captures is split over ranges by time, and captures that
+share time and id too by their runs. Ranges number one for each ``RANGE_ENTRIES``
+entries at least, so a task's memory does not grow with the index; payloads are
+not in it.
 
 Archive files have names of their own per task attempt; only files named by the
 committed index count, so lost executors leave at worst unreferenced files.
@@ -42,6 +44,8 @@ from touchline.session import scratch_path
 FILE_BYTES = 256 << 20
 FLUSH_BYTES = 2 << 20
 LEVEL = 6
+#: Index entries of one range, about.
+RANGE_ENTRIES = 250_000
 ENTRY = ("url_key string, ts string, id long, record_type string, payload_digest string, run string, run_pos long, "
          "file string, byte_offset long, byte_length long")
 NO_ID = "ffffffff-ffff-ffff-ffff-ffffffffffff"
@@ -193,12 +197,15 @@ class LoserTree:
             self._play(i)
 
 
-def merge_runs(runs: DataFrame) -> DataFrame:
+def merge_runs(runs: DataFrame, range_entries: int = RANGE_ENTRIES) -> DataFrame:
     """The globally ordered index: all entries plus (part, pos), whose order is
-    that of (URL key, timestamp, id), stored in that order."""
+    that of (URL key, timestamp, id), stored in that order. ``runs`` is a stored
+    table, as ``write_archives`` returns it."""
     names = [f.split()[0] for f in ENTRY.split(", ")]
-    key = [F.col("url_key"), F.col("ts"), F.col("id").asc_nulls_last()]
-    ranged = runs.repartitionByRange(*key).sortWithinPartitions("run", "run_pos").select(*names)
+    key = [F.col("url_key"), F.col("ts"), F.col("id").asc_nulls_last(), F.col("run"), F.col("run_pos")]
+    ranges = max(int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+                 -(-runs.count() // range_entries))
+    ranged = runs.repartitionByRange(ranges, *key).sortWithinPartitions("run", "run_pos").select(*names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
