@@ -107,9 +107,12 @@ def seconds_since_previous(flat: DataFrame, method: str = "bucketed", bucket_mic
     if method == "window":
         out = flat.withColumn("_prev", direct)
     elif method == "bucketed":
-        sessions = event_sessions(flat) if sessions is None else sessions
-        large = sessions.groupBy(*keys).agg(F.sum("_n").alias("_n")).where(F.col("_n") > large_group).select(*keys)
-        large = materialize(large)
+        if sessions is None:
+            counts = flat.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        else:
+            counts = sessions.groupBy(*keys).agg(F.sum("_n").alias("_n"))
+        large = counts.where(F.col("_n") > large_group).select(*keys)
+        large = materialize(large) if sessions is None else large  # one pass over the events
         n = large.count()
         if n == 0:  # no group needs splitting
             out = flat.withColumn("_prev", direct)
