@@ -19,6 +19,14 @@ A hit counts if, near the passage, at least ``overlap`` of the five-word shingle
 of the item's question and of its answer occur. Without an answer column the
 first half of the item's words is its question and the rest its answer.
 
+No score is a safe bound for that: part of an item, or an edited or stretched
+copy, can reach the overlap by words of little impact or spread over several
+passages. So passages near an item's marks are checked too, whatever they score.
+Marks are the rarest shingles of one side, so many that a text without any of
+them cannot reach the overlap. The overlap alone thus decides (unless it is 0);
+``threshold`` is where the index search stops. Of all passages that count, the
+one with the highest score is reported.
+
 The items are the stated query set. They are indexed in groups of at most
 GROUP_BYTES (or one larger item), cut from the running sum of their sizes, and
 every group meets all documents; the documents are never shuffled or gathered.
@@ -47,7 +55,7 @@ K1, B = 1.2, 0.75
 PART_WORDS = 64
 STRIDE = 32
 WINDOW = PART_WORDS + STRIDE
-THRESHOLD = 0.6
+THRESHOLD = 0.5
 OVERLAP = 0.5
 SHINGLE = 5
 BLOCK = 4
@@ -69,6 +77,14 @@ def _shingles(words: list) -> list[tuple]:
     return [tuple(words[i:i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))] if words else []
 
 
+def _codes(words: list[np.ndarray]) -> np.ndarray:
+    """A number per row of the columns ``words``: equal rows have equal ones."""
+    out = np.zeros(len(words[0]), np.uint64)
+    for w in words:
+        out = out * np.uint64(0x9E3779B97F4A7C15) + w.astype(np.uint64)
+    return out
+
+
 class ItemIndex:
     """Block-max inverted index over the parts of a bounded group of items.
     ``items``: (item_id, question words, answer words)."""
@@ -86,6 +102,8 @@ class ItemIndex:
             n = math.ceil(len(words) / PART_WORDS)
             parts += [(k, words[j * len(words) // n:(j + 1) * len(words) // n]) for j in range(n)]
         self.part_item = [k for k, _ in parts]
+        self.impacts: list[dict[int, float]] = []
+        self.item_parts: dict[int, list[int]] = defaultdict(list)
         self.postings: dict[int, tuple[list[int], list[float]]] = defaultdict(lambda: ([], []))
         frequency = Counter(t for _, words in parts for t in set(words))
         mean = sum(len(w) for _, w in parts) / max(1, len(parts))
@@ -96,6 +114,8 @@ class ItemIndex:
             for t, x in impact.items():
                 self.postings[t][0].append(p)
                 self.postings[t][1].append(x / whole)
+            self.impacts.append({t: x / whole for t, x in impact.items()})
+            self.item_parts[self.part_item[p]].append(p)
         self.most = {t: max(x) for t, (_, x) in self.postings.items()}
         self.block_most = {}
         for t, (at, x) in self.postings.items():
@@ -104,6 +124,69 @@ class ItemIndex:
                 best[p // BLOCK] = max(v, best.get(p // BLOCK, 0.0))
             self.block_most[t] = best
         self._bounds(len(parts))
+        self._mark()
+
+    def _mark(self) -> None:
+        """``marks``: per shingle length the sorted codes of the marks and the
+        items of each."""
+        frequency = Counter(s for question, answer, _ in self.checks for s in {*question, *answer})
+        held: dict[int, dict[tuple, list[int]]] = defaultdict(lambda: defaultdict(list))
+        for k, (question, answer, _) in enumerate(self.checks):
+            sides = []
+            for side in (question, answer):
+                spare = len(side) - sum(c / len(side) < self.overlap for c in range(len(side) + 1)) if side else 0
+                if not side or spare == len(side):
+                    continue  # reached without any shingle
+                own = []
+                for s, n in sorted(Counter(side).items(), key=lambda x: frequency[x[0]]):
+                    own.append(s)
+                    spare -= n
+                    if spare < 0:
+                        break
+                sides.append(own)
+            for s in min(sides, key=lambda own: (-len(own[0]), sum(frequency[s] for s in own)), default=()):
+                held[len(s)][s].append(k)
+        self.marks = {}
+        for size, marks in held.items():
+            codes = _codes(list(np.array(list(marks), np.int64).T))
+            order = np.argsort(codes, kind="stable")
+            lists = list(marks.values())
+            self.marks[size] = codes[order], [lists[i] for i in order.tolist()]
+
+    def _marked(self, term: np.ndarray, ends: np.ndarray) -> dict[tuple[int, int], set[int]]:
+        """(text, item): first words of the passages near one of the item's marks."""
+        found: dict[tuple[int, int], set[int]] = defaultdict(set)
+        for size, (codes, lists) in self.marks.items():
+            begins = np.flatnonzero(term >= 0)
+            for j in range(1, size):
+                begins = begins[begins + j < len(term)]
+                begins = begins[term[begins + j] >= 0]
+            text = np.searchsorted(ends, begins, "right") - 1
+            whole = begins + size <= ends[text + 1]
+            begins, text = begins[whole], text[whole]
+            code = _codes([term[begins + j] for j in range(size)])
+            low, high = np.searchsorted(codes, code, "left"), np.searchsorted(codes, code, "right")
+            for h in np.flatnonzero(high > low).tolist():
+                owner = int(text[h])
+                at, words = int(begins[h] - ends[owner]), int(ends[owner + 1] - ends[owner])
+                for i in range(int(low[h]), int(high[h])):
+                    for item in lists[i]:
+                        n = self.checks[item][2]
+                        first = max(0, -(-(at + size - WINDOW - n) // STRIDE)) * STRIDE
+                        found[owner, item].update(range(first, min(at + n, words - 1) + 1, STRIDE))
+        return found
+
+    def _shares(self, item: int, near: list[int]) -> list[float]:
+        """Overlaps of the item's question and answer with these words."""
+        question, answer, _ = self.checks[item]
+        there = set(_shingles(near)) | {tuple(near[i:i + len(s)]) for s in (*question[:1], *answer[:1])
+                                        if len(s) < SHINGLE for i in range(len(near))}
+        return [sum(s in there for s in x) / len(x) if x else 1.0 for x in (question, answer)]
+
+    def _score(self, item: int, words: np.ndarray) -> float:
+        """Highest score of the item's parts for a passage."""
+        query = set(words.tolist())
+        return max(sum(x for t, x in self.impacts[p].items() if t in query) for p in self.item_parts[item])
 
     def _bounds(self, n_parts: int) -> None:
         """Block maxima as arrays. Terms of more than an eighth of all parts are
@@ -225,13 +308,22 @@ class ItemIndex:
                 item = self.part_item[part]
                 if score <= best.get((text, item), (0.0,))[0]:
                     continue
-                question, answer, n = self.checks[item]
-                near = own[max(0, first - n):first + WINDOW + n].tolist()
-                there = set(_shingles(near)) | {tuple(near[i:i + len(s)]) for s in (*question[:1], *answer[:1])
-                                                if len(s) < SHINGLE for i in range(len(near))}
-                share = [sum(s in there for s in x) / len(x) if x else 1.0 for x in (question, answer)]
+                n = self.checks[item][2]
+                share = self._shares(item, own[max(0, first - n):first + WINDOW + n].tolist())
                 if min(share) >= self.overlap:
                     best[text, item] = (score, *share, first)
+        for (text, item), firsts in self._marked(term, ends).items():
+            if (text, item) in best:
+                continue
+            own, n = term[ends[text]:ends[text + 1]], self.checks[item][2]
+            around = own[max(0, min(firsts) - n):max(firsts) + WINDOW + n].tolist()
+            if min(self._shares(item, around)) < self.overlap:  # nor can any of the passages
+                continue
+            for score, first in sorted((-self._score(item, own[f:f + WINDOW]), f) for f in firsts):
+                share = self._shares(item, own[max(0, first - n):first + WINDOW + n].tolist())
+                if min(share) >= self.overlap:
+                    best[text, item] = (-score, *share, first)
+                    break
         for (text, item), hit in sorted(best.items()):
             yield text, item, *hit
 
