@@ -61,3 +61,18 @@ def test_the_threshold_of_the_search_does_not_decide():
     rows = [[(d, i, round(s, 9), *rest) for d, i, s, *rest in decontam.ItemIndex(items, threshold=x).matches(
         pa.array(docs, pa.string()))] for x in (0.3, decontam.THRESHOLD, 0.9)]
     assert rows[0] == rows[1] == rows[2] and rows[0]
+
+
+def test_scores_do_not_depend_on_the_item_groups(spark):
+    docs, items = _case(9)
+    table = spark.createDataFrame([(i, " ".join(q + a)) for i, q, a in items] + [(99, None)],
+                                  "item_id long, text string").coalesce(1)
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    assert len(list(decontam.item_groups(table, "item_id", "text", None, group_bytes=2000))) > 3
+    one, many = (sorted((r.doc_id, r.item_id, round(r.score, 9), r.first_word)
+                        for r in decontam.find_matches(df, table, group_bytes=n).collect())
+                 for n in (decontam.GROUP_BYTES, 2000))
+    assert one == many and one
+    alone = decontam.ItemIndex(items[:5])  # a group's own statistics give other scores
+    got = {(d, i): round(s, 9) for d, i, s, *_ in alone.matches(pa.array(docs, pa.string()))}
+    assert any((d, i) in got and got[d, i] != s for d, i, s, _ in many)

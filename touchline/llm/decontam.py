@@ -30,6 +30,8 @@ one with the highest score is reported.
 The items are the stated query set. They are indexed in groups of at most
 GROUP_BYTES (or one larger item), cut from the running sum of their sizes, and
 every group meets all documents; the documents are never shuffled or gathered.
+Part count, mean length and word frequencies are those of the whole benchmark,
+so scores don't depend on which items share a group.
 
 Nulls and ties: null or wordless texts and items match nothing; null ids stay
 null; repeated documents are reported repeatedly, repeated items each; empty
@@ -77,6 +79,22 @@ def _shingles(words: list) -> list[tuple]:
     return [tuple(words[i:i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))] if words else []
 
 
+def _parts(words: list) -> list[list]:
+    n = math.ceil(len(words) / PART_WORDS)
+    return [words[j * len(words) // n:(j + 1) * len(words) // n] for j in range(n)]
+
+
+def _split(texts: pa.Array, answers: pa.Array) -> list[tuple[list[str], list[str]]]:
+    """Question and answer words of items."""
+    out = []
+    for question, answer, given in zip(words_of(texts).to_pylist(), words_of(answers).to_pylist(),
+                                       answers.is_valid().to_pylist()):
+        question, answer = [w for w in question if w], [w for w in answer if w]
+        half = math.ceil(len(question) / 2)
+        out.append((question, answer) if given else (question[:half], question[half:]))
+    return out
+
+
 def _codes(words: list[np.ndarray]) -> np.ndarray:
     """A number per row of the columns ``words``: equal rows have equal ones."""
     out = np.zeros(len(words[0]), np.uint64)
@@ -87,10 +105,12 @@ def _codes(words: list[np.ndarray]) -> np.ndarray:
 
 class ItemIndex:
     """Block-max inverted index over the parts of a bounded group of items.
-    ``items``: (item_id, question words, answer words)."""
+    ``items``: (item_id, question words, answer words). ``statistics``: number of
+    parts, their mean length and the parts that hold each word, over all groups
+    (default: these items are all)."""
 
     def __init__(self, items: list[tuple[object, list[str], list[str]]], threshold: float = THRESHOLD,
-                 overlap: float = OVERLAP):
+                 overlap: float = OVERLAP, statistics: tuple[int, float, dict[str, int]] | None = None):
         self.threshold, self.overlap = threshold, overlap
         self.ids = [i for i, _, _ in items]
         self.terms: dict[str, int] = {}
@@ -99,16 +119,19 @@ class ItemIndex:
         for k, (_, question, answer) in enumerate(items):
             words = [self.terms.setdefault(w, len(self.terms)) for w in question + answer]
             self.checks.append((_shingles(words[:len(question)]), _shingles(words[len(question):]), len(words)))
-            n = math.ceil(len(words) / PART_WORDS)
-            parts += [(k, words[j * len(words) // n:(j + 1) * len(words) // n]) for j in range(n)]
+            parts += [(k, part) for part in _parts(words)]
         self.part_item = [k for k, _ in parts]
         self.impacts: list[dict[int, float]] = []
         self.item_parts: dict[int, list[int]] = defaultdict(list)
         self.postings: dict[int, tuple[list[int], list[float]]] = defaultdict(lambda: ([], []))
-        frequency = Counter(t for _, words in parts for t in set(words))
-        mean = sum(len(w) for _, w in parts) / max(1, len(parts))
+        if statistics:
+            total, mean, known = statistics
+            frequency = {t: known[w] for w, t in self.terms.items()}
+        else:
+            total, mean = len(parts), sum(len(w) for _, w in parts) / max(1, len(parts))
+            frequency = Counter(t for _, words in parts for t in set(words))
         for p, (_, words) in enumerate(parts):
-            impact = {t: math.log(1 + (len(parts) - frequency[t] + 0.5) / (frequency[t] + 0.5)) * n * (K1 + 1)
+            impact = {t: math.log(1 + (total - frequency[t] + 0.5) / (frequency[t] + 0.5)) * n * (K1 + 1)
                       / (n + K1 * (1 - B + B * len(words) / mean)) for t, n in Counter(words).items()}
             whole = sum(impact.values())
             for t, x in impact.items():
@@ -328,10 +351,9 @@ class ItemIndex:
             yield text, item, *hit
 
 
-def item_groups(items: DataFrame, id_col: str, text_col: str, answer_col: str | None,
-                group_bytes: int = GROUP_BYTES) -> Iterator[list[tuple]]:
-    """The items in groups of at most ``group_bytes``, one at a time on the
-    driver. Repeated items count each, so many copies of one make no large group."""
+def _grouped(items: DataFrame, id_col: str, text_col: str, answer_col: str | None,
+             group_bytes: int) -> tuple[DataFrame, int]:
+    """item_id, text, answer and ``_group`` of the items; the number of groups."""
     answer = col(items, answer_col).cast("string") if answer_col else F.lit(None).cast("string")
     rows = items.select(col(items, id_col).alias("item_id"), col(items, text_col).cast("string").alias("text"),
                         answer.alias("answer"))
@@ -345,22 +367,76 @@ def item_groups(items: DataFrame, id_col: str, text_col: str, answer_col: str |
     rows = stored(rows.join(before.select("_pid", "_before"), "_pid").select("item_id", "text", "answer", place),
                   "item-groups", "_group")
     last = rows.agg(F.max("_group")).first()[0]
-    for k in range(1 if last is None else last + 1):
-        part = F.col("_group") == k
-        group = []
-        for item, text, answer, _ in rows.where(part).orderBy("item_id", "text").collect():  # bounded by group_bytes
-            words = [[w for w in x if w] for x in words_of(pa.array([text, answer], pa.string())).to_pylist()]
-            half = math.ceil(len(words[0]) / 2)
-            question, reply = (words[0], words[1]) if answer is not None else (words[0][:half], words[0][half:])
-            if question or reply:
-                group.append((item, question, reply))
+    return rows, 1 if last is None else last + 1
+
+
+def _collected(rows: DataFrame, groups: int) -> Iterator[tuple[int, list[tuple]]]:
+    for k in range(groups):
+        held = rows.where(F.col("_group") == k).orderBy("item_id", "text").collect()  # bounded by group_bytes
+        words = _split(pa.array([r[1] for r in held], pa.string()), pa.array([r[2] for r in held], pa.string()))
+        group = [(r[0], *x) for r, x in zip(held, words) if any(x)]
         if group or not k:
-            yield group
+            yield k, group
+
+
+def item_groups(items: DataFrame, id_col: str, text_col: str, answer_col: str | None,
+                group_bytes: int = GROUP_BYTES) -> Iterator[list[tuple]]:
+    """The items in groups of at most ``group_bytes``, one at a time on the
+    driver. Repeated items count each, so many copies of one make no large group."""
+    for _, group in _collected(*_grouped(items, id_col, text_col, answer_col, group_bytes)):
+        yield group
+
+
+def _counts(rows: DataFrame) -> DataFrame:
+    """(group, term, n): the parts of each group that hold a word; in the row
+    without a term, all parts and their words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in slices(batch.column("text")):
+                part = batch.slice(a, b - a)
+                count: Counter = Counter()
+                words: Counter = Counter()
+                for group, (question, answer) in zip(part.column("_group").to_pylist(),
+                                                     _split(part.column("text"), part.column("answer"))):
+                    words[group] += len(question) + len(answer)
+                    for held in _parts(question + answer):
+                        count[group, None] += 1
+                        count.update((group, w) for w in set(held))
+                if count:
+                    yield pa.RecordBatch.from_pydict({
+                        "group": pa.array([g for g, _ in count], pa.int64()),
+                        "term": pa.array([w for _, w in count], pa.string()),
+                        "n": pa.array(list(count.values()), pa.int64()),
+                        "words": pa.array([0 if w is not None else words[g] for g, w in count], pa.int64())})
+
+    source = rows.select("text", "answer", F.col("_group").cast("long").alias("_group"))
+    return (source.mapInArrow(run, "group long, term string, n long, words long").groupBy("group", "term")
+            .agg(F.sum("n").alias("n"), F.sum("words").alias("words")))
+
+
+def groups_with_statistics(items: DataFrame, id_col: str, text_col: str, answer_col: str | None,
+                           group_bytes: int = GROUP_BYTES) -> Iterator[tuple[list[tuple], tuple | None]]:
+    """``item_groups``, each with the statistics over all items of its own words
+    (None where one group holds all items)."""
+    rows, groups = _grouped(items, id_col, text_col, answer_col, group_bytes)
+    if groups > 1:
+        counts = stored(_counts(rows), "item-counts")
+        parts, words = counts.where("term IS NULL").agg(F.sum("n"), F.sum("words")).first()
+        counts = counts.where("term IS NOT NULL")
+        every = counts.groupBy("term").agg(F.sum("n").alias("every"))
+        known = stored(counts.select("group", "term").join(every, "term"), "item-terms", "group")
+    for k, group in _collected(rows, groups):
+        if groups == 1 or not group:
+            yield group, None
+        else:  # as many terms as the group's items have
+            own = {r.term: r.every for r in known.where(F.col("group") == k).select("term", "every").collect()}
+            yield group, (parts, words / parts, own)
 
 
 def find_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", answer_col: str | None = None,
-                 threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+                 threshold: float = THRESHOLD, overlap: float = OVERLAP,
+                 group_bytes: int = GROUP_BYTES) -> DataFrame:
     """One row per contaminated document and item: doc_id, item_id, score (part
     of the item's own), question_overlap, answer_overlap, first_word."""
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType),
@@ -371,8 +447,8 @@ def find_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     kinds = [to_arrow_type(f.dataType) for f in schema]
     source = docs.select(col(docs, id_col).alias("doc_id"), col(docs, text_col).cast("string").alias("text"))
     out = None
-    for group in item_groups(items, item_col, item_text_col, answer_col):
-        shared = docs.sparkSession.sparkContext.broadcast((group, threshold, overlap))
+    for group, known in groups_with_statistics(items, item_col, item_text_col, answer_col, group_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast((group, threshold, overlap, known))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = ItemIndex(*shared.value)
@@ -392,11 +468,11 @@ def find_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", answer_col: str | None = None, threshold: float = THRESHOLD,
-                  overlap: float = OVERLAP) -> DataFrame:
+                  overlap: float = OVERLAP, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """The documents without a match, with all their columns."""
     text = fresh_name(docs, "t")
-    for group in item_groups(items, item_col, item_text_col, answer_col):
-        shared = docs.sparkSession.sparkContext.broadcast((group, threshold, overlap))
+    for group, known in groups_with_statistics(items, item_col, item_text_col, answer_col, group_bytes):
+        shared = docs.sparkSession.sparkContext.broadcast((group, threshold, overlap, known))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = ItemIndex(*shared.value)
