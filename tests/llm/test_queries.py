@@ -29,7 +29,7 @@ def docs(con):
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry_mod.queries())
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in QUERIES)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in QUERIES)] == []
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

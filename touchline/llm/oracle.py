@@ -128,3 +128,89 @@ SELECT page_id, payload_bytes, digest AS payload_digest,
        CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM hashed JOIN digests USING (h)
 """
+
+# CRC-32 by half bytes; fixed values: the table of the polynomial 0xEDB88320.
+_NIBBLES = ("([0, 498536548, 997073096, 651767980, 1994146192, 1802195444, 1303535960, 1342533948, 3988292384, 4027552580, "
+            "3604390888, 3412177804, 2607071920, 2262029012, 2685067896, 3183342108]::BIGINT[])")
+_HALF = f"xor({_NIBBLES}[({{0}} & 15) + 1], {{0}} >> 4)"
+
+
+def _crc32(column: str) -> str:
+    digit = "(strpos('0123456789ABCDEF', substr(hex({0}), {1}, 1)) - 1)"
+    byte = f"{digit.format(column, '2 * i + 1')} * 16 + {digit.format(column, '2 * i + 2')}"
+    step = _HALF.format(_HALF.format("xor(c, b)"))
+    return (f"xor(list_reduce(list_transform(range(strlen({column})), lambda i: ({byte})::BIGINT), lambda c, b: {step}, "
+            "4294967295::BIGINT), 4294967295)")
+
+
+ORACLE["op11_conversation_trie"] = f"""
+WITH turns AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS p,
+         struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) AS s
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, list(s ORDER BY p) AS own, c::VARCHAR AS name FROM turns GROUP BY c),
+shares AS (SELECT *, {_crc32('name')} % 6 AS h FROM convs),
+rebuilt AS (
+  SELECT a.c, list_concat(coalesce(list_slice(b.own, 1, a.h), []), list_slice(a.own, a.h + 1, len(a.own))) AS seq
+  FROM shares a LEFT JOIN convs b ON b.c = a.c - a.c % 100),
+members AS (SELECT c, d, list_slice(seq, 1, d) AS node, len(seq) = d AS ends
+            FROM (SELECT c, seq, unnest(range(len(seq) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT node, d, min(c) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE length(node[d].t) END AS saved,
+         sha256(coalesce(string_agg(CASE WHEN ends THEN c::VARCHAR END, ',' ORDER BY c), '')) AS ends_sha256
+  FROM members GROUP BY node, d),
+kids AS (SELECT list_slice(node, 1, d - 1) AS node, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1, 2),
+grown AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids USING (node, d)),
+above AS (SELECT d, conv_id, n_children, saved, unnest(range(d + 1)) AS e, node FROM grown),
+sums AS (SELECT list_slice(node, 1, e) AS node, e AS d, sum((n_children = 0)::BIGINT) AS n_leaves, sum(saved) AS saved
+         FROM above GROUP BY 1, 2)
+SELECT g.conv_id, g.d::BIGINT AS depth, p.conv_id AS parent_conv_id, g.n_convs::BIGINT AS n_convs,
+       g.n_children::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, g.ends_sha256
+FROM grown g JOIN sums s ON s.node = g.node AND s.d = g.d
+LEFT JOIN nodes p ON p.d = g.d - 1 AND p.node = list_slice(g.node, 1, g.d - 1)
+"""
+
+ORACLE["op12_neighbours"] = """
+WITH vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM pairs QUALIFY rank <= 20
+"""
+
+ORACLE["op13_resampling"] = f"""
+WITH texts AS (SELECT true AS doc, doc_id AS id, text FROM documents
+               UNION ALL SELECT false, item_id, text FROM benchmark),
+words AS (
+  SELECT row_number() OVER () AS rid, doc, id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM texts),
+runs AS (
+  SELECT rid, doc, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f
+  FROM words),
+found AS (SELECT rid, doc, f, count(*) AS n FROM runs GROUP BY rid, doc, f),
+buckets AS (SELECT f, {_crc32('f')} % 10000 AS b FROM (SELECT DISTINCT f FROM found)),
+hits AS (SELECT rid, doc, b, sum(n) AS n FROM found JOIN buckets USING (f) GROUP BY rid, doc, b),
+counts AS (SELECT b, coalesce(sum(n) FILTER (doc), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (NOT doc), 0)::DOUBLE AS t
+           FROM hits GROUP BY b),
+gains AS (SELECT b, floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM counts) + 10000)
+                                    / ((s + 1) * ((SELECT sum(t) FROM counts) + 10000))))::BIGINT AS gain FROM counts),
+sums AS (SELECT rid, sum(n)::BIGINT AS n, sum(n * gain)::BIGINT AS gain FROM hits JOIN gains USING (b) GROUP BY rid),
+weighed AS (
+  SELECT id AS doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features,
+         coalesce(gain // n - (gain % n < 0)::BIGINT, 0) AS weight,
+         ('0x' || substr(sha256('7:' || id::VARCHAR), 1, 8))::BIGINT AS h
+  FROM words LEFT JOIN sums USING (rid) WHERE doc),
+scored AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296)))::BIGINT AS score FROM weighed),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
+                  25 * count(*) OVER (PARTITION BY n_words >= 20) // 100 AS drawn FROM scored)
+SELECT doc_id, n_features::BIGINT AS n_features, weight::BIGINT AS weight, score::BIGINT AS score,
+       CASE WHEN n_words >= 20 AND place <= drawn THEN place END::BIGINT AS rank
+FROM ranked
+"""

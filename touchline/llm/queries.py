@@ -11,7 +11,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import chat, decontam, packing, quality, records, secrets, sharding, simhash, urls, warc
+from touchline.llm import (
+    chat,
+    decontam,
+    neighbours,
+    packing,
+    quality,
+    records,
+    resampling,
+    secrets,
+    sharding,
+    simhash,
+    trie,
+    urls,
+    warc,
+)
 from touchline.llm.common import table
 from touchline.llm.oracle import ORACLE
 
@@ -124,9 +138,23 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_records(index).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"), shared_turns=True)
+
+
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.neighbours(table(spark, sf_dir, "embeddings"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {"op1_packing": op1_packing, "op2_chat": op2_chat, "op3_decontamination": op3_decontamination,
            "op4_url_filter": op4_url_filter, "op5_secrets": op5_secrets, "op6_quality": op6_quality,
            "op7_warc": op7_warc, "op8_simhash": op8_simhash, "op9_sharding": op9_sharding,
-           "op10_records": op10_records}
+           "op10_records": op10_records, "op11_conversation_trie": op11_conversation_trie,
+           "op12_neighbours": op12_neighbours, "op13_resampling": op13_resampling}
 
 __all__ = ["ORACLE", "QUERIES"]
