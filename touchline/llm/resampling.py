@@ -45,8 +45,8 @@ from touchline.llm.common import col, prefix_sums, slices, stored
 
 #: Longest span that the position table covers at once.
 SPAN = 64
-#: Blocks of at most ``SPAN`` bytes that are looked up at once.
-AT_ONCE = 1 << 15
+#: Blocks of at most ``SPAN`` bytes that are looked up at once, and bytes of text in a slice.
+AT_ONCE, TEXT_BYTES = 1 << 13, 1 << 19
 POLYNOMIAL = 0xEDB88320
 
 _BYTES = np.arange(256, dtype=np.uint8)
@@ -83,10 +83,11 @@ class PositionCrc:
     def _blocks(self, data: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         out = np.zeros(len(begins), np.uint32)
         for a in range(0, len(begins), AT_ONCE):
-            length = lengths[a:a + AT_ONCE]
-            ends = np.cumsum(length)
-            place = np.arange(ends[-1])
-            byte = data[place + np.repeat(begins[a:a + AT_ONCE] - (ends - length), length)]
+            length, base = lengths[a:a + AT_ONCE], begins[a:a + AT_ONCE].min()
+            ends = np.cumsum(length, dtype=np.int32)
+            place = np.arange(ends[-1], dtype=np.int32)
+            offset = begins[a:a + AT_ONCE] - base - (ends - length)
+            byte = data[base:][place + np.repeat(offset, length)]
             distance = np.repeat(ends - 1, length) - place
             out[a:a + AT_ONCE] = np.bitwise_xor.reduceat(self.table[(distance << 8) + byte], ends - length)
         return out
@@ -160,7 +161,7 @@ def bucket_counts(texts: DataFrame, text: Column, buckets: int, longest: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
-            for a, b in slices(batch.column(0)):
+            for a, b in slices(batch.column(0), TEXT_BYTES):
                 for bucket in Features(batch.column(0).slice(a, b - a), buckets, longest).runs:
                     total += np.bincount(bucket[bucket >= 0], minlength=buckets)
         found = np.flatnonzero(total)
@@ -192,7 +193,7 @@ def weights(docs: DataFrame, gain: np.ndarray, longest: int, id_col: str, text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gain = shared.value
         for batch in batches:
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(1), TEXT_BYTES):
                 found = Features(batch.column(1).slice(a, b - a), len(gain), longest)
                 n_features = np.zeros(b - a, np.int64)
                 total = np.zeros(b - a, np.int64)
