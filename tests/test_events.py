@@ -1,10 +1,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from touchline.operators.events import exit_flag, flatten_events, seconds_since_previous
 from touchline.operators.items import purchase_items
-from touchline.operators.ordered import lag_in_groups, max_by_join, max_in_groups
+from touchline.operators.ordered import group_cuts, lag_in_pieces, max_by_join, max_in_groups
 from touchline.schema import FLAT_EVENT_COLUMNS
 from touchline.operators.events import event_columns
 
@@ -25,9 +26,8 @@ def test_exit_flag_ties_and_null_session_number(spark):
 def test_previous_timestamp_seconds(spark):
     rows = [raw_row(1_000_000, gsid=1), raw_row(3_500_000, gsid=1), raw_row(4_000_000, gsid=2),
             raw_row(9_000_000, gsid=1)]
-    for method in ("bucketed", "window"):
-        out = seconds_since_previous(flatten_events(raw_df(spark, rows)), method, bucket_micros=2_000_000,
-                                     large_group=2)
+    for method in ("split", "window"):
+        out = seconds_since_previous(flatten_events(raw_df(spark, rows)), method, large_group=2)
         got = rows_of(out, "_us", "previous_timestamp")
         assert got == [(1_000_000, 0.0), (3_500_000, 2.5), (4_000_000, 0.0), (9_000_000, 5.5)], method
 
@@ -63,13 +63,23 @@ def test_bucketed_lag_and_max_match_brute_force_under_skew(spark, seed):
         uniq.append((rid, k, ts))
     df = spark.createDataFrame(uniq, "rid int, k int, ts long")
     expected = _brute_lag(uniq)
+    grouped = df.withColumn("g", F.struct("k"))
+    assert {r.rid: r.prev for r in lag_in_pieces(grouped, "g", "ts", "prev").collect()} == expected
+    sizes = {}
+    for _, k, _ in uniq:
+        sizes[k] = sizes.get(k, 0) + 1
+    for piece_rows in (1, 7, 150, 10_000):
+        for some in (list(sizes), [None], [1, 3], []):  # whichever groups are split
+            large = spark.createDataFrame([(k, sizes[k]) for k in some], "k int, n long").select(
+                F.struct("k").alias("g"), "n")
+            cuts = group_cuts(grouped, "g", "ts", large, max([sizes[k] for k in some], default=1), piece_rows)
+            rows_of_piece = {}
+            for r in lag_in_pieces(grouped, "g", "ts", "prev", cuts=cuts).collect():
+                assert r.prev == expected[r.rid], (piece_rows, some)
+                rows_of_piece[r.k, r._piece] = rows_of_piece.get((r.k, r._piece), 0) + 1
+            nulls = sum(1 for _, k, ts in uniq if ts is None)
+            assert all(n <= 2 * piece_rows + nulls for (k, _), n in rows_of_piece.items() if k in some and piece_rows > 1)
     for width in (37, 1000, 100_000):
-        got = {r.rid: r.prev for r in lag_in_groups(df, ["k"], "ts", "prev", width).collect()}
-        assert got == expected, width
-        for some in ([None], [1, 3], []):  # whichever groups are split
-            large = spark.createDataFrame([(k,) for k in some], "k int")
-            got = {r.rid: r.prev for r in lag_in_groups(df, ["k"], "ts", "prev", width, large).collect()}
-            assert got == expected, (width, some)
         mx = {r.rid: r.mx for r in max_in_groups(df, ["k"], "ts", "mx", width).collect()}
         assert {r.rid: r.mx for r in max_by_join(df, ["k"], "ts", "mx").collect()} == mx
         gmax = {}
@@ -84,7 +94,7 @@ def test_flatten_projection_and_types(spark):
                     params=[param("page_location", s="https://a/p"), param("page_title", s="T"),
                             param("entrances", i=1), param("session_engaged", i=0),
                             param("engagement_time_msec", i=300)])]
-    out = event_columns(raw_df(spark, rows), "bucketed")
+    out = event_columns(raw_df(spark, rows), "split")
     assert tuple(out.columns) == FLAT_EVENT_COLUMNS
     r = out.first()
     assert r.session_id == "u11" and str(r.event_date) == "2024-01-15"
@@ -119,8 +129,8 @@ def test_items_inner_explode(spark):
 def test_timestamp_ties_are_ordered_by_event_name(spark):
     rows = [raw_row(1_000_000, gsid=1, name="page_view"), raw_row(3_000_000, gsid=1, name="session_start"),
             raw_row(3_000_000, gsid=1, name="first_visit"), raw_row(3_000_000, gsid=1, name="page_view")]
-    for method in ("bucketed", "window"):
-        out = seconds_since_previous(flatten_events(raw_df(spark, rows)), method, bucket_micros=1_000_000, large_group=2)
+    for method in ("split", "window"):
+        out = seconds_since_previous(flatten_events(raw_df(spark, rows)), method, large_group=2)
         got = rows_of(out, "_us", "event_name", "previous_timestamp")
         assert got == [(1_000_000, "page_view", 0.0), (3_000_000, "first_visit", 2.0),
                        (3_000_000, "page_view", 0.0), (3_000_000, "session_start", 0.0)], method

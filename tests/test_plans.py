@@ -7,9 +7,9 @@ import pytest
 from touchline.operators.events import build_events
 from touchline.sources.fixture import driver_raw_events
 from touchline.sources.raw import scan_shard_range
-from touchline.operators.traffic import event_traffic, session_traffic
+from touchline.operators.traffic import all_event_traffic, event_traffic, session_day_partials, session_traffic
 from touchline.plans import catalog
-from touchline.session import scratch_path
+from touchline.session import materialize, scratch_path
 from touchline.sources.raw import write_shards
 
 
@@ -57,25 +57,41 @@ def _wide_exchanges(df, wide):
     return exchanges
 
 
-@pytest.mark.parametrize("large_group", [0, 10**9])
-def test_events_move_twice(spark, sf_small, large_group):
-    """Once for LAG, once for the join with their sessions (less if broadcast)."""
-    raw = driver_raw_events(spark, sf_small)
-    stg = session_traffic(event_traffic(raw))
+@pytest.fixture
+def no_broadcast(spark):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert _wide_exchanges(build_events(raw, stg, large_group=large_group), "page_title") == 2
-        assert _wide_exchanges(build_events(raw, stg, "window"), "page_title") == 3
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
-def test_lookback_moves_sessions_once(spark, sf_small):
+@pytest.mark.parametrize("large_group", [0, 10**9])
+def test_events_move_once(spark, sf_small, large_group, no_broadcast):
+    """For LAG; their sessions come to where they are. The direct form moves
+    them for each window and for the join."""
     raw = driver_raw_events(spark, sf_small)
     stg = session_traffic(event_traffic(raw))
-    assert _exchanges(stg) <= 3 and _wide_exchanges(stg, "session_id") == 1
+    assert _wide_exchanges(build_events(raw, stg, large_group=large_group), "page_title") == 1
+    assert _wide_exchanges(build_events(raw, stg, "window"), "page_title") == 3
+
+
+@pytest.mark.parametrize("large_user", [0, 10**9])
+def test_sessions_move_once_from_day_partials_to_stg(spark, sf_small, large_user, no_broadcast):
+    """Merge and lookback find the dealt partials in place; a carried touch of
+    a large user is a narrow row."""
+    partials = materialize(session_day_partials(all_event_traffic(driver_raw_events(spark, sf_small))))
+    stg = session_traffic(None, partials=partials, large_user=large_user)
+    assert _wide_exchanges(stg, "session_id") == 1
+    if large_user:
+        assert _exchanges(stg) == 1 and "Join" not in _plan(stg)
+
+
+def test_lookback_without_large_users_is_the_direct_plan(spark, sf_small):
+    src = event_traffic(driver_raw_events(spark, sf_small))
+    stg = session_traffic(src)
+    assert _exchanges(stg) == 2 and _wide_exchanges(stg, "session_id") == 2
     assert "Join" not in _plan(stg)
+    assert _exchanges(session_traffic(src, method="window")) == 2
 
 
 def test_rebalance_before_partitioned_write_of_shuffled_output(spark, sf_small):

@@ -3,12 +3,17 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from touchline.functions import dates
 from touchline.functions.dates import init_window, update_window
-from touchline.plans.reporting import TablePaths, init, update, update_day
+from touchline.plans.reporting import TABLES, BadInput, TablePaths, init, update, update_day
 from touchline.schema import EVENT_COLUMNS, ITEM_COLUMNS, SRC_COLUMNS, STG_COLUMNS
 from touchline.session import scratch_path
 from touchline.sources.fixture import driver_raw_events
-from touchline.sources.raw import scan_shard, scan_shard_range, write_shards
+from touchline.sources import sinks
+from touchline.sources.raw import scan_shard, scan_shard_range, shard_folders, write_shards, write_suffix_shards
+from touchline.sources.sinks import version
+
+from helpers import param, raw_row
 
 
 def test_run_date_windows():
@@ -50,8 +55,8 @@ def test_init_writes_four_tables_in_contract_order(spark, shards):
     # rebalanced writes: a few files per day, not one per task and day
     import glob
     import os
-    days = glob.glob(os.path.join(paths.events.replace("file:", ""), "event_date=*"))
-    files = glob.glob(os.path.join(paths.events.replace("file:", ""), "event_date=*", "*.parquet"))
+    days = glob.glob(os.path.join(paths.events.replace("file:", ""), "load=*", "event_date=*"))
+    files = glob.glob(os.path.join(paths.events.replace("file:", ""), "load=*", "event_date=*", "*.parquet"))
     assert days and len(files) <= 2 * len(days)
 
 
@@ -112,7 +117,7 @@ def test_cli_init_and_update_day(spark, shards):
 
 def test_init_window_and_skew_safe_forms_write_the_same_tables(spark, shards):
     a = init(spark, shards, scratch_path(spark, "test-init-window"), dt.date(2024, 2, 2), method="window")
-    b = init(spark, shards, scratch_path(spark, "test-init-bucketed"), dt.date(2024, 2, 2), method="bucketed")
+    b = init(spark, shards, scratch_path(spark, "test-init-bucketed"), dt.date(2024, 2, 2), method="split")
     for table in ("stg", "events", "items", "src"):
         x, y = a.read(spark, table), b.read(spark, table)
         assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, table
@@ -178,3 +183,178 @@ def test_first_touch_tie_prefers_an_event_with_a_touch(spark):
     src = event_traffic(_raw(spark, *rows))
     for got in (session_rollup(src).first(), merge_session_days(session_day_partials(src)).first()):
         assert got.session_first_traffic_source.source == "news"
+
+
+ALL_TABLES = ("src", "session_days", "stg", "events", "items")
+
+
+def _tables(spark, root):
+    return {t: _rows(TablePaths(root).read(spark, t)) for t in ALL_TABLES}
+
+
+class Stopped(Exception):
+    pass
+
+
+def _stop_after(monkeypatch, table, written):
+    """Let a load fail right after it has noted ``table`` as finished."""
+    write = sinks.write_record
+
+    def stopping(spark, path, record):
+        write(spark, path, record)
+        if f"/{sinks.LOADS}/" in path:
+            written.append(path.rpartition("/")[2].removesuffix(".json"))
+            if written[-1] == table:
+                raise Stopped(table)
+
+    monkeypatch.setattr(sinks, "write_record", stopping)
+
+
+@pytest.mark.parametrize("table, kind", [("src", "init"), ("session_days", "update"), ("stg", "update"), ("events", "init"),
+                                         ("items", "update")])
+def test_stopped_load_leaves_the_old_tables_and_its_repeat_goes_on(spark, shards, monkeypatch, table, kind):
+    def load(root):
+        return update_day(spark, shards, root, "20240114") if kind == "update" else init(
+            spark, shards, root, dt.date(2024, 1, 20))
+
+    root, fresh = scratch_path(spark, "stopped"), scratch_path(spark, "stopped-fresh")
+    for r in (root, fresh):
+        init(spark, shards, r, dt.date(2024, 1, 16))
+    before = _tables(spark, root)
+    with monkeypatch.context() as patch:
+        _stop_after(patch, TABLES[table], written := [])
+        with pytest.raises(Stopped):
+            load(root)
+    order = list(TABLES)
+    assert written == [TABLES[t] for t in order[:order.index(table) + 1]]
+    assert _tables(spark, root) == before and version(spark, root).number == 1
+    with monkeypatch.context() as patch:  # a repeat writes the other tables only
+        _stop_after(patch, None, written := [])
+        load(root)
+    assert written == [TABLES[t] for t in order[order.index(table) + 1:]]
+    assert version(spark, root).number == 2
+    load(fresh)
+    assert _tables(spark, root) == _tables(spark, fresh)
+    assert _rows(TablePaths(root).read(spark, "stg", version(spark, root, 1))) == before["stg"]  # old readers go on
+
+
+def test_changed_input_starts_the_load_anew(spark, sf_small, monkeypatch):
+    raw = driver_raw_events(spark, sf_small)
+    path, root = scratch_path(spark, "anew-shards"), scratch_path(spark, "anew")
+    write_shards(raw.where("event_name <> 'purchase'"), path)
+    with monkeypatch.context() as patch:
+        _stop_after(patch, TABLES["src"], [])
+        with pytest.raises(Stopped):
+            init(spark, path, root, dt.date(2024, 1, 16))
+    assert _tables(spark, root) == {t: [] for t in ALL_TABLES}
+    write_shards(raw, path)
+    spark.catalog.refreshByPath(path)
+    init(spark, path, root, dt.date(2024, 1, 16))
+    events = TablePaths(root).read(spark, "events").count()
+    assert events == scan_shard_range(spark, path, *init_window(dt.date(2024, 1, 16))).count()
+
+
+def test_second_writer_fails_and_vacuum_keeps_the_last_versions(spark, shards):
+    root = scratch_path(spark, "two-writers")
+    slow = sinks.Load(spark, root, ["slow"])
+    init(spark, shards, root, dt.date(2024, 1, 16))
+    with pytest.raises(RuntimeError, match="meanwhile"):
+        slow.commit()
+    update_day(spark, shards, root, "20240114")
+    update_day(spark, shards, root, "20240114")
+    now, before = _tables(spark, root), _rows(TablePaths(root).read(spark, "events", version(spark, root, 2)))
+    gone = sinks.vacuum(spark, root, keep=2)
+    assert not gone and sinks.versions(spark, root) == [2, 3]  # the days of version 1 are still named
+    assert _rows(TablePaths(root).read(spark, "events", version(spark, root, 2))) == before
+    gone = sinks.vacuum(spark, root, keep=1)
+    assert len(gone) == len(ALL_TABLES) and sinks.versions(spark, root) == [3]
+    assert _tables(spark, root) == now
+    assert sinks.vacuum(spark, scratch_path(spark, "nothing")) == []
+
+
+def test_suffix_layout_loads_the_same_tables(spark, sf_small, shards):
+    raw = driver_raw_events(spark, sf_small)
+    both = raw.withColumn("_table", F.explode(F.array("event_date", F.concat(F.lit("intraday_"), "event_date"))))
+    path = write_suffix_shards(both, scratch_path(spark, "suffix"), "_table")
+    names = [n.rpartition("/")[2] for n in shard_folders(spark, path, "20240105", "20240112")]
+    assert names == [f"events_202401{d:02d}" for d in range(5, 13)]
+    day = scan_shard(spark, path, "20240115", "auto")
+    assert {(r.event_date, r._table_suffix) for r in day.select("event_date", "_table_suffix").distinct().collect()} == {
+        ("20240115", "20240115")}
+    assert scan_shard_range(spark, path, "20300101", "20300105", "suffix").count() == 0
+    assert scan_shard(spark, shards, "20240115", "auto").count() == day.count()
+    roots = []
+    for source in (path, shards):
+        roots.append(init(spark, source, scratch_path(spark, "suffix-tables"), dt.date(2024, 1, 16)).root)
+        update(spark, source, roots[-1], dt.date(2024, 1, 17))
+    assert _tables(spark, roots[0]) == _tables(spark, roots[1])
+
+
+def test_load_reports_and_refuses_bad_input(spark, sf_small, shards):
+    root = scratch_path(spark, "checks")
+    checks = init(spark, shards, root, dt.date(2024, 1, 16), fail_on_bad_input=True).checks
+    per_day = {r.event_date: r["count"] for r in driver_raw_events(spark, sf_small).groupBy("event_date").count().collect()}
+    days = [d for d in checks["rows_per_day"] if d in per_day]
+    assert checks["null_timestamps"] == checks["other_dates"] == 0 and len(checks["rows_per_day"]) == 31 and days
+    assert checks["rows_per_day"] == {d: per_day.get(d, 0) for d in checks["rows_per_day"]}
+    assert checks["rows"] == sum(checks["rows_per_day"].values())
+    assert version(spark, root).notes["checks"] == checks
+    before = _tables(spark, root)
+
+    raw = driver_raw_events(spark, sf_small).where("event_date = '20240114'")
+    some = F.col("event_timestamp") % 2 == 0
+    n = raw.where(some).count()
+    late = raw.withColumn("_table", F.lit("20240114")).withColumn(
+        "event_date", F.when(some, F.lit("20240113")).otherwise(F.col("event_date")))
+    untimed = raw.withColumn("_table", F.lit("20240114")).withColumn(
+        "event_timestamp", F.when(~some, F.col("event_timestamp")))
+    for bad, what in ((late, "other_dates"), (untimed, "null_timestamps")):
+        path = write_suffix_shards(bad, scratch_path(spark, "bad"), "_table")
+        with pytest.raises(BadInput, match="nothing was published"):
+            update_day(spark, path, root, "20240114", fail_on_bad_input=True)
+        assert _tables(spark, root) == before
+        checks = update_day(spark, path, scratch_path(spark, "bad-tables"), "20240114").checks
+        assert checks[what] == n and checks["rows"] == raw.count()
+
+
+def test_load_without_shards(spark, shards):
+    root = scratch_path(spark, "no-shards")
+    checks = init(spark, shards, root, dt.date(2030, 1, 16)).checks
+    assert _tables(spark, root) == {t: [] for t in ALL_TABLES}
+    assert checks["rows"] == 0 and set(checks["rows_per_day"].values()) == {0}
+
+
+@pytest.mark.parametrize("key", ["session_engaged", "source", "page_title", "ga_session_id", "campaign"])
+def test_strict_load_fails_on_a_key_given_twice(spark, key):
+    twice = [param(key, s="1", i=1), param(key, i=0)]
+    rows = [raw_row(1, gsid=None if key == "ga_session_id" else 5, params=twice, day="20240110"),
+            raw_row(2, gsid=5, params=[param("other", s="x"), param("other", s="y")], day="20240110")]
+    path = write_shards(_raw(spark, *rows), scratch_path(spark, "twice"))
+    root = scratch_path(spark, "twice-tables")
+    with pytest.raises(Exception, match="more than once"):
+        init(spark, path, root, dt.date(2024, 1, 16), strict=True)
+    assert version(spark, root).number == 0
+    assert init(spark, path, root, dt.date(2024, 1, 16)).read(spark, "events").count() == 2
+
+
+def test_strict_ignores_other_keys(spark):
+    rows = [raw_row(2, gsid=5, params=[param("other", s="x"), param("other", s="y")], day="20240110")]
+    path = write_shards(_raw(spark, *rows), scratch_path(spark, "others"))
+    paths = init(spark, path, scratch_path(spark, "others-tables"), dt.date(2024, 1, 16), strict=True)
+    assert paths.read(spark, "events").count() == 1
+
+
+def test_extra_param_named_like_a_column_is_refused(spark, shards):
+    with pytest.raises(ValueError, match="page_title"):
+        init(spark, shards, scratch_path(spark, "clash"), dt.date(2024, 1, 16), extra_params={"page_title": "string"})
+
+
+def test_run_date_defaults_to_today_in_utc(monkeypatch):
+    class Clock(dt.datetime):
+        @classmethod
+        def now(cls, tz=None):
+            return dt.datetime(2024, 3, 1, 0, 30, tzinfo=dt.timezone(dt.timedelta(hours=2))).astimezone(tz)
+
+    monkeypatch.setattr(dates.dt, "datetime", Clock)
+    assert init_window() == init_window(dt.date(2024, 2, 29)) == ("20240127", "20240226")
+    assert update_window() == update_window(dt.date(2024, 2, 29))

@@ -59,7 +59,7 @@ def filled_sources(df):
 
 def test_lookback_edge_inclusive(spark):
     rows = [("u", 100, None, "a"), ("u", 2592100, None, None), ("u", 2592101, None, None)]
-    for method in ("bucketed", "window"):
+    for method in ("split", "window"):
         got = filled_sources(lookback_fill(prep_df(spark, rows), method=method))
         assert got == ["a", "a", None], method
 
@@ -67,14 +67,14 @@ def test_lookback_edge_inclusive(spark):
 def test_null_start_sees_only_null_peers(spark):
     rows = [("u", None, None, "n"), ("u", None, None, None), ("u", 5, None, None), ("u", 1, None, "x"),
             ("v", None, None, None)]
-    for method in ("bucketed", "window"):
+    for method in ("split", "window"):
         got = filled_sources(lookback_fill(prep_df(spark, rows), method=method))
         assert got == ["n", "n", "x", "x", None], method
 
 
 def test_first_touch_wins_over_lookback(spark):
     rows = [("u", 1, None, "old"), ("u", 2, "mine", "late")]
-    got = filled_sources(lookback_fill(prep_df(spark, rows), method="bucketed"))
+    got = filled_sources(lookback_fill(prep_df(spark, rows), method="split"))
     assert got == ["old", "mine"]
 
 
@@ -92,7 +92,7 @@ def test_bucketed_lookback_matches_brute_force_under_skew(spark, seed):
     lookback = 37
     expected = brute_force(rows, lookback)
     prep = prep_df(spark, rows)
-    for method, kw in (("bucketed", {"bucket_seconds": 10}), ("bucketed", {"bucket_seconds": 1000}),
+    for method, kw in (("split", {"large_user": 10}), ("split", {"large_user": 60}), ("split", {}),
                        ("window", {})):
         got = filled_sources(lookback_fill(prep, lookback, method=method, **kw))
         bad = [(i, rows[i], g, e) for i, (g, e) in enumerate(zip(got, expected)) if g not in e]

@@ -82,9 +82,9 @@ def main(argv):
 
     runs = {
         "A: stg, direct RANGE window": lambda: session_traffic(event_traffic(raw_a), method="window"),
-        "A: stg, skew-safe": lambda: session_traffic(event_traffic(raw_a), method="bucketed"),
+        "A: stg, skew-safe": lambda: session_traffic(event_traffic(raw_a), method="split"),
         "B: events (LAG + exit flag), direct windows": lambda: event_columns(raw_b, "window"),
-        "B: events (LAG + exit flag), skew-safe": lambda: event_columns(raw_b, "bucketed"),
+        "B: events (LAG + exit flag), skew-safe": lambda: event_columns(raw_b, "split"),
         "B: exit flag, grouped max joined back (AQE skew join)": lambda: exit_flag(flatten_events(raw_b), "aggregate"),
         "B: exit flag, skew-safe buckets": lambda: exit_flag(flatten_events(raw_b), "bucketed"),
         "B: full events table (windows + session join), skew-safe": lambda: build_events(

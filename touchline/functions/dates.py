@@ -40,6 +40,12 @@ def parse_shard(suffix: str) -> dt.date:
     return dt.datetime.strptime(suffix, SHARD_FORMAT).date()
 
 
+def shards_between(start: str, end: str) -> list[str]:
+    """All day shards of [start, end]."""
+    first, last = parse_shard(start), parse_shard(end)
+    return [shard(first + dt.timedelta(days=i)) for i in range((last - first).days + 1)]
+
+
 def init_window(run_date=None) -> tuple[str, str]:
     """Inclusive shard range of the initial load: [run-33, run-3]; run date
     defaults to today (UTC)."""

@@ -1,16 +1,17 @@
 """Language code -> language name (exact, case-sensitive), else the code
 itself (NULL stays NULL).
 
-The 177-entry table is a constant map literal: Catalyst folds it once and the
-lookup is a short search of that map inside whole-stage codegen - no join, no
-broadcast, no shuffle.
+``with_language_name`` joins the rows to the 177 fixed pairs, broadcast as a
+hash table: one probe per row and no shuffle. ``language_name`` is the same
+lookup as a Column, in a constant map literal that Catalyst folds once; Spark
+searches a map pair by pair, so it is for few rows or within other expressions.
 """
 
 from __future__ import annotations
 
 from itertools import chain
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values (must equal the reference): (code, name) pairs in the order the
@@ -202,3 +203,10 @@ def language_map() -> Column:
 
 def language_name(code: Column) -> Column:
     return F.coalesce(F.try_element_at(language_map(), code), code)
+
+
+def with_language_name(df: DataFrame, code: str, out: str) -> DataFrame:
+    """``df`` with ``out``, the name of the language ``code``."""
+    names = df.sparkSession.createDataFrame(LANGUAGE_NAMES, "_code string, _name string")
+    joined = df.join(F.broadcast(names), F.col(code) == F.col("_code"), "left")
+    return joined.withColumn(out, F.coalesce("_name", F.col(code))).drop("_code", "_name")

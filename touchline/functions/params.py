@@ -5,12 +5,15 @@ gives NULL, a NULL or empty array gives NULL, and the first match wins. It is
 built from codegen'd array built-ins - the position of the key in
 ``event_params.key`` selects the element of ``event_params.value.<field>`` - so
 no lambda runs per key and no join or shuffle is involved. ``strict=True``
-raises when a key occurs more than once, as the source dialect does.
+raises when a key occurs more than once, as the source dialect does;
+``one_value_per_key`` is the same check for all lookups of a row together.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VALUE_FIELDS = ("string_value", "int_value", "float_value", "double_value")
@@ -58,9 +61,19 @@ def float_param(key: str, params="event_params", strict: bool = False) -> Column
     )
 
 
-def string_or_int_param(key: str, params="event_params") -> Column:
+def string_or_int_param(key: str, params="event_params", strict: bool = False) -> Column:
     """string_value, else int_value rendered as a string (e.g. session_engaged)."""
-    return F.coalesce(string_param(key, params), int_param(key, params).cast("string"))
+    return F.coalesce(string_param(key, params, strict), int_param(key, params, strict).cast("string"))
+
+
+def one_value_per_key(df: DataFrame, keys: Iterable[str], params: str = "event_params") -> DataFrame:
+    """``df``, failing on a row whose ``params`` hold one of ``keys`` twice: the
+    check of ``strict`` for many lookups at once, in one pass per row. It hangs
+    on the column itself, so that it runs whichever lookups are read later."""
+    named = F.filter(F.col(params).getField("key"), lambda k: k.isin(*keys))
+    repeated = F.size(F.array_distinct(named)) < F.size(named)
+    message = F.concat(F.lit("event param occurs more than once, of "), F.array_join(named, ", "))
+    return df.withColumn(params, F.when(repeated, F.raise_error(message)).otherwise(F.col(params)))
 
 
 _PARAMS_SQL_TYPE = (

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from touchline.functions import channels as ch
+from touchline.functions.channels import channel_group_sql
 from touchline.functions.languages import LANGUAGE_NAMES
 from touchline.functions.params import register_param_functions
 
@@ -15,41 +15,6 @@ def _quote(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def channel_group_sql(s: str = "source", m: str = "medium", c: str = "campaign") -> str:
-    """The channel rule chain as a Spark SQL CASE (same rules and dialect
-    mapping as ``channels.channel_group``)."""
-
-    def has(col: str, pattern: str) -> str:
-        return f"({col} RLIKE {_quote(ch.re2(pattern))})"
-
-    def among(col: str, values) -> str:
-        return f"{col} IN ({', '.join(_quote(v) for v in values)})"
-
-    paid = has(m, ch.PAID_MEDIUM)
-    shopping = f"({has(s, ch.SHOPPING_SOURCES)} OR {has(c, ch.SHOPPING_CAMPAIGN)})"
-    rules = [
-        (f"{s} = {_quote(ch.DIRECT_SOURCE)} AND {among(m, ch.DIRECT_MEDIUMS)}", "Direct"),
-        (has(c, ch.CROSS_NETWORK_CAMPAIGN), "Cross-network"),
-        (f"{shopping} AND {paid}", "Paid Shopping"),
-        (f"{has(s, ch.SEARCH_SOURCES)} AND {paid}", "Paid Search"),
-        (f"{has(s, ch.SOCIAL_SOURCES)} AND {paid}", "Paid Social"),
-        (f"{has(s, ch.VIDEO_SOURCES)} AND {paid}", "Paid Video"),
-        (among(m, ch.DISPLAY_MEDIUMS), "Display"),
-        (shopping, "Organic Shopping"),
-        (f"{has(s, ch.SOCIAL_SOURCES)} OR {among(m, ch.SOCIAL_MEDIUMS)}", "Organic Social"),
-        (f"{has(s, ch.VIDEO_SOURCES)} OR {has(m, ch.VIDEO_MEDIUM)}", "Organic Video"),
-        (f"{has(s, ch.SEARCH_SOURCES)} OR {m} = 'organic'", "Organic Search"),
-        (f"{has(s, ch.EMAIL_PATTERN)} OR {has(m, ch.EMAIL_PATTERN)}", "Email"),
-        (f"{m} = 'affiliate'", "Affiliates"),
-        (f"{m} = 'referral'", "Referral"),
-        (f"{m} = 'audio'", "Audio"),
-        (f"{m} = 'sms'", "SMS"),
-        (f"{has(m, ch.PUSH_MEDIUM_SUFFIX)} OR {has(m, ch.PUSH_MEDIUM)}", "Mobile Push Notifications"),
-    ]
-    arms = " ".join(f"WHEN {cond} THEN {_quote(label)}" for cond, label in rules)
-    return f"CASE {arms} ELSE 'Unassigned' END"
-
-
 def language_name_sql(code: str = "language_code") -> str:
     pairs = ", ".join(f"{_quote(k)}, {_quote(v)}" for k, v in LANGUAGE_NAMES)
     return f"coalesce(try_element_at(map({pairs}), {code}), {code})"

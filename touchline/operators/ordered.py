@@ -2,35 +2,37 @@
 
 ``PARTITION BY key ORDER BY ts`` sends a whole group to one task; a hot
 (user, session) group - e.g. every anonymous event - would stall the stage.
-``lag_in_groups`` and ``max_in_groups`` split each group by a time bucket of
-the row (``floor(ts / width)``) and carry what the other buckets contribute as
-a pseudo-row:
-
-* lag: the pseudo-row holds the max timestamp of the previous non-empty bucket
-  of the group, so the first real row of a bucket lags onto it. Only groups
-  that the caller lists as ``large`` are split; all others stay whole, in one
-  bucket, and need no summary;
-* group max: the pseudo-row holds the max over all buckets of the group.
-
-The per-bucket summaries are plain aggregates (pre-combined map-side) over a
-narrow projection. Each helper costs one shuffle of the event rows, as the
-direct window does; a task then holds at most one bucket of one group's rows,
-or - in the window over a group's summaries - one narrow row per bucket of the
-group (bounded by the time span / width, not by traffic).
-
-``max_by_join`` is the unbucketed alternative for the group max: a grouped
-max joined back NULL-safe, whose hot keys are left to AQE's skew-join split.
+
+``lag_in_pieces`` cuts large groups into pieces of about equal numbers of rows,
+at quantiles of the group's own timestamps (``group_cuts``: a mergeable sketch
+per large group, over narrow rows). A cut is a timestamp of the group, so it is
+at once the last one of its piece, and thus what the first row of the next piece
+lags onto: no carried rows and no second pass are needed. A dense minute gets as
+many pieces as its rows ask for. Rows that share a timestamp stay together.
+
+``max_in_groups`` splits each group by the value's bucket and carries the max of
+the whole group into each as a pseudo-row; ``max_by_join`` is the unbucketed
+alternative for the group max: a grouped max joined back NULL-safe, whose hot
+keys are left to AQE's skew-join split. Both cost one shuffle of the event rows,
+as the direct window does.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline.session import materialize
+
 BUCKET = "_bucket"
 BUCKET_MAX = "_bucket_max"
 PSEUDO = "_pseudo"
-_LARGE = "_large"
+PIECE = "_piece"
+# A group has at most MOST_PIECES pieces. Cuts are searched in two steps, STRIDE at a time.
+MOST_PIECES = 4096
+STRIDE = 64
+# The cuts of large groups are broadcast up to this many bytes.
+BROADCAST_CUTS = 16 << 20
 
 
 def bucket_of(ts: str, width: int):
@@ -42,36 +44,78 @@ def bucket_summary(df: DataFrame, keys: list[str], ts: str, width: int) -> DataF
     return df.groupBy(*keys, bucket_of(ts, width).alias(BUCKET)).agg(F.max(ts).alias(BUCKET_MAX))
 
 
-def lag_in_groups(df: DataFrame, keys: list[str], ts: str, out: str, width: int,
-                  large: DataFrame | None = None, tiebreak: tuple[str, ...] = ()) -> DataFrame:
-    """``out`` = LAG(ts) OVER (PARTITION BY keys ORDER BY ts, *tiebreak); NULL
-    on the group's first row. NULL keys form groups; NULL ts rows sort first.
-    Rows sharing ts stay in one bucket, so ties are ordered as in the direct
-    window. ``large``: the groups to split by time bucket, one row of the keys
-    each (None: all). Which groups are split doesn't change the result."""
-    bucket = bucket_of(ts, width)
-    if large is None:
-        rows = df.withColumn(BUCKET, bucket)
-        split = df
-    else:
-        rows = (join_keys(df, large.withColumn(_LARGE, F.lit(True)), keys)
-                .withColumn(BUCKET, F.when(F.col(_LARGE), bucket)).drop(_LARGE))
-        split = join_keys(df.select(*keys, ts), large, keys, "left_semi")
-    summary = bucket_summary(split, keys, ts, width)
-    by_bucket = Window.partitionBy(*keys).orderBy(F.col(BUCKET).asc_nulls_first())
-    carry = (
-        summary.select(*keys, BUCKET, F.lag(BUCKET_MAX).over(by_bucket).alias(ts))
-        .where(F.col(ts).isNotNull())
-        .withColumn(PSEUDO, F.lit(True))
-    )
-    within = Window.partitionBy(*keys, BUCKET).orderBy(
-        F.col(ts).asc_nulls_first(), F.col(PSEUDO).desc(), *[F.col(c).asc_nulls_first() for c in tiebreak])
-    return (
-        rows.withColumn(PSEUDO, F.lit(False)).unionByName(carry, allowMissingColumns=True)
-        .withColumn(out, F.lag(ts).over(within))
-        .where(~F.col(PSEUDO))
-        .drop(BUCKET, PSEUDO)
-    )
+def large_cuts(rows: DataFrame, key: str, ts: str, large: int, piece_rows: int, counts: DataFrame | None = None,
+               also: str | None = None) -> DataFrame | None:
+    """Cuts of the groups of more than ``large`` rows: ``key``, ``cuts`` and
+    ``n_pieces``, written once, or None if there are none.
+
+    No group is larger than the input, so a small input needs no count by group
+    (its rows are counted from file footers). ``counts`` (``key``, ``n``) is the
+    groups' sizes, if known. ``also``: a column that follows from ``key`` and is
+    cheaper to read; groups are counted only where it has more than ``large``
+    rows, too."""
+    if counts is None:
+        if rows.count() <= large:
+            return None
+        counted = rows
+        if also is not None:
+            few = rows.groupBy(F.struct(also).alias("_also")).count().where(F.col("count") > large).select("_also")
+            few = materialize(few)
+            if (n := few.count()) == 0:
+                return None
+            counted = rows.join(_checked(few, 100 * n), F.struct(also) == F.col("_also"), "left_semi")
+        counts = counted.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    found = materialize(counts.where(F.col("n") > large))
+    groups, most = found.agg(F.count("*"), F.max("n")).first()
+    if groups == 0:
+        return None
+    cuts = materialize(group_cuts(rows, key, ts, _checked(found, 100 * groups), most, piece_rows))
+    return _checked(cuts, cuts.agg(F.sum(F.lit(100) + 8 * F.col("n_pieces"))).first()[0])
+
+
+def _checked(df: DataFrame, size: int) -> DataFrame:
+    """``df``, to be broadcast if its ``size`` in bytes allows."""
+    return F.broadcast(df) if size <= BROADCAST_CUTS else df
+
+
+def group_cuts(rows: DataFrame, key: str, ts: str, large: DataFrame, most: int, piece_rows: int) -> DataFrame:
+    """``key``, ``cuts`` and ``n_pieces`` of the groups listed in ``large``
+    (``key``, ``n``: its rows; ``most``: the largest of them): ascending
+    values of ``ts`` that divide the group into pieces of about ``piece_rows``
+    rows. A piece ends with its cut, and the last one has none."""
+    pieces = max(2, min(MOST_PIECES, -(-most // piece_rows)))
+    grid = [i / pieces for i in range(1, pieces)]
+    own = F.least(F.lit(pieces), F.ceil(F.col("n") / F.lit(piece_rows)))
+    step = F.greatest(F.lit(1), F.floor(F.lit(pieces) / own))  # a smaller group takes every step-th cut
+    found = rows.select(key, ts).join(large, key).groupBy(key).agg(
+        F.percentile_approx(ts, grid, 20 * max(pieces, 500)).alias("cuts"), F.first("n").alias("n"))
+    some = F.filter(F.coalesce("cuts", F.array().cast("array<long>")), lambda c, i: (i + 1) % step == 0)
+    return found.select(key, F.array_distinct(some).alias("cuts")).withColumn("n_pieces", F.size("cuts") + 1)
+
+
+def piece_of(ts: Column, cuts: Column) -> Column:
+    """How many of the ascending ``cuts`` are below ``ts`` (0: NULL, or no cuts)."""
+    coarse = F.filter(cuts, lambda c, i: ((i + 1) % STRIDE == 0) & (c < ts))
+    below = F.size(coarse) * STRIDE
+    fine = F.size(F.filter(F.slice(cuts, below + 1, F.lit(STRIDE)), lambda c: c < ts))
+    return F.when(cuts.isNull(), 0).otherwise(below + fine)
+
+
+def lag_in_pieces(df: DataFrame, key: str, ts: str, out: str, tiebreak: tuple[str, ...] = (),
+                  cuts: DataFrame | None = None) -> DataFrame:
+    """``df`` with ``out`` = LAG(ts) OVER (PARTITION BY key ORDER BY ts,
+    *tiebreak), NULL on the group's first row, and the row's piece, ``PIECE``.
+    NULL ts rows sort first; ``key`` is not NULL (a struct of what may be).
+    ``cuts``: from ``group_cuts`` of the same rows; the groups there are split,
+    which doesn't change the result. Rows end up dealt by (key, PIECE)."""
+    order = [F.col(ts).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in tiebreak]]
+    if cuts is None:
+        return df.withColumn(PIECE, F.lit(0)).withColumn(out, F.lag(ts).over(Window.partitionBy(key).orderBy(*order)))
+    rows = df.join(cuts.select(key, "cuts"), key, "left")
+    rows = rows.withColumn(PIECE, piece_of(F.col(ts), F.col("cuts")))
+    rows = rows.withColumn("_before", F.get("cuts", F.col(PIECE) - 1)).drop("cuts")
+    lag = F.lag(ts).over(Window.partitionBy(key, PIECE).orderBy(*order))
+    return rows.withColumn(out, F.coalesce(lag, "_before")).drop("_before")
 
 
 def join_keys(df: DataFrame, side: DataFrame, keys: list[str], how: str = "left") -> DataFrame:

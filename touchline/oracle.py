@@ -74,6 +74,17 @@ raw AS (
 )"""
 
 
+# Two thirds of the events without a user, half of them without a session.
+ANONYMOUS_RAW = """
+raw AS (
+  SELECT * REPLACE (
+    CASE event_timestamp % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE user_pseudo_id END AS user_pseudo_id,
+    CASE WHEN event_timestamp % 3 = 2 OR event_timestamp % 2 = 1 THEN ga_session_id END AS ga_session_id,
+    CASE WHEN event_timestamp % 3 = 2 OR event_timestamp % 2 = 1 THEN ga_session_number END AS ga_session_number)
+  FROM raw0
+)"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes)
 
@@ -90,15 +101,18 @@ src AS (
 )"""
 
 
+# The click-id rules: (pattern of the page, source, medium); the first also holds where gclid is present.
+CLICK_IDS = (("http%gclid=%", "google", "cpc"), ("http%fbclid=%", "facebook", "paid social"),
+             ("http%ttclid=%", "tiktok", "paid social"), ("http%msclkid=%", "bing", "cpc"))
+
+
 def _touch_cte() -> str:
     """Touch struct fields per event, from the click-id rule table."""
-    from touchline.functions.clickids import CLICK_ID_RULES
-
     any_param = "coalesce(source, medium, campaign, gclid)"
 
     def override(field: int, fallback: str) -> str:
         arms = []
-        for i, rule in enumerate(CLICK_ID_RULES):
+        for i, rule in enumerate(CLICK_IDS):
             test = f"page_location LIKE '{rule[0]}'"
             if i == 0:
                 test = f"(gclid IS NOT NULL OR {test})"
@@ -279,43 +293,37 @@ EVENTS_FLAT_COLUMNS = """session_id, event_date, event_timestamp, event_name, ga
   ecommerce_shipping_value, ecommerce_tax_value, ecommerce_unique_items, ecommerce_transaction_id,
   engagement_time_msec"""
 
-def _channel_case() -> str:
-    """The channel rule chain as a DuckDB CASE over columns s, m, c, built from
-    the rule constants; DuckDB's regexp_matches is RE2, the rules' own dialect."""
-    from touchline.functions import channels as ch
-
-    def has(col: str, pattern: str) -> str:
-        return f"regexp_matches({col}, '{pattern}')"
-
-    def among(col: str, values) -> str:
-        return f"{col} IN (" + ", ".join(f"'{v}'" for v in values) + ")"
-
-    paid = has("m", ch.PAID_MEDIUM)
-    shopping = f"({has('s', ch.SHOPPING_SOURCES)} OR {has('c', ch.SHOPPING_CAMPAIGN)})"
-    rules = [
-        (f"s = '{ch.DIRECT_SOURCE}' AND {among('m', ch.DIRECT_MEDIUMS)}", "Direct"),
-        (has("c", ch.CROSS_NETWORK_CAMPAIGN), "Cross-network"),
-        (f"{shopping} AND {paid}", "Paid Shopping"),
-        (f"{has('s', ch.SEARCH_SOURCES)} AND {paid}", "Paid Search"),
-        (f"{has('s', ch.SOCIAL_SOURCES)} AND {paid}", "Paid Social"),
-        (f"{has('s', ch.VIDEO_SOURCES)} AND {paid}", "Paid Video"),
-        (among("m", ch.DISPLAY_MEDIUMS), "Display"),
-        (shopping, "Organic Shopping"),
-        (f"{has('s', ch.SOCIAL_SOURCES)} OR {among('m', ch.SOCIAL_MEDIUMS)}", "Organic Social"),
-        (f"{has('s', ch.VIDEO_SOURCES)} OR {has('m', ch.VIDEO_MEDIUM)}", "Organic Video"),
-        (f"{has('s', ch.SEARCH_SOURCES)} OR m = 'organic'", "Organic Search"),
-        (f"{has('s', ch.EMAIL_PATTERN)} OR {has('m', ch.EMAIL_PATTERN)}", "Email"),
-        ("m = 'affiliate'", "Affiliates"),
-        ("m = 'referral'", "Referral"),
-        ("m = 'audio'", "Audio"),
-        ("m = 'sms'", "SMS"),
-        (f"{has('m', ch.PUSH_MEDIUM_SUFFIX)} OR {has('m', ch.PUSH_MEDIUM)}", "Mobile Push Notifications"),
-    ]
-    arms = "\n".join(f"  WHEN {cond} THEN '{label}'" for cond, label in rules)
-    return f"CASE\n{arms}\n  ELSE 'Unassigned'\nEND"
-
-
-CHANNEL_CASE = _channel_case()
+# The channel rules over columns s, m, c; DuckDB's regexp_matches is RE2, the rules' own dialect.
+CHANNEL_CASE = """CASE
+  WHEN s = '(direct)' AND m IN ('(not set)', '(none)') THEN 'Direct'
+  WHEN regexp_matches(c, 'cross-network') THEN 'Cross-network'
+  WHEN ({shopping}) AND {paid} THEN 'Paid Shopping'
+  WHEN {search} AND {paid} THEN 'Paid Search'
+  WHEN {social} AND {paid} THEN 'Paid Social'
+  WHEN {video} AND {paid} THEN 'Paid Video'
+  WHEN m IN ('display', 'banner', 'expandable', 'interstitial', 'cpm') THEN 'Display'
+  WHEN {shopping} THEN 'Organic Shopping'
+  WHEN {social} OR m IN ('social', 'social-network', 'social-media', 'sm', 'social network', 'social media')
+    THEN 'Organic Social'
+  WHEN {video} OR regexp_matches(m, '^(.*video.*)$') THEN 'Organic Video'
+  WHEN {search} OR m = 'organic' THEN 'Organic Search'
+  WHEN {email_source} OR {email_medium} THEN 'Email'
+  WHEN m = 'affiliate' THEN 'Affiliates'
+  WHEN m = 'referral' THEN 'Referral'
+  WHEN m = 'audio' THEN 'Audio'
+  WHEN m = 'sms' THEN 'SMS'
+  WHEN regexp_matches(m, 'push$') OR regexp_matches(m, 'mobile|notification') THEN 'Mobile Push Notifications'
+  ELSE 'Unassigned'
+END""".format(
+    shopping="regexp_matches(s, 'alibaba|amazon|google shopping|shopify|etsy|ebay|stripe|walmart') "
+             "OR regexp_matches(c, '^(.*(([^a-df-z]|^)shop|shopping).*)$')",
+    paid="regexp_matches(m, '^(.*cp.*|ppc|paid.*)$')",
+    search="regexp_matches(s, 'baidu|bing|duckduckgo|ecosia|google|yahoo|yandex')",
+    social="regexp_matches(s, 'badoo|facebook|fb|instagram|linkedin|pinterest|tiktok|twitter|whatsapp')",
+    video="regexp_matches(s, 'dailymotion|disneyplus|netflix|youtube|vimeo|twitch|vimeo|youtube')",
+    email_source="regexp_matches(s, 'email|e-mail|e_mail|e mail')",
+    email_medium="regexp_matches(m, 'email|e-mail|e_mail|e mail')")
+
 
 
 def _language_values() -> str:
@@ -356,6 +364,8 @@ SELECT date, {stg_keys}, {_struct_cols('first', 'has_first', 'source medium camp
        {_struct_cols('last', 'has_last', 'source medium campaign gclid')} FROM prep""",
         "session_traffic_30d": _stg_query(2592000),
         "session_traffic_30d_window": _stg_query(2592000),
+        "session_traffic_30d_split": _stg_query(2592000),
+        "session_traffic_30d_from_day_partials": _stg_query(2592000),
         "session_traffic_2d": _stg_query(172800),
         "session_traffic_2d_window": _stg_query(172800),
         "events_flat_extra": f"{_with(RAW, _flat(INIT_WHERE))}\nSELECT {EVENTS_FLAT_COLUMNS}, score, campaign FROM (SELECT flat.*, raw.score, raw.campaign FROM flat JOIN raw ON make_timestamp(raw.event_timestamp) = flat.event_timestamp AND raw.event_name IS NOT DISTINCT FROM flat.event_name AND raw.user_pseudo_id IS NOT DISTINCT FROM flat.user_pseudo_id AND raw.ga_session_id IS NOT DISTINCT FROM flat.ga_session_id)",
@@ -363,6 +373,8 @@ SELECT date, {stg_keys}, {_struct_cols('first', 'has_first', 'source medium camp
         "seconds_since_previous": f"""{_with(RAW, _flat(INIT_WHERE))}
 SELECT event_timestamp, user_pseudo_id, ga_session_id, previous_timestamp FROM flat""",
         "seconds_since_previous_window": f"""{_with(RAW, _flat(INIT_WHERE))}
+SELECT event_timestamp, user_pseudo_id, ga_session_id, previous_timestamp FROM flat""",
+        "seconds_since_previous_split": f"""{_with(RAW, _flat(INIT_WHERE))}
 SELECT event_timestamp, user_pseudo_id, ga_session_id, previous_timestamp FROM flat""",
         "exit_flag": f"""{_with(RAW, _flat(INIT_WHERE))}
 SELECT event_timestamp, user_pseudo_id, ga_session_number, exit_page FROM flat""",
@@ -371,6 +383,11 @@ SELECT event_timestamp, user_pseudo_id, ga_session_number, exit_page FROM flat""
         "exit_flag_bucketed": f"""{_with(RAW, _flat(INIT_WHERE))}
 SELECT event_timestamp, user_pseudo_id, ga_session_number, exit_page FROM flat""",
         "events_sessionized": sessionized,
+        "session_key_fanout": f"""{_with(RAW.replace("raw AS (", "raw0 AS ("), ANONYMOUS_RAW, _src(INIT_WHERE), TOUCH, PREP,
+                                         _stg(2592000), _flat(INIT_WHERE))}
+SELECT f.event_timestamp, f.session_id, f.user_pseudo_id, f.previous_timestamp, f.exit_page, s.source AS session_source,
+       s.medium AS session_medium, s.campaign AS session_campaign, s.session_start
+FROM flat f LEFT JOIN stg s ON f.session_id = s.session_id""",
         "purchase_items": _items(INIT_WHERE),
         "shard_range_scan": f"""{_with(RAW)}
 SELECT event_date, event_timestamp, event_name, user_pseudo_id, ga_session_id FROM raw
@@ -378,6 +395,9 @@ WHERE event_date BETWEEN '{SHARD_RANGE[0]}' AND '{SHARD_RANGE[1]}'""",
         "shard_point_scan": f"""{_with(RAW)}
 SELECT event_date, event_timestamp, event_name, user_pseudo_id, ga_session_id FROM raw
 WHERE event_date = '{UPDATE_DAY}'""",
+        "shard_suffix_scan": f"""{_with(RAW)}
+SELECT event_date, event_timestamp, event_name, user_pseudo_id, ga_session_id, event_date AS table_suffix FROM raw
+WHERE event_date BETWEEN '{SHARD_RANGE[0]}' AND '{SHARD_RANGE[1]}'""",
         "channel_grouping": f"""WITH ev AS ({sessionized})
 SELECT event_timestamp, session_source, session_medium, session_campaign,
        {CHANNEL_CASE.replace(chr(10), chr(10) + '       ')} AS channel
@@ -387,6 +407,9 @@ SELECT make_timestamp(event_timestamp) AS event_timestamp, device_language,
        coalesce(lang.name, device_language) AS language_name
 FROM raw LEFT JOIN lang ON raw.device_language = lang.code
 WHERE {INIT_WHERE}""",
+        "language_name_column": f"""{_with(RAW, langs)}
+SELECT device_language, count(*) AS n_events, coalesce(any_value(lang.name), device_language) AS language_name
+FROM raw LEFT JOIN lang ON raw.device_language = lang.code WHERE {INIT_WHERE} GROUP BY device_language""",
         "document_language_name": f"""WITH {langs}
 SELECT doc_id, documents.lang, coalesce(l.name, documents.lang) AS language_name
 FROM documents LEFT JOIN lang AS l ON documents.lang = l.code""",

@@ -20,18 +20,21 @@ from pyspark.sql import functions as F
 
 from touchline.functions.channels import channel_group
 from touchline.functions.dates import init_window
-from touchline.functions.languages import language_name
+from touchline.functions.languages import language_name, with_language_name
 from touchline.functions.params import float_param, int_param, register_param_functions, string_param
 from touchline.operators.events import (
+    LARGE_GROUP,
     build_events,
     exit_flag,
     flatten_events,
     seconds_since_previous,
+    sessions_of_days,
 )
 from touchline.operators.items import purchase_items
 from touchline.operators.traffic import (
     FIRST,
     LAST,
+    all_event_traffic,
     event_traffic,
     merge_session_days,
     session_day_partials,
@@ -41,9 +44,9 @@ from touchline.operators.traffic import (
 )
 from touchline.plans.reporting import TablePaths, init, update
 from touchline.schema import FLAT_EVENT_COLUMNS
-from touchline.session import app_id, scratch_path
+from touchline.session import app_id, materialize, scratch_path
 from touchline.sources.fixture import driver_raw_events
-from touchline.sources.raw import scan_shard, scan_shard_range, write_shards
+from touchline.sources.raw import SUFFIX, scan_shard, scan_shard_range, write_shards, write_suffix_shards
 
 INIT_RUN_DATE = dt.date(2024, 2, 2)
 UPDATE_INIT_RUN_DATE = dt.date(2024, 1, 16)
@@ -195,17 +198,23 @@ def q_session_rollup(spark, sf_dir):
 def q_session_rollup_from_day_partials(spark, sf_dir):
     """The roll-up as the update path builds it: per (session, day) partials,
     merged."""
-    partials = session_day_partials(event_traffic(init_raw(spark, sf_dir)))
+    partials = session_day_partials(all_event_traffic(init_raw(spark, sf_dir)))
     return merge_session_days(partials).select("date", "session_id", "user_pseudo_id", "session_start",
                                                *_struct_fields(FIRST, "first"), *_struct_fields(LAST, "last"))
 
 
-def _stg(lookback: int, method: str):
+def _stg(lookback: int, method: str, **options):
     def run(spark, sf_dir):
-        return session_traffic(event_traffic(init_raw(spark, sf_dir)), lookback, method=method)
+        return session_traffic(event_traffic(init_raw(spark, sf_dir)), lookback, method=method, **options)
     return run
 
 
+def q_session_traffic_from_day_partials(spark, sf_dir):
+    """stg as the load builds it, users of more than 50 partials split."""
+    partials = materialize(session_day_partials(all_event_traffic(init_raw(spark, sf_dir))))
+    return session_traffic(None, large_user=50, partials=partials)
+
+
 # ---------------------------------------------------------------- P8-P11
 def q_events_flat(spark, sf_dir):
     cols = [c for c in FLAT_EVENT_COLUMNS if c not in ("previous_timestamp", "exit_page")]
@@ -219,9 +228,9 @@ def q_events_flat_extra(spark, sf_dir):
     return flat.select(*cols, "score", "campaign")
 
 
-def _previous(method: str):
+def _previous(method: str, **options):
     def run(spark, sf_dir):
-        out = seconds_since_previous(flatten_events(init_raw(spark, sf_dir)), method)
+        out = seconds_since_previous(flatten_events(init_raw(spark, sf_dir)), method, **options)
         return out.select("event_timestamp", "user_pseudo_id", "ga_session_id", "previous_timestamp")
     return run
 
@@ -233,9 +242,32 @@ def _exit(method: str):
     return run
 
 
+def _sessionized(raw: DataFrame, large_group: int = LARGE_GROUP) -> DataFrame:
+    """The events table as a load builds it: sessions, and their traffic, from
+    the session-day partials."""
+    partials = materialize(session_day_partials(all_event_traffic(raw)))
+    stg = session_traffic(None, partials=partials)
+    return build_events(raw, stg, large_group=large_group, sessions=sessions_of_days(partials))
+
+
 def q_events_sessionized(spark, sf_dir):
-    raw = init_raw(spark, sf_dir)
-    return build_events(raw, session_traffic(event_traffic(raw)))
+    return _sessionized(init_raw(spark, sf_dir))
+
+
+def q_session_key_fanout(spark, sf_dir):
+    """Sessions that share an id: a third of the events have no user, another
+    third an empty one, and of both every second event has no session id, so
+    that the id '' is hot among the events and repeated in stg. Such groups
+    are split from 500 events on."""
+    raw, n = init_raw(spark, sf_dir), F.col("event_timestamp")
+    user = F.when(n % 3 == 0, F.lit(None).cast("string")).when(n % 3 == 1, F.lit("")).otherwise(F.col("user_pseudo_id"))
+    no_session = (n % 3 < 2) & (n % 2 == 0)
+    others = F.filter("event_params", lambda p: ~p["key"].isin("ga_session_id", "ga_session_number"))
+    raw = raw.withColumn("user_pseudo_id", user).withColumn(
+        "event_params", F.when(no_session, others).otherwise(F.col("event_params")))
+    return _sessionized(raw, large_group=500).select(
+        "event_timestamp", "session_id", "user_pseudo_id", "previous_timestamp", "exit_page", "session_source",
+        "session_medium", "session_campaign", "session_start")
 
 
 def q_purchase_items(spark, sf_dir):
@@ -243,9 +275,9 @@ def q_purchase_items(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- S1, S2
-def _scan_projection(raw: DataFrame) -> DataFrame:
+def _scan_projection(raw: DataFrame, *more) -> DataFrame:
     return raw.select("event_date", "event_timestamp", "event_name", "user_pseudo_id",
-                      int_param("ga_session_id").alias("ga_session_id"))
+                      int_param("ga_session_id").alias("ga_session_id"), *more)
 
 
 def q_shard_range_scan(spark, sf_dir):
@@ -256,6 +288,23 @@ def q_shard_point_scan(spark, sf_dir):
     return _scan_projection(scan_shard(spark, raw_shards(spark, sf_dir), SHARD_DAY))
 
 
+def suffix_shards(spark: SparkSession, sf_dir: str) -> str:
+    """The shards again, as ``events_yyyyMMdd`` tables; every eighth event is in
+    the intraday table of its day, too, as it is until the day's table is done."""
+    def build() -> str:
+        raw = raw_events(spark, sf_dir).withColumn("_table", F.explode(F.when(
+            F.col("event_timestamp") % 8 == 0,
+            F.array("event_date", F.concat(F.lit("intraday_"), "event_date"))).otherwise(F.array("event_date"))))
+        return write_suffix_shards(raw, scratch_path(spark, "suffix-shards"), "_table")
+    return _memo(spark, sf_dir, "suffix-shards", build)
+
+
+def q_shard_suffix_scan(spark, sf_dir):
+    """S1 over the export's own table names; the intraday tables lie outside."""
+    raw = scan_shard_range(spark, suffix_shards(spark, sf_dir), *SHARD_RANGE, layout="suffix")
+    return _scan_projection(raw, F.col(SUFFIX).alias("table_suffix"))
+
+
 # ---------------------------------------------------------------- P14, P15
 def q_channel_grouping(spark, sf_dir):
     """Sessions are classified, then their label joins the flat events: the
@@ -274,13 +323,18 @@ def q_channel_grouping(spark, sf_dir):
 
 def q_language_name(spark, sf_dir):
     flat = flatten_events(init_raw(spark, sf_dir))
-    return flat.select("event_timestamp", "device_language",
-                       language_name(F.col("device_language")).alias("language_name"))
+    return with_language_name(flat.select("event_timestamp", "device_language"), "device_language", "language_name")
 
 
 def q_document_language_name(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    return docs.select("doc_id", "lang", language_name(F.col("lang")).alias("language_name"))
+    return with_language_name(docs.select("doc_id", "lang"), "lang", "language_name")
+
+
+def q_language_name_column(spark, sf_dir):
+    """The lookup as a Column, on the few distinct codes of the events."""
+    codes = flatten_events(init_raw(spark, sf_dir)).groupBy("device_language").agg(F.count(F.lit(1)).alias("n_events"))
+    return codes.withColumn("language_name", language_name(F.col("device_language")))
 
 
 def q_sessions_by_channel(spark, sf_dir):
@@ -333,23 +387,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_last_touch": q_session_last_touch,
     "session_rollup": q_session_rollup,
     "session_rollup_from_day_partials": q_session_rollup_from_day_partials,
-    "session_traffic_30d": _stg(2592000, "bucketed"),
+    "session_traffic_30d": _stg(2592000, "split"),
     "session_traffic_30d_window": _stg(2592000, "window"),
-    "session_traffic_2d": _stg(SHORT_LOOKBACK, "bucketed"),
+    "session_traffic_30d_split": _stg(2592000, "split", large_user=50),
+    "session_traffic_30d_from_day_partials": q_session_traffic_from_day_partials,
+    "session_traffic_2d": _stg(SHORT_LOOKBACK, "split"),
     "session_traffic_2d_window": _stg(SHORT_LOOKBACK, "window"),
     "events_flat": q_events_flat,
     "events_flat_extra": q_events_flat_extra,
-    "seconds_since_previous": _previous("bucketed"),
+    "seconds_since_previous": _previous("split"),
+    "seconds_since_previous_split": _previous("split", large_group=20),
     "seconds_since_previous_window": _previous("window"),
     "exit_flag": _exit("aggregate"),
     "exit_flag_bucketed": _exit("bucketed"),
     "exit_flag_window": _exit("window"),
     "events_sessionized": q_events_sessionized,
+    "session_key_fanout": q_session_key_fanout,
     "purchase_items": q_purchase_items,
     "shard_range_scan": q_shard_range_scan,
     "shard_point_scan": q_shard_point_scan,
+    "shard_suffix_scan": q_shard_suffix_scan,
     "channel_grouping": q_channel_grouping,
     "language_name": q_language_name,
+    "language_name_column": q_language_name_column,
     "document_language_name": q_document_language_name,
     "sessions_by_channel": q_sessions_by_channel,
     "init_src_table": q_init_src_table,

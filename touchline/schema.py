@@ -143,12 +143,14 @@ EVENT_COLUMNS = FLAT_EVENT_COLUMNS + SESSION_SOURCE_COLUMNS
 
 ITEM_COLUMNS = ("date", "item_name", "item_variant", "item_quantity", "item_revenue")
 
-SESSION_DAY_COLUMNS = ("date", "session_id", "user_pseudo_id", "session_start", "first_event", "last_touch_event")
+SESSION_DAY_COLUMNS = ("date", "session_id", "user_pseudo_id", "session_start", "ga_session_number", "first_event",
+                       "last_touch_event", "n_events", "last_us")
 
 # Types of the derived tables. Readers pass them on, so a table or day without
 # rows (and so without files) is empty instead of unreadable.
 _BIGINTS = {"session_start", "ga_session_number", "ga_session_id", "entrances", "ecommerce_total_item_quantity",
-            "ecommerce_unique_items", "exit_page", "engagement_time_msec", "item_quantity"}
+            "ecommerce_unique_items", "exit_page", "engagement_time_msec", "item_quantity",
+            "n_events", "last_us"}
 _DOUBLES = {"ecommerce_purchase_revenue", "ecommerce_refund_value", "ecommerce_shipping_value", "ecommerce_tax_value",
             "previous_timestamp", "item_revenue"}
 
