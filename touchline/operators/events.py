@@ -4,6 +4,8 @@ the session (P9), exit flag (P10) and the session's traffic source (P11)."""
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,14 +13,14 @@ from pyspark.sql import types as T
 
 from touchline.functions.dates import micros_to_timestamp, shard_to_date
 from touchline.functions.params import float_param, int_param, one_value_per_key, string_or_int_param, string_param
-from touchline.operators.ordered import PIECE, join_keys, lag_in_pieces, large_cuts, max_by_join, max_in_groups
+from touchline.operators.ordered import PIECE, join_keys, lag_in_pieces, large_cuts, max_by_join, max_in_groups, not_null_keys
 from touchline.operators.traffic import session_key
 from touchline.schema import EVENT_COLUMNS, FLAT_EVENT_COLUMNS, SESSION_SOURCE_COLUMNS
 from touchline.session import materialize
 
 MICROS = "_us"
-# The (user, session) group of an event, a struct, so that NULLs are keys like any others.
-GROUP = "_group"
+# Names of the (user, session) group of an event: keys that are not NULL.
+GROUP = ["_user", "_session", "_nulls"]
 # Kinds of extra event params: the lookup and the column type.
 PARAM_KINDS = {"string": string_param, "int": int_param, "float": float_param}
 PARAM_TYPES = {"string": T.StringType(), "int": T.LongType(), "float": T.DoubleType()}
@@ -40,7 +42,7 @@ def flatten_events(raw: DataFrame, strict: bool = False, extra_params: dict[str,
     columns of their name (kind "string", "int" or "float"); ``strict`` fails on
     an event that has one of the looked-up keys twice."""
     extra_params = extra_params or {}
-    if taken := {k.lower() for k in extra_params} & {c.lower() for c in (*EVENT_COLUMNS, MICROS, GROUP)}:
+    if taken := {k.lower() for k in extra_params} & {c.lower() for c in (*EVENT_COLUMNS, MICROS, *GROUP)}:
         raise ValueError(f"extra params named like columns of the events table: {sorted(taken)}")
     if strict:
         raw = one_value_per_key(raw, [*EVENT_PARAMS, *extra_params])
@@ -110,16 +112,16 @@ def sessions_of_days(partials: DataFrame) -> DataFrame:
 
 
 def grouped(df: DataFrame) -> DataFrame:
-    return df.withColumn(GROUP, F.struct(*PREVIOUS_KEYS))
+    return not_null_keys(df, dict(zip(GROUP, map(F.col, PREVIOUS_KEYS))))[0]
 
 
 def large_group_cuts(flat: DataFrame, sessions: DataFrame | None, large_group: int = LARGE_GROUP) -> DataFrame | None:
     """Cuts of the groups with more than ``large_group`` events, or None."""
     counts = None
     if sessions is not None:
-        counts = grouped(sessions).groupBy(GROUP).agg(F.sum("_n").alias("n"))
+        counts = grouped(sessions).groupBy(*GROUP).agg(F.sum("_n").alias("n"))
     return large_cuts(grouped(flat), GROUP, MICROS, large_group, max(1, min(PIECE_EVENTS, large_group)), counts,
-                      "user_pseudo_id")
+                      GROUP[0])
 
 
 def _lagged(flat: DataFrame, cuts: DataFrame | None) -> DataFrame:
@@ -142,7 +144,7 @@ def seconds_since_previous(flat: DataFrame, method: str = "split", large_group:
         return flat.withColumn("previous_timestamp", _seconds_since(previous))
     if method != "split":
         raise ValueError(f"unknown method {method!r}")
-    return _lagged(flat, large_group_cuts(flat, None, large_group)).drop(GROUP, PIECE)
+    return _lagged(flat, large_group_cuts(flat, None, large_group)).drop(*GROUP, PIECE)
 
 
 def _is_last() -> Column:
@@ -221,9 +223,9 @@ def build_events(raw: DataFrame, stg: DataFrame, method: str = "split", strict:
     side = join_keys(sessions, sessions.groupBy(*EXIT_KEYS).agg(F.max("_last").alias("_max")), EXIT_KEYS)
     of_session = session_key(F.col("user_pseudo_id"), F.col("ga_session_id")) == F.col("_stg_session_id")
     side = grouped(side.join(_session_side(stg), of_session, "left")).select(
-        GROUP, F.col("ga_session_number").alias("_number"), "_max", *SESSION_SOURCE_COLUMNS)
+        *GROUP, F.col("ga_session_number").alias("_number"), "_max", *SESSION_SOURCE_COLUMNS)
     if cuts is not None:
-        side = side.join(cuts.select(GROUP, "n_pieces"), GROUP, "left")
+        side = side.join(cuts.select(*GROUP, "n_pieces"), GROUP, "left")
         pieces = F.sequence(F.lit(0), F.coalesce("n_pieces", F.lit(1)) - 1)
         side = side.withColumn(PIECE, F.explode(pieces)).drop("n_pieces")
     else:
@@ -231,5 +233,5 @@ def build_events(raw: DataFrame, stg: DataFrame, method: str = "split", strict:
     # not a join key, as the events lie by group and piece: a group has few numbers
     same_number = F.coalesce(F.col("ga_session_number") == F.col("_number"),
                              F.col("ga_session_number").isNull() & F.col("_number").isNull())
-    here = (timed[GROUP] == side[GROUP]) & (timed[PIECE] == side[PIECE]) & same_number
+    here = reduce(and_, (timed[k] == side[k] for k in (*GROUP, PIECE))) & same_number
     return timed.join(side, here, "left").withColumn("exit_page", _is_last()).select(*EVENT_COLUMNS, *extra)

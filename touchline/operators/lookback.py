@@ -27,20 +27,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.operators.ordered import PIECE, piece_of
+from touchline.operators.ordered import PIECE, not_null_keys, piece_of
 
-# Where a row is dealt: a struct, so that a NULL user is a key like any other, and the piece.
-USER = "_user"
-DEALT = [USER, PIECE]
+# Where a row is dealt: the user, in keys that are not NULL, and the piece.
+USER = ["_user", "_nulls"]
+DEALT = [*USER, PIECE]
 
 
 def with_piece(df: DataFrame, user: str, start: str, cuts: DataFrame | None) -> DataFrame:
     """``df`` with the columns ``DEALT``. ``cuts``: (USER, cuts) of the large
     users, or None."""
-    df = df.withColumn(USER, F.struct(F.col(user)))
+    df = not_null_keys(df, {USER[0]: F.col(user)})[0]
     if cuts is None:
         return df.withColumn(PIECE, F.lit(0))
-    joined = df.join(cuts.select(USER, "cuts"), USER, "left")
+    joined = df.join(cuts.select(*USER, "cuts"), USER, "left")
     return joined.withColumn(PIECE, piece_of(F.col(start), F.col("cuts"))).drop("cuts")
 
 
@@ -50,10 +50,10 @@ def carried_touches(df: DataFrame, user: str, start: str, value: Column, cuts: D
     the greatest counts."""
     large = with_piece(df.select(F.col(user), F.col(start), value.alias("v")), user, start, cuts)
     # NULL starts never carry; users that are not large have no later piece
-    latest = (large.where(F.col("v").isNotNull() & F.col(start).isNotNull()).join(cuts.select(USER), USER, "left_semi")
+    latest = (large.where(F.col("v").isNotNull() & F.col(start).isNotNull()).join(cuts.select(*USER), USER, "left_semi")
               .groupBy(*DEALT).agg(F.max(F.struct(F.col(start).alias("start"), "v")).alias("latest")))
-    pieces = cuts.select(USER, F.explode(F.sequence(F.lit(0), F.col("n_pieces") - 1)).alias(PIECE))
-    earlier = Window.partitionBy(USER).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
+    pieces = cuts.select(*USER, F.explode(F.sequence(F.lit(0), F.col("n_pieces") - 1)).alias(PIECE))
+    earlier = Window.partitionBy(*USER).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
     carry = pieces.join(latest, DEALT, "left").select(*DEALT, F.max("latest").over(earlier).alias("_carry"))
     return carry.where(F.col("_carry").isNotNull())
 
@@ -63,7 +63,7 @@ def latest_touch_within(rows: DataFrame, start: str, value: str, lookback: int,
     """``rows`` (with ``DEALT``, and partitioned by them if the window is to
     find them in place) with ``out``: the latest non-NULL ``value`` among rows
     of the same user whose start lies in [start - lookback, start]."""
-    running = (Window.partitionBy(*(DEALT if carry is not None else [USER])).orderBy(F.col(start).asc_nulls_first())
+    running = (Window.partitionBy(*(DEALT if carry is not None else USER)).orderBy(F.col(start).asc_nulls_first())
                .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     candidate = F.when(F.col(value).isNotNull(), F.struct(F.col(start).alias("start"), F.col(value).alias("v")))
     best = rows.withColumn("_best", F.max(candidate).over(running))

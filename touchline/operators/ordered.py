@@ -44,32 +44,46 @@ def bucket_summary(df: DataFrame, keys: list[str], ts: str, width: int) -> DataF
     return df.groupBy(*keys, bucket_of(ts, width).alias(BUCKET)).agg(F.max(ts).alias(BUCKET_MAX))
 
 
-def large_cuts(rows: DataFrame, key: str, ts: str, large: int, piece_rows: int, counts: DataFrame | None = None,
-               also: str | None = None) -> DataFrame | None:
-    """Cuts of the groups of more than ``large`` rows: ``key``, ``cuts`` and
-    ``n_pieces``, written once, or None if there are none.
+def not_null_keys(df: DataFrame, columns: dict[str, Column]) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns that are never NULL and equal where these are equal
+    or both NULL: names of such keys, for equi-joins and windows that are to
+    share one partitioning. ``columns``: strings and longs by key name."""
+    nulls = F.lit(0)
+    for i, c in enumerate(columns.values()):
+        nulls = nulls + F.when(c.isNull(), 1 << i).otherwise(0)
+    blank = {"string": "", "bigint": -1}
+    named = df.withColumns(columns)
+    kinds = dict(named.dtypes)
+    return named.withColumns({**{k: F.coalesce(c, F.lit(blank[kinds[k]]).cast(kinds[k])) for k, c in columns.items()},
+                              "_nulls": nulls}), [*columns, "_nulls"]
+
+
+def large_cuts(rows: DataFrame, keys: list[str], ts: str, large: int, piece_rows: int,
+               counts: DataFrame | None = None, first: str | None = None) -> DataFrame | None:
+    """Cuts of the groups of more than ``large`` rows: ``keys`` (not NULL),
+    ``cuts`` and ``n_pieces``, written once, or None if there are none.
 
     No group is larger than the input, so a small input needs no count by group
-    (its rows are counted from file footers). ``counts`` (``key``, ``n``) is the
-    groups' sizes, if known. ``also``: a column that follows from ``key`` and is
-    cheaper to read; groups are counted only where it has more than ``large``
-    rows, too."""
+    (its rows are counted from file footers). ``counts`` (``keys``, ``n``): the
+    groups' sizes, if known. ``first``: the one of ``keys`` that is cheap to
+    read; only groups of those of its values with more than ``large`` rows are
+    counted."""
+    if rows.count() <= large:
+        return None
     if counts is None:
-        if rows.count() <= large:
-            return None
         counted = rows
-        if also is not None:
-            few = rows.groupBy(F.struct(also).alias("_also")).count().where(F.col("count") > large).select("_also")
-            few = materialize(few)
-            if (n := few.count()) == 0:
+        if first is not None:
+            many = rows.groupBy(first).count().where(F.col("count") > large).select(first)
+            many = materialize(many)
+            if (n := many.count()) == 0:
                 return None
-            counted = rows.join(_checked(few, 100 * n), F.struct(also) == F.col("_also"), "left_semi")
-        counts = counted.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+            counted = rows.join(_checked(many, 100 * n), first, "left_semi")
+        counts = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     found = materialize(counts.where(F.col("n") > large))
     groups, most = found.agg(F.count("*"), F.max("n")).first()
     if groups == 0:
         return None
-    cuts = materialize(group_cuts(rows, key, ts, _checked(found, 100 * groups), most, piece_rows))
+    cuts = materialize(group_cuts(rows, keys, ts, _checked(found, 100 * groups), most, piece_rows))
     return _checked(cuts, cuts.agg(F.sum(F.lit(100) + 8 * F.col("n_pieces"))).first()[0])
 
 
@@ -78,19 +92,19 @@ def _checked(df: DataFrame, size: int) -> DataFrame:
     return F.broadcast(df) if size <= BROADCAST_CUTS else df
 
 
-def group_cuts(rows: DataFrame, key: str, ts: str, large: DataFrame, most: int, piece_rows: int) -> DataFrame:
-    """``key``, ``cuts`` and ``n_pieces`` of the groups listed in ``large``
-    (``key``, ``n``: its rows; ``most``: the largest of them): ascending
+def group_cuts(rows: DataFrame, keys: list[str], ts: str, large: DataFrame, most: int, piece_rows: int) -> DataFrame:
+    """``keys``, ``cuts`` and ``n_pieces`` of the groups listed in ``large``
+    (``keys``, ``n``: its rows; ``most``: the largest of them): ascending
     values of ``ts`` that divide the group into pieces of about ``piece_rows``
     rows. A piece ends with its cut, and the last one has none."""
     pieces = max(2, min(MOST_PIECES, -(-most // piece_rows)))
     grid = [i / pieces for i in range(1, pieces)]
     own = F.least(F.lit(pieces), F.ceil(F.col("n") / F.lit(piece_rows)))
     step = F.greatest(F.lit(1), F.floor(F.lit(pieces) / own))  # a smaller group takes every step-th cut
-    found = rows.select(key, ts).join(large, key).groupBy(key).agg(
+    found = rows.select(*keys, ts).join(large, keys).groupBy(*keys).agg(
         F.percentile_approx(ts, grid, 20 * max(pieces, 500)).alias("cuts"), F.first("n").alias("n"))
     some = F.filter(F.coalesce("cuts", F.array().cast("array<long>")), lambda c, i: (i + 1) % step == 0)
-    return found.select(key, F.array_distinct(some).alias("cuts")).withColumn("n_pieces", F.size("cuts") + 1)
+    return found.select(*keys, F.array_distinct(some).alias("cuts")).withColumn("n_pieces", F.size("cuts") + 1)
 
 
 def piece_of(ts: Column, cuts: Column) -> Column:
@@ -101,20 +115,20 @@ def piece_of(ts: Column, cuts: Column) -> Column:
     return F.when(cuts.isNull(), 0).otherwise(below + fine)
 
 
-def lag_in_pieces(df: DataFrame, key: str, ts: str, out: str, tiebreak: tuple[str, ...] = (),
+def lag_in_pieces(df: DataFrame, keys: list[str], ts: str, out: str, tiebreak: tuple[str, ...] = (),
                   cuts: DataFrame | None = None) -> DataFrame:
-    """``df`` with ``out`` = LAG(ts) OVER (PARTITION BY key ORDER BY ts,
+    """``df`` with ``out`` = LAG(ts) OVER (PARTITION BY keys ORDER BY ts,
     *tiebreak), NULL on the group's first row, and the row's piece, ``PIECE``.
-    NULL ts rows sort first; ``key`` is not NULL (a struct of what may be).
+    NULL ts rows sort first; ``keys`` are not NULL (see ``not_null_keys``).
     ``cuts``: from ``group_cuts`` of the same rows; the groups there are split,
-    which doesn't change the result. Rows end up dealt by (key, PIECE)."""
+    which doesn't change the result. Rows end up dealt by keys and piece."""
     order = [F.col(ts).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in tiebreak]]
     if cuts is None:
-        return df.withColumn(PIECE, F.lit(0)).withColumn(out, F.lag(ts).over(Window.partitionBy(key).orderBy(*order)))
-    rows = df.join(cuts.select(key, "cuts"), key, "left")
+        return df.withColumn(PIECE, F.lit(0)).withColumn(out, F.lag(ts).over(Window.partitionBy(*keys).orderBy(*order)))
+    rows = df.join(cuts.select(*keys, "cuts"), keys, "left")
     rows = rows.withColumn(PIECE, piece_of(F.col(ts), F.col("cuts")))
     rows = rows.withColumn("_before", F.get("cuts", F.col(PIECE) - 1)).drop("cuts")
-    lag = F.lag(ts).over(Window.partitionBy(key, PIECE).orderBy(*order))
+    lag = F.lag(ts).over(Window.partitionBy(*keys, PIECE).orderBy(*order))
     return rows.withColumn(out, F.coalesce(lag, "_before")).drop("_before")
 
 

@@ -30,7 +30,7 @@ from touchline.functions.clickids import CLICK_ID_RULES, traffic_touch
 from touchline.functions.dates import LOOKBACK_SECONDS, shard_to_date
 from touchline.functions.params import int_param, one_value_per_key, string_param
 from touchline.operators.lookback import DEALT, USER, carried_touches, latest_touch_within, with_piece
-from touchline.operators.ordered import PIECE, large_cuts
+from touchline.operators.ordered import PIECE, large_cuts, not_null_keys
 from touchline.schema import SRC_COLUMNS, STG_COLUMNS
 
 # Fixed values (must equal the reference).
@@ -60,10 +60,10 @@ def _excluded() -> Column:
     return F.col("event_name").isin(*EXCLUDED_EVENTS)
 
 
-def all_event_traffic(raw: DataFrame, strict: bool = False) -> DataFrame:
+def all_event_traffic(raw: DataFrame, strict: bool = False, *more: Column) -> DataFrame:
     """The rows of ``event_traffic`` before its event-name filter, with the
-    event name and the session number. ``strict`` fails on an event that has
-    one of the looked-up keys twice."""
+    event name, the session number and ``more`` columns. ``strict`` fails on an
+    event that has one of the looked-up keys twice."""
     raw = one_value_per_key(raw, TRAFFIC_PARAMS) if strict else raw
     session_id_param = int_param("ga_session_id")
     return raw.select(
@@ -81,6 +81,7 @@ def all_event_traffic(raw: DataFrame, strict: bool = False) -> DataFrame:
         string_param("page_location").alias("page_location"),
         F.col("event_name"),
         int_param("ga_session_number").alias("ga_session_number"),
+        *more,
     )
 
 
@@ -123,7 +124,7 @@ def session_rollup(src: DataFrame, rules=CLICK_ID_RULES) -> DataFrame:
     )
 
 
-def session_day_partials(src: DataFrame, rules=CLICK_ID_RULES) -> DataFrame:
+def session_day_partials(src: DataFrame, rules=CLICK_ID_RULES, **counts: Column) -> DataFrame:
     """Per (session, day) partial state of the roll-up: the day's earliest
     (event_timestamp, touch) and latest non-NULL one. Both are min / max of a
     struct, hence associative: merging the days of a window gives exactly
@@ -132,19 +133,21 @@ def session_day_partials(src: DataFrame, rules=CLICK_ID_RULES) -> DataFrame:
     Over ``all_event_traffic`` there is a row per session number, too; events
     that ``event_traffic`` leaves out add no touch (``first_event`` is NULL where
     there are no others), but count in ``n_events`` and ``last_us``, the number
-    of events and their latest timestamp, which the events table needs."""
+    of events and their latest timestamp, which the events table needs.
+    ``counts`` adds numbers of events for which a condition holds."""
     touched = with_touch(src, rules)
     ts, touch = F.col("event_timestamp").alias("ts"), F.col("touch").alias("touch")
     order, first = F.struct(ts, touch), F.struct(ts, F.col("touch").isNull().alias("untouched"), touch)
     whole = "event_name" in src.columns
-    counts = ~_excluded() if whole else F.lit(True)
+    taken = ~_excluded() if whole else F.lit(True)
     keys = ["date", *SESSION_KEYS, *(["ga_session_number"] if whole else [])]
     return (
         touched.where(F.col("session_id").isNotNull())
         .groupBy(*keys)
-        .agg(F.min(F.when(counts, first)).alias("first_event"),
-             F.max(F.when(counts & F.col("touch").isNotNull(), order)).alias("last_touch_event"),
-             F.count(F.lit(1)).alias("n_events"), F.max("event_timestamp").alias("last_us"))
+        .agg(F.min(F.when(taken, first)).alias("first_event"),
+             F.max(F.when(taken & F.col("touch").isNotNull(), order)).alias("last_touch_event"),
+             F.count(F.lit(1)).alias("n_events"), F.max("event_timestamp").alias("last_us"),
+             *(F.count_if(c).alias(name) for name, c in counts.items()))
     )
 
 
@@ -169,7 +172,7 @@ def large_user_cuts(rows: DataFrame, large_user: int = LARGE_USER) -> DataFrame
     """Cuts of the users with more than ``large_user`` of these rows (sessions,
     or the partials or events they come from), or None: a user then has no more
     sessions than that. Users are counted over their column alone."""
-    return large_cuts(rows.withColumn(USER, F.struct("user_pseudo_id")), USER, "session_start", large_user,
+    return large_cuts(not_null_keys(rows, {USER[0]: F.col("user_pseudo_id")})[0], USER, "session_start", large_user,
                       max(1, min(PIECE_SESSIONS, large_user)))
 
 
@@ -225,7 +228,7 @@ def session_traffic(src: DataFrame | None, lookback_seconds: int = LOOKBACK_SECO
         filled = _lookback(session_rollup(src), touched, F.col("_order"), cuts, lookback_seconds)
     else:
         cuts = large_user_cuts(partials, large_user)
-        dealt = with_piece(partials, "user_pseudo_id", "session_start", cuts).repartition(*DEALT[:1 + (cuts is not None)])
+        dealt = with_piece(partials, "user_pseudo_id", "session_start", cuts).repartition(*(USER if cuts is None else DEALT))
         filled = _lookback(merge_session_days(dealt, tuple(DEALT)), partials, F.col("last_touch_event"), cuts,
                            lookback_seconds)
     t = F.col(FILLED)

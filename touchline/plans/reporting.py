@@ -11,7 +11,7 @@ The raw shards are scanned once per table that needs them (src, session days,
 events, items), never while a plan is built. The staging table of per-(session,
 day) partial aggregates serves the sessions of stg, and gives the events table
 its groups' sizes and latest timestamps. Its scan also observes the stated
-conditions of the input (``input_checks``).
+conditions of the input (``checked_session_days``).
 
 Update semantics kept from the source: the day's src rows are (re)written, stg
 is recomputed from the trailing window of src but only the day's sessions are
@@ -54,6 +54,7 @@ from touchline.operators.traffic import (
     session_traffic,
 )
 from touchline.schema import EVENT_SCHEMA, ITEM_SCHEMA, SESSION_DAY_SCHEMA, SRC_SCHEMA, STG_SCHEMA
+from touchline.session import materialize
 from touchline.sources.raw import PARTITION_COLUMN, SUFFIX, scan_shard, scan_shard_range, shard_states
 from touchline.sources.sinks import Load, Version, read_table, version
 
@@ -72,7 +73,7 @@ class BadInput(ValueError):
 class TablePaths:
     """``extra_params``: event params that the events table has beside the
     contract columns, by kind ("string", "int" or "float"). ``checks``: what the
-    load that returned this saw in its input (see ``input_checks``)."""
+    load that returned this saw in its input (see ``checked_session_days``) and the rows per day."""
 
     root: str
     extra_params: dict[str, str] = field(default_factory=dict)
@@ -122,34 +123,39 @@ class TablePaths:
         return [prefix + v for v in names.values()]
 
 
-def input_checks(raw: DataFrame, days: list[str]) -> tuple[DataFrame, Callable[[], dict]]:
-    """``raw`` with its stated conditions observed in whatever pass reads it,
-    and a function that gives the counts after that pass: ``rows``;
-    ``null_timestamps`` (a session's first event is then undefined);
+def checked_session_days(raw: DataFrame, days: list[str], rules) -> tuple[DataFrame, Callable[[], dict]]:
+    """The session-day partials of ``raw``, and a function that gives, once they
+    are written, what that pass has seen of the stated conditions of the input:
+    ``rows``; ``null_timestamps`` (a session's first event is then undefined);
     ``other_dates``, rows whose date is not their shard's (the shard range then
-    selects other rows than the date does) or not a day of the load;
-    ``rows_per_day``. A repeated task may count its rows again."""
+    selects other rows than the date does) or not a day of the load. They are
+    counted per session day and observed in the aggregate's few rows, which a
+    repeated task may count again."""
     date = F.col(PARTITION_COLUMN)
     fits = date.isin(*days) & ((date == F.col(SUFFIX)) if SUFFIX in raw.columns else F.lit(True))
-    count = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    counts = {"_untimed": F.col("event_timestamp").isNull(), "_misdated": F.col("_other")}
+    other = (~F.coalesce(fits, F.lit(False))).alias("_other")
+    partials = session_day_partials(all_event_traffic(raw, False, other), rules, **counts)
     observed = Observation()
-    watched = raw.observe(observed, F.count(F.lit(1)).alias("rows"),
-                          count(F.col("event_timestamp").isNull()).alias("null_timestamps"),
-                          count(~F.coalesce(fits, F.lit(False))).alias("other_dates"),
-                          *(count(date == day).alias(day) for day in days))
+    watched = partials.observe(observed, F.sum("n_events").alias("rows"), F.sum("_untimed").alias("null_timestamps"),
+                               F.sum("_misdated").alias("other_dates"))
 
     def found() -> dict:
-        seen = {k: v or 0 for k, v in observed.get.items()}
-        return {"checks": {**{k: v for k, v in seen.items() if k not in days},
-                           "rows_per_day": {day: seen.get(day, 0) for day in days}}}
+        return {"checks": {k: v or 0 for k, v in observed.get.items()}}
 
-    return watched, found
+    return watched.drop(*counts), found
 
 
-def _finish(load: Load, paths: TablePaths, fail_on_bad_input: bool) -> TablePaths:
-    checks = load.notes.get("checks", {})
-    if fail_on_bad_input and (checks.get("null_timestamps") or checks.get("other_dates")):
+def _rows_per_day(partials: DataFrame, days: list[str]) -> dict[str, int]:
+    seen = {shard(r["date"]): r["n"] for r in partials.groupBy("date").agg(F.sum("n_events").alias("n")).collect() if r["date"]}
+    return {day: seen.get(day, 0) for day in days}
+
+
+def _finish(load: Load, paths: TablePaths, partials: DataFrame, days: list[str], fail_on_bad_input: bool) -> TablePaths:
+    checks = load.notes["checks"]
+    if fail_on_bad_input and (checks["null_timestamps"] or checks["other_dates"]):
         raise BadInput(f"nothing was published: {checks}")
+    checks["rows_per_day"] = _rows_per_day(partials, days)  # a day's rows, from its sessions
     load.commit()
     return TablePaths(paths.root, paths.extra_params, checks)
 
@@ -165,7 +171,7 @@ def init(spark: SparkSession, raw_path: str, root: str, run_date=None, lookback_
     ``large_group`` and ``large_user`` say which groups and users are split (see
     ``operators.events`` and ``operators.traffic``); ``layout`` is the raw
     export's ("partition", "suffix" or "auto"). ``fail_on_bad_input`` publishes
-    nothing if the input breaks a condition of ``input_checks``."""
+    nothing if the input breaks a condition of ``checked_session_days``."""
     paths = TablePaths(root, extra_params or {})
     start, end = init_window(run_date)
     days = shards_between(start, end)
@@ -174,17 +180,17 @@ def init(spark: SparkSession, raw_path: str, root: str, run_date=None, lookback_
                               shard_states(spark, raw_path, start, end)])
     read = lambda table: load.read(TABLES[table], paths.schema(table))
     load.replace(TABLES["src"], "date", lambda: event_traffic(raw, strict))
-    watched, found = input_checks(raw, days)
-    load.replace(TABLES["session_days"], "date", lambda: session_day_partials(all_event_traffic(watched), rules),
-                 rebalance=True, note=found)
+    days_made, found = checked_session_days(raw, days, rules)
+    load.replace(TABLES["session_days"], "date", lambda: days_made, rebalance=True, note=found)
     partials = read("session_days")
     load.replace(TABLES["stg"], "date", lambda: session_traffic(
         None, lookback_seconds, method=method, large_user=large_user, partials=partials), rebalance=True)
     load.replace(TABLES["events"], "event_date", lambda: build_events(
-        raw, read("stg"), method, strict, paths.extra_params, large_group, sessions_of_days(partials)), rebalance=True)
+        raw, read("stg"), method, strict, paths.extra_params, large_group, materialize(sessions_of_days(partials))),
+        rebalance=True)
     # a few percent of the rows: without the exchange each scan task would leave its own small file
     load.replace(TABLES["items"], "date", lambda: purchase_items(raw), rebalance=True)
-    return _finish(load, paths, fail_on_bad_input)
+    return _finish(load, paths, partials, days, fail_on_bad_input)
 
 
 def update_day(spark: SparkSession, raw_path: str, root: str, day: str, start: str | None = None,
@@ -204,18 +210,18 @@ def update_day(spark: SparkSession, raw_path: str, root: str, day: str, start: s
                               shard_states(spark, raw_path, day, day)])
     read = lambda table: load.read(TABLES[table], paths.schema(table))
     load.replace_day(TABLES["src"], "date", date, lambda: event_traffic(raw, strict))
-    watched, found = input_checks(raw, [day])
-    load.replace_day(TABLES["session_days"], "date", date, lambda: session_day_partials(
-        all_event_traffic(watched), rules), rebalance=True, note=found)
-    window = read("session_days").where(F.col("date").between(F.lit(first), F.lit(date)))
+    days_made, found = checked_session_days(raw, [day], rules)
+    load.replace_day(TABLES["session_days"], "date", date, lambda: days_made, rebalance=True, note=found)
+    partials = read("session_days")
+    window = partials.where(F.col("date").between(F.lit(first), F.lit(date)))
     load.replace_day(TABLES["stg"], "date", date, lambda: session_traffic(
         None, lookback_seconds, date, method, large_user, window), rebalance=True)
     of_day = F.col("date") == F.lit(date)
     load.replace_day(TABLES["events"], "event_date", date, lambda: build_events(
         raw, read("stg").where(of_day), method, strict, paths.extra_params, large_group,
-        sessions_of_days(read("session_days").where(of_day))), rebalance=True)
+        materialize(sessions_of_days(partials.where(of_day)))), rebalance=True)
     load.replace_day(TABLES["items"], "date", date, lambda: purchase_items(raw), rebalance=True)
-    return _finish(load, paths, fail_on_bad_input)
+    return _finish(load, paths, partials.where(of_day), [day], fail_on_bad_input)
 
 
 def update(spark: SparkSession, raw_path: str, root: str, run_date=None, lookback_seconds: int = LOOKBACK_SECONDS,

@@ -19,6 +19,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # compiled plans that a session keeps: a load has more stages than the default of 100, and a
+    # plan that is compiled anew starts out interpreted (static: counts for a new session only)
+    "spark.sql.codegen.cache.maxEntries": "1000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # remove checkpoint files of materialised intermediates once unreferenced,
