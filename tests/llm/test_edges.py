@@ -3,6 +3,7 @@ extra columns, for every operator."""
 
 import base64
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -211,6 +212,8 @@ def test_quality(rows, none, spark):
     assert len(got) == len(ROWS)
     want = sorted(brute.measures(t) for _, t, *_ in ROWS)
     assert sorted((r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got) == want
+    kept = quality.filter_quality(rows.withColumn("a.b", F.lit(1)).withColumn("_q_lang", F.lit(2)).withColumn("_q_most", F.lit(3)))
+    assert kept.columns == [*rows.columns, "a.b", "_q_lang", "_q_most"]
     kept = quality.filter_quality(rows)
     assert kept.columns == rows.columns and all(not r.base_failed for r in got if r.kept)
     assert quality.judged(none).count() == 0 and quality.filter_quality(none).count() == 0
@@ -220,6 +223,51 @@ def test_quality(rows, none, spark):
     assert {r.doc_id for r in quality.filter_quality(df).collect()} == set(range(300))
 
 
+def _limits(spark, groups, **parameters):
+    """Limits of groups (lang, source): word lengths."""
+    rows = [(lang, source, math.ceil(math.log(v) / math.log(1.01 / 0.99))) for (lang, source), vs in groups.items() for v in vs]
+    sketch = spark.createDataFrame(rows, "lang string, source string, bucket long").groupBy("lang", "source", "bucket").agg(
+        F.count("*").alias("n")).withColumn("ratio", F.lit("word_length"))
+    got = quality.thresholds(sketch, spreads={"word_length": 0.0}, **parameters).collect()
+    return {(r.lang, r.source): r.most_word_length for r in got}
+
+
+def _plain_limits(groups, parent_rows):
+    """The same from lists of weighted values."""
+    value = lambda v: 2 * (1.01 / 0.99) ** math.ceil(math.log(v) / math.log(1.01 / 0.99)) / (1.01 / 0.99 + 1)
+    scaled = lambda some, n: [(v, w * n / sum(w for _, w in some)) for v, w in some]
+    every = scaled([(v, 1) for vs in groups.values() for v in vs], parent_rows)
+    langs = {lang: [(v, 1) for (x, _), vs in groups.items() if x == lang for v in vs] + every for lang, _ in groups}
+
+    def at(some, q):
+        upto, total = 0, sum(w for _, w in some)
+        for v, w in sorted(some):
+            upto += w
+            if upto >= q * total - 1e-6:
+                return value(v)
+
+    out = {}
+    for (lang, source), vs in groups.items():
+        some = [(v, 1) for v in vs] + scaled(langs[lang], parent_rows)
+        out[lang, source] = at(some, 0.75) + 3 * (at(some, 0.75) - at(some, 0.25))
+    return out
+
+
+def test_quality_limits_lean_on_parents_at_every_size(spark):
+    rng = random.Random(8)
+    lengths = lambda n, a, b: [round(rng.uniform(a, b), 3) for _ in range(n)]
+    groups = {("en", "a"): lengths(2000, 4, 5), ("en", "b"): lengths(99, 6, 9), ("en", None): lengths(3, 20, 30),
+              (None, "a"): lengths(50, 3, 4), ("de", "c"): lengths(1, 8, 9)}
+    for parent_rows in (100, 7):
+        got, want = _limits(spark, groups, parent_rows=parent_rows), _plain_limits(groups, parent_rows)
+        assert got.keys() == want.keys()
+        assert all(abs(got[k] - want[k]) <= 0.05 * want[k] for k in got), (got, want)
+    before = _limits(spark, groups)
+    for more in range(1, 4):  # 100 rows and more: no jump
+        after = _limits(spark, {**groups, ("en", "b"): groups["en", "b"] + [7.5] * more})
+        assert all(abs(after[k] - before[k]) <= 0.1 * before[k] for k in before)
+
+
 def test_quality_long_text_counts_alike(monkeypatch):
     text = " ".join(str(i % 7 * (i % 11)) for i in range(500))
     plain = quality.measure(text)

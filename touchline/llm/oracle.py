@@ -78,34 +78,45 @@ m AS (
   FROM lists LEFT JOIN repeated USING (rid)),
 judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
 cells AS (
-  SELECT rid, lang, source, base_failed, r.ratio AS ratio, r.v AS v, r.spread AS spread
+  SELECT rid, lang, source, base_failed, r.ratio AS ratio, r.v AS v
   FROM (SELECT *, unnest([
-      {'ratio': 'symbol_ratio', 'v': n_symbols::DOUBLE / greatest(n_words, 1), 'spread': 0.08::DOUBLE},
-      {'ratio': 'dup_line_ratio', 'v': n_dup_lines::DOUBLE / greatest(n_lines, 1), 'spread': 0.2::DOUBLE},
-      {'ratio': 'repeat_ratio', 'v': n_repeat_words::DOUBLE / greatest(n_words, 1), 'spread': 0.15::DOUBLE},
-      {'ratio': 'word_length', 'v': word_chars::DOUBLE / greatest(n_words, 1), 'spread': 0.5::DOUBLE}]) AS r FROM judged)),
+      {'ratio': 'symbol_ratio', 'v': n_symbols::DOUBLE / greatest(n_words, 1)},
+      {'ratio': 'dup_line_ratio', 'v': n_dup_lines::DOUBLE / greatest(n_lines, 1)},
+      {'ratio': 'repeat_ratio', 'v': n_repeat_words::DOUBLE / greatest(n_words, 1)},
+      {'ratio': 'word_length', 'v': word_chars::DOUBLE / greatest(n_words, 1)}]) AS r FROM judged)),
 sketch AS (
-  SELECT lang, source, ratio, spread, CASE WHEN v > 0 THEN ceil(ln(v) / ln(1.01::DOUBLE / 0.99::DOUBLE)) END AS bucket, count(*) AS n
+  SELECT lang, source, ratio, CASE WHEN v > 0 THEN ceil(ln(v) / ln(1.01::DOUBLE / 0.99::DOUBLE)) END AS bucket, count(*) AS n
   FROM cells WHERE NOT base_failed GROUP BY ALL),
-levels AS (
-  SELECT 0 AS level, lang, source, * EXCLUDE (lang, source) FROM sketch
-  UNION ALL SELECT 1, lang, NULL, ratio, spread, bucket, sum(n) FROM sketch GROUP BY lang, ratio, spread, bucket
-  UNION ALL SELECT 2, NULL, NULL, ratio, spread, bucket, sum(n) FROM sketch GROUP BY ratio, spread, bucket),
+everything AS (
+  SELECT ratio, bucket, floor(1e9 * n / sum(n) OVER (PARTITION BY ratio))::BIGINT AS n
+  FROM (SELECT ratio, bucket, sum(n) AS n FROM sketch GROUP BY ratio, bucket)),
+of_lang AS (
+  SELECT lang, ratio, bucket, floor(1e9 * n / sum(n) OVER (PARTITION BY lang, ratio))::BIGINT AS n
+  FROM (SELECT lang, ratio, bucket, sum(n) AS n
+        FROM (SELECT lang, ratio, bucket, 10000000 * n AS n FROM sketch
+              UNION ALL SELECT l.lang, ratio, e.bucket, e.n FROM (SELECT DISTINCT lang, ratio FROM sketch) l JOIN everything e USING (ratio))
+        GROUP BY lang, ratio, bucket)),
+merged AS (
+  SELECT lang, source, ratio, bucket, sum(n) AS n
+  FROM (SELECT lang, source, ratio, bucket, 10000000 * n AS n FROM sketch
+        UNION ALL SELECT g.lang, g.source, g.ratio, l.bucket, l.n FROM (SELECT DISTINCT lang, source, ratio FROM sketch) g
+        JOIN of_lang l ON l.lang IS NOT DISTINCT FROM g.lang AND l.ratio = g.ratio)
+  GROUP BY lang, source, ratio, bucket),
 ranked AS (
-  SELECT *, sum(n) OVER (PARTITION BY level, lang, source, ratio ORDER BY bucket NULLS FIRST) AS upto,
-         sum(n) OVER (PARTITION BY level, lang, source, ratio) AS total,
-         CASE WHEN bucket IS NULL THEN 0 ELSE 2 * pow(1.01::DOUBLE / 0.99::DOUBLE, bucket) / (1.01::DOUBLE / 0.99::DOUBLE + 1) END AS mid FROM levels),
+  SELECT *, sum(n) OVER (PARTITION BY lang, source, ratio ORDER BY bucket NULLS FIRST) AS upto,
+         sum(n) OVER (PARTITION BY lang, source, ratio) AS total,
+         CASE WHEN bucket IS NULL THEN 0 ELSE 2 * pow(1.01::DOUBLE / 0.99::DOUBLE, bucket) / (1.01::DOUBLE / 0.99::DOUBLE + 1) END AS mid FROM merged),
+spreads(ratio, spread) AS (VALUES ('symbol_ratio', 0.08::DOUBLE), ('dup_line_ratio', 0.2::DOUBLE),
+                                  ('repeat_ratio', 0.15::DOUBLE), ('word_length', 0.5::DOUBLE)),
 limits AS (
-  SELECT level, lang, source, ratio, max(total) AS total,
+  SELECT lang, source, ratio,
          min(mid) FILTER (WHERE upto >= ceil(total * 0.75)) + 3 * greatest(
            min(mid) FILTER (WHERE upto >= ceil(total * 0.75)) - min(mid) FILTER (WHERE upto >= ceil(total * 0.25)),
-           any_value(spread)) AS most FROM ranked GROUP BY level, lang, source, ratio),
+           any_value(spread)) AS most FROM ranked JOIN spreads USING (ratio) GROUP BY lang, source, ratio),
 failed AS (
   SELECT DISTINCT c.rid FROM cells c
-  LEFT JOIN limits a ON a.level = 0 AND a.ratio = c.ratio AND a.lang IS NOT DISTINCT FROM c.lang AND a.source IS NOT DISTINCT FROM c.source
-  LEFT JOIN limits b ON b.level = 1 AND b.ratio = c.ratio AND b.lang IS NOT DISTINCT FROM c.lang
-  LEFT JOIN limits d ON d.level = 2 AND d.ratio = c.ratio
-  WHERE a.most IS NOT NULL AND c.v > CASE WHEN a.total >= 100 THEN a.most WHEN b.total >= 100 THEN b.most ELSE d.most END)
+  JOIN limits a ON a.ratio = c.ratio AND a.lang IS NOT DISTINCT FROM c.lang AND a.source IS NOT DISTINCT FROM c.source
+  WHERE c.v > a.most)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND failed.rid IS NULL AS kept
 FROM judged LEFT JOIN failed ON failed.rid = judged.rid

@@ -8,9 +8,10 @@ The sketch is a relational DDSketch: a value falls in the bucket
 ``ceil(log_g(value))`` with ``g = (1 + a) / (1 - a)``, so a bucket's middle is
 within the relative error ``a`` of all its values. Sketches merge by adding
 bucket counts; counting is an ordinary aggregation with map-side combine, so a
-source with a third of all rows never meets in one task. Groups with fewer than
-``min_rows`` documents take the sketch of their language, then that of all
-documents - the same sketches, merged.
+source with a third of all rows never meets in one task. A group's sketch is
+merged with its language's, and that with the one of all documents, at the fixed
+weight of ``parent_rows`` rows whatever the group's size: a small group leans on
+its parents, a large one hardly, and no size switches between them.
 
 A ratio fails where it exceeds ``q3 + fence * max(q3 - q1, spread)``: the far
 outliers of its group. ``spread`` is the least spread assumed of a ratio, so
@@ -22,7 +23,8 @@ the words in repeated 3-word windows.
 
 Nulls and ties: a null text has no words and fails the base rules; null language
 or source form a group of their own; repeated rows are judged alike; an empty
-table gives no rows. Other columns pass through ``filter_quality`` unread."""
+table gives no rows; a text of any length is measured whole. Other columns, with
+any name, pass through ``filter_quality`` unread."""
 
 from __future__ import annotations
 
@@ -43,7 +45,8 @@ SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 ACCURACY = 0.01
 FENCE = 3.0
-MIN_ROWS = 100
+#: Rows that the parents' merged sketch counts in a group's, and units of a row's count.
+PARENT_ROWS, UNIT = 100, 10_000_000
 #: ratio: least spread (documented parameter of ``thresholds``)
 SPREADS = {"symbol_ratio": 0.08, "dup_line_ratio": 0.2, "repeat_ratio": 0.15, "word_length": 0.5}
 MEASURES = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
@@ -83,8 +86,9 @@ def measures(docs: DataFrame, text_col: str = "text", keep: list[str] | None = N
     """The columns ``keep`` (default: all) plus one struct column ``m`` (renamed
     if taken) of MEASURES."""
     keep = docs.columns if keep is None else keep
-    name, text = fresh_name(docs, "m"), fresh_name(docs, "t")
-    source = docs.select(*(col(docs, c) for c in keep),
+    name, text = fresh_name(docs, "m"), "text"
+    # by position: mapInArrow can't take a column with a dot in its name
+    source = docs.select(*(col(docs, c).alias(f"c{i}") for i, c in enumerate(keep)),
                          F.coalesce(col(docs, text_col).cast("string"), F.lit("")).alias(text))
     fields = [f.split()[0] for f in MEASURES.split(", ")]
 
@@ -98,7 +102,7 @@ def measures(docs: DataFrame, text_col: str = "text", keep: list[str] | None = N
 
     schema = source.drop(text).withColumn(name, F.lit(None).cast(f"struct<{MEASURES.replace(' ', ':')
                                                                            .replace(',:', ',')}>")).schema
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, schema).toDF(*keep, name)
 
 
 def base_failed(m: Column) -> Column:
@@ -129,46 +133,58 @@ def quantile(sketch: DataFrame, keys: list[str], q: float, out: str, accuracy: f
     ranked = sketch.withColumn("_upto", F.sum("n").over(over)).withColumn("_all", F.sum("n").over(
         Window.partitionBy(*keys)))
     value = F.when(F.col("bucket").isNull(), 0.0).otherwise(2 * F.pow(F.lit(g), F.col("bucket")) / (g + 1))
-    return (ranked.where(F.col("_upto") >= F.ceil(F.col("_all") * q)).groupBy(*keys)
-            .agg(F.min(value).alias(out), F.max("_all").alias("n")))
+    return ranked.where(F.col("_upto") >= F.ceil(F.col("_all") * q)).groupBy(*keys).agg(F.min(value).alias(out))
 
 
-def thresholds(sketch: DataFrame, fence: float = FENCE, min_rows: int = MIN_ROWS,
+def with_parents(sketch: DataFrame, parent_rows: int = PARENT_ROWS) -> DataFrame:
+    """Each (lang, source) sketch merged with its parents': the language's
+    buckets, which hold those of all documents in turn, count as ``parent_rows``
+    rows more. A group of any size is judged by such a sketch, so one row more or
+    less moves its limits a little. Counts are in units of 1 / UNIT rows."""
+    def shares(merged: DataFrame, keys: list[str]) -> DataFrame:
+        total = F.sum("n").over(Window.partitionBy(*keys, "ratio"))
+        return merged.withColumn("n", F.floor(F.lit(float(UNIT * parent_rows)) * F.col("n") / total).cast("long"))
+
+    def merged(own: DataFrame, keys: list[str], parent: DataFrame, by: list[str]) -> DataFrame:
+        groups, parent = own.select(*keys, "ratio").distinct(), parent.withColumnsRenamed({k: "_" + k for k in (*by, "ratio")})
+        same = [groups[k].eqNullSafe(parent["_" + k]) for k in (*by, "ratio")]
+        lent = groups.join(parent, same).select(*keys, "ratio", "bucket", "n")
+        return own.withColumn("n", F.col("n") * UNIT).unionByName(lent).groupBy(*keys, "ratio", "bucket").agg(
+            F.sum("n").alias("n"))
+
+    everything = shares(sketch.groupBy("ratio", "bucket").agg(F.sum("n").alias("n")), [])
+    of_lang = sketch.groupBy("lang", "ratio", "bucket").agg(F.sum("n").alias("n"))
+    of_lang = shares(merged(of_lang, ["lang"], everything, []), ["lang"])
+    return merged(sketch.select("lang", "source", "ratio", "bucket", "n"), ["lang", "source"], of_lang, ["lang"])
+
+
+def thresholds(sketch: DataFrame, fence: float = FENCE, parent_rows: int = PARENT_ROWS,
                spreads: dict[str, float] | None = None, accuracy: float = ACCURACY) -> DataFrame:
-    """Per (lang, source) one column of upper limits per ratio. Small groups take
-    the limits of the merged sketch of their language, then of everything."""
-    spreads = spreads or SPREADS
-
-    def limits(keys: list[str], suffix: str) -> DataFrame:
-        merged = sketch.groupBy(*keys, "ratio", "bucket").agg(F.sum("n").alias("n"))
-        low = quantile(merged, [*keys, "ratio"], 0.25, "q1", accuracy)
-        high = quantile(merged, [*keys, "ratio"], 0.75, "q3", accuracy).drop("n")
-        same = [low[k].eqNullSafe(high[k]) for k in [*keys, "ratio"]]
-        both = low.join(high, same).select(*(low[k] for k in [*keys, "ratio"]), "n", "q1", "q3")
-        spread = F.create_map(*(F.lit(x) for kv in spreads.items() for x in kv))[F.col("ratio")]
-        both = both.withColumn("_limit", F.col("q3") + fence * F.greatest(F.col("q3") - F.col("q1"), spread))
-        return both.groupBy(*keys).agg(F.max("n").alias("n" + suffix), *(
-            F.max(F.when(F.col("ratio") == r, F.col("_limit"))).alias(r + suffix) for r in spreads))
-
-    own, of_lang = limits(["lang", "source"], "0"), limits(["lang"], "1").withColumnRenamed("lang", "_lang")
-    of_all = limits([], "2").first()  # one row: a limit per ratio
-    joined = own.join(of_lang, own["lang"].eqNullSafe(of_lang["_lang"]))
-    pick = lambda r: (F.when(F.col("n0") >= min_rows, F.col(r + "0"))
-                      .when(F.col("n1") >= min_rows, F.col(r + "1")).otherwise(F.lit(of_all[r + "2"]).cast("double")))
-    return joined.select("lang", "source", *(pick(r).alias("most_" + r) for r in spreads))
+    """Per (lang, source) one column of upper limits per ratio, from the group's
+    sketch merged with its parents'."""
+    spreads, keys = spreads or SPREADS, ["lang", "source", "ratio"]
+    whole = with_parents(sketch, parent_rows)
+    low = quantile(whole, keys, 0.25, "q1", accuracy)
+    high = quantile(whole, keys, 0.75, "q3", accuracy)
+    both = low.join(high, [low[k].eqNullSafe(high[k]) for k in keys]).select(*(low[k] for k in keys), "q1", "q3")
+    spread = F.create_map(*(F.lit(x) for kv in spreads.items() for x in kv))[F.col("ratio")]
+    limit = F.col("q3") + fence * F.greatest(F.col("q3") - F.col("q1"), spread)
+    return both.groupBy("lang", "source").agg(*(
+        F.max(F.when(F.col("ratio") == r, limit)).alias("most_" + r) for r in spreads))
 
 
 def judge(measured: DataFrame, m: str, limits: DataFrame, lang: Column, source: Column, out: str) -> DataFrame:
     """Join each document to its group's limits and add ``out``, the verdict.
     Limits have one row per group; they are broadcast while that is small."""
-    named = limits.select(F.col("lang").alias("_q_lang"), F.col("source").alias("_q_source"),
-                          F.struct(*(c for c in limits.columns if c.startswith("most_"))).alias("_q_most"))
-    same = lang.eqNullSafe(F.col("_q_lang")) & source.eqNullSafe(F.col("_q_source"))
+    of_lang, of_source, most = (fresh_name(measured, x) for x in ("_q_lang", "_q_source", "_q_most"))
+    named = limits.select(F.col("lang").alias(of_lang), F.col("source").alias(of_source),
+                          F.struct(*(c for c in limits.columns if c.startswith("most_"))).alias(most))
+    same = lang.eqNullSafe(named[of_lang]) & source.eqNullSafe(named[of_source])
     fits = F.lit(True)
     for r, v in ratios(F.col(m)).items():
-        fits &= F.coalesce(v <= F.col("_q_most")["most_" + r], F.lit(True))
+        fits &= F.coalesce(v <= named[most]["most_" + r], F.lit(True))
     return (measured.join(maybe_broadcast(named, 120), same, "left")
-            .withColumn(out, ~base_failed(F.col(m)) & fits).drop("_q_lang", "_q_source", "_q_most"))
+            .withColumn(out, ~base_failed(F.col(m)) & fits).drop(of_lang, of_source, most))
 
 
 def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
