@@ -16,7 +16,6 @@ LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def token_ids(file: str, texts: list[str]) -> list[list[int]]:
     t = Tokenizer.from_file(public_tokenizers.path(file))
-    t.encode_special_tokens = True
     return [[*t.encode(x or "", add_special_tokens=False).ids, 2] for x in texts]
 
 

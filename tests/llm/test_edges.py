@@ -24,7 +24,7 @@ WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 LONG = " ".join(f"w{i % 977} q{i % 31}" for i in range(60_000)) + "\n" + "x" * 300_000
 ROWS = [(1, "one two three four", "en", "a"), (1, "one two three four", "en", "a"), (2, None, None, None),
-        (None, "  \n\t ", "en", None), (3, "", "de", "a"), (4, LONG, "en", "b"), (5, "Ünï cödé \U0001f600 <|im_end|>", "fr", "a"),
+        (None, "  \n\t ", "en", None), (3, "", "de", "a"), (4, LONG, "en", "b"), (5, "Ünï cödé \U0001f600 <|im_end|> in<|endoftext|>side <|startoftext|>", "fr", "a"),
         (None, None, None, None)]
 #: Extra columns whose names operators use inside.
 CLASH = ["m", "t", "key", "rules", "spans", "fingerprint", "row", "kept", "_row", "shard", "n_words", "a b"]
@@ -44,6 +44,25 @@ def none(rows):
     return rows.where("doc_id > 100")
 
 
+SPECIAL = ["<|endoftext|>", "<|startoftext|>"]
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+@settings(max_examples=80, deadline=None)
+@given(texts=st.lists(st.lists(st.sampled_from([*SPECIAL, *SPECIAL, "a", "Zé", " ", "  ", "\n", ".", "a.", ",", "~", "|>", "<|", "\n~\n"]),
+                               max_size=9).map("".join), max_size=5))
+def test_special_strings_are_the_library_s_tokens(path, texts):
+    from tokenizers import Tokenizer
+
+    for as_text in (False, True):
+        bare = Tokenizer.from_file(path)
+        if as_text:
+            bare.encode_special_tokens = True
+        ids, ends = encoder(path, special_as_text=as_text).encode(pa.array(texts, pa.string()))
+        assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [
+            bare.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("path", [WORDS, BYTES])
 @settings(max_examples=60, deadline=None)
 @given(texts=st.lists(st.text(st.sampled_from("aZé\u0301ñ '.,~1_ \n\t\r\x1c\x1f\x85\xa0\u200b\u180e\u2028\u3000<|>Σ"),

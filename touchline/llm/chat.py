@@ -72,7 +72,7 @@ def format_chat(turns: DataFrame, tokenizer_path: str, conv_col: str = "conv_id"
                           escape(F.coalesce(col(turns, text_col).cast("string"), F.lit(""))).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part = encoder(tokenizer_path), TaskContext.get().partitionId()
+        enc, part = encoder(tokenizer_path, special_as_text=True), TaskContext.get().partitionId()
         start, sep, end = (np.array([enc.vocabulary + k], "<u4") for k in (START, SEP, END))
         conv, at, position = object(), 0, 0
         for batch in batches:
@@ -124,7 +124,7 @@ def read_chat(formatted: DataFrame, tokenizer_path: str) -> DataFrame:
     kept = ["conv_id", "turn", "part", "position", "is_loss", "formatted_chars"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path)
+        enc = encoder(tokenizer_path, special_as_text=True)
         reserved = [enc.vocabulary + k for k in (START, SEP, END)]
         for batch in batches:
             role, text, loss = [], [], []

@@ -7,7 +7,9 @@ Each slice of texts is cut, its distinct chunks are encoded once (or taken from
 bounded memo of the worker process), and the ids are gathered back with numpy.
 The result equals ``encode(text, add_special_tokens=False)`` (tested against it).
 
-Strings of special tokens inside a text are ordinary text."""
+A special token's string inside a text is that token, as in the bare library call,
+or ordinary text with ``special_as_text``. Such strings hold no white space and no
+letter before a full stop or comma at their end, so no cut divides them."""
 
 from __future__ import annotations
 
@@ -45,13 +47,13 @@ def _pieces(chunks: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 
 
 class Encoder:
-    def __init__(self, path: str, memo: int = MEMO):
+    def __init__(self, path: str, memo: int = MEMO, special_as_text: bool = False):
         self.memo = memo
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.separator, self.separator_id = "", -1
         for text in ("\n", "\n~\n"):
@@ -145,6 +147,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, memo: int = MEMO) -> Encoder:
-    """One per worker process, file and size of the memo."""
-    return Encoder(path, memo)
+def encoder(path: str, memo: int = MEMO, special_as_text: bool = False) -> Encoder:
+    """One per worker process, file, size of the memo and way with special strings."""
+    return Encoder(path, memo, special_as_text)
