@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from touchline.operators.events import exit_flag, flatten_events, seconds_since_previous
 from touchline.operators.items import purchase_items
-from touchline.operators.ordered import group_cuts, lag_in_pieces, max_by_join, max_in_groups
+from touchline.operators.ordered import group_cuts, lag_in_pieces, max_by_join, max_in_groups, not_null_keys
 from touchline.schema import FLAT_EVENT_COLUMNS
 from touchline.operators.events import event_columns
 
@@ -63,18 +63,18 @@ def test_bucketed_lag_and_max_match_brute_force_under_skew(spark, seed):
         uniq.append((rid, k, ts))
     df = spark.createDataFrame(uniq, "rid int, k int, ts long")
     expected = _brute_lag(uniq)
-    grouped = df.withColumn("g", F.struct("k"))
-    assert {r.rid: r.prev for r in lag_in_pieces(grouped, "g", "ts", "prev").collect()} == expected
+    grouped, keys = not_null_keys(df, {"g": F.col("k").cast("long")})
+    assert {r.rid: r.prev for r in lag_in_pieces(grouped, keys, "ts", "prev").collect()} == expected
     sizes = {}
     for _, k, _ in uniq:
         sizes[k] = sizes.get(k, 0) + 1
     for piece_rows in (1, 7, 150, 10_000):
         for some in (list(sizes), [None], [1, 3], []):  # whichever groups are split
-            large = spark.createDataFrame([(k, sizes[k]) for k in some], "k int, n long").select(
-                F.struct("k").alias("g"), "n")
-            cuts = group_cuts(grouped, "g", "ts", large, max([sizes[k] for k in some], default=1), piece_rows)
+            large = spark.createDataFrame([(k, sizes[k]) for k in some], "k int, n long")
+            large = not_null_keys(large, {"g": F.col("k").cast("long")})[0].select(*keys, "n")
+            cuts = group_cuts(grouped, keys, "ts", large, max([sizes[k] for k in some], default=1), piece_rows)
             rows_of_piece = {}
-            for r in lag_in_pieces(grouped, "g", "ts", "prev", cuts=cuts).collect():
+            for r in lag_in_pieces(grouped, keys, "ts", "prev", cuts=cuts).collect():
                 assert r.prev == expected[r.rid], (piece_rows, some)
                 rows_of_piece[r.k, r._piece] = rows_of_piece.get((r.k, r._piece), 0) + 1
             nulls = sum(1 for _, k, ts in uniq if ts is None)
