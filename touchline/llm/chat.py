@@ -21,7 +21,10 @@ Nulls and ties: null text and null role count as empty; null conv_id or turn
 sort first; turns of equal number are ordered by role, then a hash of the text;
 repeated rows
 are turns of their own; an empty table gives no rows. Other columns are not
-read."""
+read.
+
+Texts of any length are processed whole.
+"""
 
 from __future__ import annotations
 

@@ -35,7 +35,10 @@ so scores don't depend on which items share a group.
 
 Nulls and ties: null or wordless texts and items match nothing; null ids stay
 null; repeated documents are reported repeatedly, repeated items each; empty
-tables give no matches. ``decontaminate`` keeps all columns of the documents."""
+tables give no matches. ``decontaminate`` keeps all columns of the documents.
+
+Texts of any length are processed whole.
+"""
 
 from __future__ import annotations
 

@@ -18,7 +18,10 @@ dropped after matching.
 
 Nulls and ties: a null text counts as empty and has no spans; repeated rows get
 the same spans each; ids may be null or repeated; an empty table gives no rows.
-``redact`` keeps all columns."""
+``redact`` keeps all columns.
+
+Texts of any length are processed whole.
+"""
 
 from __future__ import annotations
 

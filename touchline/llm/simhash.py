@@ -28,7 +28,10 @@ small-star rounds on DataFrames, each stored in the shared folder.
 Nulls and ties: a null text counts as empty; null ids are never smallest unless
 all are null; repeated rows are documents of their own, of which
 ``dedup`` keeps one; an empty table gives no rows. Other columns of ``dedup``'s
-input pass through unread."""
+input pass through unread.
+
+Texts of any length are processed whole.
+"""
 
 from __future__ import annotations
 

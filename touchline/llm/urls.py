@@ -14,7 +14,10 @@ the longest rule wins.
 Nulls and ties: null and malformed urls are judged by the classifier as empty
 host and path; repeated rows are judged alike; an empty table gives no rows. The
 labelled table is bounded by ``MOST_LABELLED`` rows (documented parameter of
-``train``, taken by hash order); other columns are not read."""
+``train``, taken by hash order); other columns are not read.
+
+URLs of any length are processed whole.
+"""
 
 from __future__ import annotations
 

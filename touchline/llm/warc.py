@@ -23,7 +23,10 @@ WARC-Refers-To names its response's id.
 Nulls and ties: a null payload is empty; null ids sort last and count as no id
 (all copies of a payload without any id are responses); rows that share id and
 payload are alike; a null url is the empty URL; an empty table gives an empty
-index. Other columns are not read."""
+index. Other columns are not read.
+
+Payloads of any length are processed whole.
+"""
 
 from __future__ import annotations
 
