@@ -247,7 +247,7 @@ def _limits(spark, groups, **parameters):
     rows = [(lang, source, math.ceil(math.log(v) / math.log(1.01 / 0.99))) for (lang, source), vs in groups.items() for v in vs]
     sketch = spark.createDataFrame(rows, "lang string, source string, bucket long").groupBy("lang", "source", "bucket").agg(
         F.count("*").alias("n")).withColumn("ratio", F.lit("word_length"))
-    got = quality.thresholds(sketch, spreads={"word_length": 0.0}, **parameters).collect()
+    got = quality.thresholds(sketch, fence=3, **parameters).collect()
     return {(r.lang, r.source): r.most_word_length for r in got}
 
 
@@ -287,6 +287,25 @@ def test_quality_limits_lean_on_parents_at_every_size(spark):
         assert all(abs(after[k] - before[k]) <= 0.1 * before[k] for k in before)
 
 
+def test_quality_limits_come_from_the_groups_own_quantiles(spark):
+    """Also where nearly all documents score zero: the group's median size decides."""
+    def docs(source, words, n=200):
+        return [(f"{source}{i}", " ".join(f"w{i * 7 + j}x{j}" for j in range(words)), "en", source) for i in range(n)]
+
+    rows = docs("short", 80) + docs("long", 800)
+    marked = lambda words, n: " ".join([f"v{j}q{j}" for j in range(words - n)] + [f"c#{j}" for j in range(n)])
+    rows += [("s", marked(80, 20), "en", "short"), ("l", marked(800, 200), "en", "long")]  # a quarter of the words each
+    df = spark.createDataFrame(rows, "doc_id string, text string, lang string, source string")
+    m = quality.measures(df)
+    limits = {r.source: r for r in quality.thresholds(quality.sketches(m, F.col("m"), F.col("lang"), F.col("source"))).collect()}
+    assert limits["short"].most_symbol_ratio > 4 * limits["long"].most_symbol_ratio
+    for source, words in (("short", 80), ("long", 800)):
+        for ratio, n in (("symbol_ratio", 40), ("repeat_ratio", 100)):
+            assert abs(limits[source]["most_" + ratio] - n / words) <= 0.03 * n / words
+    kept = {r.doc_id for r in quality.judged(df).where("kept").collect()}
+    assert "s" in kept and "l" not in kept and len(kept) == 401
+
+
 def test_quality_long_text_counts_alike(monkeypatch):
     text = " ".join(str(i % 7 * (i % 11)) for i in range(500))
     plain = quality.measure(text)

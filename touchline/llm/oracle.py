@@ -83,7 +83,8 @@ cells AS (
       {'ratio': 'symbol_ratio', 'v': n_symbols::DOUBLE / greatest(n_words, 1)},
       {'ratio': 'dup_line_ratio', 'v': n_dup_lines::DOUBLE / greatest(n_lines, 1)},
       {'ratio': 'repeat_ratio', 'v': n_repeat_words::DOUBLE / greatest(n_words, 1)},
-      {'ratio': 'word_length', 'v': word_chars::DOUBLE / greatest(n_words, 1)}]) AS r FROM judged)),
+      {'ratio': 'word_length', 'v': word_chars::DOUBLE / greatest(n_words, 1)},
+      {'ratio': 'n_words', 'v': n_words::DOUBLE}, {'ratio': 'n_lines', 'v': n_lines::DOUBLE}]) AS r FROM judged)),
 sketch AS (
   SELECT lang, source, ratio, CASE WHEN v > 0 THEN ceil(ln(v) / ln(1.01::DOUBLE / 0.99::DOUBLE)) END AS bucket, count(*) AS n
   FROM cells WHERE NOT base_failed GROUP BY ALL),
@@ -106,13 +107,16 @@ ranked AS (
   SELECT *, sum(n) OVER (PARTITION BY lang, source, ratio ORDER BY bucket NULLS FIRST) AS upto,
          sum(n) OVER (PARTITION BY lang, source, ratio) AS total,
          CASE WHEN bucket IS NULL THEN 0 ELSE 2 * pow(1.01::DOUBLE / 0.99::DOUBLE, bucket) / (1.01::DOUBLE / 0.99::DOUBLE + 1) END AS mid FROM merged),
-spreads(ratio, spread) AS (VALUES ('symbol_ratio', 0.08::DOUBLE), ('dup_line_ratio', 0.2::DOUBLE),
-                                  ('repeat_ratio', 0.15::DOUBLE), ('word_length', 0.5::DOUBLE)),
+quartiles AS (
+  SELECT lang, source, ratio, min(mid) FILTER (WHERE upto >= ceil(total * 0.25)) AS q1,
+         min(mid) FILTER (WHERE upto >= ceil(total * 0.5)) AS q2,
+         min(mid) FILTER (WHERE upto >= ceil(total * 0.75)) AS q3 FROM ranked GROUP BY lang, source, ratio),
+spare(ratio, size, n) AS (VALUES ('symbol_ratio', 'n_words', 40::DOUBLE), ('dup_line_ratio', 'n_lines', 4::DOUBLE),
+                                 ('repeat_ratio', 'n_words', 100::DOUBLE), ('word_length', NULL, NULL)),
 limits AS (
-  SELECT lang, source, ratio,
-         min(mid) FILTER (WHERE upto >= ceil(total * 0.75)) + 3 * greatest(
-           min(mid) FILTER (WHERE upto >= ceil(total * 0.75)) - min(mid) FILTER (WHERE upto >= ceil(total * 0.25)),
-           any_value(spread)) AS most FROM ranked JOIN spreads USING (ratio) GROUP BY lang, source, ratio),
+  SELECT q.lang, q.source, q.ratio, q.q3 + greatest(6 * greatest(q.q3 - q.q1, 0.02::DOUBLE * q.q3), coalesce(s.n / z.q2, 0)) AS most
+  FROM quartiles q JOIN spare s ON s.ratio = q.ratio
+  LEFT JOIN quartiles z ON z.ratio = s.size AND z.lang IS NOT DISTINCT FROM q.lang AND z.source IS NOT DISTINCT FROM q.source),
 failed AS (
   SELECT DISTINCT c.rid FROM cells c
   JOIN limits a ON a.ratio = c.ratio AND a.lang IS NOT DISTINCT FROM c.lang AND a.source IS NOT DISTINCT FROM c.source

@@ -13,10 +13,13 @@ merged with its language's, and that with the one of all documents, at the fixed
 weight of ``parent_rows`` rows whatever the group's size: a small group leans on
 its parents, a large one hardly, and no size switches between them.
 
-A ratio fails where it exceeds ``q3 + fence * max(q3 - q1, spread)``: the far
-outliers of its group. ``spread`` is the least spread assumed of a ratio, so
-that a group in which nearly all documents score zero doesn't reject the first
-one that doesn't.
+A ratio fails where it exceeds ``q3 + max(fence * (q3 - q1), spare / size)``: the
+far outliers of its group. ``q3 - q1`` counts as 2 * a * q3 at least, since the
+sketch knows its quartiles no closer. ``size`` is the group's median number of words or lines,
+from its sketch too, and ``spare`` the occurrences that a document of that size may
+have beyond q3, so that a group in which nearly all documents score zero doesn't
+reject the first one that doesn't. Word length has no ``spare``. No limit is a
+constant: each comes from quantiles of its group.
 
 Base rules (fixed values of the task): fewer than 50 words, or more than half of
 the words in repeated 3-word windows.
@@ -44,11 +47,12 @@ MOST_REPEATED = 50  # percent of the words
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 ACCURACY = 0.01
-FENCE = 3.0
+FENCE = 6.0
 #: Rows that the parents' merged sketch counts in a group's, and units of a row's count.
 PARENT_ROWS, UNIT = 100, 10_000_000
-#: ratio: least spread (documented parameter of ``thresholds``)
-SPREADS = {"symbol_ratio": 0.08, "dup_line_ratio": 0.2, "repeat_ratio": 0.15, "word_length": 0.5}
+#: ratio: occurrences to spare in a document of its group's median size, and the measure of size
+SPARE = {"symbol_ratio": (40, "n_words"), "dup_line_ratio": (4, "n_lines"), "repeat_ratio": (100, "n_words")}
+RATIOS = (*SPARE, "word_length")
 MEASURES = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
 #: Texts with more words are counted with arrays instead of Python objects.
 LONG_TEXT = 200_000
@@ -117,23 +121,26 @@ def ratios(m: Column) -> dict[str, Column]:
 
 def sketches(measured: DataFrame, m: Column, lang: Column, source: Column, accuracy: float = ACCURACY) -> DataFrame:
     """One row per (lang, source, ratio, bucket) with its count; bucket null
-    holds the zeros. Documents that fail the base rules are left out."""
+    holds the zeros. The two sizes are sketched like the ratios. Documents that
+    fail the base rules are left out."""
     base = math.log((1 + accuracy) / (1 - accuracy))
     bucket = lambda v: F.when(v > 0, F.ceil(F.log(v) / base))
-    cells = F.array(*(F.struct(F.lit(k).alias("ratio"), bucket(v).alias("bucket")) for k, v in ratios(m).items()))
+    values = {**ratios(m), **{k: m[k].cast("double") for k in sorted({size for _, size in SPARE.values()})}}
+    cells = F.array(*(F.struct(F.lit(k).alias("ratio"), bucket(v).alias("bucket")) for k, v in values.items()))
     return (measured.where(~base_failed(m)).select(lang.alias("lang"), source.alias("source"), F.inline(cells))
             .groupBy("lang", "source", "ratio", "bucket").agg(F.count(F.lit(1)).alias("n")))
 
 
-def quantile(sketch: DataFrame, keys: list[str], q: float, out: str, accuracy: float = ACCURACY) -> DataFrame:
-    """The q-quantile of each group of a sketch: the middle of the bucket that
+def quantiles(sketch: DataFrame, keys: list[str], out: dict[str, float], accuracy: float = ACCURACY) -> DataFrame:
+    """Quantiles (name: q) of each group of a sketch: the middle of the bucket that
     holds the row of rank ceil(q * n)."""
     g = (1 + accuracy) / (1 - accuracy)
     over = Window.partitionBy(*keys).orderBy(F.col("bucket").asc_nulls_first())
     ranked = sketch.withColumn("_upto", F.sum("n").over(over)).withColumn("_all", F.sum("n").over(
         Window.partitionBy(*keys)))
     value = F.when(F.col("bucket").isNull(), 0.0).otherwise(2 * F.pow(F.lit(g), F.col("bucket")) / (g + 1))
-    return ranked.where(F.col("_upto") >= F.ceil(F.col("_all") * q)).groupBy(*keys).agg(F.min(value).alias(out))
+    return ranked.groupBy(*keys).agg(*(F.min(F.when(F.col("_upto") >= F.ceil(F.col("_all") * q), value)).alias(name)
+                                       for name, q in out.items()))
 
 
 def with_parents(sketch: DataFrame, parent_rows: int = PARENT_ROWS) -> DataFrame:
@@ -159,18 +166,19 @@ def with_parents(sketch: DataFrame, parent_rows: int = PARENT_ROWS) -> DataFrame
 
 
 def thresholds(sketch: DataFrame, fence: float = FENCE, parent_rows: int = PARENT_ROWS,
-               spreads: dict[str, float] | None = None, accuracy: float = ACCURACY) -> DataFrame:
+               spare: dict[str, tuple[float, str]] | None = None, accuracy: float = ACCURACY) -> DataFrame:
     """Per (lang, source) one column of upper limits per ratio, from the group's
     sketch merged with its parents'."""
-    spreads, keys = spreads or SPREADS, ["lang", "source", "ratio"]
-    whole = with_parents(sketch, parent_rows)
-    low = quantile(whole, keys, 0.25, "q1", accuracy)
-    high = quantile(whole, keys, 0.75, "q3", accuracy)
-    both = low.join(high, [low[k].eqNullSafe(high[k]) for k in keys]).select(*(low[k] for k in keys), "q1", "q3")
-    spread = F.create_map(*(F.lit(x) for kv in spreads.items() for x in kv))[F.col("ratio")]
-    limit = F.col("q3") + fence * F.greatest(F.col("q3") - F.col("q1"), spread)
-    return both.groupBy("lang", "source").agg(*(
-        F.max(F.when(F.col("ratio") == r, limit)).alias("most_" + r) for r in spreads))
+    spare = SPARE if spare is None else spare
+    found = quantiles(with_parents(sketch, parent_rows), ["lang", "source", "ratio"], {"q1": 0.25, "q2": 0.5, "q3": 0.75},
+                      accuracy)
+    of = lambda ratio, q: F.max(F.when(F.col("ratio") == ratio, F.col(q)))
+
+    def limit(r: str) -> Column:
+        far = fence * F.greatest(of(r, "q3") - of(r, "q1"), 2 * accuracy * of(r, "q3"))
+        return of(r, "q3") + (F.greatest(far, spare[r][0] / of(spare[r][1], "q2")) if r in spare else far)
+
+    return found.groupBy("lang", "source").agg(*(limit(r).alias("most_" + r) for r in RATIOS))
 
 
 def judge(measured: DataFrame, m: str, limits: DataFrame, lang: Column, source: Column, out: str) -> DataFrame:
