@@ -12,7 +12,7 @@ def _grams(words, n=5):
     return [tuple(words[i:i + n]) for i in range(max(1, len(words) - n + 1))] if words else []
 
 
-def _overlaps(docs, items):
+def _overlaps(docs, items, least=0.5):
     """(doc, item) that reach the overlap near some passage: every passage tried."""
     found = set()
     for d, text in enumerate(docs):
@@ -22,7 +22,7 @@ def _overlaps(docs, items):
             for first in range(0, len(words), decontam.STRIDE):
                 near = words[max(0, first - n):first + decontam.WINDOW + n]
                 there = {k: {tuple(near[j:j + k]) for j in range(len(near) - k + 1)} for k in range(1, 6)}
-                if all(sum(g in there[len(g)] for g in side) * 2 >= len(side)
+                if all(sum(g in there[len(g)] for g in side) / max(1, len(side)) >= (least if side else 0)
                        for side in map(_grams, (question, answer))):
                     found.add((d, i))
     return found
@@ -56,15 +56,32 @@ def test_every_passage_that_reaches_the_overlap_is_found():
     assert len(want) > len(items) and got == want
 
 
-def test_the_threshold_of_the_search_does_not_decide():
+def test_the_search_decides(monkeypatch):
+    """What it doesn't retrieve is no match, and every item's threshold is above zero."""
     docs, items = _case(8)
-    rows = [[(d, i, round(s, 9), *rest) for d, i, s, *rest in decontam.ItemIndex(items, threshold=x).matches(
-        pa.array(docs, pa.string()))] for x in (0.3, decontam.THRESHOLD, 0.9)]
-    assert rows[0] == rows[1] == rows[2] and rows[0]
+    index = decontam.ItemIndex(items)
+    assert all(0 < x < math.inf for x in index.least)
+    texts, retrieved, search = pa.array(docs, pa.string()), [], decontam.ItemIndex.search
+    monkeypatch.setattr(decontam.ItemIndex, "search", lambda self, terms: retrieved.append(1) or search(self, terms))
+    whole = sum(-(-len(d.split()) // decontam.STRIDE) for d in docs)
+    assert list(index.matches(texts)) and len(retrieved) < whole  # the bounds drop passages
+    monkeypatch.setattr(decontam.ItemIndex, "search", lambda self, terms: [])
+    assert not list(index.matches(texts))
+
+
+def test_thresholds_are_safe_at_every_overlap():
+    """At any overlap asked for nothing is lost."""
+    docs, items = _case(11)
+    for overlap in (0.2, 0.5, 0.8, 1.0):
+        index = decontam.ItemIndex(items, overlap=overlap)
+        got = {(d, i) for d, i, *_ in index.matches(pa.array(docs, pa.string()))}
+        want = {(d, i) for d, i in _overlaps(docs, items, overlap)}
+        assert got == want and got
 
 
 def test_scores_do_not_depend_on_the_item_groups(spark):
     docs, items = _case(9)
+    items += [(100 + i, q, a[::-1]) for i, q, a in items]  # questions that other groups hold too
     table = spark.createDataFrame([(i, " ".join(q + a)) for i, q, a in items] + [(99, None)],
                                   "item_id long, text string").coalesce(1)
     df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
@@ -76,3 +93,19 @@ def test_scores_do_not_depend_on_the_item_groups(spark):
     alone = decontam.ItemIndex(items[:5])  # a group's own statistics give other scores
     got = {(d, i): round(s, 9) for d, i, s, *_ in alone.matches(pa.array(docs, pa.string()))}
     assert any((d, i) in got and got[d, i] != s for d, i, s, _ in many)
+
+
+def test_many_item_groups_share_one_python_stage(spark, monkeypatch):
+    docs, items = _case(10)
+    table = spark.createDataFrame([(i, " ".join(q + a)) for i, q, a in items], "item_id long, text string")
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    assert len(list(decontam.item_groups(table, "item_id", "text", None, group_bytes=800))) >= 10
+    plan = lambda out: out._jdf.queryExecution().executedPlan().toString().count("MapInArrow")
+    dirty = {d for d, *_ in decontam.ItemIndex(items).matches(pa.array(docs, pa.string()))}
+    for most in (decontam.STAGE_BYTES, 3200):  # 3200: four groups a stage, written in between
+        monkeypatch.setattr(decontam, "STAGE_BYTES", most)
+        kept = decontam.decontaminate(df, table, group_bytes=800)
+        assert plan(kept) == 1
+        assert {r.doc_id for r in kept.collect()} == set(range(len(docs))) - dirty
+    monkeypatch.undo()
+    assert plan(decontam.find_matches(df, table, group_bytes=800)) == 1

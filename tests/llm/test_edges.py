@@ -128,8 +128,8 @@ def test_decontamination(spark, rows, none):
     got = {(r.doc_id, r.item_id) for r in decontam.find_matches(df, table).collect()}
     assert got == {(i, i) for i, _ in items} | {(100 + i, i) for i, _ in items} | {
         (None, 2), (400, 3), (401, 1), (401, 2)}
-    kept = decontam.decontaminate(df, table)
-    assert kept.columns == df.columns
+    kept = decontam.decontaminate(df.withColumn("a.b", F.lit(1)).withColumn("c0", F.lit(2)), table)
+    assert kept.columns == [*df.columns, "a.b", "c0"]
     assert {r.doc_id for r in kept.collect()} == {200, 201, 202} | {300 + i for i, _ in items}
     assert decontam.find_matches(rows, table.where("false")).count() == 0
     assert decontam.decontaminate(none, table).count() == 0
@@ -150,18 +150,22 @@ def test_item_groups_are_bounded_though_one_item_repeats(spark):
 
 def test_wand_returns_all_above_threshold():
     rng = random.Random(3)
-    words = [f"w{i}" for i in range(60)]
-    items = [(i, [rng.choice(words) for _ in range(10)], [rng.choice(words) for _ in range(10)]) for i in range(50)]
-    index = decontam.ItemIndex(items, threshold=0.35)
     import numpy as np
-    for _ in range(40):
-        query = np.array([index.terms[w] for w in rng.sample(words, 25) if w in index.terms])
-        score = [0.0] * 50
-        for t in set(query.tolist()):
-            for p, x in zip(*index.postings[t]):
-                score[p] += x
-        want = {p: round(s, 9) for p, s in enumerate(score) if s >= 0.35 - 1e-9}
+    words = ["a", "b", "c"]  # so few that items share shingles
+    items = [(i, [rng.choice(words) for _ in range(rng.randrange(1, 90))], [rng.choice(words) for _ in range(30)])
+             for i in range(50)]
+    index = decontam.ItemIndex(items)
+    assert len(index.post_part) > 2 * len(index.code) > 100 and len(index.part_item) > 60
+    dropped = 0
+    for n in range(1, 41):
+        query = np.array(sorted(rng.sample(range(len(index.code)), n)))
+        score = [0.0] * len(index.part_item)
+        for p, t, x in zip(index.of_part, index.held, index.impact):
+            score[p] += x / index.least[index.part_item[p]] * (t in query)
+        want = {p: round(s, 9) for p, s in enumerate(score) if s >= 1 - 1e-9}
+        dropped += sum(0 < s < 1 - 1e-9 for s in score)
         assert {p: round(s, 9) for p, s in index.search(query)} == want
+    assert dropped > 100
 
 
 def test_urls(spark):
