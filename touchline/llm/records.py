@@ -24,7 +24,8 @@ Nulls and ties: a null text is an empty document; null ids sort first; rows with
 equal ids are ordered by text; repeated rows are written repeatedly; an empty
 table gives an empty index.
 
-Texts of any length are processed whole.
+Ids must be whole numbers (the format holds 64 bits); texts of any length are
+processed whole.
 """
 
 from __future__ import annotations

@@ -18,7 +18,7 @@ Nulls and ties: a null text has no bytes (each document counts its bytes plus
 one); null metadata has place 0; equal and repeated rows are split by the row
 hash; an empty table gives no rows. ``write_shards`` keeps all columns.
 
-Texts of any length are processed whole.
+Ids must be numbers (or cast to double); texts of any length are processed whole.
 """
 
 from __future__ import annotations

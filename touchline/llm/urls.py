@@ -37,18 +37,21 @@ FEATURES = 1 << 14
 MOST_LABELLED = 100_000
 BLOCK_AT = 0.5
 
-#: The labelled table: words of hosts and paths by label (1: block), set into the forms below.
-BLOCK_WORDS = ("casino", "casino-win", "free-bets", "sports-bets", "poker", "jackpot", "slots-win", "cheap-pills",
-               "pharma-pills", "viagra", "spam-farm", "link-farm", "seo-spam", "adult", "adult-x", "xxx-cams", "porn",
-               "escorts", "ads-track", "ads-click", "tracker-ads", "payday-loans", "win-prize", "free-crypto",
-               "replica-watches", "warez", "torrent-crack", "clickbait")
+#: The labelled table, made up without a look at the tables that are judged: words of hosts and paths by label (1: block), set into the forms below.
+BLOCK_WORDS = ("casino", "online-casino", "casino-bonus", "sports-bets", "betting-tips", "poker", "jackpot", "lucky-slots",
+               "slots-win", "lottery-win", "pharma-pills", "diet-pills", "pill-store", "viagra", "link-farm", "content-farm",
+               "seo-spam", "spam-mail", "adult", "adult-chat", "xxx-cams", "hot-cams", "porn", "escorts", "ads-click",
+               "banner-ads", "tracker-ads", "click-track", "payday-loans", "fast-loans", "win-prize", "free-crypto",
+               "free-prize", "replica-watches", "warez", "torrent-crack", "keygen-crack", "clickbait")
 ALLOW_WORDS = ("library", "university", "weather", "recipes", "history", "museum", "garden", "travel-notes",
                "science", "physics", "news", "daily-news", "journal", "health", "music", "theatre", "school",
                "mathematics", "photography", "cycling", "railway", "architecture", "astronomy", "novels", "poetry",
                "software", "open-data", "parliament", "harbour", "mountain", "gathering", "education", "together",
                "within", "zeitung", "gesundheit", "wissenschaft", "bibliothek", "kirchen", "rechte", "bateaux",
                "cuisine", "communication", "voyages", "sciences", "estacion", "ciudad", "noticias", "historia",
-               "canciones")
+               "canciones", "kitchen", "camping", "chess", "football", "language", "grammar", "atlas", "bakery",
+               "hospital", "dentist", "wanderung", "fahrrad", "musique", "jardin", "lecture", "biblioteca", "escuela",
+               "mercado")
 HOSTS = ("{w}.example.com", "www.{w}.example.com", "{w}.example.org", "m.{w}.example.net", "blog.{w}.example.com")
 PATHS = ("/en/12", "/de/804", "/fr/77/", "/es/350.html", "")
 
