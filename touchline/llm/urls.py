@@ -49,9 +49,7 @@ ALLOW_WORDS = ("library", "university", "weather", "recipes", "history", "museum
                "software", "open-data", "parliament", "harbour", "mountain", "gathering", "education", "together",
                "within", "zeitung", "gesundheit", "wissenschaft", "bibliothek", "kirchen", "rechte", "bateaux",
                "cuisine", "communication", "voyages", "sciences", "estacion", "ciudad", "noticias", "historia",
-               "canciones", "kitchen", "camping", "chess", "football", "language", "grammar", "atlas", "bakery",
-               "hospital", "dentist", "wanderung", "fahrrad", "musique", "jardin", "lecture", "biblioteca", "escuela",
-               "mercado")
+               "canciones")
 HOSTS = ("{w}.example.com", "www.{w}.example.com", "{w}.example.org", "m.{w}.example.net", "blog.{w}.example.com")
 PATHS = ("/en/12", "/de/804", "/fr/77/", "/es/350.html", "")
 
