@@ -1,11 +1,20 @@
 import random
+from bisect import bisect_left
 
 import pytest
 from pyspark.sql import functions as F
 
 from touchline.operators.events import exit_flag, flatten_events, seconds_since_previous
 from touchline.operators.items import purchase_items
-from touchline.operators.ordered import group_cuts, lag_in_pieces, max_by_join, max_in_groups, not_null_keys
+from touchline.operators.ordered import (
+    MOST_PIECES,
+    group_cuts,
+    lag_in_pieces,
+    max_by_join,
+    max_in_groups,
+    not_null_keys,
+    piece_of,
+)
 from touchline.schema import FLAT_EVENT_COLUMNS
 from touchline.operators.events import event_columns
 
@@ -134,3 +143,15 @@ def test_timestamp_ties_are_ordered_by_event_name(spark):
         got = rows_of(out, "_us", "event_name", "previous_timestamp")
         assert got == [(1_000_000, "page_view", 0.0), (3_000_000, "first_visit", 2.0),
                        (3_000_000, "page_view", 0.0), (3_000_000, "session_start", 0.0)], method
+
+
+def test_piece_of_is_a_binary_search_of_the_cuts(spark):
+    """Not a look at each of up to 4095 cuts for every event."""
+    many = [3 * i for i in range(MOST_PIECES - 1)]
+    lists = [None, [], [5], [1, 4, 9], many[:64], many]
+    stamps = [None, -1, 0, 1, 4, 5, 6, 192, 193, 9000, 3 * len(many), 10**15]
+    rows = [(i, t, c) for i, (t, c) in enumerate((t, c) for t in stamps for c in lists)]
+    found = spark.createDataFrame(rows, "i int, t long, c array<long>").select("i", piece_of(F.col("t"), F.col("c")).alias("p"))
+    expected = {i: 0 if t is None or not c else bisect_left(c, t) for i, t, c in rows}
+    assert {r.i: r.p for r in found.collect()} == expected
+    assert "filter(" not in found._jdf.queryExecution().optimizedPlan().toString()

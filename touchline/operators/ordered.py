@@ -28,9 +28,8 @@ BUCKET = "_bucket"
 BUCKET_MAX = "_bucket_max"
 PSEUDO = "_pseudo"
 PIECE = "_piece"
-# A group has at most MOST_PIECES pieces. Cuts are searched in two steps, STRIDE at a time.
+# A group has at most MOST_PIECES pieces.
 MOST_PIECES = 4096
-STRIDE = 64
 # The cuts of large groups are broadcast up to this many bytes.
 BROADCAST_CUTS = 16 << 20
 
@@ -108,11 +107,11 @@ def group_cuts(rows: DataFrame, keys: list[str], ts: str, large: DataFrame, most
 
 
 def piece_of(ts: Column, cuts: Column) -> Column:
-    """How many of the ascending ``cuts`` are below ``ts`` (0: NULL, or no cuts)."""
-    coarse = F.filter(cuts, lambda c, i: ((i + 1) % STRIDE == 0) & (c < ts))
-    below = F.size(coarse) * STRIDE
-    fine = F.size(F.filter(F.slice(cuts, below + 1, F.lit(STRIDE)), lambda c: c < ts))
-    return F.when(cuts.isNull(), 0).otherwise(below + fine)
+    """How many of the ascending ``cuts`` are below ``ts`` (0: NULL, or no cuts):
+    a binary search, as a large input's groups have thousands of cuts."""
+    halves = F.array(*[F.lit(1 << i) for i in reversed(range((MOST_PIECES - 1).bit_length()))])
+    step = lambda below, half: below + F.when(F.get(cuts, below + half - 1) < ts, half).otherwise(0)
+    return F.when(cuts.isNull(), 0).otherwise(F.aggregate(halves, F.lit(0), step))
 
 
 def lag_in_pieces(df: DataFrame, keys: list[str], ts: str, out: str, tiebreak: tuple[str, ...] = (),
