@@ -100,3 +100,12 @@ def test_rebalance_before_partitioned_write_of_shuffled_output(spark, sf_small):
     ev = catalog.QUERIES["events_sessionized"](spark, sf_small)
     plan = _prepare(ev, "event_date", True)._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+def test_raw_rows_are_built_after_the_only_shuffle_and_without_lambdas(spark, sf_small):
+    """The stand-in export's rows are many times as wide as the events'."""
+    plan = _plan(catalog.raw_events(spark, sf_small))
+    exchanges = [line for line in plan.split("\n") if "Exchange" in line]
+    assert len(exchanges) == 1 and "rangepartitioning(ts" in exchanges[0]
+    assert "event_params" not in plan[plan.index(exchanges[0]):]
+    assert "lambdafunction" not in plan

@@ -358,3 +358,20 @@ def test_run_date_defaults_to_today_in_utc(monkeypatch):
     monkeypatch.setattr(dates.dt, "datetime", Clock)
     assert init_window() == init_window(dt.date(2024, 2, 29)) == ("20240127", "20240226")
     assert update_window() == update_window(dt.date(2024, 2, 29))
+
+
+def test_dealt_shards_hold_all_rows_and_split_large_days(spark, tmp_path, monkeypatch):
+    """A day with most rows, repeated and missing ids, and events without a time."""
+    monkeypatch.setattr("touchline.sources.fixture.TASK_EVENTS", 20)
+    start = dt.datetime(2024, 1, 5, 12)
+    times = [start + dt.timedelta(minutes=i) for i in range(400)] + [start + dt.timedelta(days=d) for d in (1, 2, 2)] + [None] * 3
+    rows = [(None if i % 50 == 7 else i // 2, t, i % 9, "purchase" if i % 4 else "view", 1.0 * i, f'{{"k": {i}}}' if i % 6 else None)
+            for i, t in enumerate(times)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "events.parquet"))
+    plain = driver_raw_events(spark, str(tmp_path))
+    shards = write_shards(driver_raw_events(spark, str(tmp_path), dealt=True), scratch_path(spark, "dealt"), dealt=True)
+    stored = spark.read.parquet(shards).withColumn("event_date", F.col("event_date").cast("string")).select(*plain.columns)
+    assert sorted(map(repr, stored.collect())) == sorted(map(repr, plain.collect()))
+    files = stored.select(F.input_file_name().alias("f"), "event_date").distinct().groupBy("event_date").count()
+    assert {r.event_date: r["count"] for r in files.collect()}["20240105"] > 5

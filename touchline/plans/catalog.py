@@ -67,14 +67,15 @@ def _memo(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], str])
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return driver_raw_events(spark, sf_dir)
+    """The raw stand-in, its rows dealt by day."""
+    return driver_raw_events(spark, sf_dir, dealt=True)
 
 
 def raw_shards(spark: SparkSession, sf_dir: str) -> str:
     """The raw stand-in stored as day shards in the shared folder (once per
     app), so queries read it the way they read a real export."""
     return _memo(spark, sf_dir, "shards",
-                 lambda: write_shards(raw_events(spark, sf_dir), scratch_path(spark, "raw-shards")))
+                 lambda: write_shards(raw_events(spark, sf_dir), scratch_path(spark, "raw-shards"), dealt=True))
 
 
 def init_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,7 +296,7 @@ def suffix_shards(spark: SparkSession, sf_dir: str) -> str:
         raw = raw_events(spark, sf_dir).withColumn("_table", F.explode(F.when(
             F.col("event_timestamp") % 8 == 0,
             F.array("event_date", F.concat(F.lit("intraday_"), "event_date"))).otherwise(F.array("event_date"))))
-        return write_suffix_shards(raw, scratch_path(spark, "suffix-shards"), "_table")
+        return write_suffix_shards(raw, scratch_path(spark, "suffix-shards"), "_table", dealt=True)
     return _memo(spark, sf_dir, "suffix-shards", build)
 
 

@@ -56,6 +56,11 @@ TRAFFIC_BY_M = {
     19: ("(direct)", "(none)", None, None, "/p"),
 }
 
+TRAFFIC_KEYS = ("source", "medium", "campaign", "gclid")
+
+# Events for which one task builds and writes raw rows: a few seconds of work, and a day still has several files.
+TASK_EVENTS = 100_000
+
 DEVICE_CATEGORIES = ("desktop", "mobile", "tablet")
 DEVICE_LANGUAGES = ("en", "fr", "de", "es", "en-us", "om", "EN", None)
 
@@ -79,15 +84,20 @@ def _value(s=None, i=None, f=None, d=None) -> Column:
     )
 
 
-def _param(key: str, value: Column, present: Column | None = None) -> Column:
-    entry = F.struct(F.lit(key).alias("key"), value.alias("value"))
-    return entry if present is None else F.when(present, entry)
+def _param(key: str, value: Column) -> Column:
+    return F.struct(F.lit(key).alias("key"), value.alias("value"))
 
 
 def _text(prefix: str, n: Column) -> Column:
     return F.concat(F.lit(prefix), n.cast("string"))
 
 
+def _traffic_params(m: int, none: Column) -> Column:
+    """The traffic params of the events with this ``m`` (a constant)."""
+    found = [_param(key, _value(s=F.lit(v))) for key, v in zip(TRAFFIC_KEYS, TRAFFIC_BY_M[m]) if v is not None]
+    return F.array(*found) if found else none
+
+
 def raw_events_from_driver(events: DataFrame) -> DataFrame:
     if isinstance(events.schema["ts"].dataType, T.TimestampNTZType):
         us = timestamp_to_micros(F.col("ts"))
@@ -103,24 +113,24 @@ def raw_events_from_driver(events: DataFrame) -> DataFrame:
         F.when(F.col("event_id") % 89 != 0, F.expr("((us div 1000000 - 43200) div 86400) * 86400 + 43200")),
     ).withColumn("gsn", F.expr("(gsid - 1703980800) div 172800"))
 
-    k, m, value, eid = F.col("k"), F.col("m"), F.col("value"), F.col("event_id")
-    source, medium, campaign, gclid, suffix = (_lookup(TRAFFIC_BY_M, m, i) for i in range(5))
-    params = F.array(
-        _param("ga_session_id", _value(i=F.col("gsid")), F.col("gsid").isNotNull()),
-        _param("ga_session_number", _value(i=F.col("gsn")), F.col("gsn").isNotNull()),
-        _param("page_location", _value(s=F.concat(F.lit(PAGE_ROOT), suffix))),
-        _param("page_title", _value(s=_text("Page ", k % 10))),
-        _param("source", _value(s=source), source.isNotNull()),
-        _param("medium", _value(s=medium), medium.isNotNull()),
-        _param("campaign", _value(s=campaign), campaign.isNotNull()),
-        _param("gclid", _value(s=gclid), gclid.isNotNull()),
-        _param("entrances", _value(i=F.lit(1)), eid % 5 == 0),
-        _param("session_engaged", _value(s=F.lit("1")), k % 3 == 0),
-        _param("session_engaged", _value(i=F.lit(0)), k % 3 == 1),
-        _param("engagement_time_msec", _value(i=k * 100)),
-        _param("score", _value(f=value), k % 2 == 0),
-        _param("score", _value(d=value), k % 2 == 1),
-    )
+    k, m, value, eid, gsid, gsn = (F.col(c) for c in ("k", "m", "value", "event_id", "gsid", "gsn"))
+    none = F.array().cast(RAW_EVENT_SCHEMA["event_params"].dataType)
+    traffic = F.array(*[_traffic_params(m, none) for m in sorted(TRAFFIC_BY_M)])
+    # short arrays put together, not one array whose NULL elements a lambda drops: lambdas, and all below them, are
+    # interpreted row by row
+    params = F.flatten(F.array(
+        F.when(gsid.isNotNull(), F.array(_param("ga_session_id", _value(i=gsid)), _param("ga_session_number", _value(i=gsn))))
+        .otherwise(none),
+        F.array(_param("page_location", _value(s=F.concat(F.lit(PAGE_ROOT), _lookup(TRAFFIC_BY_M, m, 4)))),
+                _param("page_title", _value(s=_text("Page ", k % 10)))),
+        F.coalesce(F.get(traffic, m.cast("int")), none),
+        F.when(eid % 5 == 0, F.array(_param("entrances", _value(i=F.lit(1))))).otherwise(none),
+        F.when(k % 3 == 0, F.array(_param("session_engaged", _value(s=F.lit("1")))))
+        .when(k % 3 == 1, F.array(_param("session_engaged", _value(i=F.lit(0))))).otherwise(none),
+        F.array(_param("engagement_time_msec", _value(i=k * 100))),
+        F.when(k % 2 == 0, F.array(_param("score", _value(f=value))))
+        .when(k % 2 == 1, F.array(_param("score", _value(d=value)))).otherwise(none),
+    ))
     x4 = _text("x", k % 4)
     purchase = F.col("event_type") == F.lit("purchase")
 
@@ -137,7 +147,7 @@ def raw_events_from_driver(events: DataFrame) -> DataFrame:
         F.date_format(F.col("ts"), "yyyyMMdd").alias("event_date"),
         F.col("us").alias("event_timestamp"),
         F.try_element_at(F.create_map(*names), F.col("event_type")).alias("event_name"),
-        F.filter(params, lambda p: p.isNotNull()).alias("event_params"),
+        params.alias("event_params"),
         F.when(eid % 3 != 0, F.col("user_id").cast("string")).alias("user_id"),
         F.when(eid % 97 != 0, _text("u", F.col("user_id"))).alias("user_pseudo_id"),
         F.struct(
@@ -165,5 +175,15 @@ def raw_events_from_driver(events: DataFrame) -> DataFrame:
     return raw.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_EVENT_SCHEMA.fields])
 
 
-def driver_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_events_from_driver(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+def dealt_by_time(events: DataFrame) -> DataFrame:
+    """``events`` dealt over ranges of their time, of about TASK_EVENTS rows at
+    most. Raw rows built from them lie by day, however many row groups the table
+    has and rows a day has, and only the narrow rows have moved."""
+    least = events.sparkSession.sparkContext.defaultParallelism
+    return events.repartitionByRange(max(least, -(-events.count() // TASK_EVENTS)), "ts", "event_id")
+
+
+def driver_raw_events(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    """``dealt``: by ranges of time, for ``write_shards(..., dealt=True)``."""
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return raw_events_from_driver(dealt_by_time(events) if dealt else events)

@@ -75,24 +75,27 @@ def shard_states(spark: SparkSession, path: str, start: str, end: str) -> list:
 
 
 def write_shards(raw: DataFrame, path: str, max_records_per_file: int = 5_000_000,
-                 partition_col: str = PARTITION_COLUMN) -> str:
+                 partition_col: str = PARTITION_COLUMN, dealt: bool = False) -> str:
     """Store a raw-shaped DataFrame as day shards (replaces ``path``).
 
     A REBALANCE hint on the day clusters rows by day and lets AQE split a large
     day over several advisory-sized tasks, so each task writes a few files of
     one day (not one small file per task and day, nor a whole day in one
-    task); files are capped at ``max_records_per_file`` rows."""
-    (raw.hint("rebalance", partition_col)
+    task); files are capped at ``max_records_per_file`` rows. ``dealt``: the rows
+    already lie so, and aren't moved again."""
+    ((raw if dealt else raw.hint("rebalance", partition_col))
      .write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(partition_col).parquet(path))
     return path
 
 
-def write_suffix_shards(raw: DataFrame, path: str, suffix: str = PARTITION_COLUMN) -> str:
+def write_suffix_shards(raw: DataFrame, path: str, suffix: str = PARTITION_COLUMN, dealt: bool = False) -> str:
     """Store a raw-shaped DataFrame in the suffix layout, in tables by the
-    column ``suffix``, and ``event_date`` as a column of the files."""
+    column ``suffix``, and ``event_date`` as a column of the files. ``dealt``: as
+    for ``write_shards``."""
     spark, day = raw.sparkSession, "_suffix"
-    write_shards(raw.withColumn(day, F.col(suffix)).select(*RAW_EVENT_SCHEMA.names, day), path, partition_col=day)
+    write_shards(raw.withColumn(day, F.col(suffix)).select(*RAW_EVENT_SCHEMA.names, day), path, partition_col=day,
+                 dealt=dealt)
     for name in list_names(spark, path):
         if name.startswith(f"{day}="):
             move_folder(spark, f"{path}/{name}", f"{path}/{SUFFIX_PREFIX}{name.removeprefix(f'{day}=')}")
