@@ -9,6 +9,8 @@ never replaced.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,6 +25,13 @@ CLICK_ID_RULES = (
 )
 
 
+def _like(text: Column, pattern: str) -> Column:
+    """``text LIKE pattern``, whose regular expression runs only on texts that
+    hold the pattern's longest part without a wildcard."""
+    part = "" if "\\" in pattern else max(re.split("[%_]", pattern), key=len)
+    return text.contains(part) & text.like(pattern) if part else text.like(pattern)
+
+
 def _override(fallback: Column, conditions: list[Column], field: int, rules) -> Column:
     out = None
     for cond, rule in zip(conditions, rules):
@@ -33,7 +42,7 @@ def _override(fallback: Column, conditions: list[Column], field: int, rules) ->
 def traffic_touch(source: Column, medium: Column, campaign: Column, gclid: Column,
                   page_location: Column, rules=CLICK_ID_RULES) -> Column:
     """``rules``: own (page_location pattern, source, medium) rules, in order."""
-    conditions = [page_location.like(pattern) for pattern, _, _ in rules]
+    conditions = [_like(page_location, pattern) for pattern, _, _ in rules]
     if conditions:
         conditions[0] = gclid.isNotNull() | conditions[0]
     touched = F.coalesce(source, medium, campaign, gclid).isNotNull()
